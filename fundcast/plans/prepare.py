@@ -71,26 +71,30 @@ def lower_text(df: DataFrame, columns=TEXT_COLUMNS) -> DataFrame:
     return df.withColumns({c: F.lower(c) for c in columns})
 
 
-def add_durations(df: DataFrame) -> DataFrame:
-    """Readable dates, campaign length in days and preparation time in hours.
-
-    The filter is on the *rounded* hours, so launched − created of −1 s
-    (→ 0.0) is kept and −2 s is removed.
-    """
-    return (
-        df.withColumns(
+def durations(df: DataFrame) -> DataFrame:
+    """Readable dates, campaign length in days and preparation time in hours."""
+    return df.withColumns(
             {
                 "deadline2": epoch_to_text("deadline"),
                 "created_at2": epoch_to_text("created_at"),
                 "launched_at2": epoch_to_text("launched_at"),
             }
-        )
-        .withColumns(
+        ).withColumns(
             {
                 "days_campaign": calendar_days("deadline2", "launched_at2"),
                 "hours_prepa": hours_between("launched_at", "created_at"),
             }
         )
+
+
+def add_durations(df: DataFrame) -> DataFrame:
+    """``durations`` then keep non-negative ones and drop the raw epochs.
+
+    The filter is on the *rounded* hours, so launched − created of −1 s
+    (→ 0.0) is kept and −2 s is removed.
+    """
+    return (
+        durations(df)
         .filter((F.col("hours_prepa") >= 0) & (F.col("days_campaign") >= 0))
         .drop("created_at", "deadline", "launched_at")
     )
