@@ -1 +1,84 @@
-"""Registered queries."""
+"""Registered queries for sources and sinks (CSV, text, Parquet round trips).
+
+Intermediate files go below the session's shared checkpoint folder.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fundcast.catalog import register
+from fundcast.fixtures import campaign_table
+from fundcast.plans import sql
+from fundcast.plans.queries_campaign import prepared
+from fundcast.plans.quote_repair import repair_csv_file
+from fundcast.session import scratch_path
+from fundcast.sinks import write_csv, write_parquet, write_text
+from fundcast.sources import read_campaign_csv, read_parquet, read_strict_csv, table
+
+
+@register(
+    "csv_infer_null_token",
+    sql.with_raw(
+        "SELECT CAST(project_id AS INTEGER) AS project_id, nullif(name, 'false') AS name, "
+        "nullif(\"desc\", 'false') AS \"desc\", nullif(goal, 'false') AS goal, "
+        "nullif(keywords, 'false') AS keywords, "
+        "CAST(nullif(disable_communication, 'false') AS BOOLEAN) AS disable_communication, "
+        "nullif(country, 'false') AS country, nullif(currency, 'false') AS currency, "
+        "CAST(deadline AS INTEGER) AS deadline, CAST(state_changed_at AS INTEGER) AS state_changed_at, "
+        "CAST(created_at AS INTEGER) AS created_at, CAST(launched_at AS INTEGER) AS launched_at, "
+        "CAST(backers_count AS INTEGER) AS backers_count, CAST(final_status AS INTEGER) AS final_status "
+        "FROM raw"
+    ),
+)
+def q_csv_infer_null_token(spark, sf_dir):
+    path = write_csv(campaign_table(spark, sf_dir), scratch_path(spark, "campaign-csv"))
+    return read_campaign_csv(spark, path)
+
+
+# Fixture rule (fixed values): a document whose length is a multiple of 7
+# loses its last cell, one whose length is a multiple of 11 gains one; every
+# document becomes a line, the reader must drop exactly those rows.
+SHORT_EVERY, LONG_EVERY = 7, 11
+MALFORMED_SCHEMA = "doc_id STRING, lang STRING, source STRING"
+
+
+@register(
+    "csv_drop_malformed",
+    f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source FROM documents "
+    f"WHERE NOT (n_chars % {SHORT_EVERY} = 0 OR n_chars % {LONG_EVERY} = 0)",
+)
+def q_csv_drop_malformed(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    line = (
+        F.when(F.col("n_chars") % SHORT_EVERY == 0, F.concat_ws(",", "doc_id", "lang"))
+        .when(F.col("n_chars") % LONG_EVERY == 0, F.concat_ws(",", "doc_id", "lang", "source", "lang"))
+        .otherwise(F.concat_ws(",", "doc_id", "lang", "source"))
+    )
+    path = write_text(d.select(line.alias("value")), "value", scratch_path(spark, "malformed-csv"))
+    return read_strict_csv(spark, path, header=False, schema=MALFORMED_SCHEMA)
+
+
+def _doubled_quote_lines(benchmark):
+    """Benchmark texts reduced to letters and spaces (no line breaks or
+    commas), with every space written as a doubled quote: ``id,a""b""c``."""
+    letters = F.regexp_replace("text", "[^A-Za-z]+", " ")
+    return benchmark.select(
+        F.concat(F.col("item_id").cast("string"), F.lit(","), F.regexp_replace(letters, " ", '""')).alias("value")
+    )
+
+
+@register(
+    "csv_quote_repair",
+    "SELECT CAST(item_id AS VARCHAR) AS _c0, "
+    "nullif(regexp_replace(text, '[^A-Za-z]+', ' ', 'g'), '') AS _c1 FROM benchmark",
+)
+def q_csv_quote_repair(spark, sf_dir):
+    src = write_text(_doubled_quote_lines(table(spark, sf_dir, "benchmark")), "value", scratch_path(spark, "quoted"))
+    return repair_csv_file(spark, src, scratch_path(spark, "repaired"))
+
+
+@register("parquet_roundtrip", sql.with_prep("SELECT * FROM prep"))
+def q_parquet_roundtrip(spark, sf_dir):
+    path = write_parquet(prepared(spark, sf_dir), scratch_path(spark, "prepared"))
+    return read_parquet(spark, path)

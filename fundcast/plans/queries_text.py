@@ -1 +1,192 @@
-"""Registered queries."""
+"""Registered queries over document text: word count, tokens, TF-IDF tables,
+string index and assembled features."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.sql import functions as F
+
+from fundcast.catalog import register
+from fundcast.functions.stopwords import sql_list_literal
+from fundcast.operators import features as FT
+from fundcast.operators import text as T
+from fundcast.operators.vectors import dense_entries, sparse_entries, vector_size
+from fundcast.plans import sql
+from fundcast.plans.queries_campaign import prepared
+from fundcast.session import scratch_path
+from fundcast.sinks import write_parquet
+from fundcast.sources import read_parquet, table
+
+# Vocabulary threshold of the text tables (the original grid's lowest minDF).
+TEXT_MIN_DF = 55
+# Threshold for the campaign models: a fraction, so it scales with the data.
+MODEL_MIN_DF = 0.01
+DIGITS = 9
+
+_WORDS_SQL = """lines AS (SELECT unnest(string_split_regex(text, '\\r\\n|\\n|\\r')) AS line FROM documents),
+words AS (
+  SELECT unnest(CASE WHEN line = '' THEN ['']
+                     WHEN rtrim(line, ' ') = '' THEN []::VARCHAR[]
+                     ELSE string_split(rtrim(line, ' '), ' ') END) AS word
+  FROM lines)"""
+
+_TOKENS = "list_filter(string_split_regex(lower(text), '\\W+'), lambda z: length(z) >= 1)"
+_FILTERED = f"list_filter({_TOKENS}, lambda w: NOT list_contains({sql_list_literal()}, w))"
+
+_TERMS_SQL = f"""toks AS (SELECT doc_id, unnest({_FILTERED}) AS term FROM documents),
+dfs AS (SELECT term, count(DISTINCT doc_id) AS df FROM toks GROUP BY term),
+vocab AS (SELECT term, df FROM dfs WHERE df >= {TEXT_MIN_DF}),
+ndocs AS (SELECT count(*) AS n FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term IN (SELECT term FROM vocab) GROUP BY doc_id, term)"""
+
+
+def documents(spark, sf_dir):
+    return table(spark, sf_dir, "documents")
+
+
+def filtered_tokens(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return FT.stop_words().transform(FT.tokenizer().transform(docs))
+
+
+def fitted_text(spark, sf_dir, with_idf=False):
+    toks = filtered_tokens(spark, sf_dir)
+    cv = FT.count_vectorizer(TEXT_MIN_DF).fit(toks)
+    vec = cv.transform(toks)
+    if not with_idf:
+        return cv, None, vec
+    idf_model = FT.idf().fit(vec)
+    return cv, idf_model, idf_model.transform(vec)
+
+
+@register("word_count", f"WITH {_WORDS_SQL} SELECT word, count(*) AS count FROM words GROUP BY word")
+def q_word_count(spark, sf_dir):
+    return T.word_count(T.lines(documents(spark, sf_dir), "text"))
+
+
+@register(
+    "word_count_top",
+    f"WITH {_WORDS_SQL} SELECT word, count(*) AS count FROM words GROUP BY word "
+    "ORDER BY count DESC, word ASC LIMIT 20",
+)
+def q_word_count_top(spark, sf_dir):
+    return T.top_words(q_word_count(spark, sf_dir), 20)
+
+
+@register(
+    "tokens",
+    f"SELECT doc_id, CAST(unnest(range(len(t))) AS INTEGER) AS pos, unnest(t) AS token "
+    f"FROM (SELECT doc_id, {_TOKENS} AS t FROM documents)",
+)
+def q_tokens(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return T.long_tokens(FT.tokenizer().transform(docs), "doc_id", "tokens")
+
+
+@register(
+    "tokens_no_stopwords",
+    f"SELECT doc_id, CAST(unnest(range(len(t))) AS INTEGER) AS pos, unnest(t) AS token "
+    f"FROM (SELECT doc_id, {_FILTERED} AS t FROM documents)",
+)
+def q_tokens_no_stopwords(spark, sf_dir):
+    return T.long_tokens(filtered_tokens(spark, sf_dir), "doc_id", "filtered")
+
+
+def _term_entries(spark, cv, vec, column):
+    """(doc_id, term, value) of a vector column; the vocabulary side is at
+    most ``vocabSize`` rows, so the planner broadcasts it when its measured
+    size is under the broadcast threshold and shuffles otherwise."""
+    entries = sparse_entries(vec, ["doc_id"], column)
+    vocab = FT.vocabulary_table(spark, cv)
+    return entries.join(vocab, entries["index"] == vocab["idx"]).select("doc_id", "term", "value")
+
+
+@register(
+    "count_vectors",
+    f"WITH {_TERMS_SQL} SELECT doc_id, term, CAST(tf AS DOUBLE) AS tf FROM tf",
+)
+def q_count_vectors(spark, sf_dir):
+    cv, _, vec = fitted_text(spark, sf_dir)
+    return _term_entries(spark, cv, vec, "vectorized").withColumnRenamed("value", "tf")
+
+
+@register("vocabulary", f"WITH {_TERMS_SQL} SELECT term, df FROM vocab")
+def q_vocabulary(spark, sf_dir):
+    cv, idf_model, _ = fitted_text(spark, sf_dir, with_idf=True)
+    return FT.vocabulary_table(spark, cv, idf_model).select("term", "df")
+
+
+@register(
+    "idf_weights",
+    f"WITH {_TERMS_SQL} SELECT term, round(ln((n + 1.0) / (df + 1.0)), {DIGITS}) AS idf FROM vocab, ndocs",
+)
+def q_idf_weights(spark, sf_dir):
+    cv, idf_model, _ = fitted_text(spark, sf_dir, with_idf=True)
+    return FT.idf_table(spark, cv, idf_model).select("term", F.round("idf", DIGITS).alias("idf"))
+
+
+@register(
+    "tfidf",
+    f"WITH {_TERMS_SQL} SELECT tf.doc_id, tf.term, round(tf.tf * ln((n + 1.0) / (vocab.df + 1.0)), {DIGITS}) AS weight "
+    "FROM tf JOIN vocab USING (term), ndocs",
+)
+def q_tfidf(spark, sf_dir):
+    cv, _, weighted = fitted_text(spark, sf_dir, with_idf=True)
+    out = _term_entries(spark, cv, weighted, "tfidf")
+    return out.select("doc_id", "term", F.round("value", DIGITS).alias("weight"))
+
+
+@register(
+    "string_index",
+    "WITH c AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang), "
+    "r AS (SELECT lang, CAST(row_number() OVER (ORDER BY n DESC, lang ASC) - 1 AS DOUBLE) AS lang_index FROM c) "
+    "SELECT d.doc_id, d.lang, r.lang_index FROM documents d JOIN r USING (lang)",
+)
+def q_string_index(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "lang")
+    model = FT.indexer("lang", "lang_index").fit(docs)
+    return model.transform(docs)
+
+
+def _index_sql(col, name):
+    return (
+        f"{name} AS (SELECT {col}, row_number() OVER (ORDER BY count(*) DESC, {col} ASC) - 1 AS idx "
+        f"FROM prep WHERE {col} IS NOT NULL GROUP BY {col}), "
+        f"n_{name} AS (SELECT count(*) AS n FROM {name})"
+    )
+
+
+ASSEMBLED = ["days_campaign", "hours_prepa", "goal", "country_indexed", "currency_indexed"]
+
+
+@register(
+    "assemble_features",
+    sql.with_prep(
+        f", {_index_sql('country2', 'ci')}, {_index_sql('currency2', 'cu')}, "
+        "feat AS (SELECT p.project_id, [CAST(p.days_campaign AS DOUBLE), p.hours_prepa, CAST(p.goal AS DOUBLE), "
+        "CAST(coalesce(ci.idx, (SELECT n FROM n_ci)) AS DOUBLE), "
+        "CAST(coalesce(cu.idx, (SELECT n FROM n_cu)) AS DOUBLE)] AS v "
+        "FROM prep p LEFT JOIN ci ON p.country2 = ci.country2 LEFT JOIN cu ON p.currency2 = cu.currency2) "
+        "SELECT project_id, CAST(unnest(range(5)) AS INTEGER) AS pos, unnest(v) AS value FROM feat"
+    ),
+)
+def q_assemble_features(spark, sf_dir):
+    prep = prepared(spark, sf_dir)
+    stages = [
+        FT.indexer("country2", "country_indexed", "keep"),
+        FT.indexer("currency2", "currency_indexed", "keep"),
+        FT.assembler(ASSEMBLED, "features"),
+    ]
+    out = Pipeline(stages=stages).fit(prep).transform(prep)
+    return dense_entries(out, ["project_id"], "features")
+
+
+@register("features_roundtrip")
+def q_features_roundtrip(spark, sf_dir):
+    """Stage-by-stage feature materialisation written as Parquet (vectors
+    included) and read back: one row per campaign with its vector size."""
+    prep = prepared(spark, sf_dir)
+    model = Pipeline(stages=FT.feature_stages(MODEL_MIN_DF, "keep")).fit(prep)
+    feats = model.transform(prep).select("project_id", "final_status", "tfidf", "features")
+    back = read_parquet(spark, write_parquet(feats, scratch_path(spark, "features")))
+    return back.select("project_id", vector_size("features").alias("n_features"))

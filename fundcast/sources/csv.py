@@ -37,19 +37,26 @@ def read_campaign_csv(
 
 
 def read_strict_csv(
-    spark: SparkSession, path: str, null_token: str = NULL_TOKEN, header: bool = True
+    spark: SparkSession,
+    path: str,
+    null_token: str = NULL_TOKEN,
+    header: bool = True,
+    schema: StructType | str | None = None,
 ) -> DataFrame:
     """All-string columns; rows whose cell count differs from the header are
     dropped (DROPMALFORMED). The reader only parses the columns a query needs,
     so a count over no columns would keep bad rows: callers that count must
-    select every column first (see ``fundcast.operators.profile.row_count``)."""
-    return (
+    select every column first (see ``fundcast.operators.profile.row_count``).
+    Without a header, ``schema`` fixes the expected number of cells."""
+    reader = (
         spark.read.option("header", str(header).lower())
         .option("mode", "DROPMALFORMED")
         .option("nullValue", null_token)
         .option("escape", '"')
-        .csv(path)
     )
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.csv(path)
 
 
 def read_plain_csv(spark: SparkSession, path: str) -> DataFrame:
