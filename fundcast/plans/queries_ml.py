@@ -1 +1,130 @@
-"""Registered queries."""
+"""Registered learning queries: split, classifiers, F1, confusion, search,
+save/load and the classifier comparison.
+
+Campaign models use a key-hash split (repeatable whatever the partitioning)
+and a fractional minDF so the vocabulary threshold scales with the data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from fundcast.catalog import register
+from fundcast.operators import evaluate as E
+from fundcast.operators import learn as L
+from fundcast.plans import sql
+from fundcast.plans import train as TR
+from fundcast.plans.queries_campaign import prepared
+from fundcast.plans.queries_text import MODEL_MIN_DF
+from fundcast.session import scratch_path
+from fundcast.sinks import save_model
+from fundcast.sources import table
+
+
+def _split(spark, sf_dir):
+    toks = TR.tokenised(prepared(spark, sf_dir))
+    return L.key_split(toks, "project_id", 0.9)
+
+
+@register("random_split_counts", sql.with_prep("SELECT count(*) AS n_rows FROM prep"))
+def q_random_split_counts(spark, sf_dir):
+    train, test = L.random_split(prepared(spark, sf_dir), (0.9, 0.1), L.SEED)
+    return train.unionAll(test).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+_LABELS_F1 = f"""WITH pairs AS (SELECT CAST(quality AS DOUBLE) AS l, CAST(toxic AS DOUBLE) AS p FROM labels),
+counts AS (SELECT l, p, count(*) AS n FROM pairs GROUP BY l, p),
+per_class AS (SELECT l, sum(n) AS actual, sum(CASE WHEN l = p THEN n ELSE 0 END) AS tp FROM counts GROUP BY l),
+predicted AS (SELECT p AS l, sum(n) AS predicted FROM counts GROUP BY p),
+stats AS (
+  SELECT s.actual, CASE WHEN pr.predicted > 0 THEN s.tp / pr.predicted ELSE 0.0 END AS prec,
+         s.tp / s.actual AS rec
+  FROM per_class s LEFT JOIN predicted pr ON s.l = pr.l)
+SELECT round(sum(CASE WHEN prec + rec = 0 THEN 0.0 ELSE 2.0 * prec * rec / (prec + rec) END * actual) / sum(actual), 9) AS f1
+FROM stats"""
+
+
+@register("weighted_f1", _LABELS_F1)
+def q_weighted_f1(spark, sf_dir):
+    return E.weighted_f1(table(spark, sf_dir, "labels"), "quality", "toxic")
+
+
+@register(
+    "confusion_matrix",
+    "SELECT quality AS label, toxic AS prediction, count(*) AS count FROM labels GROUP BY quality, toxic",
+)
+def q_confusion_matrix(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").select(F.col("quality").alias("label"), F.col("toxic").alias("prediction"))
+    return E.confusion(labels, "label", "prediction")
+
+
+def _scores(spark, sf_dir, name):
+    train, test = _split(spark, sf_dir)
+    clf = L.logistic_regression(max_iter=100) if name == "logreg" else L.CLASSIFIERS[name]()
+    _, scored = TR.fit_and_score(train, test, clf, MODEL_MIN_DF)
+    return TR.scores_table(scored)
+
+
+@register("logreg_scores")
+def q_logreg_scores(spark, sf_dir):
+    return _scores(spark, sf_dir, "logreg")
+
+
+@register("gbt_scores")
+def q_gbt_scores(spark, sf_dir):
+    return _scores(spark, sf_dir, "gbt")
+
+
+@register("forest_scores")
+def q_forest_scores(spark, sf_dir):
+    return _scores(spark, sf_dir, "forest")
+
+
+@register("tree_scores")
+def q_tree_scores(spark, sf_dir):
+    return _scores(spark, sf_dir, "tree")
+
+
+SEARCH_REG_PARAMS = (1e-7, 1e-1)
+
+
+@register("grid_search_metrics")
+def q_grid_search_metrics(spark, sf_dir):
+    """Validation F1 of each point of a 2 × 1 grid (regParam × minDF)."""
+    train, _ = _split(spark, sf_dir)
+
+    def grid(lr, cv):
+        return L.param_grid(lr, cv, SEARCH_REG_PARAMS, (MODEL_MIN_DF,))
+
+    model = TR.tune(train, L.logistic_regression(max_iter=20), grid)
+    return L.grid_table(spark, model.getEstimatorParamMaps(), model.validationMetrics)
+
+
+@register("model_save_load", sql.with_prep("SELECT count(*) AS n_rows, 0 AS n_diff FROM prep"))
+def q_model_save_load(spark, sf_dir):
+    """Fit, save, load and rescore every prepared campaign; count rows whose
+    prediction or probability changed after the reload."""
+    toks = TR.tokenised(prepared(spark, sf_dir))
+    model = TR.model_pipeline(L.logistic_regression(max_iter=50), MODEL_MIN_DF).fit(toks)
+    loaded = TR.load_pipeline(save_model(model, scratch_path(spark, "model")))
+    a = TR.scores_table(model.transform(toks)).alias("a")
+    b = TR.scores_table(loaded.transform(toks)).alias("b")
+    same = (F.col("a.predictions") == F.col("b.predictions")) & (F.col("a.p1") == F.col("b.p1"))
+    joined = a.join(b, F.col("a.project_id") == F.col("b.project_id"), "full_outer")
+    return joined.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(~F.coalesce(same, F.lit(False)), 1)).cast("int").alias("n_diff"),
+    )
+
+
+@register("classifier_comparison")
+def q_classifier_comparison(spark, sf_dir):
+    """One row per classifier: held-out weighted F1 on the same split."""
+    train, test = _split(spark, sf_dir)
+    out = None
+    for name in ("logreg", "gbt", "forest", "tree"):
+        clf = L.logistic_regression(max_iter=100) if name == "logreg" else L.CLASSIFIERS[name]()
+        _, scored = TR.fit_and_score(train, test, clf, MODEL_MIN_DF)
+        row = E.weighted_f1(scored).select(F.lit(name).alias("model"), "f1")
+        out = row if out is None else out.unionByName(row)
+    return out
