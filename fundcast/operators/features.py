@@ -64,6 +64,15 @@ def indexer(input_col: str, output_col: str, handle_invalid: str = "error") -> S
     )
 
 
+def indexers(pairs, handle_invalid: str = "error") -> StringIndexer:
+    """Several columns indexed by one estimator: each column keeps its own
+    labels, but all label counts come from a single aggregation pass."""
+    return StringIndexer(
+        inputCols=[i for i, _ in pairs], outputCols=[o for _, o in pairs],
+        handleInvalid=handle_invalid, stringOrderType="frequencyDesc",
+    )
+
+
 def assembler(inputs=None, output_col: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(inputs or FEATURE_INPUTS), outputCol=output_col)
 
@@ -74,12 +83,11 @@ def text_stages():
 
 
 def fitted_stages(min_df: float = 1.0, handle_invalid: str = "error"):
-    """Stages that learn from data: counts, IDF, two indexers, assembler."""
+    """Stages that learn from data: counts, IDF, the category indexer, assembler."""
     return [
         count_vectorizer(min_df),
         idf(),
-        indexer("country2", "country_indexed", handle_invalid),
-        indexer("currency2", "currency_indexed", handle_invalid),
+        indexers([("country2", "country_indexed"), ("currency2", "currency_indexed")], handle_invalid),
         assembler(),
     ]
 

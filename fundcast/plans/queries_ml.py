@@ -121,10 +121,12 @@ def q_model_save_load(spark, sf_dir):
 def q_classifier_comparison(spark, sf_dir):
     """One row per classifier: held-out weighted F1 on the same split."""
     train, test = _split(spark, sf_dir)
+    clfs = {
+        name: L.logistic_regression(max_iter=100) if name == "logreg" else L.CLASSIFIERS[name]()
+        for name in ("logreg", "gbt", "forest", "tree")
+    }
     out = None
-    for name in ("logreg", "gbt", "forest", "tree"):
-        clf = L.logistic_regression(max_iter=100) if name == "logreg" else L.CLASSIFIERS[name]()
-        _, scored = TR.fit_and_score(train, test, clf, MODEL_MIN_DF)
+    for name, scored in TR.compare_classifiers(train, test, clfs, MODEL_MIN_DF).items():
         row = E.weighted_f1(scored).select(F.lit(name).alias("model"), "f1")
         out = row if out is None else out.unionByName(row)
     return out

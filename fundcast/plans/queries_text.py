@@ -13,9 +13,9 @@ from fundcast.operators import text as T
 from fundcast.operators.vectors import dense_entries, sparse_entries, vector_size
 from fundcast.plans import sql
 from fundcast.plans.queries_campaign import prepared
-from fundcast.session import scratch_path
+from fundcast.session import cut_lineage, scratch_path
 from fundcast.sinks import write_parquet
-from fundcast.sources import read_parquet, table
+from fundcast.sources import balance, read_parquet, table
 
 # Vocabulary threshold of the text tables (the original grid's lowest minDF).
 TEXT_MIN_DF = 55
@@ -44,13 +44,19 @@ def documents(spark, sf_dir):
     return table(spark, sf_dir, "documents")
 
 
+def document_text(spark, sf_dir):
+    return balance(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+
+
 def filtered_tokens(spark, sf_dir):
-    docs = documents(spark, sf_dir).select("doc_id", "text")
+    docs = document_text(spark, sf_dir)
     return FT.stop_words().transform(FT.tokenizer().transform(docs))
 
 
 def fitted_text(spark, sf_dir, with_idf=False):
-    toks = filtered_tokens(spark, sf_dir)
+    """Fit counts (and IDF) on the filtered tokens, tokenised once and
+    materialised because fit and transform each read them."""
+    toks = cut_lineage(filtered_tokens(spark, sf_dir).select("doc_id", "filtered"), "tokens")
     cv = FT.count_vectorizer(TEXT_MIN_DF).fit(toks)
     vec = cv.transform(toks)
     if not with_idf:
@@ -61,7 +67,7 @@ def fitted_text(spark, sf_dir, with_idf=False):
 
 @register("word_count", f"WITH {_WORDS_SQL} SELECT word, count(*) AS count FROM words GROUP BY word")
 def q_word_count(spark, sf_dir):
-    return T.word_count(T.lines(documents(spark, sf_dir), "text"))
+    return T.word_count(T.lines(document_text(spark, sf_dir), "text"))
 
 
 @register(
@@ -79,7 +85,7 @@ def q_word_count_top(spark, sf_dir):
     f"FROM (SELECT doc_id, {_TOKENS} AS t FROM documents)",
 )
 def q_tokens(spark, sf_dir):
-    docs = documents(spark, sf_dir).select("doc_id", "text")
+    docs = document_text(spark, sf_dir)
     return T.long_tokens(FT.tokenizer().transform(docs), "doc_id", "tokens")
 
 
@@ -173,8 +179,7 @@ ASSEMBLED = ["days_campaign", "hours_prepa", "goal", "country_indexed", "currenc
 def q_assemble_features(spark, sf_dir):
     prep = prepared(spark, sf_dir)
     stages = [
-        FT.indexer("country2", "country_indexed", "keep"),
-        FT.indexer("currency2", "currency_indexed", "keep"),
+        FT.indexers([("country2", "country_indexed"), ("currency2", "currency_indexed")], "keep"),
         FT.assembler(ASSEMBLED, "features"),
     ]
     out = Pipeline(stages=stages).fit(prep).transform(prep)

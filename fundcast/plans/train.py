@@ -27,7 +27,7 @@ from fundcast.session import cut_lineage
 def tokenised(prep: DataFrame, checkpoint: bool = True) -> DataFrame:
     """Prepared campaigns with ``tokens`` and ``filtered`` added (once)."""
     out = Pipeline(stages=FT.text_stages()).fit(prep).transform(prep)
-    return cut_lineage(out) if checkpoint else out
+    return cut_lineage(out, "tokenised") if checkpoint else out
 
 
 def model_pipeline(classifier, min_df: float, handle_invalid: str = "keep") -> Pipeline:
@@ -39,6 +39,15 @@ def fit_and_score(train: DataFrame, test: DataFrame, classifier, min_df: float,
     return model, model.transform(test)
 
 
+def compare_classifiers(train: DataFrame, test: DataFrame, classifiers: dict, min_df: float, handle_invalid: str = "keep"):
+    """Fit the shared feature stages once, then every classifier on the same
+    materialised features; returns {name: scored test frame}."""
+    feats = Pipeline(stages=FT.fitted_stages(min_df, handle_invalid)).fit(train)
+    train_f = cut_lineage(feats.transform(train).select(L.LABEL, "features"), "train-features")
+    test_f = feats.transform(test)
+    return {name: clf.fit(train_f).transform(test_f) for name, clf in classifiers.items()}
+
+
 def scores_table(scored: DataFrame, key: str = "project_id", digits: int = 6) -> DataFrame:
     """(key, label, prediction, p1, raw0, raw1): class-1 probability and raw
     scores as plain doubles."""

@@ -49,8 +49,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/fundcast-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut_lineage(df):
-    """Materialise ``df`` in the shared checkpoint folder and return the
-    reloaded frame; later failures recompute from here, not from the sources."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, name: str = "stage"):
+    """Write ``df`` as Parquet below the shared checkpoint folder and return
+    the reloaded frame.
+
+    Frames read by several passes (fit, then transform) are computed once;
+    a lost executor afterwards costs a re-read of this table, not a
+    recomputation from the sources. Parquet keeps it columnar and compressed
+    (vector columns included).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

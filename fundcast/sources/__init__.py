@@ -2,7 +2,7 @@
 
 from fundcast.sources.csv import read_campaign_csv, read_plain_csv, read_strict_csv
 from fundcast.sources.files import read_lines, read_parquet
-from fundcast.sources.tables import table
+from fundcast.sources.tables import balance, table
 
 __all__ = [
     "read_campaign_csv",
@@ -11,4 +11,5 @@ __all__ = [
     "read_lines",
     "read_parquet",
     "table",
+    "balance",
 ]
