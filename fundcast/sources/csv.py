@@ -44,10 +44,17 @@ def read_strict_csv(
     schema: StructType | str | None = None,
 ) -> DataFrame:
     """All-string columns; rows whose cell count differs from the header are
-    dropped (DROPMALFORMED). The reader only parses the columns a query needs,
-    so a count over no columns would keep bad rows: callers that count must
-    select every column first (see ``fundcast.operators.profile.row_count``).
-    Without a header, ``schema`` fixes the expected number of cells."""
+    dropped (DROPMALFORMED). Without a header, ``schema`` fixes the expected
+    number of cells.
+
+    By default the CSV reader parses only the columns a query uses, so which
+    rows count as malformed would depend on the query (a bare ``count()``
+    kept every row). This reader turns that pruning off for the session
+    (``spark.sql.csv.parser.columnPruning.enabled``, read when a scan is
+    planned), so every query sees the same rows; other CSV scans in the
+    session then parse whole lines too.
+    """
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     reader = (
         spark.read.option("header", str(header).lower())
         .option("mode", "DROPMALFORMED")
