@@ -96,7 +96,7 @@ def q_grid_search_metrics(spark, sf_dir):
     def grid(lr, cv):
         return L.param_grid(lr, cv, SEARCH_REG_PARAMS, (MODEL_MIN_DF,))
 
-    model = TR.tune(train, L.logistic_regression(max_iter=20), grid)
+    model = TR.tune(train, L.logistic_regression(max_iter=20), grid, parallelism=2)
     return L.grid_table(spark, model.getEstimatorParamMaps(), model.validationMetrics)
 
 
@@ -130,3 +130,15 @@ def q_classifier_comparison(spark, sf_dir):
         row = E.weighted_f1(scored).select(F.lit(name).alias("model"), "f1")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+@register("best_model_params")
+def q_best_model_params(spark, sf_dir):
+    """Parameters of every stage of the best model of a small search."""
+    train, _ = _split(spark, sf_dir)
+
+    def grid(lr, cv):
+        return L.param_grid(lr, cv, SEARCH_REG_PARAMS, (MODEL_MIN_DF,))
+
+    model = TR.tune(train, L.logistic_regression(max_iter=20), grid, parallelism=2)
+    return L.explain_params(spark, model.bestModel)

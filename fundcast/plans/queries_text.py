@@ -12,6 +12,7 @@ from fundcast.operators import features as FT
 from fundcast.operators import text as T
 from fundcast.operators.vectors import dense_entries, sparse_entries, vector_size
 from fundcast.plans import sql
+from fundcast.plans.featurise import featurise, fit_text_pipeline
 from fundcast.plans.queries_campaign import prepared
 from fundcast.session import cut_lineage, scratch_path
 from fundcast.sinks import write_parquet
@@ -54,15 +55,14 @@ def filtered_tokens(spark, sf_dir):
 
 
 def fitted_text(spark, sf_dir, with_idf=False):
-    """Fit counts (and IDF) on the filtered tokens, tokenised once and
-    materialised because fit and transform each read them."""
-    toks = cut_lineage(filtered_tokens(spark, sf_dir).select("doc_id", "filtered"), "tokens")
-    cv = FT.count_vectorizer(TEXT_MIN_DF).fit(toks)
-    vec = cv.transform(toks)
+    """Counts (and IDF) fitted stage by stage on the filtered tokens, which
+    are tokenised once and materialised because fit and transform each read
+    them."""
+    docs = document_text(spark, sf_dir)
+    frames, models = featurise(docs, TEXT_MIN_DF, upto="tfidf" if with_idf else "vectorized")
     if not with_idf:
-        return cv, None, vec
-    idf_model = FT.idf().fit(vec)
-    return cv, idf_model, idf_model.transform(vec)
+        return models["count_vectorizer"], None, frames["vectorized"]
+    return models["count_vectorizer"], models["idf"], frames["tfidf"]
 
 
 @register("word_count", f"WITH {_WORDS_SQL} SELECT word, count(*) AS count FROM words GROUP BY word")
@@ -137,8 +137,11 @@ def q_idf_weights(spark, sf_dir):
     "FROM tf JOIN vocab USING (term), ndocs",
 )
 def q_tfidf(spark, sf_dir):
-    cv, _, weighted = fitted_text(spark, sf_dir, with_idf=True)
-    out = _term_entries(spark, cv, weighted, "tfidf")
+    """Through the 4-stage text pipeline (tokenizer, stop words, counts, IDF)."""
+    docs = document_text(spark, sf_dir)
+    model = fit_text_pipeline(docs, TEXT_MIN_DF)
+    weighted = model.transform(docs)
+    out = _term_entries(spark, model.stages[2], weighted, "tfidf")
     return out.select("doc_id", "term", F.round("value", DIGITS).alias("weight"))
 
 

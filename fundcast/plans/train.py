@@ -94,3 +94,44 @@ def load_tuned(path: str) -> TrainValidationSplitModel:
 
 def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def tuned_logreg(
+    prep: DataFrame,
+    model_path: str | None = None,
+    reg_params=L.REG_PARAMS,
+    min_dfs=L.MIN_DFS,
+    split=(0.9, 0.1),
+    seed: int = L.SEED,
+    max_iter: int = 300,
+    parallelism: int = 1,
+    key: str | None = None,
+) -> dict:
+    """The tuned logistic-regression job: split, search regParam × minDF on
+    the training side, score the held-out side, F1 and confusion matrix,
+    optionally save. ``key`` switches to the repeatable key-hash split."""
+    from fundcast.operators import evaluate as E
+    from fundcast.sinks import save_model
+
+    toks = tokenised(prep)
+    if key is None:
+        train, test = L.random_split(toks, split, seed)
+    else:
+        train, test = L.key_split(toks, key, split[0], seed)
+
+    def grid(lr, cv):
+        return L.param_grid(lr, cv, reg_params, min_dfs)
+
+    model = tune(train, L.logistic_regression(max_iter=max_iter), grid, seed=seed, parallelism=parallelism)
+    scored = model.transform(test)
+    if model_path is not None:
+        save_model(model, model_path)
+    spark = prep.sparkSession
+    return {
+        "model": model,
+        "scored": scored,
+        "f1": E.weighted_f1(scored),
+        "confusion": E.confusion(scored),
+        "metrics": L.grid_table(spark, model.getEstimatorParamMaps(), model.validationMetrics),
+        "params": L.explain_params(spark, model.bestModel),
+    }
