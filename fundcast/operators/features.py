@@ -19,6 +19,8 @@ from pyspark.ml.feature import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from fundcast.operators.sizing import broadcast_if_within
+
 # Fixed values of the original feature stages.
 TOKEN_PATTERN = r"\W+"
 MAX_VOCAB = 1 << 18  # 262144
@@ -96,13 +98,21 @@ def feature_stages(min_df: float = 1.0, handle_invalid: str = "error"):
     return text_stages() + fitted_stages(min_df, handle_invalid)
 
 
+def vocabulary_bytes(cv_model) -> int:
+    """Approximate in-memory size of the (idx, term) table of a vocabulary."""
+    return sum(len(t.encode("utf-8")) + 32 for t in cv_model.vocabulary)
+
+
 def vocabulary_table(spark: SparkSession, cv_model, idf_model=None) -> DataFrame:
     """(idx, term[, df]) of a fitted vocabulary; ``idx`` orders terms by
-    corpus frequency. ``term_at`` answers single lookups."""
+    corpus frequency. ``term_at`` answers single lookups. The table has at
+    most ``vocabSize`` rows and is marked for broadcast when
+    ``vocabulary_bytes`` is within the session's broadcast threshold."""
     vocab = cv_model.vocabulary
     if idf_model is None:
         schema = StructType([StructField("idx", LongType()), StructField("term", StringType())])
-        return spark.createDataFrame(list(enumerate(vocab)), schema)
+        table = spark.createDataFrame(list(enumerate(vocab)), schema)
+        return broadcast_if_within(table, vocabulary_bytes(cv_model))
     dfs = idf_model.docFreq
     schema = StructType(
         [StructField("idx", LongType()), StructField("term", StringType()), StructField("df", LongType())]

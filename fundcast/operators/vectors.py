@@ -18,14 +18,15 @@ _VECTOR_JSON = "struct<v:struct<type:tinyint,size:int,indices:array<int>,values:
 def sparse_entries(df: DataFrame, keys: list[str], vector_col: str) -> DataFrame:
     """(keys…, index, value) for the stored entries of each vector: the
     non-zeros of a sparse vector, every slot of a dense one."""
-    v = F.from_json(F.to_json(F.struct(F.col(vector_col).alias("v"))), _VECTOR_JSON)["v"]
+    parsed = df.select(*keys, _parsed(vector_col).alias("_v"))
+    v = F.col("_v")
     entries = F.when(
         v["type"] == 0,
         F.arrays_zip(v["indices"].alias("index"), v["values"].alias("value")),
     ).otherwise(
         F.transform(v["values"], lambda x, i: F.struct(i.alias("index"), x.alias("value")))
     )
-    return df.select(*keys, F.inline(entries))
+    return parsed.select(*keys, F.inline(entries))
 
 
 def dense_entries(df: DataFrame, keys: list[str], vector_col: str) -> DataFrame:
@@ -34,7 +35,12 @@ def dense_entries(df: DataFrame, keys: list[str], vector_col: str) -> DataFrame:
     return df.select(*keys, F.posexplode(vector_to_array(F.col(vector_col))).alias("pos", "value"))
 
 
+def _parsed(vector_col: str):
+    """The vector's (type, size, indices, values) as a struct column; parsed
+    once in a projection so that later expressions reuse it."""
+    return F.from_json(F.to_json(F.struct(F.col(vector_col).alias("v"))), _VECTOR_JSON)["v"]
+
+
 def vector_size(vector_col: str):
     """Size of each vector as a column (JVM-side)."""
-    v = F.from_json(F.to_json(F.struct(F.col(vector_col).alias("v"))), _VECTOR_JSON)["v"]
-    return v["size"]
+    return _parsed(vector_col)["size"]
