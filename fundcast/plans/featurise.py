@@ -18,16 +18,26 @@ from fundcast.sinks import write_parquet
 STAGE_ORDER = ("tokens", "filtered", "vectorized", "tfidf", "indexed", "features")
 
 
-def featurise(prep: DataFrame, min_df: float = 1.0, handle_invalid: str = "error", upto: str = "features"):
+def featurise(
+    prep: DataFrame,
+    min_df: float = 1.0,
+    handle_invalid: str = "error",
+    upto: str = "features",
+    keep: list[str] | None = None,
+):
     """Returns ``(frames, models)``: the frame after each stage up to
     ``upto`` and the fitted models (``count_vectorizer``, ``idf``,
-    ``indexer``)."""
+    ``indexer``). ``keep`` narrows the columns carried past the text stages
+    (and materialised); by default every column is kept."""
     if upto not in STAGE_ORDER:
         raise ValueError(f"upto must be one of {STAGE_ORDER}")
     frames: dict[str, DataFrame] = {}
     models = {}
     frames["tokens"] = FT.tokenizer().transform(prep)
-    frames["filtered"] = cut_lineage(FT.stop_words().transform(frames["tokens"]), "filtered")
+    filtered = FT.stop_words().transform(frames["tokens"])
+    if keep is not None:
+        filtered = filtered.select(*keep, "filtered")
+    frames["filtered"] = cut_lineage(filtered, "filtered")
     if upto in ("tokens", "filtered"):
         return frames, models
     models["count_vectorizer"] = FT.count_vectorizer(min_df).fit(frames["filtered"])

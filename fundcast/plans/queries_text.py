@@ -12,10 +12,9 @@ from fundcast.operators import features as FT
 from fundcast.operators import text as T
 from fundcast.operators.vectors import dense_entries, sparse_entries, vector_size
 from fundcast.plans import sql
-from fundcast.plans.featurise import featurise, fit_text_pipeline
+from fundcast.plans.featurise import featurise, fit_text_pipeline, materialise_features
 from fundcast.plans.queries_campaign import prepared
 from fundcast.session import cut_lineage, scratch_path
-from fundcast.sinks import write_parquet
 from fundcast.sources import balance, read_parquet, table
 
 # Vocabulary threshold of the text tables (the original grid's lowest minDF).
@@ -59,7 +58,7 @@ def fitted_text(spark, sf_dir, with_idf=False):
     are tokenised once and materialised because fit and transform each read
     them."""
     docs = document_text(spark, sf_dir)
-    frames, models = featurise(docs, TEXT_MIN_DF, upto="tfidf" if with_idf else "vectorized")
+    frames, models = featurise(docs, TEXT_MIN_DF, upto="tfidf" if with_idf else "vectorized", keep=["doc_id"])
     if not with_idf:
         return models["count_vectorizer"], None, frames["vectorized"]
     return models["count_vectorizer"], models["idf"], frames["tfidf"]
@@ -194,7 +193,5 @@ def q_features_roundtrip(spark, sf_dir):
     """Stage-by-stage feature materialisation written as Parquet (vectors
     included) and read back: one row per campaign with its vector size."""
     prep = prepared(spark, sf_dir)
-    model = Pipeline(stages=FT.feature_stages(MODEL_MIN_DF, "keep")).fit(prep)
-    feats = model.transform(prep).select("project_id", "final_status", "tfidf", "features")
-    back = read_parquet(spark, write_parquet(feats, scratch_path(spark, "features")))
-    return back.select("project_id", vector_size("features").alias("n_features"))
+    path = materialise_features(prep, scratch_path(spark, "features"), MODEL_MIN_DF, "keep")
+    return read_parquet(spark, path).select("project_id", vector_size("features").alias("n_features"))
