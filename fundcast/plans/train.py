@@ -39,13 +39,31 @@ def fit_and_score(train: DataFrame, test: DataFrame, classifier, min_df: float,
     return model, model.transform(test)
 
 
-def compare_classifiers(train: DataFrame, test: DataFrame, classifiers: dict, min_df: float, handle_invalid: str = "keep"):
+def compare_classifiers(
+    train: DataFrame,
+    test: DataFrame,
+    classifiers: dict,
+    min_df: float,
+    handle_invalid: str = "keep",
+    parallelism: int = 4,
+):
     """Fit the shared feature stages once, then every classifier on the same
-    materialised features; returns {name: scored test frame}."""
+    materialised features; returns {name: scored test frame}.
+
+    Up to ``parallelism`` classifiers are fitted at the same time (like
+    ``TrainValidationSplit``'s ``parallelism``): each fit is a sequence of
+    Spark jobs, and concurrent jobs share the executors instead of waiting
+    for one another.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     feats = Pipeline(stages=FT.fitted_stages(min_df, handle_invalid)).fit(train)
     train_f = cut_lineage(feats.transform(train).select(L.LABEL, "features"), "train-features")
     test_f = feats.transform(test)
-    return {name: clf.fit(train_f).transform(test_f) for name, clf in classifiers.items()}
+    names = list(classifiers)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(names)))) as pool:
+        models = list(pool.map(lambda n: classifiers[n].fit(train_f), names))
+    return {name: model.transform(test_f) for name, model in zip(names, models)}
 
 
 def scores_table(scored: DataFrame, key: str = "project_id", digits: int = 6) -> DataFrame:
