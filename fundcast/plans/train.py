@@ -24,9 +24,16 @@ from fundcast.operators.evaluate import f1_evaluator
 from fundcast.session import cut_lineage
 
 
-def tokenised(prep: DataFrame, checkpoint: bool = True) -> DataFrame:
-    """Prepared campaigns with ``tokens`` and ``filtered`` added (once)."""
+# What the fitted stages and the scoring read; everything else stays behind.
+MODEL_COLUMNS = ("project_id", "final_status", "filtered", "days_campaign", "hours_prepa", "goal", "country2", "currency2")
+
+
+def tokenised(prep: DataFrame, checkpoint: bool = True, columns=MODEL_COLUMNS) -> DataFrame:
+    """Prepared campaigns with ``filtered`` tokens added, run once and
+    materialised; ``columns=None`` keeps every column (text and tokens too)."""
     out = Pipeline(stages=FT.text_stages()).fit(prep).transform(prep)
+    if columns is not None:
+        out = out.select(*[c for c in columns if c in out.columns])
     return cut_lineage(out, "tokenised") if checkpoint else out
 
 
