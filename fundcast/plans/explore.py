@@ -36,6 +36,9 @@ def explore(raw: DataFrame, null_token_value: str | None = None) -> dict[str, Da
         "preview": profile.preview(raw, 20),
         "cast_schema": profile.schema_report(cast),
         "class_balance": profile.frequency(cast, "final_status"),
+        "frequencies": profile.frequencies(
+            cast, ["disable_communication", "country", "currency", "state_changed_at", "backers_count"]
+        ),
         "describe": profile.describe_numeric(cast, ["goal", "backers_count", "final_status"]),
         "disable_communication": profile.top_k(cast, ["disable_communication"], 100),
         "country": profile.top_k(cast, ["country"], 100),

@@ -204,3 +204,20 @@ def q_text_concat_lower(spark, sf_dir):
     return P.add_text(P.lower_text(cast_raw(spark, sf_dir))).select(
         "project_id", "name", "desc", "keywords", "text"
     )
+
+
+REPORT_KEYS = ["final_status", "disable_communication", "country", "currency", "state_changed_at", "backers_count"]
+
+
+@register(
+    "freq_report",
+    sql.with_cast(
+        " UNION ALL ".join(
+            f"SELECT '{k}' AS \"column\", CAST({k} AS VARCHAR) AS value, count(*) AS count FROM cast_raw GROUP BY {k}"
+            for k in REPORT_KEYS
+        )
+    ),
+)
+def q_freq_report(spark, sf_dir):
+    """The exploration job's one-key frequency tables, all from one scan."""
+    return profile.frequencies(cast_raw(spark, sf_dir), REPORT_KEYS)

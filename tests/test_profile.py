@@ -36,3 +36,16 @@ def test_preview_and_distinct(spark):
     df = spark.range(10).withColumn("k", F.col("id") % 3)
     assert [r["id"] for r in profile.preview(df, 3, [F.desc("id")]).collect()] == [9, 8, 7]
     assert sorted(r[0] for r in profile.distinct_values(df, "k").collect()) == [0, 1, 2]
+
+
+def test_frequencies_one_pass_equals_per_key(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 1), ("a", None), (None, 2)], "k string, n int")
+    both = {(r["column"], r["value"]): r["count"] for r in profile.frequencies(df, ["k", "n"]).collect()}
+    per_key = {}
+    for k in ("k", "n"):
+        for r in profile.frequency(df, k).collect():
+            per_key[(k, None if r[k] is None else str(r[k]))] = r["count"]
+    assert both == per_key
+    assert both[("k", None)] == 1 and both[("n", "1")] == 2
+    plan = profile.frequencies(df, ["k", "n"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Expand" in plan
