@@ -188,7 +188,19 @@ def q_assemble_features(spark, sf_dir):
     return dense_entries(out, ["project_id"], "features")
 
 
-@register("features_roundtrip")
+_PREP_TOKENS = _FILTERED.replace("lower(text)", "lower(p.text)")
+
+
+@register(
+    "features_roundtrip",
+    sql.with_prep(
+        f", ptoks AS (SELECT p.project_id, unnest({_PREP_TOKENS}) AS term FROM prep p), "
+        "pdfs AS (SELECT term, count(DISTINCT project_id) AS df FROM ptoks GROUP BY term), "
+        "nprep AS (SELECT count(*) AS n FROM prep), "
+        f"vsize AS (SELECT count(*) AS v FROM pdfs, nprep WHERE df >= {MODEL_MIN_DF} * n) "
+        f"SELECT project_id, CAST(v + {len(FT.FEATURE_INPUTS) - 1} AS INTEGER) AS n_features FROM prep, vsize"
+    ),
+)
 def q_features_roundtrip(spark, sf_dir):
     """Stage-by-stage feature materialisation written as Parquet (vectors
     included) and read back: one row per campaign with its vector size."""
