@@ -69,3 +69,12 @@ def test_balance_only_when_under_partitioned(spark):
     few = spark.range(0, 100, 1, 1)
     spread = balance(few, "id", 8)
     assert spread.rdd.getNumPartitions() == 8
+
+
+def test_weighted_f1_has_no_join(spark):
+    from fundcast.operators.evaluate import weighted_f1
+
+    df = spark.createDataFrame([(0, 0.0), (1, 1.0), (1, 0.0)], "final_status int, predictions double")
+    p = plan(weighted_f1(df))
+    assert "Join" not in p
+    assert p.count("Exchange") <= 2
