@@ -69,9 +69,19 @@ def grid_table(spark: SparkSession, grid, metrics=None) -> DataFrame:
     return spark.createDataFrame(rows, "point INT, regParam DOUBLE, minDF DOUBLE, f1 DOUBLE")
 
 
-def random_split(df: DataFrame, weights=(0.9, 0.1), seed: int = SEED):
-    """Bernoulli split by Spark's sampler. Depends on the input partitioning:
-    the same seed over a differently partitioned input gives other rows."""
+def random_split(df: DataFrame, weights=(0.9, 0.1), seed: int = SEED, materialise: bool = True):
+    """Bernoulli split by Spark's sampler.
+
+    Each part re-reads the input, and the sampler's answer depends on the
+    input's partitioning and row order. With ``materialise`` the input is
+    written once as Parquet (shared checkpoint folder) and both parts read
+    that table: the upstream work is not repeated per part, and a part
+    recomputed after a lost executor sees the same rows in the same order.
+    """
+    if materialise:
+        from fundcast.session import cut_lineage
+
+        df = cut_lineage(df, "split-input")
     return df.randomSplit(list(weights), seed=seed)
 
 
