@@ -128,3 +128,16 @@ def prepare(raw: DataFrame, null_token_value: str | None = "false") -> DataFrame
     df = df.filter(F.col("goal") > 0)
     df = fill_missing(df)
     return keep_labels(df)
+
+
+def prepare_file(spark, csv_path: str, out_path: str, schema=None):
+    """Raw campaign CSV (header, null token ``false``) → prepared Parquet.
+
+    The reader applies the null token, so ``prepare`` does not apply it again;
+    the whole job is one narrow scan → project → filter → write plan.
+    Returns the path written.
+    """
+    from fundcast.sinks import write_parquet
+    from fundcast.sources import read_campaign_csv
+
+    return write_parquet(prepare(read_campaign_csv(spark, csv_path, schema=schema), None), out_path)

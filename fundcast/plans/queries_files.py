@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fundcast.catalog import register
 from fundcast.fixtures import campaign_table
 from fundcast.plans import sql
+from fundcast.plans.prepare import prepare_file
 from fundcast.plans.queries_campaign import prepared
 from fundcast.plans.quote_repair import repair_csv_file
 from fundcast.session import scratch_path
@@ -82,3 +83,16 @@ def q_csv_quote_repair(spark, sf_dir):
 def q_parquet_roundtrip(spark, sf_dir):
     path = write_parquet(prepared(spark, sf_dir), scratch_path(spark, "prepared"))
     return read_parquet(spark, path)
+
+
+@register(
+    "prepare_csv_to_parquet",
+    sql.with_prep(
+        "SELECT CAST(project_id AS INTEGER) AS project_id, name, \"desc\", goal, keywords, final_status, "
+        "country2, currency2, deadline2, created_at2, launched_at2, days_campaign, hours_prepa, text FROM prep"
+    ),
+)
+def q_prepare_csv_to_parquet(spark, sf_dir):
+    """The preparation job end to end: campaign CSV → prepared Parquet."""
+    csv_path = write_csv(campaign_table(spark, sf_dir), scratch_path(spark, "campaign-csv"))
+    return read_parquet(spark, prepare_file(spark, csv_path, scratch_path(spark, "prepared-from-csv")))
