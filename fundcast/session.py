@@ -44,9 +44,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or configured).rstrip("/")
 
 
+_CREATED: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/fundcast-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path below the shared checkpoint folder, remembered
+    for ``release_scratch``."""
+    path = f"{checkpoint_dir(spark)}/fundcast-{name}-{uuid.uuid4().hex[:12]}"
+    _CREATED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """Scratch paths handed out in this application so far."""
+    return list(_CREATED.get(spark.sparkContext.applicationId, []))
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch paths this application created (lineage cuts,
+    intermediate tables, saved test models) through the Hadoop FileSystem
+    API, so it works on any shared file system. Call it only when no
+    DataFrame built on them is used any more. Returns how many existed."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    for p in _CREATED.pop(spark.sparkContext.applicationId, []):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            fs.delete(path, True)
+            removed += 1
+    return removed
 
 
 def cut_lineage(df, name: str = "stage"):

@@ -62,3 +62,4 @@ def test_parquet_replace(spark, tmp_dir):
     write_parquet(spark.range(3), tmp_dir)
     write_parquet(spark.range(5), tmp_dir)
     assert read_parquet(spark, tmp_dir).count() == 5
+
