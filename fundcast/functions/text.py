@@ -12,8 +12,16 @@ LINE_BREAK = r"\r\n|\n|\r"
 
 
 def split_lines(c: Column | str) -> Column:
-    """Split a text cell into its lines; every line is kept, empty ones too."""
-    return F.split(as_col(c), LINE_BREAK, -1)
+    """Split a text cell into lines the way a line reader splits a file:
+    empty lines inside are kept, a final line break ends the last line
+    instead of starting an empty one, and an empty text has no lines."""
+    v = as_col(c)
+    parts = F.split(v, LINE_BREAK, -1)
+    return (
+        F.when(v == "", F.array().cast("array<string>"))
+        .when(v.rlike(f"({LINE_BREAK})\\z"), F.slice(parts, 1, F.size(parts) - 1))
+        .otherwise(parts)
+    )
 
 
 def split_on_space(c: Column | str) -> Column:

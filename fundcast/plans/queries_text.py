@@ -23,7 +23,12 @@ TEXT_MIN_DF = 55
 MODEL_MIN_DF = 0.01
 DIGITS = 9
 
-_WORDS_SQL = """lines AS (SELECT unnest(string_split_regex(text, '\\r\\n|\\n|\\r')) AS line FROM documents),
+_WORDS_SQL = """parts AS (SELECT text, string_split_regex(text, '\\r\\n|\\n|\\r') AS p FROM documents),
+lines AS (
+  SELECT unnest(CASE WHEN text = '' THEN []::VARCHAR[]
+                     WHEN regexp_matches(text, '(\\r\\n|\\n|\\r)\\z') THEN list_slice(p, 1, len(p) - 1)
+                     ELSE p END) AS line
+  FROM parts),
 words AS (
   SELECT unnest(CASE WHEN line = '' THEN ['']
                      WHEN rtrim(line, ' ') = '' THEN []::VARCHAR[]

@@ -61,9 +61,11 @@ def test_split_on_space_matches_java(spark, lines):
     assert [got[i] for i in range(len(lines))] == [java_split_space(s) for s in lines]
 
 
-def test_split_lines(spark):
-    df = spark.createDataFrame([("a\r\nb\nc\rd\n",)], "t string")
-    assert list(df.select(split_lines("t")).first()[0]) == ["a", "b", "c", "d", ""]
+def test_split_lines_like_a_line_reader(spark):
+    texts = ["a\r\nb\nc\rd\n", "a\n\nb", "", "x", "\n", "a\r\n", "a\n\u2028"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r[0]: list(r[1]) for r in df.select("i", split_lines("t")).collect()}
+    assert [got[i] for i in range(len(texts))] == [["a", "b", "c", "d"], ["a", "", "b"], [], ["x"], [""], ["a"], ["a", "\u2028"]]
 
 
 def test_hours_rounding_half_up_and_sign(spark):
