@@ -64,12 +64,15 @@ def compare_classifiers(
     """
     from concurrent.futures import ThreadPoolExecutor
 
+    from pyspark.util import inheritable_thread_target
+
     feats = Pipeline(stages=FT.fitted_stages(min_df, handle_invalid)).fit(train)
     train_f = cut_lineage(feats.transform(train).select(L.LABEL, "features"), "train-features")
     test_f = feats.transform(test)
     names = list(classifiers)
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(names)))) as pool:
-        models = list(pool.map(lambda n: classifiers[n].fit(train_f), names))
+        fit = inheritable_thread_target(lambda n: classifiers[n].fit(train_f))
+        models = list(pool.map(fit, names))
     return {name: model.transform(test_f) for name, model in zip(names, models)}
 
 

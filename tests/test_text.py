@@ -77,3 +77,39 @@ def test_string_indexer_null_modes(spark):
     assert len(skip) == 3
     with pytest.raises(Exception):
         FT.indexer("c", "i", "error").fit(df).transform(df).collect()
+
+
+def _python_word_count(texts):
+    """Model: split each text like a line reader, each line like
+    java.lang.String.split(" "), count the words."""
+    import re
+    from collections import Counter
+
+    counts = Counter()
+    for t in texts:
+        if t == "":
+            continue
+        lines = re.split(r"\r\n|\n|\r", t)
+        if re.search(r"(\r\n|\n|\r)\Z", t):
+            lines = lines[:-1]
+        for line in lines:
+            if line == "":
+                counts[""] += 1
+                continue
+            parts = line.split(" ")
+            while parts and parts[-1] == "":
+                parts.pop()
+            counts.update(parts)
+    return dict(counts)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet="ab \n\r", max_size=14), min_size=1, max_size=6))
+def test_word_count_matches_python_model(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r["word"]: r["count"] for r in T.word_count(T.lines(df, "text")).collect()}
+    assert got == _python_word_count(texts)
