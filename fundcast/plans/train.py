@@ -71,7 +71,7 @@ def compare_classifiers(
     test_f = feats.transform(test)
     names = list(classifiers)
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(names)))) as pool:
-        fit = inheritable_thread_target(lambda n: classifiers[n].fit(train_f))
+        fit = inheritable_thread_target(train.sparkSession)(lambda n: classifiers[n].fit(train_f))
         models = list(pool.map(fit, names))
     return {name: model.transform(test_f) for name, model in zip(names, models)}
 
