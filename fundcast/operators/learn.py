@@ -54,9 +54,22 @@ CLASSIFIERS = {
 }
 
 
-def param_grid(lr: LogisticRegression, cv, reg_params=REG_PARAMS, min_dfs=MIN_DFS):
-    """Cross product regParam × minDF (12 points with the original values)."""
-    return ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).addGrid(cv.minDF, list(min_dfs)).build()
+ELASTIC_NETS = (0.0, 0.3, 0.5, 0.8, 1.0)
+
+
+def param_grid(lr: LogisticRegression, cv, reg_params=REG_PARAMS, min_dfs=MIN_DFS, elastic_nets=None):
+    """Cross product of the given dimensions: regParam × minDF (12 points
+    with the original values); pass ``None`` to leave a dimension out (the
+    regParam-only and minDF-only variants) or ``elastic_nets`` to add the
+    elastic-net mixing dimension."""
+    builder = ParamGridBuilder()
+    if reg_params:
+        builder = builder.addGrid(lr.regParam, list(reg_params))
+    if min_dfs:
+        builder = builder.addGrid(cv.minDF, list(min_dfs))
+    if elastic_nets:
+        builder = builder.addGrid(lr.elasticNetParam, list(elastic_nets))
+    return builder.build()
 
 
 def grid_table(spark: SparkSession, grid, metrics=None) -> DataFrame:
@@ -65,8 +78,8 @@ def grid_table(spark: SparkSession, grid, metrics=None) -> DataFrame:
     for i, point in enumerate(grid):
         params = {p.name: v for p, v in point.items()}
         m = None if metrics is None else float(metrics[i])
-        rows.append((i, params.get("regParam"), params.get("minDF"), m))
-    return spark.createDataFrame(rows, "point INT, regParam DOUBLE, minDF DOUBLE, f1 DOUBLE")
+        rows.append((i, params.get("regParam"), params.get("minDF"), params.get("elasticNetParam"), m))
+    return spark.createDataFrame(rows, "point INT, regParam DOUBLE, minDF DOUBLE, elasticNetParam DOUBLE, f1 DOUBLE")
 
 
 def random_split(df: DataFrame, weights=(0.9, 0.1), seed: int = SEED, materialise: bool = True):

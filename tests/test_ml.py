@@ -79,6 +79,11 @@ def test_full_grid_has_twelve_points(spark):
     assert len(grid) == 12
     df = L.grid_table(spark, grid)
     assert df.select("regParam", "minDF").distinct().count() == 12
+    assert sorted(r["regParam"] for r in df.select("regParam").distinct().collect()) == [1e-7, 1e-5, 1e-3, 1e-1]
+    lr, cv = L.logistic_regression(), FT.count_vectorizer()
+    assert len(L.param_grid(lr, cv, (1e-7, 1e-5), None)) == 2
+    assert len(L.param_grid(lr, cv, None, (55.0, 75.0, 95.0))) == 3
+    assert len(L.param_grid(lr, cv, L.REG_PARAMS, L.MIN_DFS, L.ELASTIC_NETS)) == 60
 
 
 def test_classifiers_fit_on_small(spark):
