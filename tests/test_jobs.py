@@ -70,3 +70,20 @@ def test_prepare_stream_equals_batch(spark, tmp_dir):
     key = ["project_id", "goal", "days_campaign", "hours_prepa", "country2", "currency2", "text"]
     assert streamed.select(key).exceptAll(batch.select(key)).count() == 0
     assert streamed.count() == batch.count()
+
+
+def test_prepare_stream_resumes_from_checkpoint(spark, tmp_dir):
+    raw = campaign_table(spark, SF_SMALL)
+    first = raw.filter(F.col("project_id") < 100)
+    second = raw.filter(F.col("project_id") >= 100)
+    write_csv(first, tmp_dir + "/in/part1")
+    q = prepare_stream(spark, tmp_dir + "/in/*", tmp_dir + "/out", tmp_dir + "/ckpt")
+    q.awaitTermination(300)
+    n1 = read_parquet(spark, tmp_dir + "/out").count()
+    assert n1 == prepare(first).count()
+    write_csv(second, tmp_dir + "/in/part2")
+    q = prepare_stream(spark, tmp_dir + "/in/*", tmp_dir + "/out", tmp_dir + "/ckpt")
+    q.awaitTermination(300)
+    out = read_parquet(spark, tmp_dir + "/out")
+    assert out.count() == prepare(raw).count()
+    assert out.select("project_id").distinct().count() == out.count()
