@@ -78,3 +78,26 @@ def test_weighted_f1_has_no_join(spark):
     p = plan(weighted_f1(df))
     assert "Join" not in p
     assert p.count("Exchange") <= 2
+
+
+def test_vocabulary_join_falls_back_to_shuffle_when_over_limit(spark):
+    df = spark.createDataFrame(
+        [(1, ["a", "b", "a"]), (2, ["b", "c"]), (3, ["a"])], "doc_id int, filtered array<string>"
+    )
+    cv = FT.count_vectorizer(1).fit(df)
+    entries = sparse_entries(cv.transform(df), ["doc_id"], "vectorized")
+
+    def joined():
+        vocab = FT.vocabulary_table(spark, cv)
+        return entries.join(vocab, entries["index"] == vocab["idx"]).select("doc_id", "term", "value")
+
+    small = sorted(tuple(r) for r in joined().collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fallback = joined()
+        p = plan(fallback)
+        assert "SortMergeJoin" in p and "BroadcastExchange" not in p
+        assert sorted(tuple(r) for r in fallback.collect()) == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
