@@ -37,25 +37,26 @@ def q_csv_infer_null_token(spark, sf_dir):
     return read_campaign_csv(spark, path)
 
 
-# Fixture rule (fixed values): a document whose length is a multiple of 7
-# loses its last cell, one whose length is a multiple of 11 gains one; every
-# document becomes a line, the reader must drop exactly those rows.
-SHORT_EVERY, LONG_EVERY = 7, 11
-MALFORMED_SCHEMA = "doc_id STRING, lang STRING, source STRING"
+# Malformed CSV as a naive export makes it: every document becomes the line
+# ``doc_id,lang,<first sentence>`` with the sentence written unquoted (double
+# quotes stripped) and left out when empty. A sentence holding commas gives
+# the row extra cells, an empty one leaves it a cell short; DROPMALFORMED must
+# drop exactly those rows and keep the rest as they were written.
+MALFORMED_SCHEMA = "doc_id STRING, lang STRING, head STRING"
+FIRST_SENTENCE = r"^[^.!?\r\n]*"
 
 
 @register(
     "csv_drop_malformed",
-    f"SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source FROM documents "
-    f"WHERE NOT (n_chars % {SHORT_EVERY} = 0 OR n_chars % {LONG_EVERY} = 0)",
+    "WITH heads AS (SELECT doc_id, lang, "
+    "regexp_replace(regexp_extract(text, '^[^.!?\\r\\n]*', 0), '\"', '', 'g') AS head FROM documents) "
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, nullif(head, 'false') AS head FROM heads "
+    "WHERE head <> '' AND strpos(head, ',') = 0",
 )
 def q_csv_drop_malformed(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
-    line = (
-        F.when(F.col("n_chars") % SHORT_EVERY == 0, F.concat_ws(",", "doc_id", "lang"))
-        .when(F.col("n_chars") % LONG_EVERY == 0, F.concat_ws(",", "doc_id", "lang", "source", "lang"))
-        .otherwise(F.concat_ws(",", "doc_id", "lang", "source"))
-    )
+    head = F.regexp_replace(F.regexp_extract("text", FIRST_SENTENCE, 0), '"', "")
+    line = F.concat_ws(",", F.col("doc_id").cast("string"), F.col("lang"), F.nullif(head, F.lit("")))
     path = write_text(d.select(line.alias("value")), "value", scratch_path(spark, "malformed-csv"))
     return read_strict_csv(spark, path, header=False, schema=MALFORMED_SCHEMA)
 
