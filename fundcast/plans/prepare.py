@@ -72,7 +72,10 @@ def lower_text(df: DataFrame, columns=TEXT_COLUMNS) -> DataFrame:
 
 
 def durations(df: DataFrame) -> DataFrame:
-    """Readable dates, campaign length in days and preparation time in hours."""
+    """Readable dates, campaign length in days and preparation time in hours.
+    Pins the session time zone to UTC first: both depend on it, and it is
+    captured when the plan is built."""
+    use_utc(df.sparkSession)
     return df.withColumns(
             {
                 "deadline2": epoch_to_text("deadline"),

@@ -49,3 +49,19 @@ def test_matches_duckdb(spark, name):
     drows = [tuple(r[cols.index(c)] for c in sdf.columns) for r in res.fetchall()]
     assert _norm(sdf.collect()) == _norm(drows)
     assert not math.isnan(0.0)
+
+
+@pytest.mark.parametrize("name", ["durations", "fill_nulls"])
+def test_time_queries_do_not_depend_on_session_zone(spark, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        con = duckdb.connect()
+        for t in ("documents", "labels"):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        sdf = entry.queries()[name](spark, SF_SMALL)
+        res = con.execute(entry.oracle_sql()[name])
+        cols = [d[0] for d in res.description]
+        drows = [tuple(r[cols.index(c)] for c in sdf.columns) for r in res.fetchall()]
+        assert _norm(sdf.collect()) == _norm(drows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
