@@ -32,18 +32,33 @@ def logistic_regression(max_iter: int = 300, reg_param: float = 0.0, raw_col: st
     )
 
 
-def gradient_boosted_trees(max_iter: int = 10, seed: int = SEED) -> GBTClassifier:
-    return GBTClassifier(featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION, maxIter=max_iter, seed=seed)
+# For deep trees or long boosting runs on large data, pass these to the tree
+# learners: each instance's node id is cached instead of the trees being
+# shipped to the executors on every pass, and that state is checkpointed every
+# 10 iterations so lineage stays short. Neither changes the fitted model
+# (tested). Off by default: for the default depth-5 trees they cost more than
+# they save (measured 25-50 % slower at the bench scale).
+DEEP_TREE_SCALE = {"cacheNodeIds": True, "checkpointInterval": 10}
+
+
+def gradient_boosted_trees(max_iter: int = 10, seed: int = SEED, **scale) -> GBTClassifier:
+    return GBTClassifier(
+        featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION, maxIter=max_iter, seed=seed,
+        **scale,
+    )
 
 
-def random_forest(num_trees: int = 10, seed: int = SEED) -> RandomForestClassifier:
+def random_forest(num_trees: int = 10, seed: int = SEED, **scale) -> RandomForestClassifier:
     return RandomForestClassifier(
-        featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION, numTrees=num_trees, seed=seed
+        featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION, numTrees=num_trees, seed=seed,
+        **scale,
     )
 
 
-def decision_tree(seed: int = SEED) -> DecisionTreeClassifier:
-    return DecisionTreeClassifier(featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION, seed=seed)
+def decision_tree(seed: int = SEED, **scale) -> DecisionTreeClassifier:
+    return DecisionTreeClassifier(
+        featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION, seed=seed, **scale
+    )
 
 
 CLASSIFIERS = {

@@ -92,3 +92,12 @@ def test_classifiers_fit_on_small(spark):
     out = TR.compare_classifiers(train, test, {"tree": L.decision_tree(), "forest": L.random_forest()}, 0.05)
     for scored in out.values():
         assert scored.count() == test.count()
+
+
+def test_tree_scale_settings_do_not_change_models(spark):
+    toks = TR.tokenised(prepared(spark, SF_SMALL))
+    train, test = L.key_split(toks, "project_id", 0.8)
+    for make in (L.decision_tree, L.random_forest, L.gradient_boosted_trees):
+        a = TR.fit_and_score(train, test, make(), 0.05)[1].select("project_id", L.PREDICTION).collect()
+        b = TR.fit_and_score(train, test, make(**L.DEEP_TREE_SCALE), 0.05)[1].select("project_id", L.PREDICTION).collect()
+        assert sorted(map(tuple, a)) == sorted(map(tuple, b))
