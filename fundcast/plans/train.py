@@ -142,6 +142,17 @@ def tuned_logreg(
     from fundcast.sinks import save_model
 
     toks = tokenised(prep)
+    absolute = [m for m in min_dfs if m >= 1.0]
+    if absolute:
+        # A search point whose absolute minDF exceeds the documents its fit
+        # sees has an empty vocabulary, which Spark rejects deep inside the
+        # search; say so up front (a count of the materialised table).
+        fit_docs = int(toks.count() * split[0] * 0.7)
+        if max(absolute) > fit_docs:
+            raise ValueError(
+                f"minDF {max(absolute):g} exceeds the ~{fit_docs} documents each search fit sees; "
+                "use fractional minDF values (< 1) or more data"
+            )
     if key is None:
         train, test = L.random_split(toks, split, seed)
     else:

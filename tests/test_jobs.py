@@ -87,3 +87,20 @@ def test_prepare_stream_resumes_from_checkpoint(spark, tmp_dir):
     out = read_parquet(spark, tmp_dir + "/out")
     assert out.count() == prepare(raw).count()
     assert out.select("project_id").distinct().count() == out.count()
+
+
+def test_registered_tuned_job_covers_the_full_grid(spark):
+    import pytest
+
+    import __spark_entry__ as entry
+    from conftest import SF_CHECK
+
+    job = entry.queries()["tuned_logreg_job"]
+    # The original absolute thresholds (55-95 documents) need more documents
+    # than the smallest data set has: a clear error, not a failure deep inside.
+    with pytest.raises(ValueError, match="minDF"):
+        job(spark, SF_SMALL)
+    rows = job(spark, SF_CHECK).collect()
+    points = {(r["regParam"], r["minDF"]) for r in rows}
+    assert points == {(r, m) for r in (1e-7, 1e-5, 1e-3, 1e-1) for m in (55.0, 75.0, 95.0)}
+    assert all(0.0 <= r["f1"] <= 1.0 and 0.0 <= r["test_f1"] <= 1.0 for r in rows)
