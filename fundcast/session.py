@@ -7,7 +7,6 @@ results (the session time zone) and locate a shared scratch folder.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,9 +28,10 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    On a cluster this is the folder named by ``spark.checkpoint.dir`` (it must
-    be visible to every executor). Only when nothing is configured, as in local
-    tests, a private folder is created and registered.
+    In order: the folder already set on the context, the one named by
+    ``spark.checkpoint.dir``, else a unique folder below the user's home on
+    Hadoop's default file system (which every executor can reach; in local
+    mode that is the local disk). Never a machine-local temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -39,7 +39,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="fundcast-ckpt-")
+        fs = sc._jvm.org.apache.hadoop.fs.FileSystem.get(sc._jsc.hadoopConfiguration())
+        home = fs.getHomeDirectory().toString().rstrip("/")
+        configured = f"{home}/.fundcast/{sc.applicationId}-{uuid.uuid4().hex[:8]}"
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")
 
