@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundcast.llm import mixing, quality
+from fundcast.llm import decontaminate, mixing, quality, url_rules
 from fundcast.session import cut_lineage
 from fundcast.sources.tables import table
 
@@ -60,3 +60,25 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "source", "host_rate",
     )
+
+
+#: Fixed values of the URL query: hand-written rules (verdict, host, path).
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+
+@query("op4_url_rules")
+def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    # a page's address carries the number of the document it shows
+    shown = pages.select("url", F.regexp_extract(url_rules.path_of(F.col("url")), r"/(\d{1,18})", 1).alias("_n"))
+    labels = table(spark, sf_dir, "labels").select("doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    labelled = shown.where("_n != ''").select("url", F.col("_n").cast("long").alias("doc_id")).join(labels, "doc_id")
+    return url_rules.judge(pages, labelled.select("url", "bad"), URL_RULES)
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
