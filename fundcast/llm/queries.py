@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundcast.llm import decontaminate, mixing, quality, url_rules
-from fundcast.session import cut_lineage
+from fundcast.llm import decontaminate, mixing, quality, token_files, url_rules
+from fundcast.session import cut_lineage, scratch_path
 from fundcast.sources.tables import table
 
 QUERIES: dict = {}
@@ -82,3 +82,19 @@ def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_decontamination")
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def token_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Token files of ``docs``, written and read back, as the columns of the contract."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "tokens")
+    token_files.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
+@query("op10_token_files")
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(spark, table(spark, sf_dir, "documents"))
