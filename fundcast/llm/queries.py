@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundcast.llm import decontaminate, mixing, quality, token_files, url_rules
+from fundcast.llm import decontaminate, mixing, quality, token_files, url_rules, warc
 from fundcast.session import cut_lineage, scratch_path
 from fundcast.sources.tables import table
 
@@ -98,3 +98,23 @@ def token_digest(spark: SparkSession, docs: DataFrame) -> DataFrame:
 @query("op10_token_files")
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op3_warc", """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest AS d, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON payload_digest = d AND payload_bytes >= 100
+""")
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    # responses are measured from the payload that was read back, revisits tell it in their headers
+    return warc.read(spark, path).select(
+        "page_id",
+        F.coalesce(F.octet_length("payload").cast("long"), "payload_bytes").alias("payload_bytes"),
+        F.coalesce(F.sha2("payload", 256), "payload_digest").alias("payload_digest"),
+        "record_type", "refers_to",
+    )

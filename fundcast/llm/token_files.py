@@ -177,7 +177,7 @@ class TokenWriter(DataSourceArrowWriter):
                     encode = encoder(self.tokenizer)
                     end = np.array([self.end_id], encode.kind).tobytes()
                     where, name = files.locate(path)
-                    out = where.open_output_stream(name, buffer_size=1 << 20)
+                    out = where.open_output_stream(name, compression=None, buffer_size=1 << 20)
                     out.write(MAGIC)
                 docs = batch.column("doc_id")
                 nulls += docs.null_count
