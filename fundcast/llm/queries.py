@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundcast.llm import decontaminate, mixing, quality, token_files, url_rules, warc
+from fundcast.llm import decontaminate, mixing, quality, token_files, toxicity, url_rules, warc
 from fundcast.session import cut_lineage, scratch_path
 from fundcast.sources.tables import table
 
@@ -118,3 +118,16 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.sha2("payload", 256), "payload_digest").alias("payload_digest"),
         "record_type", "refers_to",
     )
+
+
+def _trainable(doc_id):
+    return toxicity.fold(doc_id, 5) != 0
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels, _trainable)
+    return toxicity.score(docs, model).select(
+        "doc_id", (toxicity.fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", "hits"
+    )
