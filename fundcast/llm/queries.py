@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundcast.llm import decontaminate, mixing, quality, token_files, toxicity, url_rules, warc
+from fundcast.llm import decontaminate, mixing, quality, surrogates, token_files, toxicity, url_rules, warc
 from fundcast.session import cut_lineage, scratch_path
 from fundcast.sources.tables import table
 
@@ -131,3 +131,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", (toxicity.fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", "hits"
     )
+
+
+#: The query's key is public; a real run passes its own secret.
+PII_KEY = b"op9 public test key"
+
+
+@query("op9_surrogates")
+def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY).select(
+        "doc_id", "text", F.size("replaced").alias("n_replaced"), "replaced"
+    )
