@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundcast.llm import decontaminate, mixing, quality, surrogates, token_files, toxicity, url_rules, warc
+from fundcast.llm import (
+    decontaminate, mixing, quality, signature_join, surrogates, token_files, toxicity, url_rules, warc,
+)
 from fundcast.session import cut_lineage, scratch_path
 from fundcast.sources.tables import table
 
@@ -142,3 +144,10 @@ def op9_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY).select(
         "doc_id", "text", F.size("replaced").alias("n_replaced"), "replaced"
     )
+
+
+@query("op7_signature_join")
+def op7_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "class"
+    )
