@@ -1,3 +1,86 @@
-"""placeholder, replaced below"""
-from fundcast.llm.queries import ORACLES as LLM_ORACLES  # noqa: F401
-from fundcast.llm.queries import QUERIES as LLM_QUERIES  # noqa: F401
+"""The corpus pipeline: documents in, token files out.
+
+Five stages in order: toxic documents go; of near duplicates one stays; documents
+that contain a benchmark item go; sources are mixed to their target weights; the
+rest becomes token-id files. Every stage takes (spark, docs, sf_dir), where docs
+has the columns of ``documents`` (others are ignored), works on all rows of its
+predecessor and is written as Parquet before the next one reads it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fundcast.llm import decontaminate, mixing, signature_join, toxicity
+from fundcast.llm.queries import ORACLES, QUERIES, token_digest
+from fundcast.session import cut_lineage
+from fundcast.sources.tables import table
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _columns(docs: DataFrame) -> DataFrame:
+    return docs.select(*COLUMNS)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go. It is fitted on the labelled
+    documents of this stage's input; rows without an id are scored like others."""
+    docs = _columns(docs)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.keep_clean(docs, model)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every component the document with the smallest doc_id stays; documents
+    without words all stay, being linked with nothing. Rows that repeat the
+    doc_id that stays are one document; a component without any id goes whole
+    into the row that Spark meets first."""
+    docs = _columns(docs)
+    placed = cut_lineage(signature_join.near_duplicates(docs), "near-duplicates")
+    stay = placed.where("n_shingles > 0 and doc_id <=> component_id").select(F.col("doc_id").alias("_id"), "component").distinct()
+    wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    chosen = docs.where(~wordless).join(stay, F.col("doc_id").eqNullSafe(F.col("_id")))
+    one = chosen.groupBy("_id", "component").agg(*[F.first(c).alias(f"_{c}") for c in COLUMNS])
+    return one.select(*[F.col(f"_{c}").alias(c) for c in COLUMNS]).unionByName(docs.where(wordless))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item within its error budget go."""
+    return decontaminate.remove(_columns(docs), table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every source is brought to its target: documents appear as often as the mix
+    takes them, whole (the document at a source's cut by the nearer choice)."""
+    return mixing.repeated(_columns(docs))
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token-id files of the mix, read back: doc_id, start, n_tokens, ids_crc32."""
+    return token_digest(spark, _columns(docs))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("benchmark decontamination", decontaminated),
+    ("mixing to target weights", mixed),
+    ("token files", token_files),
+]
+
+#: The first and fourth stages (a fitted model, a hash order) have no SQL form.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage, from ``documents``."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = cut_lineage(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    return docs
+
+
+LLM_QUERIES = {**QUERIES, "pipeline": run}
+LLM_ORACLES = {**ORACLES, **({"pipeline": ORACLE_SQL} if ORACLE_SQL else {})}

@@ -116,3 +116,14 @@ def mix(
         "doc_id", "source", "size", "source_size", "target",
         (epochs * F.col("size") + last).cast("long").alias("taken"),
     )
+
+
+def repeated(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with every document as many times as the mix takes it, whole. Rows
+    that repeat a doc_id are taken alike, by the rounded mean over those rows."""
+    taken = mix(docs, whole=True, **options).groupBy(F.col("doc_id").alias("_id")).agg(
+        F.round(F.avg(F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0))).cast("int").alias("_times")
+    ).where("_times > 0")
+    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id"))).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))
+    ).select(*docs.columns)

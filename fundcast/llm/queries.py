@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundcast.llm import (
-    decontaminate, mixing, quality, signature_join, surrogates, token_files, toxicity, url_rules, warc,
+    decontaminate, mixing, quality, signature_join, suffix_tree, surrogates, token_files, toxicity, url_rules, warc,
 )
 from fundcast.session import cut_lineage, scratch_path
 from fundcast.sources.tables import table
@@ -151,3 +151,12 @@ def op7_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signature_join.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "class"
     )
+
+
+@query("op1_suffix_tree")
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = suffix_tree.fit_and_score(table(spark, sf_dir, "documents"), lambda d: toxicity.fold(d, 7) != 2)
+    return scored.select(
+        "doc_id", F.coalesce(toxicity.fold(F.col("doc_id"), 7) == 2, F.lit(False)).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score",
+    )

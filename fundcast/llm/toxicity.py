@@ -171,11 +171,15 @@ def learn_lexicon(training: DataFrame) -> Lexicon:
     return lexicon
 
 
-def with_features(docs: DataFrame, lexicon: Lexicon, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and ``features`` (array) of every whole text; narrow."""
+def with_features(
+    docs: DataFrame, lexicon: Lexicon, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False
+) -> DataFrame:
+    """``keep`` columns (and the text, if wanted) and ``features`` (array) of every
+    whole text; narrow."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(lexicon)
     kept = docs.select(*keep, "text")
+    out = [*keep, "text"] if with_text else list(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,10 +188,10 @@ def with_features(docs: DataFrame, lexicon: Lexicon, keep: tuple[str, ...] = ("d
             values = pa.array(rows.ravel())
             offsets = pa.array(np.arange(batch.num_rows + 1) * len(FEATURES), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in keep] + [pa.ListArray.from_arrays(offsets, values)], names=[*keep, "features"]
+                [batch.column(k) for k in out] + [pa.ListArray.from_arrays(offsets, values)], names=[*out, "features"]
             )
 
-    fields = ", ".join(f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in keep)
+    fields = ", ".join(f"`{k}` {kept.schema[k].dataType.simpleString()}" for k in out)
     return kept.mapInArrow(run, f"{fields}, features array<double>")
 
 
@@ -229,19 +233,26 @@ def fit(docs: DataFrame, labels: DataFrame, usable=lambda doc_id: F.lit(True), l
     return Model(lexicon, trees, calibration)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score, predicted, hits for every row. The calibrated probability is a
+def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with all its columns, without the rows that are scored as toxic."""
+    columns = docs.columns
+    return score(docs, model, tuple(c for c in columns if c != "text"), with_text=True).where("predicted = 0").select(*columns)
+
+
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), with_text: bool = False) -> DataFrame:
+    """``keep``, score, predicted, hits for every row (and the text, if wanted). The calibrated probability is a
     step function; a thousandth of the raw one keeps the order within a step."""
-    rows = with_features(docs, model.lexicon)
+    kept = [*keep, "text"] if with_text else list(keep)
+    rows = with_features(docs, model.lexicon, keep, with_text)
     hits = F.col("features")[FEATURES.index("hits")]
     if model.trees is None:
-        out = rows.select("doc_id", (hits / (hits + 1)).alias("score"), hits.alias("hits"))
+        out = rows.select(*kept, (hits / (hits + 1)).alias("score"), hits.alias("hits"))
     else:
         judged = model.trees.transform(rows.withColumn("vector", array_to_vector("features")))
-        judged = judged.select("doc_id", hits.alias("hits"), vector_to_array("probability")[1].alias("p"))
+        judged = judged.select(*kept, hits.alias("hits"), vector_to_array("probability")[1].alias("p"))
         judged = model.calibration.transform(judged)
         mixed = 0.999 * F.least(F.greatest("calibrated", F.lit(0.0)), F.lit(1.0)) + 0.001 * F.col("p")
-        out = judged.select("doc_id", mixed.alias("score"), "hits")
+        out = judged.select(*kept, mixed.alias("score"), "hits")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
