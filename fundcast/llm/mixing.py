@@ -26,7 +26,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MAX_EPOCHS = 2.0
 #: Documents that one key range of a source holds on average, at most.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 
 
 def sized(docs: DataFrame, text: str = "text", seed: int = 17) -> DataFrame:
