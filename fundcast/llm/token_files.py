@@ -46,7 +46,7 @@ SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
 #: Ids that the reader hands over at once, about.
 READ_IDS = 1 << 20
 #: Pieces that a worker remembers in each of two generations.
-MEMO = 500_000
+MEMO = 700_000
 _FOOTER = struct.Struct("<QQQQQB8s")  # docs, nulls, ids, bytes of both sequences, id size, magic
 #: A space between two visible characters: a piece may begin there.
 _PLAIN_SPACE = regex.compile(r"(?<=\S) (?=\S)")
@@ -66,6 +66,25 @@ def _byte_names() -> dict[int, str]:
     return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+class _Memo(dict):
+    """Ids of a space and a tail, by tail; what is missing is learned. Two
+    generations: the older one is given up when the younger is full."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn, self.old = learn, {}
+
+    def __missing__(self, tail: str) -> bytes:
+        got = self.old.get(tail)
+        if got is None:
+            got = self.learn(tail)
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        self[tail] = got
+        return got
+
+
 class Encoder:
     """Encodes with a tokenizer file of the tokenizers library.
 
@@ -89,59 +108,45 @@ class Encoder:
             and cut.get("use_regex") and not cut.get("add_prefix_space")
         )
         self.added = [t["content"] for t in made["added_tokens"]]
-        if any(" " in t for t in self.added):
-            self.by_piece = False
         self.names = _byte_names()
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.merge = self.tokenizer.model
+        self.memo = _Memo(self._learn)
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def _cut_and_merge(self, piece: str) -> bytes:
-        if _BEYOND_LATIN.search(piece) or any(t in piece for t in self.added):
-            return self._encode(piece)
-        out = []
-        for part in _CUT.findall(piece):
-            known = self.young.get(part[1:]) if part[0] == " " else None
-            if known is None:
-                raw = part.encode().decode("latin-1").translate(self.names)
-                known = array(self.code, [t.id for t in self.tokenizer.model.tokenize(raw)]).tobytes()
-                if part[0] == " ":
-                    self._remember(part[1:], known)
-            out.append(known)
-        return b"".join(out)
-
-    def _remember(self, tail: str, ids: bytes) -> None:
-        if len(self.young) >= MEMO:
-            self.old, self.young = self.young, {}
-        self.young[tail] = ids
+    def _merged(self, part: str) -> bytes:
+        """Ids of what the tokenizer does not cut."""
+        raw = part.encode().decode("latin-1").translate(self.names)
+        return array(self.code, [t.id for t in self.merge.tokenize(raw)]).tobytes()
 
     def _learn(self, tail: str) -> bytes:
-        """Ids of a space and ``tail``."""
-        got = self.young.get(tail) or self.old.get(tail)
-        if got is None:
-            got = self._cut_and_merge(" " + tail)
-        self._remember(tail, got)
-        return got
+        if tail.isalpha():
+            return self._merged(" " + tail)
+        if tail[-1:] in ".,!" and tail[:-1].isalpha():
+            return self.memo[tail[:-1]] + self._merged(tail[-1])
+        return self._cut_and_merge(" " + tail)
+
+    def _cut_and_merge(self, piece: str) -> bytes:
+        parts = _CUT.findall(piece)
+        return b"".join([
+            self.memo[x[1:]] if x[0] == " " and len(parts) > 1 and len(x) > 1 else self._merged(x) for x in parts
+        ])
 
     def __call__(self, text: str) -> bytes:
         """The ids as bytes of ``self.kind``."""
-        if not self.by_piece:
+        # special tokens are cut out first, and rules for letters differ between
+        # Unicode versions: such texts go to the library whole
+        if not self.by_piece or any(t in text for t in self.added):
+            return self._encode(text)
+        if not text.isascii() and _BEYOND_LATIN.search(text):
             return self._encode(text)
         if not text:
             return b""
-        if text.isascii() or not _BEYOND_LATIN.search(text):
-            plain = text[0] != " " and text[-1] != " " and not any(x in text for x in _BESIDE)
-        else:
-            plain = False
+        plain = text[0] != " " and text[-1] != " " and not any(map(text.__contains__, _BESIDE))
         pieces = text.split(" ") if plain else _PLAIN_SPACE.split(text)
-        found = list(map(self.young.get, pieces))
-        found[0] = self._cut_and_merge(pieces[0])
-        if None in found:
-            learn = self._learn
-            found = [learn(p) if x is None else x for p, x in zip(pieces, found, strict=True)]
-        return b"".join(found)
+        first = self._cut_and_merge(pieces.pop(0))
+        return first + b"".join(map(self.memo.__getitem__, pieces))
 
 
 _ENCODERS: dict[str, Encoder] = {}
