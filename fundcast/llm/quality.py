@@ -117,21 +117,22 @@ def host_rates(judged: DataFrame, host: str = "source", failed: str = "base_fail
     n, k = F.col("n_docs"), F.col("n_failed")
     p = k / n
     corpus = hosts.agg(
-        F.sum(n).alias("_n"), F.sum(k).alias("_k"), F.count("*").alias("_h"),
-        F.sum(n * p * p).alias("_np2"), F.sum(n * n).alias("_nn"),
-    )
-    m = F.col("_k") / F.col("_n")
-    spread = F.col("_np2") / F.col("_n") - m * m  # size-weighted variance of host rates
-    noise = m * (1 - m) * F.col("_h") / F.col("_n")  # what binomial noise alone would give
-    between = F.greatest(spread - noise, F.lit(1e-12))
+        F.sum(n).alias("n"), F.sum(k).alias("k"), F.count("*").alias("hosts"), F.sum(n * p * p).alias("np2")
+    ).first()  # four numbers
+    m, strength = prior(corpus.n or 0, corpus.k or 0, corpus.hosts, corpus.np2 or 0.0)
+    return hosts.select("host", "n_docs", "n_failed", p.alias("rate"), ((k + m * strength) / (n + strength)).alias("host_rate"))
+
+
+def prior(n: int, k: int, hosts: int, np2: float) -> tuple[float, float]:
+    """Mean and strength of the beta prior from the documents, failures and hosts of
+    the corpus and the sum of n * rate**2 over hosts."""
+    if not n:
+        return 0.0, PRIOR_STRENGTH[0]
+    m = k / n
+    spread = np2 / n - m * m  # size-weighted variance of host rates
+    noise = m * (1 - m) * hosts / n  # what binomial noise alone would give
     low, high = PRIOR_STRENGTH
-    strength = F.least(F.greatest(m * (1 - m) / between - 1, F.lit(low)), F.lit(high))
-    # one aggregated row: its broadcast is two numbers
-    prior = corpus.select(F.lit(0).alias("_all"), m.alias("_m"), strength.alias("_s"))
-    return hosts.withColumn("_all", F.lit(0)).join(F.broadcast(prior), "_all").select(
-        "host", "n_docs", "n_failed", p.alias("rate"),
-        ((k + F.col("_m") * F.col("_s")) / (n + F.col("_s"))).alias("host_rate"),
-    )
+    return m, min(max(m * (1 - m) / max(spread - noise, 1e-12) - 1, low), high)
 
 
 def judge(
