@@ -15,6 +15,7 @@ length go to the smaller rule string; other columns are left out.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -95,9 +96,9 @@ def mine(
         baskets.where(F.array_contains("items", BAD)).select(F.explode("items").alias("token"))
         .groupBy("token").agg(F.count("*").alias("n"))
     )
-    total = baskets.agg(F.count("*").alias("total"))
-    least = total.select(F.lit(0).alias("_all"), F.greatest(F.ceil(F.col("total") * min_support), F.lit(2)).alias("least"))
-    frequent = bad_tokens.withColumn("_all", F.lit(0)).join(F.broadcast(least), "_all").where("n >= least").select("token")
+    n_all = baskets.count()
+    least = max(math.ceil(n_all * min_support), 2)
+    frequent = bad_tokens.where(F.col("n") >= least).select("token")
     keep = (
         baskets.withColumn("basket", F.monotonically_increasing_id())
         .select("basket", F.explode("items").alias("token"))
@@ -109,10 +110,9 @@ def mine(
     )
     if keep.isEmpty():
         return empty
-    n_all = baskets.count()
     # FPGrowth divides by the rows it sees; rows without frequent tokens were left out
     model = FPGrowth(
-        itemsCol="items", minSupport=min(1.0, max(min_support * n_all, 2.0) / keep.count()), minConfidence=min_confidence
+        itemsCol="items", minSupport=min(1.0, least / keep.count()), minConfidence=min_confidence
     ).fit(keep)
     rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD))).select(
         F.array_sort("antecedent").alias("tokens"), "confidence"
