@@ -7,7 +7,9 @@ results (the session time zone) and locate a shared scratch folder.
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +27,18 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def share_code(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it, wherever
+    the driver was started. On a cluster whose machines do not share that folder,
+    submit the package with ``--py-files``."""
+    root = str(Path(__file__).resolve().parents[1])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
