@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from fundcast.llm import decontaminate, mixing, signature_join, toxicity
 from fundcast.llm.queries import ORACLES, QUERIES, token_digest
-from fundcast.session import cut_lineage
+from fundcast.session import cut_lineage, share_code
 from fundcast.sources.tables import table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -62,12 +62,16 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_digest(spark, _columns(docs))
 
 
+def _ready(stage):
+    return lambda spark, docs, sf_dir: stage(share_code(spark), docs, sf_dir)
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("n-gram Jaccard join", drop_near_duplicates),
-    ("benchmark decontamination", decontaminated),
-    ("mixing to target weights", mixed),
-    ("token files", token_files),
+    ("toxicity", _ready(drop_toxic)),
+    ("n-gram Jaccard join", _ready(drop_near_duplicates)),
+    ("benchmark decontamination", _ready(decontaminated)),
+    ("mixing to target weights", _ready(mixed)),
+    ("token files", _ready(token_files)),
 ]
 
 #: The first and fourth stages (a fitted model, a hash order) have no SQL form.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fundcast.llm import (
     decontaminate, mixing, quality, signature_join, suffix_tree, surrogates, token_files, toxicity, url_rules, warc,
 )
-from fundcast.session import cut_lineage, scratch_path
+from fundcast.session import cut_lineage, scratch_path, share_code
 from fundcast.sources.tables import table
 
 QUERIES: dict = {}
@@ -21,7 +21,7 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, oracle: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf_dir: fn(share_code(spark), sf_dir)
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
