@@ -39,11 +39,12 @@ from pyspark.sql import functions as F
 
 from fundcast.llm import hashing
 from fundcast.llm.components import components
+from fundcast.llm.packed import bits_of, bucket_bits, bucket_of
 from fundcast.session import cut_lineage
 
 N = 5
 #: Shingles seen this often within one Arrow batch are reported as frequent.
-LOCAL_HOT = 8
+LOCAL_HOT = 3
 #: At most this many frequent shingles are broadcast: those above the share 1/FREQUENT
 #: of all reported occurrences, of which there can be no more.
 FREQUENT = 1 << 20
@@ -87,7 +88,7 @@ def prefix_length(n: int) -> int:
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for every document (doc_id, fp, n) and one for every shingle that is
+    """A row for every document (doc_id, fp, n, bits) and one for every shingle that is
     frequent within the batch (shingle in fp, its count in hot)."""
     for batch in batches:
         sets = shingle_sets(batch.column("text"))
@@ -104,8 +105,9 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.concat_arrays([pa.array(fps, pa.int64()), pa.array(hot.view(np.int64))]),
                 pa.array([len(s) for s in sets] + [0] * k, pa.int64()),
                 pa.concat_arrays([pa.nulls(docs, pa.int64()), pa.array(counts.astype(np.int64))]),
+                pa.array([_bitmap(s) if len(s) else None for s in sets] + [None] * k, pa.binary()),
             ],
-            names=["doc_id", "fp", "n", "hot"],
+            names=["doc_id", "fp", "n", "hot", "bits"],
         )
 
 
@@ -192,23 +194,59 @@ def _cells(table: pa.Table) -> pa.Table:
 
 
 def _bitmap(shingles: np.ndarray) -> bytes:
-    """Bits of a set: a power of two of them, at least two for each shingle."""
-    width = max(64, 1 << int(2 * len(shingles) - 1).bit_length())
+    """Bits of a set: a power of two of them, at least one for each shingle."""
+    width = max(64, 1 << int(len(shingles) - 1).bit_length())
     bits = np.zeros(width, np.uint8)
     bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = shingle_sets(batch.column("text"))
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("fp"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([_bitmap(s) for s in sets], pa.binary()),
-            ],
-            names=["fp", "n", "shingles", "bits"],
-        )
+def _sets(docs: DataFrame, wanted: DataFrame, amount: int) -> DataFrame:
+    """(fp, shingles) of the ``wanted`` classes. Texts are not shuffled: a bit table
+    of a fixed size keeps nearly all other sets in their task."""
+    buckets = bucket_bits(amount, most=12)
+    held = docs.sparkSession.sparkContext.broadcast(bits_of(wanted, "fp", buckets))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = shingle_sets(batch.column("text"))
+            found = {fingerprint(s): s for s in sets if len(s)}
+            fps = np.fromiter(found, np.int64, len(found))
+            key = fps.view(np.uint64)
+            keep = held.value.has(bucket_of(hashing.mix(key), buckets), key)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(fps[keep]), pa.array([found[f].tobytes() for f in fps[keep].tolist()], pa.binary())],
+                names=["fp", "shingles"],
+            )
+
+    made = docs.select("text").mapInArrow(run, "fp long, shingles binary").join(wanted.select("fp").distinct(), "fp", "left_semi")
+    return cut_lineage(made.groupBy("fp").agg(F.first("shingles").alias("shingles")), "sets")
+
+
+def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that sizes and bitmaps do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            keep = np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
+                x = np.frombuffer(batch.column("xa")[i].as_buffer(), np.uint64)[None]
+                y = np.frombuffer(batch.column("xb")[i].as_buffer(), np.uint64)[None]
+                w = min(x.shape[1], y.shape[1])
+                x, y = _fold(x, w), _fold(y, w)
+                most = min(n[i] - np.bitwise_count(x & ~y).sum(), m[i] - np.bitwise_count(y & ~x).sum())
+                keep[i] = most >= needed(n[i], m[i])
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    size = classes.select("fp", "n")
+    near = (
+        pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
+        .where("4 * na >= 3 * nb and 4 * nb >= 3 * na")
+    )
+    bits = classes.select("fp", "bits")
+    joined = near.join(bits.toDF("a", "xa"), "a").join(bits.toDF("b", "xb"), "b")
+    return cut_lineage(joined.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long"), "possible")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -226,10 +264,8 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(100 * overlap >= 75 * (len(both) - overlap))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    one = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("sa"), F.col("n").alias("na"))
-    two = sets.select(F.col("fp").alias("b"), F.col("shingles").alias("sb"), F.col("n").alias("nb"))
-    joined = pairs.join(one, "a").join(two, "b").where("4 * na >= 3 * nb and 4 * nb >= 3 * na")
-    return joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    joined = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    return cut_lineage(joined.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long"), "links")
 
 
 class Tree:
@@ -337,13 +373,20 @@ def _join_blocks(table: pa.Table) -> pa.Table:
     return pa.table({"a": a, "b": b})
 
 
-def _tree_pairs(cells: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def _tree_pairs(cells: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Candidate pairs of the cells that are not connected yet, by signature trees."""
     known = labels.select(F.col("node").alias("fp"), F.col("component").alias("label"))
     marked = cells.join(known, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     open_cells = marked.groupBy("cell").agg(F.min("label").alias("_0"), F.max("label").alias("_1")).where("_0 <> _1")
     marked = marked.join(open_cells.select("cell"), "cell", "left_semi").select("cell", "fp", "label").distinct()
-    members = marked.join(sets.select("fp", "n", "bits"), "fp").withColumn("width", F.length("bits"))
+    # a member that is not near its neighbours in size is not near anyone
+    by_size = Window.partitionBy("cell").orderBy("n", "fp")
+    marked = (
+        marked.join(classes.select("fp", "n"), "fp")
+        .withColumn("_p", F.lag("n").over(by_size)).withColumn("_q", F.lead("n").over(by_size))
+        .where((4 * F.col("_p") >= 3 * F.col("n")) | (4 * F.col("n") >= 3 * F.col("_q"))).drop("_p", "_q")
+    )
+    members = marked.join(classes.select("fp", "bits"), "fp").withColumn("width", F.length("bits"))
     order = Window.partitionBy("cell", "width").orderBy("label", "n", "fp")
     members = cut_lineage(
         members.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK)), "cell-members"
@@ -379,33 +422,33 @@ def _tree_pairs(cells: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFra
     )
 
 
-def _bits(rows: int) -> int:
-    return max(0, min(24, (max(rows, 1) // BUCKET_ROWS).bit_length()))
-
-
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(classes, links): doc_id, fp and n of every document (fp null without words),
     and verified links (a, b) between classes that connect all that link."""
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    seen = cut_lineage(thin.mapInArrow(_classes, "doc_id long, fp long, n long, hot long"), "classes")
+    seen = cut_lineage(thin.mapInArrow(_classes, "doc_id long, fp long, n long, hot long, bits binary"), "classes")
     classes = seen.where("hot is null").select("doc_id", "fp", "n")
     filed = classes.agg(F.sum(F.floor(F.col("n") / 4) + 1)).first()[0] or 0
     frequent = _frequent(seen)
     cells = cut_lineage(
-        _file(thin, frequent, _bits(filed)).groupBy("bucket").applyInArrow(_cells, "cell long, leader long, fp long"), "cells"
+        _file(thin, frequent, bucket_bits(filed, BUCKET_ROWS)).groupBy("bucket").applyInArrow(_cells, "cell long, leader long, fp long"),
+        "cells",
     )
-    # one document of each class that is in a cell gives its set
-    chosen = classes.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    chosen = chosen.join(cells.select("fp").distinct(), "fp", "left_semi")
-    texts = thin.join(chosen, "doc_id").select("fp", "text")
-    sets = cut_lineage(
-        texts.mapInArrow(_with_sets, "fp long, n long, shingles binary, bits binary"), "sets"
+    known = cut_lineage(
+        seen.where("fp is not null and hot is null").join(cells.select("fp").distinct(), "fp", "left_semi")
+        .groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "cell-classes",
     )
     stars = cells.where("leader <> fp").select(F.col("leader").alias("a"), F.col("fp").alias("b")).distinct()
-    close = cut_lineage(_verified(stars, sets), "star-links")
-    pairs = _tree_pairs(cells, components(close), sets)
-    found = cut_lineage(_verified(pairs, sets), "tree-links")
-    return classes, close.unionAll(found)
+    close = _linked(stars, known, thin, filed)
+    pairs = _tree_pairs(cells, components(close), known)
+    return classes, close.unionAll(_linked(pairs, known, thin, filed))
+
+
+def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, amount: int) -> DataFrame:
+    """The links among ``pairs``: bounds first, then exact overlaps."""
+    left = _possible(pairs, classes)
+    wanted = left.select(F.col("a").alias("fp")).unionAll(left.select(F.col("b").alias("fp")))
+    return _verified(left, _sets(docs, wanted, amount))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
