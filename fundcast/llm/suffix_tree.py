@@ -37,6 +37,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundcast.llm import hashing
+from fundcast.llm.packed import Bits, assemble, bits_of, bucket_bits, bucket_of, pack, slice_of, slices, unpack
+from fundcast.llm.words import n_words
 from fundcast.session import cut_lineage
 
 DEPTH = 2
@@ -48,8 +50,8 @@ MIN_DIVERGENCE = 0.05
 DISCOUNT = 0.75
 #: Runs above this share of all tokens are broadcast.
 SHARE = 2.0**-18
-#: Entries of a bucket, on average, and bits of the filters that keep runs from being sent.
-BUCKET_ROWS, FILTER_BITS = 1 << 20, 26
+#: Text that a task counts at once (its runs are sorted in memory).
+PART_BYTES = 8 << 20
 
 START, END = np.uint64(0xA5A5_0001_0000_0001), np.uint64(0xA5A5_0002_0000_0002)
 
@@ -78,45 +80,6 @@ def run_keys(symbols: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarra
     return key[at], at
 
 
-class Bits:
-    """Bit table of a fixed size; a bucket owns one slice of it."""
-
-    def __init__(self, raw: np.ndarray, buckets: int):
-        self.raw, self.low = raw, FILTER_BITS - buckets
-
-    def has(self, bucket: np.ndarray, key: np.ndarray) -> np.ndarray:
-        slot = (bucket.astype(np.uint64) << np.uint64(self.low)) | (hashing.mix(key) >> np.uint64(64 - self.low))
-        return (self.raw[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
-
-
-def _slice(keys: np.ndarray, buckets: int) -> bytes:
-    low = FILTER_BITS - buckets
-    bits = np.zeros(1 << low, np.uint8)
-    bits[(hashing.mix(keys) >> np.uint64(64 - low)).astype(np.int64)] = 1
-    return np.packbits(bits, bitorder="little").tobytes()
-
-
-def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
-    return (key >> np.uint64(64 - buckets)).astype(np.int64) if buckets else np.zeros(len(key), np.int64)
-
-
-def _pack(bucket: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
-    """One row per bucket with every column's values as bytes."""
-    order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
-    cuts = np.flatnonzero(np.diff(bucket)) + 1
-    starts = np.concatenate([[0], cuts]) if len(bucket) else cuts
-    arrays = [pa.array(bucket[starts])]
-    for x in columns.values():
-        parts = np.split(x[order], cuts) if len(bucket) else []
-        arrays.append(pa.array([p.tobytes() for p in parts], pa.binary()))
-    return pa.RecordBatch.from_arrays(arrays, names=["bucket", *columns])
-
-
-def _unpack(table: pa.Table, column: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
-
-
 def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys, values = keys[order], values[order]
@@ -124,21 +87,17 @@ def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[start], np.add.reduceat(values, start) if len(keys) else values
 
 
-def _buckets_for(rows: int) -> int:
-    return max(0, min(16, (max(rows, 1) // BUCKET_ROWS).bit_length()))
-
-
 def count_words(texts: DataFrame, buckets: int) -> DataFrame:
     """(word, c) of the training texts, ends included, starts not."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (x for whole in batches for x in slices(whole, "text", PART_BYTES)):
             symbols, _ = sequences(batch.column("text"))
             word, c = np.unique(symbols[symbols != START], return_counts=True)
-            yield _pack(_bucket(hashing.mix(word), buckets), {"words": word, "counts": c.astype(np.uint32)})
+            yield pack(bucket_of(hashing.mix(word), buckets), {"words": word, "counts": c.astype(np.uint32)})
 
     def add(table: pa.Table) -> pa.Table:
-        word, c = _sums(_unpack(table, "words", np.uint64), _unpack(table, "counts", np.uint32).astype(np.int64))
+        word, c = _sums(unpack(table, "words", np.uint64), unpack(table, "counts", np.uint32).astype(np.int64))
         return pa.table({"word": word.view(np.int64), "c": c})
 
     packed = texts.mapInArrow(emit, "bucket long, words binary, counts binary")
@@ -169,7 +128,7 @@ def _common(rows: DataFrame, key: str, columns: list[str]) -> Common:
 
 def count_runs(
     texts: DataFrame, depth: int, common: Common, tokens: int, types: int, buckets: int, above: Bits | None,
-) -> tuple[DataFrame, Bits]:
+) -> tuple[DataFrame, Bits | None]:
     """Transitions out of contexts of ``depth`` symbols: (key, ctx, suffix, next, c, n) of
     those that occur MIN_PAIR times after a context that occurs MIN_CONTEXT times
     and are MIN_RATIO times likelier than by chance; and the bits of all runs of
@@ -182,15 +141,15 @@ def count_runs(
     crowded = max(tokens >> max(buckets, 1), 1)  # occurrences that would fill a bucket
 
     def place(ctx, nxt, known, at, common) -> np.ndarray:
-        bucket = _bucket(hashing.mix(ctx), buckets)
+        bucket = bucket_of(hashing.mix(ctx), buckets)
         if depth == 1:
             spread = known & (common.values["c"][at] > crowded) if len(common.keys) else known
-            bucket[spread] = _bucket(hashing.mix(ctx[spread] ^ hashing.mix(nxt[spread])), buckets)
+            bucket[spread] = bucket_of(hashing.mix(ctx[spread] ^ hashing.mix(nxt[spread])), buckets)
         return bucket
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, above = held.value
-        for batch in batches:
+        for batch in (x for whole in batches for x in slices(whole, "text", PART_BYTES)):
             symbols, bounds = sequences(batch.column("text"))
             run, at = run_keys(symbols, bounds, depth + 1)
             ctx = hashing.runs(symbols, depth)[at] if depth > 1 else symbols[at]
@@ -211,20 +170,20 @@ def count_runs(
             columns = {"ctx": ctx, "next": nxt, "c": c}
             if depth > 1:
                 columns["middle"] = symbols[at + 1]  # only depth 2 needs it: the suffix context
-            yield _pack(bucket, columns)
+            yield pack(bucket, columns)
 
     def place_of(first, second, known, where, common) -> np.ndarray:
         """Bucket of the run (first, second), as at depth 1."""
-        bucket = _bucket(hashing.mix(first), buckets)
+        bucket = bucket_of(hashing.mix(first), buckets)
         spread = known & (common.values["c"][where] > crowded) if len(common.keys) else known
-        bucket[spread] = _bucket(hashing.mix(first[spread] ^ hashing.mix(second[spread])), buckets)
+        bucket[spread] = bucket_of(hashing.mix(first[spread] ^ hashing.mix(second[spread])), buckets)
         return bucket
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
         common, _ = held.value
-        ctx, nxt = _unpack(table, "ctx", np.uint64), _unpack(table, "next", np.uint64)
-        c = _unpack(table, "c", np.uint32).astype(np.int64)
-        middle = _unpack(table, "middle", np.uint64) if depth > 1 else ctx
+        ctx, nxt = unpack(table, "ctx", np.uint64), unpack(table, "next", np.uint64)
+        c = unpack(table, "c", np.uint32).astype(np.int64)
+        middle = unpack(table, "middle", np.uint64) if depth > 1 else ctx
         order = np.lexsort((nxt, ctx))
         ctx, nxt, c, middle = ctx[order], nxt[order], c[order], middle[order]
         new = np.ones(len(ctx), bool)
@@ -238,7 +197,7 @@ def count_runs(
             known, at = common.find(ctx)
             if len(common.keys):
                 n = np.where(known, common.values["c"][at], n)
-        own = _slice(_joined(ctx, nxt, depth)[c >= MIN_CONTEXT], buckets) if depth < DEPTH else b""
+        own = slice_of(_joined(ctx, nxt, depth)[c >= MIN_CONTEXT], buckets) if depth < DEPTH else b""
         floor = np.full(len(nxt), SHARE)
         known, at = common.find(nxt)
         if len(common.keys):
@@ -271,12 +230,10 @@ def count_runs(
         ),
         f"runs-{depth}",
     )
-    raw = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    above = None
     if depth < DEPTH:  # slices of a table of fixed size
-        size = len(raw) >> buckets
-        for r in counted.where("bits is not null").select("bucket", "bits").toLocalIterator():
-            raw[r.bucket * size : (r.bucket + 1) * size] = np.frombuffer(r.bits, np.uint8)
-    return counted.where("bits is null").drop("bits", "bucket"), Bits(raw, buckets)
+        above = assemble(counted.where("bits is not null").select("bucket", "bits").toLocalIterator(), buckets)
+    return counted.where("bits is null").drop("bits", "bucket"), above
 
 
 def _joined(ctx: np.ndarray, nxt: np.ndarray, depth: int) -> np.ndarray:
@@ -319,7 +276,7 @@ def fit(texts: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
     values: (key, length, v, c) with the log10 value a run adds to a score wherever
     it occurs; words: (word, c)."""
     size = texts.select(F.sum(F.length("text")).alias("s")).first().s or 0
-    buckets = _buckets_for(size // 6)
+    buckets = bucket_bits(size // 6)
     words = count_words(texts, buckets)
     total = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     tokens, types = total.n or 0, total.v
@@ -358,18 +315,18 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
     common = {n: _common(table.where(often & (F.col("length") == n)), "key", ["v", "wc"]) for n in range(1, DEPTH + 2)}
     rare = table.where(~often)
     amount = docs.select(F.sum(F.length("text")).alias("s")).first().s or 0
-    buckets = max(3, _buckets_for(amount // 24))
+    buckets = max(3, bucket_bits(amount // 24))
     listed = rare.where("length > 1").select("key")
-    above = _filter(listed, buckets)
+    above = bits_of(listed, "key", buckets)
     held = spark.sparkContext.broadcast((common, above))
     norm = float(np.log10(tokens + types + 1))
     # the rarer part of the table, packed by bucket of the key
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key = batch.column("key").to_numpy().view(np.uint64)
-            yield _pack(
-                _bucket(hashing.mix(key), buckets),
+            yield pack(
+                bucket_of(hashing.mix(key), buckets),
                 {"keys": key, "v": batch.column("v").to_numpy(), "wc": batch.column("wc").to_numpy()},
             )
 
@@ -377,7 +334,7 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
         """Per text what the broadcast part gives (bucket -1), and what the buckets
         must look up: runs by key with the texts they occur in."""
         common, above = held.value
-        for batch in batches:
+        for batch in (x for whole in batches for x in slices(whole, "text", PART_BYTES)):
             symbols, bounds = sequences(batch.column("text"))
             text = batch.column("key").to_numpy()
             n = len(text)
@@ -397,7 +354,7 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
                         known += np.bincount(doc[here], c > 0, n).astype(np.int64)
                 left = ~here
                 if length > 1:
-                    left &= above.has(_bucket(hashing.mix(key), buckets), key)
+                    left &= above.has(bucket_of(hashing.mix(key), buckets), key)
                 order = np.lexsort((doc[left], key[left]))
                 key, doc = key[left][order], doc[left][order]
                 new = np.ones(len(key), bool)
@@ -407,8 +364,8 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
                 sent_docs.append(doc[start])
                 sent_counts.append(np.diff(np.concatenate([start, [len(key)]])))
             key, doc, count = np.concatenate(sent_keys), np.concatenate(sent_docs), np.concatenate(sent_counts)
-            bucket = _bucket(hashing.mix(key), buckets)
-            out = _pack(bucket, {"keys": key, "docs": doc.astype(np.uint32), "counts": count.astype(np.uint32)})
+            bucket = bucket_of(hashing.mix(key), buckets)
+            out = pack(bucket, {"keys": key, "docs": doc.astype(np.uint32), "counts": count.astype(np.uint32)})
             local = pa.RecordBatch.from_arrays(
                 [pa.array([-1]), *(pa.array([b""], pa.binary()) for _ in range(3))], names=["bucket", "keys", "docs", "counts"]
             )
@@ -423,10 +380,10 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
     def look_up(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         texts, sums = [], [[], [], []]
         if right.num_rows:
-            listed = _unpack(right, "keys", np.uint64)
+            listed = unpack(right, "keys", np.uint64)
             order = np.argsort(listed, kind="stable")
             listed = listed[order]
-            v, wc = _unpack(right, "v", np.float64)[order], _unpack(right, "wc", np.int64)[order]
+            v, wc = unpack(right, "v", np.float64)[order], unpack(right, "wc", np.int64)[order]
         else:
             listed, v, wc = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64)
         for row in left.to_batches():
@@ -461,14 +418,14 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
     )
     # sums of the broadcast part need no table: they are spread over partitions by text
     spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("texts"), F.lit(1 << buckets))).otherwise(F.col("bucket"))
-    packed = rare.select("key", "v", "wc").mapInArrow(pack, "bucket long, keys binary, v binary, wc binary")
+    packed = rare.select("key", "v", "wc").mapInArrow(pack_table, "bucket long, keys binary, v binary, wc binary")
     parts = sent.withColumn("bucket", spread).groupBy("bucket").cogroup(packed.groupBy("bucket")).applyInArrow(
         look_up, "key long, base double, known double, more double"
     )
     sums = parts.groupBy("key").agg(F.sum("base").alias("base"), F.sum("known").alias("known"), F.sum("more").alias("more"))
     plain = kept.select(
         "doc_id", _doc_key(F.col("doc_id"), F.col("text")).alias("key"),
-        (n_words_of(F.col("text")) + 1).alias("n_tokens"),
+        (n_words(F.col("text")) + 1).alias("n_tokens"),
     )
     # rows with equal doc_id and text share one key: their sums are divided among them
     rows = plain.groupBy("key", "doc_id", "n_tokens").agg(F.count("*").alias("_rows"))
@@ -483,31 +440,6 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
     ).drop("_i")
 
 
-def n_words_of(text: Column) -> Column:
-    from fundcast.llm.words import n_words
-
-    return n_words(text)
-
-
-def _filter(keys: DataFrame, buckets: int) -> Bits:
-    """Bit table of ``keys``, made in slices by bucket; its size is fixed."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            key = batch.column("key").to_numpy().view(np.uint64)
-            yield _pack(_bucket(hashing.mix(key), buckets), {"keys": key})
-
-    def slices(key: tuple, table: pa.Table) -> pa.Table:
-        return pa.table({"bucket": [key[0].as_py()], "bits": [_slice(_unpack(table, "keys", np.uint64), buckets)]})
-
-    raw = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    size = len(raw) >> buckets
-    made = keys.mapInArrow(emit, "bucket long, keys binary").groupBy("bucket").applyInArrow(slices, "bucket long, bits binary")
-    for r in made.toLocalIterator():
-        raw[r.bucket * size : (r.bucket + 1) * size] = np.frombuffer(r.bits, np.uint8)
-    return Bits(raw, buckets)
-
-
 def fit_and_score(docs: DataFrame, training: Callable[[Column], Column]) -> DataFrame:
     """Learns from the rows that ``training(doc_id)`` admits and scores all rows."""
     model = fit(docs.where(F.coalesce(training(F.col("doc_id")), F.lit(True))).select("text"))
