@@ -12,6 +12,7 @@ shingles is at least 3/4.
 3. Classes filed under the same shingle form a cell. In every cell all members
    are first compared with one leader, exactly. A group of near copies is thus
    joined by as many comparisons as it has members.
+   Cells that stay open draw new leaders a few times over.
 4. Cells whose members are not all connected by then are joined by signature
    trees: nodes hold the OR of their members' shingle bitmaps and the range of
    their sizes; two trees are descended together, and a pair of nodes is dropped
@@ -39,19 +40,23 @@ from pyspark.sql import functions as F
 
 from fundcast.llm import hashing
 from fundcast.llm.components import components
-from fundcast.llm.packed import bits_of, bucket_bits, bucket_of
+from fundcast.llm.packed import bits_of, bucket_bits, bucket_of, slices
 from fundcast.session import cut_lineage
 
 N = 5
-#: Shingles seen this often within one Arrow batch are reported as frequent.
-LOCAL_HOT = 3
+#: Shingles seen this often within PART_BYTES of text are reported as frequent.
+LOCAL_HOT = 2
 #: At most this many frequent shingles are broadcast: those above the share 1/FREQUENT
 #: of all reported occurrences, of which there can be no more.
 FREQUENT = 1 << 20
 #: Filed shingles that one bucket holds on average (12 bytes each).
 BUCKET_ROWS = 1 << 20
+#: Text that a task shingles at once.
+PART_BYTES = 8 << 20
 #: Members of a block, members of a leaf.
 BLOCK, LEAF = 512, 8
+#: Rounds with new leaders before the trees.
+ROUNDS = 2
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -60,22 +65,33 @@ def shingle_sets(texts: pa.Array, n: int = N) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of every text."""
     words, bounds = hashing.words(texts)
     full = hashing.runs(words, n)
-    short = {k: hashing.runs(words, k) for k in range(1, n)}
     out = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if b - a >= n:
-            out.append(np.unique(full[a : b - n + 1]))
-        elif b > a:
-            out.append(short[b - a][a : a + 1])
+            x = np.sort(full[a : b - n + 1])
+            new = x[1:] != x[:-1]
+            out.append(x if new.all() else np.concatenate([x[:1], x[1:][new]]))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append(hashing.runs(words[a:b], b - a) if b > a else full[:0])
     return out
 
 
-def fingerprint(shingles: np.ndarray) -> int:
-    """Order-free 64-bit fingerprint of a set, as a signed number."""
-    total = np.add.reduce(hashing.mix(shingles ^ _MIX), dtype=np.uint64) + np.uint64(len(shingles))
-    return int(hashing.mix(np.array([total], np.uint64)).view(np.int64)[0])
+def fingerprints(sets: list[np.ndarray]) -> np.ndarray:
+    """Order-free 64-bit fingerprints of sets, as signed numbers; 0 for empty ones."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    out = np.zeros(len(sets), np.int64)
+    some = sizes > 0
+    if some.any():
+        mixed = hashing.mix(np.concatenate(sets) ^ _MIX)
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])[some]
+        total = np.add.reduceat(mixed, starts) + sizes[some].astype(np.uint64)
+        out[some] = (hashing.mix(total) | np.uint64(1)).view(np.int64)
+    return out
+
+
+def _distinct(sets: list[np.ndarray]) -> dict[int, np.ndarray]:
+    """Fingerprint -> set of the non-empty ones."""
+    return {fp: s for fp, s in zip(fingerprints(sets).tolist(), sets, strict=True) if len(s)}
 
 
 def needed(a, b):
@@ -90,9 +106,9 @@ def prefix_length(n: int) -> int:
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for every document (doc_id, fp, n, bits) and one for every shingle that is
     frequent within the batch (shingle in fp, its count in hot)."""
-    for batch in batches:
+    for batch in _parts(batches):
         sets = shingle_sets(batch.column("text"))
-        fps = [fingerprint(s) if len(s) else None for s in sets]
+        fps = [fp or None for fp in fingerprints(sets).tolist()]
         distinct = list({fp: s for fp, s in zip(fps, sets, strict=True) if fp is not None}.values())
         hot, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         if len(distinct) >= LOCAL_HOT:
@@ -129,9 +145,8 @@ def _file(docs: DataFrame, frequent: np.ndarray, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rank = held.value
-        for batch in batches:
-            sets = shingle_sets(batch.column("text"))
-            distinct = {fingerprint(s): s for s in sets if len(s)}
+        for batch in _parts(batches):
+            distinct = _distinct(shingle_sets(batch.column("text")))
             keys, owners = [], []
             for fp, s in distinct.items():
                 p = prefix_length(len(s))
@@ -201,28 +216,35 @@ def _bitmap(shingles: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, amount: int) -> DataFrame:
-    """(fp, shingles) of the ``wanted`` classes. Texts are not shuffled: a bit table
-    of a fixed size keeps nearly all other sets in their task."""
-    buckets = bucket_bits(amount, most=12)
-    held = docs.sparkSession.sparkContext.broadcast(bits_of(wanted, "fp", buckets))
+def _sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
+    """(fp, shingles) of the ``wanted`` classes, from one document of each. Texts are
+    not shuffled: a bit table of a fixed size tells which documents to look at."""
+    wanted = cut_lineage(wanted.distinct(), "wanted")
+    chosen = classes.join(wanted, "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
+    buckets = 8
+    held = docs.sparkSession.sparkContext.broadcast(bits_of(chosen.where("doc_id is not null"), "doc_id", buckets))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(batch.column("text"))
-            found = {fingerprint(s): s for s in sets if len(s)}
-            fps = np.fromiter(found, np.int64, len(found))
-            key = fps.view(np.uint64)
-            keep = held.value.has(bucket_of(hashing.mix(key), buckets), key)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(fps[keep]), pa.array([found[f].tobytes() for f in fps[keep].tolist()], pa.binary())],
-                names=["fp", "shingles"],
-            )
+            ids = batch.column("doc_id")
+            key = ids.fill_null(0).to_numpy().view(np.uint64)
+            keep = held.value.has(bucket_of(hashing.mix(key), buckets), key) | ids.is_null().to_numpy(zero_copy_only=False)
+            for part in _parts([batch.filter(pa.array(keep))]):
+                found = _distinct(shingle_sets(part.column("text")))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.keys(), pa.int64()), pa.array([x.tobytes() for x in found.values()], pa.binary())],
+                    names=["fp", "shingles"],
+                )
 
-    made = docs.select("text").mapInArrow(run, "fp long, shingles binary").join(wanted.select("fp").distinct(), "fp", "left_semi")
+    made = docs.select("doc_id", "text").mapInArrow(run, "fp long, shingles binary").join(wanted, "fp", "left_semi")
     return cut_lineage(made.groupBy("fp").agg(F.first("shingles").alias("shingles")), "sets")
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from slices(batch, "text", PART_BYTES)
+
+
 def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) that sizes and bitmaps do not rule out."""
 
@@ -373,19 +395,36 @@ def _join_blocks(table: pa.Table) -> pa.Table:
     return pa.table({"a": a, "b": b})
 
 
-def _tree_pairs(cells: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidate pairs of the cells that are not connected yet, by signature trees."""
+def _open(cells: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """(cell, fp, label, n) of the cells whose members are not all connected yet,
+    without members that no other member of their cell comes near in size."""
     known = labels.select(F.col("node").alias("fp"), F.col("component").alias("label"))
     marked = cells.join(known, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     open_cells = marked.groupBy("cell").agg(F.min("label").alias("_0"), F.max("label").alias("_1")).where("_0 <> _1")
     marked = marked.join(open_cells.select("cell"), "cell", "left_semi").select("cell", "fp", "label").distinct()
-    # a member that is not near its neighbours in size is not near anyone
     by_size = Window.partitionBy("cell").orderBy("n", "fp")
-    marked = (
+    return cut_lineage(
         marked.join(classes.select("fp", "n"), "fp")
         .withColumn("_p", F.lag("n").over(by_size)).withColumn("_q", F.lead("n").over(by_size))
-        .where((4 * F.col("_p") >= 3 * F.col("n")) | (4 * F.col("n") >= 3 * F.col("_q"))).drop("_p", "_q")
+        .where((4 * F.col("_p") >= 3 * F.col("n")) | (4 * F.col("n") >= 3 * F.col("_q"))).drop("_p", "_q"),
+        "open-cells",
+    )
+
+
+def _stars(opened: DataFrame, turn: int) -> DataFrame:
+    """Pairs of every open cell's member with a leader drawn anew, in other words as
+    many pairs as members: cells of one group of near copies draw different leaders."""
+    lead = opened.groupBy("cell").agg(
+        F.min(F.struct(F.xxhash64("cell", "fp", F.lit(turn)).alias("h"), "fp", "label")).alias("_l")
     )
+    pairs = opened.join(lead, "cell").where(F.col("label") != F.col("_l.label"))
+    return pairs.select(
+        F.least("fp", "_l.fp").alias("a"), F.greatest("fp", "_l.fp").alias("b")
+    ).distinct()
+
+
+def _tree_pairs(marked: DataFrame, classes: DataFrame) -> DataFrame:
+    """Candidate pairs of open cells by signature trees."""
     members = marked.join(classes.select("fp", "bits"), "fp").withColumn("width", F.length("bits"))
     order = Window.partitionBy("cell", "width").orderBy("label", "n", "fp")
     members = cut_lineage(
@@ -439,16 +478,18 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         .groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "cell-classes",
     )
     stars = cells.where("leader <> fp").select(F.col("leader").alias("a"), F.col("fp").alias("b")).distinct()
-    close = _linked(stars, known, thin, filed)
-    pairs = _tree_pairs(cells, components(close), known)
-    return classes, close.unionAll(_linked(pairs, known, thin, filed))
-
-
-def _linked(pairs: DataFrame, classes: DataFrame, docs: DataFrame, amount: int) -> DataFrame:
-    """The links among ``pairs``: bounds first, then exact overlaps."""
-    left = _possible(pairs, classes)
-    wanted = left.select(F.col("a").alias("fp")).unionAll(left.select(F.col("b").alias("fp")))
-    return _verified(left, _sets(docs, wanted, amount))
+    found = _linked(_possible(stars, known), thin, classes)
+    for turn in range(ROUNDS):
+        opened = _open(cells, components(found), known)
+        found = found.unionAll(_linked(_possible(_stars(opened, turn), known), thin, classes))
+    opened = _open(cells, components(found), known)
+    return classes, found.unionAll(_linked(cut_lineage(_tree_pairs(opened, known), "tree-pairs"), thin, classes))
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The links among ``pairs``, by exact overlaps."""
+    wanted = pairs.select(F.col("a").alias("fp")).unionAll(pairs.select(F.col("b").alias("fp")))
+    return _verified(pairs, _sets(docs, wanted, classes))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
