@@ -38,7 +38,6 @@ from pyspark.sql import functions as F
 
 from fundcast.llm import hashing
 from fundcast.llm.packed import Bits, assemble, bits_of, bucket_bits, bucket_of, pack, slice_of, slices, unpack
-from fundcast.llm.words import n_words
 from fundcast.session import cut_lineage
 
 DEPTH = 2
@@ -51,7 +50,7 @@ DISCOUNT = 0.75
 #: Runs above this share of all tokens are broadcast.
 SHARE = 2.0**-18
 #: Text that a task counts at once (its runs are sorted in memory).
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 
 START, END = np.uint64(0xA5A5_0001_0000_0001), np.uint64(0xA5A5_0002_0000_0002)
 
@@ -275,7 +274,7 @@ def fit(texts: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
 
     values: (key, length, v, c) with the log10 value a run adds to a score wherever
     it occurs; words: (word, c)."""
-    size = texts.select(F.sum(F.length("text")).alias("s")).first().s or 0
+    size = texts.select(F.sum(F.octet_length("text")).alias("s")).first().s or 0
     buckets = bucket_bits(size // 6)
     words = count_words(texts, buckets)
     total = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
@@ -314,7 +313,7 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
     often = F.col("c") > tokens * SHARE
     common = {n: _common(table.where(often & (F.col("length") == n)), "key", ["v", "wc"]) for n in range(1, DEPTH + 2)}
     rare = table.where(~often)
-    amount = docs.select(F.sum(F.length("text")).alias("s")).first().s or 0
+    amount = docs.select(F.sum(F.octet_length("text")).alias("s")).first().s or 0
     buckets = max(3, bucket_bits(amount // 24))
     listed = rare.where("length > 1").select("key")
     above = bits_of(listed, "key", buckets)
@@ -371,14 +370,14 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
             )
             for rows, is_local in ((local, True), (out, False)):
                 k = rows.num_rows
-                sums = [base.tobytes(), known.tobytes(), more.tobytes()] if is_local else [None] * 3
+                sums = [x.tobytes() for x in (np.diff(bounds) - 1, base, known, more)] if is_local else [None] * 4
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array([text.tobytes()] * k, pa.binary()), *(pa.array([x] * k, pa.binary()) for x in sums)],
-                    names=[*rows.schema.names, "texts", "base", "known", "more"],
+                    names=[*rows.schema.names, "texts", "tokens", "base", "known", "more"],
                 )
 
     def look_up(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        texts, sums = [], [[], [], []]
+        texts, sums = [], [[], [], [], []]
         if right.num_rows:
             listed = unpack(right, "keys", np.uint64)
             order = np.argsort(listed, kind="stable")
@@ -391,7 +390,7 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
                 get = lambda c, kind: np.frombuffer(row.column(c)[i].as_py() or b"", kind)  # noqa: B023, E731
                 text = get("texts", np.int64)
                 if row.column("bucket")[i].as_py() < 0:
-                    parts = [get("base", np.float64), get("known", np.int64), get("more", np.float64)]
+                    parts = [get("tokens", np.int64), get("base", np.float64), get("known", np.int64), get("more", np.float64)]
                     hit = np.arange(len(text))
                 else:
                     k, doc, count = get("keys", np.uint64), get("docs", np.uint32), get("counts", np.uint32)
@@ -401,7 +400,7 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
                     at, doc, count = at[good], doc[good].astype(np.int64), count[good]
                     n = len(text)
                     parts = [
-                        np.bincount(doc, np.log10(wc[at] + 1.0) * count, n), np.bincount(doc, (wc[at] > 0) * count, n),
+                        np.zeros(n), np.bincount(doc, np.log10(wc[at] + 1.0) * count, n), np.bincount(doc, (wc[at] > 0) * count, n),
                         np.bincount(doc, v[at] * count, n),
                     ]
                     hit = np.unique(doc)
@@ -409,29 +408,26 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
                 for s, p in zip(sums, parts, strict=True):
                     s.append(p[hit].astype(np.float64))
         one = [np.concatenate(x) if x else np.zeros(0) for x in (texts, *sums)]
-        return pa.table({"key": one[0].astype(np.int64), "base": one[1], "known": one[2], "more": one[3]})
+        return pa.table({"key": one[0].astype(np.int64), "tokens": one[1], "base": one[2], "known": one[3], "more": one[4]})
 
     kept = docs.select("doc_id", "text")
     keyed = kept.select(_doc_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
     sent = keyed.mapInArrow(
-        emit, "bucket long, keys binary, docs binary, counts binary, texts binary, base binary, known binary, more binary"
+        emit, "bucket long, keys binary, docs binary, counts binary, texts binary, tokens binary, base binary, known binary, more binary"
     )
     # sums of the broadcast part need no table: they are spread over partitions by text
     spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("texts"), F.lit(1 << buckets))).otherwise(F.col("bucket"))
     packed = rare.select("key", "v", "wc").mapInArrow(pack_table, "bucket long, keys binary, v binary, wc binary")
     parts = sent.withColumn("bucket", spread).groupBy("bucket").cogroup(packed.groupBy("bucket")).applyInArrow(
-        look_up, "key long, base double, known double, more double"
-    )
-    sums = parts.groupBy("key").agg(F.sum("base").alias("base"), F.sum("known").alias("known"), F.sum("more").alias("more"))
-    plain = kept.select(
-        "doc_id", _doc_key(F.col("doc_id"), F.col("text")).alias("key"),
-        (n_words(F.col("text")) + 1).alias("n_tokens"),
+        look_up, "key long, tokens double, base double, known double, more double"
     )
+    sums = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("tokens", "base", "known", "more")])
     # rows with equal doc_id and text share one key: their sums are divided among them
-    rows = plain.groupBy("key", "doc_id", "n_tokens").agg(F.count("*").alias("_rows"))
+    rows = kept.groupBy(_doc_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id").agg(F.count("*").alias("_rows"))
+    each_row = [F.round(F.col(c) / F.col("_rows")).cast("long") for c in ("tokens", "known")]
     joined = rows.join(sums, "key").select(
-        "doc_id", "n_tokens", F.round(F.col("known") / F.col("_rows")).cast("long").alias("n_known"),
-        (F.col("base") / F.col("_rows") - F.col("n_tokens") * norm).alias("base_score"),
+        "doc_id", each_row[0].alias("n_tokens"), each_row[1].alias("n_known"),
+        ((F.col("base") - F.col("tokens") * norm) / F.col("_rows")).alias("base_score"),
         (F.col("more") / F.col("_rows")).alias("_more"), "_rows",
     )
     each = F.explode(F.sequence(F.lit(1), F.col("_rows").cast("int")))
