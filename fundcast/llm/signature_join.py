@@ -12,13 +12,16 @@ shingles is at least 3/4.
 3. Classes filed under the same shingle form a cell. In every cell all members
    are first compared with one leader, exactly. A group of near copies is thus
    joined by as many comparisons as it has members.
-   Cells that stay open draw new leaders a few times over.
+   Cells that stay open draw a new leader once more. This is done first for
+   the HEAD first shingles of every prefix, which nearly all links share.
 4. Cells whose members are not all connected by then are joined by signature
    trees: nodes hold the OR of their members' shingle bitmaps and the range of
    their sizes; two trees are descended together, and a pair of nodes is dropped
    when the overlap that bitmaps and sizes allow is too small, or when all its
    members are connected already. Pairs that remain are verified exactly.
-5. Components of all links, smallest document first.
+5. The same for whole prefixes: cells that are not connected by then are joined by
+   trees, without the pairs that share a head shingle and were judged in 4.
+6. Components of all links, smallest document first.
 
 Cells of any size are cut into blocks, so no task holds a whole cell. No pair is
 lost: bounds are upper bounds, and nothing is capped or sampled.
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 
 from fundcast.llm import hashing
 from fundcast.llm.components import components
-from fundcast.llm.packed import bits_of, bucket_bits, bucket_of, slices
+from fundcast.llm.packed import bits_of, bucket_bits, bucket_of, pack, slices
 from fundcast.session import cut_lineage
 
 N = 5
@@ -55,8 +58,10 @@ BUCKET_ROWS = 1 << 20
 PART_BYTES = 8 << 20
 #: Members of a block, members of a leaf.
 BLOCK, LEAF = 512, 8
-#: Rounds with new leaders before the trees.
-ROUNDS = 2
+#: Further rounds with new leaders before the trees.
+ROUNDS = 1
+#: Shingles of a prefix by which classes are compared first.
+HEAD = 8
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -137,47 +142,60 @@ def _frequent(seen: DataFrame) -> np.ndarray:
     return rows["fp"].to_numpy().astype(np.int64)[order].view(np.uint64)
 
 
-def _file(docs: DataFrame, frequent: np.ndarray, bits: int) -> DataFrame:
+def _file(docs: DataFrame, held, bits: int) -> DataFrame:
     """(bucket, shingles, fps): every class under the shingles of its prefix, packed
     by bucket of the shingle hash."""
-    order = np.argsort(frequent, kind="stable")
-    held = docs.sparkSession.sparkContext.broadcast((frequent[order], order))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, rank = held.value
         for batch in _parts(batches):
-            distinct = _distinct(shingle_sets(batch.column("text")))
-            keys, owners = [], []
-            for fp, s in distinct.items():
-                p = prefix_length(len(s))
-                if len(known):
-                    at = np.searchsorted(known, s)
-                    at[at == len(known)] = 0
-                    is_hot = known[at] == s
-                    if is_hot.any():
-                        hot = s[is_hot][np.argsort(rank[at[is_hot]], kind="stable")]
-                        s = np.concatenate([s[~is_hot], hot])
-                keys.append(s[:p])
-                owners.append(np.full(p, fp, np.int64))
-            if not keys:
-                continue
-            key, owner = np.concatenate(keys), np.concatenate(owners)
-            bucket = (key >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(key), np.int64)
-            rest = (key >> np.uint64(32 - bits)).astype(np.uint32)  # the next 32 bits; a tie costs a comparison
-            at = np.argsort(bucket, kind="stable")
-            bucket, rest, owner = bucket[at], rest[at], owner[at]
-            cuts = np.flatnonzero(np.diff(bucket)) + 1
-            starts = np.concatenate([[0], cuts])
+            found = _distinct(shingle_sets(batch.column("text")))
+            keys = [_prefix(s, prefix_length(len(s)), *held.value) for s in found.values()]
+            owner = np.repeat(np.fromiter(found, np.int64, len(found)), [len(k) for k in keys])
+            yield _packed(np.concatenate([np.zeros(0, np.uint64), *keys]), owner, bits)
+
+    return docs.select("text").mapInArrow(run, "bucket long, shingles binary, fps binary")
+
+
+def _prefix(s: np.ndarray, length: int, known: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first ``length`` shingles of a set in filing order: by hash, frequent ones last."""
+    if len(known):
+        at = np.searchsorted(known, s)
+        at[at == len(known)] = 0
+        is_hot = known[at] == s
+        if is_hot.any():
+            hot = s[is_hot][np.argsort(rank[at[is_hot]], kind="stable")]
+            s = np.concatenate([s[~is_hot], hot])
+    return s[:length]
+
+
+def _heads(docs: DataFrame, held) -> DataFrame:
+    """(fp, head): the first HEAD shingles of every class's prefix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            found = _distinct(shingle_sets(batch.column("text")))
+            heads = [_prefix(s, min(HEAD, prefix_length(len(s))), *held.value).tobytes() for s in found.values()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(bucket[starts]),
-                    pa.array([x.tobytes() for x in np.split(rest, cuts)], pa.binary()),
-                    pa.array([x.tobytes() for x in np.split(owner, cuts)], pa.binary()),
-                ],
-                names=["bucket", "shingles", "fps"],
+                [pa.array(found.keys(), pa.int64()), pa.array(heads, pa.binary())], names=["fp", "head"]
             )
 
-    return docs.select("text").mapInArrow(run, "bucket long, shingles binary, fps binary")
+    made = docs.select("text").mapInArrow(run, "fp long, head binary")
+    return cut_lineage(made.groupBy("fp").agg(F.first("head").alias("head")), "heads")
+
+
+def _file_heads(heads: DataFrame, bits: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("head")]
+            owner = np.repeat(batch.column("fp").to_numpy(), [len(s) for s in sets])
+            yield _packed(np.concatenate([np.zeros(0, np.uint64), *sets]), owner, bits)
+
+    return heads.mapInArrow(run, "bucket long, shingles binary, fps binary")
+
+
+def _packed(key: np.ndarray, owner: np.ndarray, bits: int) -> pa.RecordBatch:
+    rest = (key >> np.uint64(32 - bits)).astype(np.uint32)  # the 32 bits after the bucket's; a tie costs a comparison
+    return pack(bucket_of(key, bits), {"shingles": rest, "fps": owner})
 
 
 def _cells(table: pa.Table) -> pa.Table:
@@ -261,13 +279,9 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
                 keep[i] = most >= needed(n[i], m[i])
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    size = classes.select("fp", "n")
-    near = (
-        pairs.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b")
-        .where("4 * na >= 3 * nb and 4 * nb >= 3 * na")
-    )
-    bits = classes.select("fp", "bits")
-    joined = near.join(bits.toDF("a", "xa"), "a").join(bits.toDF("b", "xb"), "b")
+    one = classes.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
+    two = classes.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
+    joined = pairs.join(one, "a").join(two, "b").where("4 * na >= 3 * nb and 4 * nb >= 3 * na")
     return cut_lineage(joined.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long"), "possible")
 
 
@@ -378,7 +392,8 @@ def _join_blocks(table: pa.Table) -> pa.Table:
         order = np.lexsort((fp, n, label))
         raw = t.column("bits").to_pylist()
         bits = np.stack([np.frombuffer(raw[i], np.uint64) for i in order]) if len(raw) else np.zeros((0, 1), np.uint64)
-        return fp[order], n[order], label[order], bits
+        head = t.column("head").to_pylist()
+        return fp[order], n[order], label[order], bits, [np.frombuffer(head[i], np.uint64) for i in order]
 
     import pyarrow.compute  # noqa: F401
 
@@ -389,7 +404,10 @@ def _join_blocks(table: pa.Table) -> pa.Table:
     words = min(one[3].shape[1], two[3].shape[1])
     left = Tree(one[1], one[2], _fold(one[3], words))
     right = left if same else Tree(two[1], two[2], _fold(two[3], words))
-    pairs = [(int(one[0][i]), int(two[0][j])) for i, j in dual_traversal(left, right, same)]
+    pairs = [
+        (int(one[0][i]), int(two[0][j])) for i, j in dual_traversal(left, right, same)
+        if not (one[4][i][:, None] == two[4][j]).any()
+    ]
     a = np.array([min(p) for p in pairs], np.int64)
     b = np.array([max(p) for p in pairs], np.int64)
     return pa.table({"a": a, "b": b})
@@ -399,14 +417,13 @@ def _open(cells: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """(cell, fp, label, n) of the cells whose members are not all connected yet,
     without members that no other member of their cell comes near in size."""
     known = labels.select(F.col("node").alias("fp"), F.col("component").alias("label"))
-    marked = cells.join(known, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    open_cells = marked.groupBy("cell").agg(F.min("label").alias("_0"), F.max("label").alias("_1")).where("_0 <> _1")
-    marked = marked.join(open_cells.select("cell"), "cell", "left_semi").select("cell", "fp", "label").distinct()
-    by_size = Window.partitionBy("cell").orderBy("n", "fp")
+    in_cell, by_size = Window.partitionBy("cell"), Window.partitionBy("cell").orderBy("n", "fp")
     return cut_lineage(
-        marked.join(classes.select("fp", "n"), "fp")
+        cells.select("cell", "fp").join(classes.select("fp", "n"), "fp").join(known, "fp", "left")
+        .withColumn("label", F.coalesce("label", "fp"))
         .withColumn("_p", F.lag("n").over(by_size)).withColumn("_q", F.lead("n").over(by_size))
-        .where((4 * F.col("_p") >= 3 * F.col("n")) | (4 * F.col("n") >= 3 * F.col("_q"))).drop("_p", "_q"),
+        .withColumn("_0", F.min("label").over(in_cell)).withColumn("_1", F.max("label").over(in_cell))
+        .where("_0 <> _1 and (4 * _p >= 3 * n or 4 * n >= 3 * _q)").drop("_p", "_q", "_0", "_1"),
         "open-cells",
     )
 
@@ -423,9 +440,11 @@ def _stars(opened: DataFrame, turn: int) -> DataFrame:
     ).distinct()
 
 
-def _tree_pairs(marked: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidate pairs of open cells by signature trees."""
-    members = marked.join(classes.select("fp", "bits"), "fp").withColumn("width", F.length("bits"))
+def _tree_pairs(marked: DataFrame, classes: DataFrame, seen: bool) -> DataFrame:
+    """Candidate pairs of open cells by signature trees; with ``seen``, without the
+    pairs that share a head shingle, which were judged before."""
+    columns = ["fp", "bits", "head" if seen else F.lit(b"").alias("head")]
+    members = marked.join(classes.select(*columns), "fp").withColumn("width", F.length("bits"))
     order = Window.partitionBy("cell", "width").orderBy("label", "n", "fp")
     members = cut_lineage(
         members.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK)), "cell-members"
@@ -456,7 +475,7 @@ def _tree_pairs(marked: DataFrame, classes: DataFrame) -> DataFrame:
     ).select("cell", "pair", F.col("s.side").alias("side"), F.col("s.w").alias("width"), F.col("s.k").alias("block"))
     return (
         wanted.join(members, ["cell", "width", "block"])
-        .select("pair", "side", "fp", "n", "label", "bits")
+        .select("pair", "side", "fp", "n", "label", "bits", "head")
         .groupBy("pair").applyInArrow(_join_blocks, "a long, b long").distinct()
     )
 
@@ -467,23 +486,32 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     seen = cut_lineage(thin.mapInArrow(_classes, "doc_id long, fp long, n long, hot long, bits binary"), "classes")
     classes = seen.where("hot is null").select("doc_id", "fp", "n")
-    filed = classes.agg(F.sum(F.floor(F.col("n") / 4) + 1)).first()[0] or 0
+    total = classes.agg(F.sum(F.floor(F.col("n") / 4) + 1).alias("filed"), F.count("*").alias("docs")).first()
     frequent = _frequent(seen)
-    cells = cut_lineage(
-        _file(thin, frequent, bucket_bits(filed, BUCKET_ROWS)).groupBy("bucket").applyInArrow(_cells, "cell long, leader long, fp long"),
-        "cells",
-    )
+    order = np.argsort(frequent, kind="stable")
+    held = thin.sparkSession.sparkContext.broadcast((frequent[order], order))
+    heads = _heads(thin, held)
     known = cut_lineage(
-        seen.where("fp is not null and hot is null").join(cells.select("fp").distinct(), "fp", "left_semi")
-        .groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "cell-classes",
+        seen.where("fp is not null and hot is null").groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
+        .join(heads, "fp"), "known-classes",
     )
+
+    def cells_of(filed: DataFrame) -> DataFrame:
+        return cut_lineage(filed.groupBy("bucket").applyInArrow(_cells, "cell long, leader long, fp long").distinct(), "cells")
+
+    # classes that share a head shingle: nearly all that link
+    cells = cells_of(_file_heads(heads, bucket_bits(HEAD * total.docs, BUCKET_ROWS)))
     stars = cells.where("leader <> fp").select(F.col("leader").alias("a"), F.col("fp").alias("b")).distinct()
     found = _linked(_possible(stars, known), thin, classes)
     for turn in range(ROUNDS):
         opened = _open(cells, components(found), known)
         found = found.unionAll(_linked(_possible(_stars(opened, turn), known), thin, classes))
     opened = _open(cells, components(found), known)
-    return classes, found.unionAll(_linked(cut_lineage(_tree_pairs(opened, known), "tree-pairs"), thin, classes))
+    found = found.unionAll(_linked(cut_lineage(_tree_pairs(opened, known, False), "tree-pairs"), thin, classes))
+    # the rest of the prefixes: pairs without a common head shingle
+    cells = cells_of(_file(thin, held, bucket_bits(total.filed or 0, BUCKET_ROWS)))
+    opened = _open(cells, components(found), known)
+    return classes, found.unionAll(_linked(cut_lineage(_tree_pairs(opened, known, True), "tree-pairs"), thin, classes))
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
