@@ -7,6 +7,7 @@ instead of millions of small ones, and a bucket's work is vectorised.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,19 @@ def unpack(table: pa.Table, column: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
 
 
+@contextlib.contextmanager
+def small_batches(spark, rows: int = 2000):
+    """Within it, jobs hand texts to Python in batches of ``rows`` rows: the batches
+    of whole documents that a task holds in and outside the JVM stay small."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Bits:
     """Bit table over hashes; a bucket owns one slice of it."""
 

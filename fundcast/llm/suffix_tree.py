@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundcast.llm import hashing
-from fundcast.llm.packed import Bits, assemble, bits_of, bucket_bits, bucket_of, pack, slice_of, slices, unpack
+from fundcast.llm.packed import Bits, assemble, bits_of, bucket_bits, bucket_of, pack, slice_of, slices, small_batches, unpack
 from fundcast.session import cut_lineage
 
 DEPTH = 2
@@ -139,50 +139,55 @@ def count_runs(
     held = texts.sparkSession.sparkContext.broadcast((common, above))
     crowded = max(tokens >> max(buckets, 1), 1)  # occurrences that would fill a bucket
 
-    def place(ctx, nxt, known, at, common) -> np.ndarray:
-        bucket = bucket_of(hashing.mix(ctx), buckets)
-        if depth == 1:
-            spread = known & (common.values["c"][at] > crowded) if len(common.keys) else known
-            bucket[spread] = bucket_of(hashing.mix(ctx[spread] ^ hashing.mix(nxt[spread])), buckets)
-        return bucket
-
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, above = held.value
         for batch in (x for whole in batches for x in slices(whole, "text", PART_BYTES)):
             symbols, bounds = sequences(batch.column("text"))
-            run, at = run_keys(symbols, bounds, depth + 1)
+            _, at = run_keys(symbols, bounds, depth + 1)
             ctx = hashing.runs(symbols, depth)[at] if depth > 1 else symbols[at]
             nxt = symbols[at + depth]
             if above is not None:
                 first = symbols[at]
                 known, where = common.find(first)
                 keep = above.has(place_of(first, symbols[at + 1], known, where, common), ctx)
-                ctx, nxt, run, at = ctx[keep], nxt[keep], run[keep], at[keep]
-            # equal runs once, with their count
-            order = np.argsort(run, kind="stable")
-            run, ctx, nxt, at = run[order], ctx[order], nxt[order], at[order]
-            start = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else np.zeros(0, np.int64)
-            c = np.diff(np.concatenate([start, [len(run)]])).astype(np.uint32)
-            ctx, nxt, at = ctx[start], nxt[start], at[start]
-            known, where = common.find(ctx) if depth == 1 else (np.zeros(len(ctx), bool), np.zeros(len(ctx), np.int64))
-            bucket = place(ctx, nxt, known, where, common)
-            columns = {"ctx": ctx, "next": nxt, "c": c}
+                ctx, nxt, at = ctx[keep], nxt[keep], at[keep]
+            known, where = common.find(ctx) if depth == 1 else (None, None)
+            placed = hashing.mix(ctx)  # its leading bits are the bucket
+            if depth == 1:
+                spread = crowds(known, where, common)
+                placed[spread] = hashing.mix(ctx[spread] ^ hashing.mix(nxt[spread]))
+            # equal runs once, with their count; runs of one context side by side
+            order = np.lexsort((nxt, placed))
+            placed, nxt = placed[order], nxt[order]
+            start = np.flatnonzero(np.concatenate([[True], (placed[1:] != placed[:-1]) | (nxt[1:] != nxt[:-1])])) if len(nxt) else order
+            c = np.diff(np.concatenate([start, [len(nxt)]])).astype(np.uint32)
+            placed, nxt, order = placed[start], nxt[start], order[start]
+            group = np.flatnonzero(np.concatenate([[True], placed[1:] != placed[:-1]])) if len(nxt) else order
+            size = np.diff(np.concatenate([group, [len(nxt)]])).astype(np.uint32)
+            heads = {"ctx": ctx[order[group]], "size": size}
             if depth > 1:
-                columns["middle"] = symbols[at + 1]  # only depth 2 needs it: the suffix context
-            yield pack(bucket, columns)
+                heads["middle"] = symbols[at + 1][order[group]]  # the suffix context
+            upper, lower = pack(bucket_of(placed[group], buckets), heads), pack(bucket_of(placed, buckets), {"next": nxt, "c": c})
+            yield pa.RecordBatch.from_arrays(
+                [*upper.columns, *lower.columns[1:]], names=[*upper.schema.names, "next", "c"]
+            )
+
+    def crowds(known, where, common) -> np.ndarray:
+        return known & (common.values["c"][where] > crowded) if len(common.keys) else known
 
     def place_of(first, second, known, where, common) -> np.ndarray:
         """Bucket of the run (first, second), as at depth 1."""
         bucket = bucket_of(hashing.mix(first), buckets)
-        spread = known & (common.values["c"][where] > crowded) if len(common.keys) else known
+        spread = crowds(known, where, common)
         bucket[spread] = bucket_of(hashing.mix(first[spread] ^ hashing.mix(second[spread])), buckets)
         return bucket
 
     def add(key: tuple, table: pa.Table) -> pa.Table:
         common, _ = held.value
-        ctx, nxt = unpack(table, "ctx", np.uint64), unpack(table, "next", np.uint64)
+        size = unpack(table, "size", np.uint32)
+        ctx, nxt = np.repeat(unpack(table, "ctx", np.uint64), size), unpack(table, "next", np.uint64)
         c = unpack(table, "c", np.uint32).astype(np.int64)
-        middle = unpack(table, "middle", np.uint64) if depth > 1 else ctx
+        middle = np.repeat(unpack(table, "middle", np.uint64), size) if depth > 1 else ctx
         order = np.lexsort((nxt, ctx))
         ctx, nxt, c, middle = ctx[order], nxt[order], c[order], middle[order]
         new = np.ones(len(ctx), bool)
@@ -221,7 +226,7 @@ def count_runs(
         )
 
     packed = texts.mapInArrow(
-        emit, "bucket long, ctx binary, next binary, c binary" + (", middle binary" if depth > 1 else "")
+        emit, "bucket long, ctx binary, size binary, " + ("middle binary, " if depth > 1 else "") + "next binary, c binary"
     )
     counted = cut_lineage(
         packed.groupBy("bucket").applyInArrow(
@@ -417,11 +422,15 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
     )
     # sums of the broadcast part need no table: they are spread over partitions by text
     spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("texts"), F.lit(1 << buckets))).otherwise(F.col("bucket"))
-    packed = rare.select("key", "v", "wc").mapInArrow(pack_table, "bucket long, keys binary, v binary, wc binary")
+    packed = cut_lineage(
+        rare.select("key", "v", "wc").mapInArrow(pack_table, "bucket long, keys binary, v binary, wc binary"), "rare-runs"
+    )
     parts = sent.withColumn("bucket", spread).groupBy("bucket").cogroup(packed.groupBy("bucket")).applyInArrow(
         look_up, "key long, tokens double, base double, known double, more double"
     )
-    sums = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("tokens", "base", "known", "more")])
+    sums = cut_lineage(
+        parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("tokens", "base", "known", "more")]), "score-sums"
+    )
     # rows with equal doc_id and text share one key: their sums are divided among them
     rows = kept.groupBy(_doc_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id").agg(F.count("*").alias("_rows"))
     each_row = [F.round(F.col(c) / F.col("_rows")).cast("long") for c in ("tokens", "known")]
@@ -438,5 +447,6 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
 
 def fit_and_score(docs: DataFrame, training: Callable[[Column], Column]) -> DataFrame:
     """Learns from the rows that ``training(doc_id)`` admits and scores all rows."""
-    model = fit(docs.where(F.coalesce(training(F.col("doc_id")), F.lit(True))).select("text"))
-    return score(docs, model).withColumn("train_tokens", F.lit(model[2]).cast("long"))
+    with small_batches(docs.sparkSession):
+        model = fit(docs.where(F.coalesce(training(F.col("doc_id")), F.lit(True))).select("text"))
+        return score(docs, model).withColumn("train_tokens", F.lit(model[2]).cast("long"))
