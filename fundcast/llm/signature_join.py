@@ -9,19 +9,18 @@ shingles is at least 3/4.
 2. A class files itself under the first quarter of its shingles, rare ones
    first: linked classes share one of them (prefix principle). Shingles that
    are frequent enough to matter are known from one bounded table.
-3. Classes filed under the same shingle form a cell. In every cell all members
+3. Classes filed under the same shingle share a leader, the smallest of them; all
+   classes with one leader form a cell, so that a group of near copies, which
+   shares many shingles, is few cells. In every cell all members
    are first compared with one leader, exactly. A group of near copies is thus
    joined by as many comparisons as it has members.
-   Cells that stay open draw a new leader once more. This is done first for
-   the HEAD first shingles of every prefix, which nearly all links share.
+   Cells that stay open draw a new leader once more.
 4. Cells whose members are not all connected by then are joined by signature
    trees: nodes hold the OR of their members' shingle bitmaps and the range of
    their sizes; two trees are descended together, and a pair of nodes is dropped
    when the overlap that bitmaps and sizes allow is too small, or when all its
    members are connected already. Pairs that remain are verified exactly.
-5. The same for whole prefixes: cells that are not connected by then are joined by
-   trees, without the pairs that share a head shingle and were judged in 4.
-6. Components of all links, smallest document first.
+5. Components of all links, smallest document first.
 
 Cells of any size are cut into blocks, so no task holds a whole cell. No pair is
 lost: bounds are upper bounds, and nothing is capped or sampled.
@@ -60,8 +59,6 @@ PART_BYTES = 8 << 20
 BLOCK, LEAF = 512, 8
 #: Further rounds with new leaders before the trees.
 ROUNDS = 1
-#: Shingles of a prefix by which classes are compared first.
-HEAD = 8
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -168,39 +165,14 @@ def _prefix(s: np.ndarray, length: int, known: np.ndarray, rank: np.ndarray) ->
     return s[:length]
 
 
-def _heads(docs: DataFrame, held) -> DataFrame:
-    """(fp, head): the first HEAD shingles of every class's prefix."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches):
-            found = _distinct(shingle_sets(batch.column("text")))
-            heads = [_prefix(s, min(HEAD, prefix_length(len(s))), *held.value).tobytes() for s in found.values()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.keys(), pa.int64()), pa.array(heads, pa.binary())], names=["fp", "head"]
-            )
-
-    made = docs.select("text").mapInArrow(run, "fp long, head binary")
-    return cut_lineage(made.groupBy("fp").agg(F.first("head").alias("head")), "heads")
-
-
-def _file_heads(heads: DataFrame, bits: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("head")]
-            owner = np.repeat(batch.column("fp").to_numpy(), [len(s) for s in sets])
-            yield _packed(np.concatenate([np.zeros(0, np.uint64), *sets]), owner, bits)
-
-    return heads.mapInArrow(run, "bucket long, shingles binary, fps binary")
-
-
 def _packed(key: np.ndarray, owner: np.ndarray, bits: int) -> pa.RecordBatch:
     rest = (key >> np.uint64(32 - bits)).astype(np.uint32)  # the 32 bits after the bucket's; a tie costs a comparison
     return pack(bucket_of(key, bits), {"shingles": rest, "fps": owner})
 
 
 def _cells(table: pa.Table) -> pa.Table:
-    """(cell, leader, fp) for the classes of a bucket that share a shingle; equal
-    cells once."""
+    """(cell, fp): the classes of a bucket that share a shingle, by the smallest of
+    them; each once."""
     key = np.frombuffer(b"".join(table.column("shingles").to_pylist()), np.uint32)
     fp = np.frombuffer(b"".join(table.column("fps").to_pylist()), np.int64)
     order = np.lexsort((fp, key))
@@ -210,25 +182,18 @@ def _cells(table: pa.Table) -> pa.Table:
     key, fp = key[new], fp[new]
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.concatenate([start, [len(key)]]))
-    # a cell is known by its members, whatever shingle they share
-    cell = hashing.mix(np.add.reduceat(hashing.mix(fp.view(np.uint64) ^ _MIX), start)).view(np.int64)
-    _, first = np.unique(cell, return_index=True)
-    pick = np.zeros(len(start), bool)
-    pick[first] = True
-    pick &= size > 1
-    rows = np.repeat(pick, size)
-    return pa.table(
-        {
-            "cell": np.repeat(cell[pick], size[pick]),
-            "leader": np.repeat(fp[start[pick]], size[pick]),
-            "fp": fp[rows],
-        }
-    )
+    leader, rows = np.repeat(fp[start], size), np.repeat(size > 1, size)
+    leader, fp = leader[rows], fp[rows]
+    order = np.lexsort((fp, leader))
+    leader, fp = leader[order], fp[order]
+    new = np.ones(len(fp), bool)
+    new[1:] = (leader[1:] != leader[:-1]) | (fp[1:] != fp[:-1])
+    return pa.table({"cell": leader[new], "fp": fp[new]})
 
 
 def _bitmap(shingles: np.ndarray) -> bytes:
-    """Bits of a set: a power of two of them, at least one for each shingle."""
-    width = max(64, 1 << int(len(shingles) - 1).bit_length())
+    """Bits of a set: a power of two of them, at least four for each shingle."""
+    width = max(64, 1 << int(4 * len(shingles) - 1).bit_length())
     bits = np.zeros(width, np.uint8)
     bits[(shingles & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -392,8 +357,7 @@ def _join_blocks(table: pa.Table) -> pa.Table:
         order = np.lexsort((fp, n, label))
         raw = t.column("bits").to_pylist()
         bits = np.stack([np.frombuffer(raw[i], np.uint64) for i in order]) if len(raw) else np.zeros((0, 1), np.uint64)
-        head = t.column("head").to_pylist()
-        return fp[order], n[order], label[order], bits, [np.frombuffer(head[i], np.uint64) for i in order]
+        return fp[order], n[order], label[order], bits
 
     import pyarrow.compute  # noqa: F401
 
@@ -404,10 +368,7 @@ def _join_blocks(table: pa.Table) -> pa.Table:
     words = min(one[3].shape[1], two[3].shape[1])
     left = Tree(one[1], one[2], _fold(one[3], words))
     right = left if same else Tree(two[1], two[2], _fold(two[3], words))
-    pairs = [
-        (int(one[0][i]), int(two[0][j])) for i, j in dual_traversal(left, right, same)
-        if not (one[4][i][:, None] == two[4][j]).any()
-    ]
+    pairs = [(int(one[0][i]), int(two[0][j])) for i, j in dual_traversal(left, right, same)]
     a = np.array([min(p) for p in pairs], np.int64)
     b = np.array([max(p) for p in pairs], np.int64)
     return pa.table({"a": a, "b": b})
@@ -440,11 +401,9 @@ def _stars(opened: DataFrame, turn: int) -> DataFrame:
     ).distinct()
 
 
-def _tree_pairs(marked: DataFrame, classes: DataFrame, seen: bool) -> DataFrame:
-    """Candidate pairs of open cells by signature trees; with ``seen``, without the
-    pairs that share a head shingle, which were judged before."""
-    columns = ["fp", "bits", "head" if seen else F.lit(b"").alias("head")]
-    members = marked.join(classes.select(*columns), "fp").withColumn("width", F.length("bits"))
+def _tree_pairs(marked: DataFrame, classes: DataFrame) -> DataFrame:
+    """Candidate pairs of open cells by signature trees."""
+    members = marked.join(classes.select("fp", "bits"), "fp").withColumn("width", F.length("bits"))
     order = Window.partitionBy("cell", "width").orderBy("label", "n", "fp")
     members = cut_lineage(
         members.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK)), "cell-members"
@@ -475,7 +434,7 @@ def _tree_pairs(marked: DataFrame, classes: DataFrame, seen: bool) -> DataFrame:
     ).select("cell", "pair", F.col("s.side").alias("side"), F.col("s.w").alias("width"), F.col("s.k").alias("block"))
     return (
         wanted.join(members, ["cell", "width", "block"])
-        .select("pair", "side", "fp", "n", "label", "bits", "head")
+        .select("pair", "side", "fp", "n", "label", "bits")
         .groupBy("pair").applyInArrow(_join_blocks, "a long, b long").distinct()
     )
 
@@ -486,32 +445,23 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     seen = cut_lineage(thin.mapInArrow(_classes, "doc_id long, fp long, n long, hot long, bits binary"), "classes")
     classes = seen.where("hot is null").select("doc_id", "fp", "n")
-    total = classes.agg(F.sum(F.floor(F.col("n") / 4) + 1).alias("filed"), F.count("*").alias("docs")).first()
+    total = classes.agg(F.sum(F.floor(F.col("n") / 4) + 1).alias("filed")).first()
     frequent = _frequent(seen)
     order = np.argsort(frequent, kind="stable")
     held = thin.sparkSession.sparkContext.broadcast((frequent[order], order))
-    heads = _heads(thin, held)
+    filed = _file(thin, held, bucket_bits(total.filed or 0, BUCKET_ROWS))
+    cells = cut_lineage(filed.groupBy("bucket").applyInArrow(_cells, "cell long, fp long").distinct(), "cells")
     known = cut_lineage(
-        seen.where("fp is not null and hot is null").groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
-        .join(heads, "fp"), "known-classes",
+        seen.where("fp is not null and hot is null").join(cells.select("fp").distinct(), "fp", "left_semi")
+        .groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "cell-classes",
     )
-
-    def cells_of(filed: DataFrame) -> DataFrame:
-        return cut_lineage(filed.groupBy("bucket").applyInArrow(_cells, "cell long, leader long, fp long").distinct(), "cells")
-
-    # classes that share a head shingle: nearly all that link
-    cells = cells_of(_file_heads(heads, bucket_bits(HEAD * total.docs, BUCKET_ROWS)))
-    stars = cells.where("leader <> fp").select(F.col("leader").alias("a"), F.col("fp").alias("b")).distinct()
+    stars = cells.where("cell <> fp").select(F.col("cell").alias("a"), F.col("fp").alias("b"))
     found = _linked(_possible(stars, known), thin, classes)
     for turn in range(ROUNDS):
         opened = _open(cells, components(found), known)
         found = found.unionAll(_linked(_possible(_stars(opened, turn), known), thin, classes))
     opened = _open(cells, components(found), known)
-    found = found.unionAll(_linked(cut_lineage(_tree_pairs(opened, known, False), "tree-pairs"), thin, classes))
-    # the rest of the prefixes: pairs without a common head shingle
-    cells = cells_of(_file(thin, held, bucket_bits(total.filed or 0, BUCKET_ROWS)))
-    opened = _open(cells, components(found), known)
-    return classes, found.unionAll(_linked(cut_lineage(_tree_pairs(opened, known, True), "tree-pairs"), thin, classes))
+    return classes, found.unionAll(_linked(cut_lineage(_tree_pairs(opened, known), "tree-pairs"), thin, classes))
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
