@@ -16,8 +16,8 @@ be crowded are spread over all of them.
 
 The score of a text is then a sum over its runs of one to DEPTH + 1 symbols of a
 value per run (what the run adds as a context and as a transition). Values of
-runs that hold at least 1/2**18 of all tokens are broadcast, there are at most
-2**18 of each length; the others are looked up in buckets and added per text. No
+runs that hold at least 1/2**20 of all tokens are broadcast, there are at most
+2**20 of each length; the others are looked up in buckets and added per text. No
 text is shuffled.
 
 Edge cases: null and empty texts consist of the end alone; an empty table, or one
@@ -41,16 +41,16 @@ from fundcast.llm.packed import Bits, assemble, bits_of, bucket_bits, bucket_of,
 from fundcast.session import cut_lineage
 
 DEPTH = 2
-MIN_CONTEXT, MIN_PAIR = 8, 3
+MIN_CONTEXT, MIN_PAIR = 16, 4
 #: A transition is listed if it is this many times likelier than under the suffix.
 MIN_RATIO = 2.0
 #: Divergence from the suffix (nats per occurrence) that keeps a context.
 MIN_DIVERGENCE = 0.05
 DISCOUNT = 0.75
 #: Runs above this share of all tokens are broadcast.
-SHARE = 2.0**-18
+SHARE = 2.0**-20
 #: Text that a task counts at once (its runs are sorted in memory).
-PART_BYTES = 4 << 20
+PART_BYTES = 12 << 20
 
 START, END = np.uint64(0xA5A5_0001_0000_0001), np.uint64(0xA5A5_0002_0000_0002)
 
@@ -110,14 +110,19 @@ class Common:
         order = np.argsort(keys)
         self.keys = keys[order]
         self.values = {k: v[order] for k, v in values.items()}
+        self.some = hashing.Filter(self.keys)
 
     def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(known, place) of every key."""
         if not len(self.keys):
             return np.zeros(len(key), bool), np.zeros(len(key), np.int64)
-        at = np.searchsorted(self.keys, key)
+        known, place = np.zeros(len(key), bool), np.zeros(len(key), np.int64)
+        maybe = self.some.positions(key)
+        at = np.searchsorted(self.keys, key[maybe])
         at[at == len(self.keys)] = 0
-        return self.keys[at] == key, at
+        known[maybe] = self.keys[at] == key[maybe]
+        place[maybe] = at
+        return known, place
 
 
 def _common(rows: DataFrame, key: str, columns: list[str]) -> Common:
@@ -167,7 +172,7 @@ def count_runs(
             heads = {"ctx": ctx[order[group]], "size": size}
             if depth > 1:
                 heads["middle"] = symbols[at + 1][order[group]]  # the suffix context
-            upper, lower = pack(bucket_of(placed[group], buckets), heads), pack(bucket_of(placed, buckets), {"next": nxt, "c": c})
+            upper, lower = pack(bucket_of(placed[group], buckets), heads), pack(bucket_of(placed, buckets), {"next": nxt, "c": c.astype(np.uint32)})
             yield pa.RecordBatch.from_arrays(
                 [*upper.columns, *lower.columns[1:]], names=[*upper.schema.names, "next", "c"]
             )
@@ -369,7 +374,7 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
                 sent_counts.append(np.diff(np.concatenate([start, [len(key)]])))
             key, doc, count = np.concatenate(sent_keys), np.concatenate(sent_docs), np.concatenate(sent_counts)
             bucket = bucket_of(hashing.mix(key), buckets)
-            out = pack(bucket, {"keys": key, "docs": doc.astype(np.uint32), "counts": count.astype(np.uint32)})
+            out = pack(bucket, {"keys": key, "docs": doc.astype(np.uint16 if n < 1 << 16 else np.uint32), "counts": count.astype(np.uint32)})
             local = pa.RecordBatch.from_arrays(
                 [pa.array([-1]), *(pa.array([b""], pa.binary()) for _ in range(3))], names=["bucket", "keys", "docs", "counts"]
             )
@@ -398,7 +403,9 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
                     parts = [get("tokens", np.int64), get("base", np.float64), get("known", np.int64), get("more", np.float64)]
                     hit = np.arange(len(text))
                 else:
-                    k, doc, count = get("keys", np.uint64), get("docs", np.uint32), get("counts", np.uint32)
+                    n = len(text)
+                    k, count = get("keys", np.uint64), get("counts", np.uint32)
+                    doc = get("docs", np.uint16 if n < 1 << 16 else np.uint32)
                     at = np.searchsorted(listed, k)
                     at[at == len(listed)] = 0
                     good = listed[at] == k if len(listed) else np.zeros(len(k), bool)
@@ -447,6 +454,6 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
 
 def fit_and_score(docs: DataFrame, training: Callable[[Column], Column]) -> DataFrame:
     """Learns from the rows that ``training(doc_id)`` admits and scores all rows."""
-    with small_batches(docs.sparkSession):
+    with small_batches(docs.sparkSession, 4000):
         model = fit(docs.where(F.coalesce(training(F.col("doc_id")), F.lit(True))).select("text"))
         return score(docs, model).withColumn("train_tokens", F.lit(model[2]).cast("long"))
