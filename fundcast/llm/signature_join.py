@@ -11,10 +11,10 @@ shingles is at least 3/4.
    are frequent enough to matter are known from one bounded table.
 3. Classes filed under the same shingle share a leader, the smallest of them; all
    classes with one leader form a cell, so that a group of near copies, which
-   shares many shingles, is few cells. In every cell all members
-   are first compared with one leader, exactly. A group of near copies is thus
+   shares many shingles, is few cells. Every class
+   is first compared with the smallest of its leaders, exactly. A group of near copies is thus
    joined by as many comparisons as it has members.
-   Cells that stay open draw a new leader once more.
+   Members of cells that stay open get another leader a few times over.
 4. Cells whose members are not all connected by then are joined by signature
    trees: nodes hold the OR of their members' shingle bitmaps and the range of
    their sizes; two trees are descended together, and a pair of nodes is dropped
@@ -58,7 +58,7 @@ PART_BYTES = 8 << 20
 #: Members of a block, members of a leaf.
 BLOCK, LEAF = 512, 8
 #: Further rounds with new leaders before the trees.
-ROUNDS = 1
+ROUNDS = 2
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -390,15 +390,14 @@ def _open(cells: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _stars(opened: DataFrame, turn: int) -> DataFrame:
-    """Pairs of every open cell's member with a leader drawn anew, in other words as
-    many pairs as members: cells of one group of near copies draw different leaders."""
+    """A leader for every member of an open cell, drawn anew from one of its cells and
+    not yet connected to it: as many pairs as members."""
     lead = opened.groupBy("cell").agg(
         F.min(F.struct(F.xxhash64("cell", "fp", F.lit(turn)).alias("h"), "fp", "label")).alias("_l")
     )
     pairs = opened.join(lead, "cell").where(F.col("label") != F.col("_l.label"))
-    return pairs.select(
-        F.least("fp", "_l.fp").alias("a"), F.greatest("fp", "_l.fp").alias("b")
-    ).distinct()
+    drawn = pairs.groupBy("fp").agg(F.min(F.struct("_l.h", "_l.fp"))["fp"].alias("leader"))
+    return drawn.select(F.least("fp", "leader").alias("a"), F.greatest("fp", "leader").alias("b")).distinct()
 
 
 def _tree_pairs(marked: DataFrame, classes: DataFrame) -> DataFrame:
@@ -455,7 +454,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         seen.where("fp is not null and hot is null").join(cells.select("fp").distinct(), "fp", "left_semi")
         .groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "cell-classes",
     )
-    stars = cells.where("cell <> fp").select(F.col("cell").alias("a"), F.col("fp").alias("b"))
+    stars = cells.where("cell <> fp").groupBy(F.col("fp").alias("b")).agg(F.min("cell").alias("a")).select("a", "b")
     found = _linked(_possible(stars, known), thin, classes)
     for turn in range(ROUNDS):
         opened = _open(cells, components(found), known)
