@@ -238,7 +238,9 @@ class TokenReader(DataSourceReader):
             base += shard["n_ids"]
         return parts
 
-    def read(self, partition: ShardPart) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: ShardPart | None) -> Iterator[pa.RecordBatch]:
+        if partition is None:  # no shards
+            return
         where, name = files.locate(partition.path)
         with where.open_input_file(name) as f:
             size = f.size()
