@@ -37,43 +37,46 @@ def q_csv_infer_null_token(spark, sf_dir):
     return read_campaign_csv(spark, path)
 
 
-# Malformed CSV as a naive export makes it: every document becomes the line
-# ``doc_id,lang,<first sentence>`` with the sentence written unquoted (double
-# quotes stripped) and left out when empty. A sentence holding commas gives
-# the row extra cells, an empty one leaves it a cell short; DROPMALFORMED must
-# drop exactly those rows and keep the rest as they were written.
-MALFORMED_SCHEMA = "doc_id STRING, lang STRING, head STRING"
-FIRST_SENTENCE = r"^[^.!?\r\n]*"
+# Malformed CSV as a naive export makes it: every line of every document becomes
+# the row ``doc_id,lang,<line>`` with the line written unquoted (double quotes
+# stripped) and left out when empty. A line holding commas gives the row extra
+# cells, an empty one leaves it a cell short; DROPMALFORMED must drop exactly
+# those rows and keep the rest as they were written.
+MALFORMED_SCHEMA = "doc_id STRING, lang STRING, line STRING"
 
 
 @register(
     "csv_drop_malformed",
-    "WITH heads AS (SELECT doc_id, lang, "
-    "regexp_replace(regexp_extract(text, '^[^.!?\\r\\n]*', 0), '\"', '', 'g') AS head FROM documents) "
-    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, nullif(head, 'false') AS head FROM heads "
-    "WHERE head <> '' AND strpos(head, ',') = 0",
+    "WITH lines AS (SELECT doc_id, lang, "
+    "replace(unnest(regexp_split_to_array(text, '\r\n|\n|\r')), '\"', '') AS line FROM documents) "
+    "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, nullif(line, 'false') AS line FROM lines "
+    "WHERE line <> '' AND strpos(line, ',') = 0",
 )
 def q_csv_drop_malformed(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
-    head = F.regexp_replace(F.regexp_extract("text", FIRST_SENTENCE, 0), '"', "")
-    line = F.concat_ws(",", F.col("doc_id").cast("string"), F.col("lang"), F.nullif(head, F.lit("")))
-    path = write_text(d.select(line.alias("value")), "value", scratch_path(spark, "malformed-csv"))
+    lines = table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", F.explode(F.split("text", "\r\n|\n|\r")).alias("line")
+    )
+    line = F.replace("line", F.lit('"'), F.lit(""))
+    row = F.concat_ws(",", F.col("doc_id").cast("string"), F.col("lang"), F.nullif(line, F.lit("")))
+    path = write_text(lines.select(row.alias("value")), "value", scratch_path(spark, "malformed-csv"))
     return read_strict_csv(spark, path, header=False, schema=MALFORMED_SCHEMA)
 
 
 def _doubled_quote_lines(benchmark):
-    """Benchmark texts reduced to letters and spaces (no line breaks or
-    commas), with every space written as a doubled quote: ``id,a""b""c``."""
-    letters = F.regexp_replace("text", "[^A-Za-z]+", " ")
+    """Whole benchmark texts, with what a CSV cell cannot carry unquoted written
+    otherwise (comma as U+FE50, line break as U+2028, double quote as U+201D) and
+    every space written as a doubled quote: ``id,a""b""c``."""
+    cell = F.translate("text", ',\n\r"', "\ufe50\u2028\u2028\u201d")
     return benchmark.select(
-        F.concat(F.col("item_id").cast("string"), F.lit(","), F.regexp_replace(letters, " ", '""')).alias("value")
+        F.concat(F.col("item_id").cast("string"), F.lit(","), F.regexp_replace(cell, " ", '""')).alias("value")
     )
 
 
 @register(
     "csv_quote_repair",
     "SELECT CAST(item_id AS VARCHAR) AS _c0, "
-    "nullif(regexp_replace(text, '[^A-Za-z]+', ' ', 'g'), '') AS _c1 FROM benchmark",
+    "nullif(regexp_replace(translate(text, chr(44) || chr(10) || chr(13) || chr(34), "
+    "chr(65104) || chr(8232) || chr(8232) || chr(8221)), ' +', ' ', 'g'), '') AS _c1 FROM benchmark",
 )
 def q_csv_quote_repair(spark, sf_dir):
     src = write_text(_doubled_quote_lines(table(spark, sf_dir, "benchmark")), "value", scratch_path(spark, "quoted"))
