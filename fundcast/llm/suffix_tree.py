@@ -50,7 +50,7 @@ DISCOUNT = 0.75
 #: Runs above this share of all tokens are broadcast.
 SHARE = 2.0**-20
 #: Text that a task counts at once (its runs are sorted in memory).
-PART_BYTES = 12 << 20
+PART_BYTES = 4 << 20
 
 START, END = np.uint64(0xA5A5_0001_0000_0001), np.uint64(0xA5A5_0002_0000_0002)
 
@@ -454,6 +454,6 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
 
 def fit_and_score(docs: DataFrame, training: Callable[[Column], Column]) -> DataFrame:
     """Learns from the rows that ``training(doc_id)`` admits and scores all rows."""
-    with small_batches(docs.sparkSession, 4000):
+    with small_batches(docs.sparkSession, 2000):
         model = fit(docs.where(F.coalesce(training(F.col("doc_id")), F.lit(True))).select("text"))
         return score(docs, model).withColumn("train_tokens", F.lit(model[2]).cast("long"))
