@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -105,7 +105,10 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
                 if _STRETCHED.sub(r"\1", w) in lexicon.words or _STRETCHED.sub(r"\1\1", w) in lexicon.words:
                     disguised += 1
     second = [i for i, w in enumerate(words) if w in SECOND_PERSON] if SECOND_PERSON & present else []
-    near = sum(any(abs(i - j) <= NEAR for j in second) for i, _ in hits[:200]) if second else 0
+    near = 0
+    for i, _ in hits if second else ():
+        at = bisect_left(second, i - NEAR)
+        near += at < len(second) and second[at] <= i + NEAR
     weights = [lexicon.words[w] for _, w in hits]
     letters = max(1, sum(map(len, words)))
     total = len(hits) + disguised
