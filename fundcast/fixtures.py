@@ -46,6 +46,8 @@ def campaign_columns(documents: DataFrame) -> DataFrame:
         F.when(d % 89 == 0, F.lit("abc"))
         .when(d % 97 == 0, F.lit("0"))
         .when(d % 83 == 0, F.lit("100.5"))
+        .when(d % 79 == 0, F.lit("1e3"))
+        .when(d % 73 == 0, F.lit("12d"))
         .otherwise(F.col("n_chars").cast("string"))
         .alias("goal"),
         F.concat(F.col("source"), F.lit("-"), F.col("lang")).alias("keywords"),
@@ -95,6 +97,8 @@ SELECT d.doc_id AS project_id,
        CASE WHEN d.doc_id % 89 = 0 THEN 'abc'
             WHEN d.doc_id % 97 = 0 THEN '0'
             WHEN d.doc_id % 83 = 0 THEN '100.5'
+            WHEN d.doc_id % 79 = 0 THEN '1e3'
+            WHEN d.doc_id % 73 = 0 THEN '12d'
             ELSE CAST(d.n_chars AS VARCHAR) END AS goal,
        concat(d.source, '-', d.lang) AS keywords,
        CASE WHEN d.doc_id % 50 = 0 THEN 'true' ELSE 'false' END AS disable_communication,

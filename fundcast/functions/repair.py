@@ -2,15 +2,13 @@
 
 When a row is shifted the country is missing and its code sits in the
 currency column. Both repairs are plain expressions, so Catalyst can fold,
-push and code-generate them; ``*_udf`` are row-at-a-time twins kept only so
-tests can prove the expressions equal the original per-row rules.
+push and code-generate them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from fundcast.functions._col import as_col
 
@@ -24,21 +22,3 @@ def repair_currency(currency: Column | str) -> Column:
     """A currency whose length is not 3 becomes null; null stays null."""
     cur = as_col(currency)
     return F.when(F.length(cur) == 3, cur)
-
-
-def _country_rule(country, currency):
-    return currency if country is None else country
-
-
-def _currency_rule(currency):
-    if currency is not None and len(currency) != 3:
-        return None
-    return currency
-
-
-def repair_country_udf():
-    return F.udf(_country_rule, StringType())
-
-
-def repair_currency_udf():
-    return F.udf(_currency_rule, StringType())

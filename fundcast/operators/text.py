@@ -36,4 +36,5 @@ def top_words(counts: DataFrame, n: int = 20) -> DataFrame:
 
 def long_tokens(df: DataFrame, id_col: str, array_col: str, out: str = "token") -> DataFrame:
     """(id, pos, token) — an array column in long form, 0-based positions."""
-    return df.select(id_col, F.posexplode(array_col).alias("pos", out))
+    # outer: for a plain explode the planner adds a test of the array, and tokenises for it again
+    return df.select(id_col, F.posexplode_outer(array_col).alias("pos", out)).where("pos is not null")

@@ -17,9 +17,10 @@ from fundcast.sinks import write_parquet
 from fundcast.sources import read_campaign_csv, read_parquet
 
 
-def snapshot(spark: SparkSession, csv_path: str, parquet_path: str, schema=None) -> DataFrame:
-    """Read the campaign CSV once (null token ``false``) and keep it as Parquet."""
-    write_parquet(read_campaign_csv(spark, csv_path, schema=schema), parquet_path)
+def snapshot(spark: SparkSession, csv_path: str, parquet_path: str, schema=None, lossless: bool = False) -> DataFrame:
+    """Read the campaign CSV once (null token ``false``) and keep it as Parquet.
+    ``lossless`` reads cells with quotes and line breaks, one task per file."""
+    write_parquet(read_campaign_csv(spark, csv_path, schema=schema, lossless=lossless), parquet_path)
     return read_parquet(spark, parquet_path)
 
 

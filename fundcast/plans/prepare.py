@@ -1,14 +1,16 @@
 """Campaign preparation: raw campaign rows → training-ready rows.
 
 One narrow plan (scan → project → filter → write): no shuffle, every step a
-built-in expression, so the whole chain is a single code-generated stage and
-filters on source columns (``final_status``) reach a Parquet scan.
+built-in expression, so the whole chain is a single code-generated stage.
+Filters on columns that are INT in the source (``final_status``, ``goal``) reach
+a Parquet scan; behind a cast only their null checks could.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from fundcast.functions import (
     calendar_days,
@@ -48,8 +50,11 @@ def apply_null_token(df: DataFrame, token: str | None = "false") -> DataFrame:
 
 
 def cast_columns(df: DataFrame, columns=INT_COLUMNS) -> DataFrame:
-    """Lenient INT casts of the numeric campaign columns (bad value → null)."""
-    present = [c for c in columns if c in df.columns]
+    """Lenient INT casts of the numeric campaign columns (bad value → null).
+    Columns that are INT already stay as they are, so filters on them reach the scan."""
+    present = [c for c in columns if c in df.columns and df.schema[c].dataType != IntegerType()]
+    if not present:
+        return df
     return df.withColumns({c: lenient_int(c) for c in present})
 
 
@@ -133,8 +138,9 @@ def prepare(raw: DataFrame, null_token_value: str | None = "false") -> DataFrame
     return keep_labels(df)
 
 
-def prepare_file(spark, csv_path: str, out_path: str, schema=None):
+def prepare_file(spark, csv_path: str, out_path: str, schema=None, lossless: bool = False):
     """Raw campaign CSV (header, null token ``false``) → prepared Parquet.
+    ``lossless`` reads cells with quotes and line breaks, one task per file.
 
     The reader applies the null token, so ``prepare`` does not apply it again;
     the whole job is one narrow scan → project → filter → write plan.
@@ -143,4 +149,4 @@ def prepare_file(spark, csv_path: str, out_path: str, schema=None):
     from fundcast.sinks import write_parquet
     from fundcast.sources import read_campaign_csv
 
-    return write_parquet(prepare(read_campaign_csv(spark, csv_path, schema=schema), None), out_path)
+    return write_parquet(prepare(read_campaign_csv(spark, csv_path, schema=schema, lossless=lossless), None), out_path)

@@ -34,7 +34,7 @@ from fundcast.sources import read_campaign_csv, read_parquet, read_strict_csv, t
 )
 def q_csv_infer_null_token(spark, sf_dir):
     path = write_csv(campaign_table(spark, sf_dir), scratch_path(spark, "campaign-csv"))
-    return read_campaign_csv(spark, path)
+    return read_campaign_csv(spark, path, lossless=True)
 
 
 # Malformed CSV as a naive export makes it: every line of every document becomes
@@ -99,4 +99,4 @@ def q_parquet_roundtrip(spark, sf_dir):
 def q_prepare_csv_to_parquet(spark, sf_dir):
     """The preparation job end to end: campaign CSV → prepared Parquet."""
     csv_path = write_csv(campaign_table(spark, sf_dir), scratch_path(spark, "campaign-csv"))
-    return read_parquet(spark, prepare_file(spark, csv_path, scratch_path(spark, "prepared-from-csv")))
+    return read_parquet(spark, prepare_file(spark, csv_path, scratch_path(spark, "prepared-from-csv"), lossless=True))

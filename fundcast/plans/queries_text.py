@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from fundcast.catalog import register
 from fundcast.functions.stopwords import sql_list_literal
 from fundcast.operators import features as FT
+from fundcast.operators import terms as TM
 from fundcast.operators import text as T
-from fundcast.operators.vectors import dense_entries, sparse_entries, vector_size
+from fundcast.operators.vectors import dense_entries, vector_size
 from fundcast.plans import sql
-from fundcast.plans.featurise import featurise, fit_text_pipeline, materialise_features
+from fundcast.plans.featurise import materialise_features
 from fundcast.plans.queries_campaign import prepared
 from fundcast.session import scratch_path
-from fundcast.sources import balance, read_parquet, table
+from fundcast.sources import read_parquet, table
 
 # Vocabulary threshold of the text tables (the original grid's lowest minDF).
 TEXT_MIN_DF = 55
@@ -50,7 +51,7 @@ def documents(spark, sf_dir):
 
 
 def document_text(spark, sf_dir):
-    return balance(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    return documents(spark, sf_dir).select("doc_id", "text")
 
 
 def filtered_tokens(spark, sf_dir):
@@ -58,15 +59,10 @@ def filtered_tokens(spark, sf_dir):
     return FT.stop_words().transform(FT.tokenizer().transform(docs))
 
 
-def fitted_text(spark, sf_dir, with_idf=False):
-    """Counts (and IDF) fitted stage by stage on the filtered tokens, which
-    are tokenised once and materialised because fit and transform each read
-    them."""
-    docs = document_text(spark, sf_dir)
-    frames, models = featurise(docs, TEXT_MIN_DF, upto="tfidf" if with_idf else "vectorized", keep=["doc_id"])
-    if not with_idf:
-        return models["count_vectorizer"], None, frames["vectorized"]
-    return models["count_vectorizer"], models["idf"], frames["tfidf"]
+def text_counts(spark, sf_dir):
+    """(doc_id, term, tf) of the filtered tokens, and its vocabulary (term, df)."""
+    counts = TM.term_counts(filtered_tokens(spark, sf_dir))
+    return counts, TM.vocabulary(counts, TEXT_MIN_DF)
 
 
 @register("word_count", f"WITH {_WORDS_SQL} SELECT word, count(*) AS count FROM words GROUP BY word")
@@ -102,28 +98,18 @@ def q_tokens_no_stopwords(spark, sf_dir):
     return T.long_tokens(filtered_tokens(spark, sf_dir), "doc_id", "filtered")
 
 
-def _term_entries(spark, cv, vec, column):
-    """(doc_id, term, value) of a vector column; the vocabulary side is at
-    most ``vocabSize`` rows, so the planner broadcasts it when its measured
-    size is under the broadcast threshold and shuffles otherwise."""
-    entries = sparse_entries(vec, ["doc_id"], column)
-    vocab = FT.vocabulary_table(spark, cv)
-    return entries.join(vocab, entries["index"] == vocab["idx"]).select("doc_id", "term", "value")
-
-
 @register(
     "count_vectors",
     f"WITH {_TERMS_SQL} SELECT doc_id, term, CAST(tf AS DOUBLE) AS tf FROM tf",
 )
 def q_count_vectors(spark, sf_dir):
-    cv, _, vec = fitted_text(spark, sf_dir)
-    return _term_entries(spark, cv, vec, "vectorized").withColumnRenamed("value", "tf")
+    counts, vocab = text_counts(spark, sf_dir)
+    return TM.kept_counts(counts, vocab).select("doc_id", "term", F.col("tf").cast("double").alias("tf"))
 
 
 @register("vocabulary", f"WITH {_TERMS_SQL} SELECT term, df FROM vocab")
 def q_vocabulary(spark, sf_dir):
-    cv, idf_model, _ = fitted_text(spark, sf_dir, with_idf=True)
-    return FT.vocabulary_table(spark, cv, idf_model).select("term", "df")
+    return text_counts(spark, sf_dir)[1]
 
 
 @register(
@@ -131,8 +117,9 @@ def q_vocabulary(spark, sf_dir):
     f"WITH {_TERMS_SQL} SELECT term, round(ln((n + 1.0) / (df + 1.0)), {DIGITS}) AS idf FROM vocab, ndocs",
 )
 def q_idf_weights(spark, sf_dir):
-    cv, idf_model, _ = fitted_text(spark, sf_dir, with_idf=True)
-    return FT.idf_table(spark, cv, idf_model).select("term", F.round("idf", DIGITS).alias("idf"))
+    vocab = text_counts(spark, sf_dir)[1]
+    weights = TM.idf_weights(vocab, documents(spark, sf_dir).count())
+    return weights.select("term", F.round("idf", DIGITS).alias("idf"))
 
 
 @register(
@@ -141,12 +128,9 @@ def q_idf_weights(spark, sf_dir):
     "FROM tf JOIN vocab USING (term), ndocs",
 )
 def q_tfidf(spark, sf_dir):
-    """Through the 4-stage text pipeline (tokenizer, stop words, counts, IDF)."""
-    docs = document_text(spark, sf_dir)
-    model = fit_text_pipeline(docs, TEXT_MIN_DF)
-    weighted = model.transform(docs)
-    out = _term_entries(spark, model.stages[2], weighted, "tfidf")
-    return out.select("doc_id", "term", F.round("value", DIGITS).alias("weight"))
+    counts, vocab = text_counts(spark, sf_dir)
+    weighted = TM.tfidf(counts, vocab, documents(spark, sf_dir).count())
+    return weighted.select("doc_id", "term", F.round("weight", DIGITS).alias("weight"))
 
 
 @register(

@@ -10,10 +10,15 @@ rounded in integer arithmetic), and ``desc`` needs double quotes.
 from __future__ import annotations
 
 from fundcast.fixtures import CAMPAIGN_SQL
+from fundcast.functions.casts import INT_PATTERN
 
 
 def lenient_int_sql(expr: str) -> str:
-    return f"TRY_CAST(trunc(TRY_CAST({expr} AS DOUBLE)) AS INTEGER)"
+    text = f"CAST({expr} AS VARCHAR)"
+    return (
+        f"CASE WHEN regexp_matches({text}, '{INT_PATTERN}') "
+        f"THEN TRY_CAST(trunc(TRY_CAST({text} AS DOUBLE)) AS INTEGER) END"
+    )
 
 
 def ts_text_sql(expr: str) -> str:

@@ -1,10 +1,9 @@
 """CSV readers.
 
-Text cells may hold quotes and line breaks; ``LOSSLESS_READ`` (with the
-matching writer options in ``fundcast.sinks``) round-trips them. Multi-line
-parsing makes a file one split, so keep many moderate files rather than one
-huge one when text has line breaks; without them set ``multiline=False`` and
-files split freely.
+Files split freely by default. Text cells that hold quotes or line breaks need
+``lossless=True`` (``LOSSLESS_READ``, with the matching writer options in
+``fundcast.sinks``): multi-line parsing makes a file one split, so keep many
+moderate files rather than one huge one for such texts.
 """
 
 from __future__ import annotations
@@ -22,13 +21,14 @@ def read_campaign_csv(
     path: str,
     schema: StructType | str | None = None,
     null_token: str = NULL_TOKEN,
-    multiline: bool = True,
+    lossless: bool = False,
 ) -> DataFrame:
     """Header row, cells equal to ``null_token`` read as null (case-sensitive),
     PERMISSIVE mode. Types are inferred unless ``schema`` is given; inference
     is a full extra pass over the files, so pass a schema at scale."""
     reader = spark.read.option("header", "true").option("nullValue", null_token)
-    reader = reader.option("escape", '"').option("multiLine", str(multiline).lower())
+    if lossless:
+        reader = reader.options(**LOSSLESS_READ)
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -49,15 +49,13 @@ def read_strict_csv(
 
     By default the CSV reader parses only the columns a query uses, so which
     rows count as malformed would depend on the query (a bare ``count()``
-    kept every row). This reader turns that pruning off for the session
-    (``spark.sql.csv.parser.columnPruning.enabled``, read when a scan is
-    planned), so every query sees the same rows; other CSV scans in the
-    session then parse whole lines too.
+    kept every row). This reader turns that pruning off for its own scan, so
+    every query sees the same rows.
     """
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     reader = (
         spark.read.option("header", str(header).lower())
         .option("mode", "DROPMALFORMED")
+        .option("columnPruning", "false")
         .option("nullValue", null_token)
         .option("escape", '"')
     )

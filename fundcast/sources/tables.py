@@ -7,19 +7,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def balance(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` only when its scan yields fewer
-    partitions than the cluster can run at once.
-
-    Per-row text work (tokenising whole documents) runs in the scan's tasks;
-    a file written as one row group would otherwise be one task. On a large
-    input the scan already has thousands of splits and this is a no-op, so
-    no shuffle of the raw text is added where it would be expensive.
-    """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, key)

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from fundcast.plans.prepare import prepare
-from fundcast.session import scratch_path, use_utc
+from fundcast.session import use_utc
 from fundcast.sources.csv import LOSSLESS_READ, NULL_TOKEN
 
 # A stream cannot infer types per micro-batch: the raw campaign columns as
@@ -23,13 +23,14 @@ def prepare_stream(
     spark: SparkSession,
     csv_dir: str,
     out_path: str,
-    checkpoint_path: str | None = None,
+    checkpoint_path: str,
     schema: str = CAMPAIGN_CSV_SCHEMA,
-    available_now: bool = True,
+    every: str | None = None,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the query; with ``available_now`` it processes what is there
-    and stops, otherwise it keeps watching ``csv_dir``."""
+    """Start the query. It processes what is there and stops, or keeps watching
+    ``csv_dir`` at the interval ``every``. Started again with the same
+    ``checkpoint_path`` it takes only new files."""
     use_utc(spark)
     reader = spark.readStream.schema(schema).option("header", "true").option("nullValue", NULL_TOKEN)
     for k, v in LOSSLESS_READ.items():
@@ -41,7 +42,7 @@ def prepare_stream(
         prepared.writeStream.format("parquet")
         .outputMode("append")
         .option("path", out_path)
-        .option("checkpointLocation", checkpoint_path or scratch_path(spark, "prepare-stream-ckpt"))
+        .option("checkpointLocation", checkpoint_path)
     )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()

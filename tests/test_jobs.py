@@ -18,7 +18,7 @@ from conftest import SF_SMALL
 
 def test_explore_reports_are_lazy_frames(spark, tmp_dir):
     raw = campaign_table(spark, SF_SMALL)
-    snap = snapshot(spark, write_csv(raw, tmp_dir + "/csv"), tmp_dir + "/pq")
+    snap = snapshot(spark, write_csv(raw, tmp_dir + "/csv"), tmp_dir + "/pq", lossless=True)
     reports = explore(snap)
     assert reports["shape"].first()["n_rows"] == raw.count()
     assert reports["prepared_shape"].first()["n_rows"] == prepare(raw).count()

@@ -7,7 +7,6 @@ from fundcast.operators import profile
 from fundcast.operators import text as T
 from fundcast.operators.sizing import broadcast_if_within, broadcast_limit
 from fundcast.operators.vectors import sparse_entries
-from fundcast.sources import balance
 
 
 def plan(df):
@@ -63,12 +62,12 @@ def test_frequency_on_skewed_key(spark):
     assert (top[0]["k"], top[0]["count"]) == ("hot", 3000)
 
 
-def test_balance_only_when_under_partitioned(spark):
-    many = spark.range(0, 100, 1, 16)
-    assert balance(many, "id", 8) is many
-    few = spark.range(0, 100, 1, 1)
-    spread = balance(few, "id", 8)
-    assert spread.rdd.getNumPartitions() == 8
+def test_text_reaches_the_tokenizer_without_a_shuffle(spark):
+    from fundcast.plans.queries_text import filtered_tokens
+
+    from conftest import SF_SMALL
+
+    assert "Exchange" not in plan(filtered_tokens(spark, SF_SMALL))
 
 
 def test_weighted_f1_has_no_join(spark):
@@ -101,3 +100,18 @@ def test_vocabulary_join_falls_back_to_shuffle_when_over_limit(spark):
         assert sorted(tuple(r) for r in fallback.collect()) == small
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_filters_on_int_columns_reach_the_scan(spark, tmp_dir):
+    from fundcast.fixtures import campaign_table
+    from fundcast.plans.prepare import prepare
+    from fundcast.sinks import write_parquet
+    from fundcast.sources import read_parquet
+
+    from conftest import SF_SMALL
+
+    raw = campaign_table(spark, SF_SMALL).withColumn("final_status", F.col("final_status").cast("int"))
+    prepared = prepare(read_parquet(spark, write_parquet(raw, tmp_dir)))
+    scan = [x for x in plan(prepared).splitlines() if "FileScan" in x][0]
+    assert "In(final_status, [0,1])" in scan.split("PushedFilters")[1]
+    assert prepared.count() == prepare(raw).count()

@@ -16,7 +16,7 @@ def test_csv_roundtrip_lossless_and_null_token(spark, tmp_dir):
     ]
     df = spark.createDataFrame(rows, "id int, a string, b string, c string, flag string")
     write_csv(df, tmp_dir)
-    back = read_campaign_csv(spark, tmp_dir).orderBy("id").collect()
+    back = read_campaign_csv(spark, tmp_dir, lossless=True).orderBy("id").collect()
     assert len(back) == 2
     assert back[0]["a"] == "line one\nline two" and back[0]["b"] == ' say "hi" '
     # Only null and "False" remain in c, so inference makes it boolean:
@@ -63,3 +63,22 @@ def test_parquet_replace(spark, tmp_dir):
     write_parquet(spark.range(5), tmp_dir)
     assert read_parquet(spark, tmp_dir).count() == 5
 
+
+
+def test_strict_reader_leaves_the_session_alone(spark, tmp_dir):
+    before = spark.conf.get("spark.sql.csv.parser.columnPruning.enabled")
+    write_text(spark.createDataFrame([("a,b",), ("1,2",)], "v string").coalesce(1), "v", tmp_dir)
+    read_strict_csv(spark, tmp_dir).collect()
+    assert spark.conf.get("spark.sql.csv.parser.columnPruning.enabled") == before
+
+
+def test_one_large_csv_file_is_split(spark, tmp_dir):
+    write_csv(spark.range(20000).selectExpr("id", "repeat('x', 50) AS t").coalesce(1), tmp_dir)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        df = read_campaign_csv(spark, tmp_dir, schema="id long, t string")
+        assert df.rdd.getNumPartitions() > 1
+        assert df.count() == 20000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fundcast.functions.stopwords import ENGLISH_STOP_WORDS
 from fundcast.operators import features as FT
+from fundcast.operators import terms as TM
 from fundcast.operators import text as T
 from fundcast.operators.vectors import dense_entries, sparse_entries
 
@@ -67,6 +68,26 @@ def test_idf_formula(spark):
     assert FT.term_at(cv, 0) == "a"
 
 
+def test_term_tables_equal_fitted_stages(spark):
+    rows = [(1, ["a", "b", "a"]), (2, ["a", "c"]), (3, ["c", "b", "c"]), (4, []), (5, ["d"])]
+    df = spark.createDataFrame(rows, "doc_id int, filtered array<string>")
+    cv = FT.count_vectorizer(2).fit(df)
+    vec = cv.transform(df)
+    weights = FT.idf().fit(vec)
+    named = lambda frame, c: {
+        (r["doc_id"], cv.vocabulary[r["index"]]): round(r["value"], 12)
+        for r in sparse_entries(frame, ["doc_id"], c).collect()
+    }
+    counts = TM.term_counts(df)
+    vocab = TM.vocabulary(counts, 2)
+    assert {r["term"]: r["df"] for r in vocab.collect()} == {
+        r["term"]: r["df"] for r in FT.vocabulary_table(spark, cv, weights).collect()
+    }
+    assert {(r["doc_id"], r["term"]): float(r["tf"]) for r in TM.kept_counts(counts, vocab).collect()} == named(vec, "vectorized")
+    got = {(r["doc_id"], r["term"]): round(r["weight"], 12) for r in TM.tfidf(counts, vocab, 5).collect()}
+    assert got == named(weights.transform(vec), "tfidf")
+
+
 def test_string_indexer_null_modes(spark):
     import pytest
 
