@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
+    CountVectorizerModel,
     RegexTokenizer,
     StopWordsRemover,
     StringIndexer,
@@ -45,7 +46,9 @@ def count_vectorizer(
     min_df: float = 1.0, input_col: str = "filtered", output_col: str = "vectorized",
     vocab_size: int = MAX_VOCAB,
 ) -> CountVectorizer:
-    """``min_df`` ≥ 1 is a document count, < 1 a fraction of documents."""
+    """``min_df`` ≥ 1 is a document count, < 1 a fraction of documents. The fitted
+    vocabulary lives on the driver and in every vector; ``vocab_size`` is its
+    documented limit, and ``whole_vocabulary`` makes reaching it an error."""
     return CountVectorizer(
         inputCol=input_col, outputCol=output_col, minDF=min_df, vocabSize=vocab_size, minTF=1.0
     )
@@ -98,6 +101,18 @@ def feature_stages(min_df: float = 1.0, handle_invalid: str = "error"):
     return text_stages() + fitted_stages(min_df, handle_invalid)
 
 
+def whole_vocabulary(model):
+    """``model`` (a fitted count stage or a pipeline with one), unless its vocabulary
+    is full: then terms may have been dropped, which is a ``ValueError``."""
+    for stage in getattr(model, "stages", [model]):
+        if isinstance(stage, CountVectorizerModel) and len(stage.vocabulary) >= stage.getVocabSize():
+            raise ValueError(
+                f"the vocabulary reached its limit of {stage.getVocabSize()} terms and may lack others; "
+                "raise min_df (a fraction of the documents bounds it at every size) or vocab_size"
+            )
+    return model
+
+
 def vocabulary_bytes(cv_model) -> int:
     """Approximate in-memory size of the (idx, term) table of a vocabulary."""
     return sum(len(t.encode("utf-8")) + 32 for t in cv_model.vocabulary)

@@ -19,6 +19,9 @@ SEED = 12345
 # Fixed values of the original search.
 REG_PARAMS = (1e-7, 1e-5, 1e-3, 1e-1)
 MIN_DFS = (55.0, 75.0, 95.0)
+# The same thresholds per thousand documents: they fit a table of any size, and a
+# vocabulary of terms that a share of all documents holds stays bounded.
+MIN_DF_SHARES = (0.055, 0.075, 0.095)
 THRESHOLDS = (0.7, 0.3)
 
 
@@ -114,10 +117,22 @@ def random_split(df: DataFrame, weights=(0.9, 0.1), seed: int = SEED, materialis
 
 
 def key_split(df: DataFrame, key: str, train_fraction: float = 0.9, seed: int = SEED):
-    """Repeatable split: a row goes to train iff a 64-bit hash of (key, seed)
-    falls below ``train_fraction``; independent of partitioning and order."""
-    u = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    return df.filter(u < train_fraction), df.filter(u >= train_fraction)
+    """Repeatable split: a row goes to train iff the MD5 of (key, seed) falls below
+    ``train_fraction`` of its range; independent of partitioning and order, and
+    the same in SQL (``key_split_sql``). A null key counts as an empty one."""
+    head = F.substring(F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))).cast("binary")), 1, 7)
+    first = head < F.lit(_hex_bound(train_fraction))
+    return df.filter(first), df.filter(~first)
+
+
+def _hex_bound(fraction: float) -> str:
+    """Strings of 7 hex digits below this one are ``fraction`` of them."""
+    return "g" if fraction >= 1 else format(int(fraction * 16**7), "07x")
+
+
+def key_split_sql(key: str, train_fraction: float = 0.9, seed: int = SEED) -> str:
+    """DuckDB condition that holds for the training rows of ``key_split``."""
+    return f"substr(md5(concat_ws('-', CAST({key} AS VARCHAR), '{seed}')), 1, 7) < '{_hex_bound(train_fraction)}'"
 
 
 def explain_params(spark: SparkSession, pipeline_model) -> DataFrame:

@@ -40,7 +40,7 @@ def featurise(
     frames["filtered"] = cut_lineage(filtered, "filtered")
     if upto in ("tokens", "filtered"):
         return frames, models
-    models["count_vectorizer"] = FT.count_vectorizer(min_df).fit(frames["filtered"])
+    models["count_vectorizer"] = FT.whole_vocabulary(FT.count_vectorizer(min_df).fit(frames["filtered"]))
     frames["vectorized"] = models["count_vectorizer"].transform(frames["filtered"])
     if upto == "vectorized":
         return frames, models
@@ -75,6 +75,6 @@ def fit_text_pipeline(df: DataFrame, min_df: float = 1.0) -> PipelineModel:
     would give, without re-tokenising for every fit."""
     tok, sw = FT.tokenizer(), FT.stop_words()
     filtered = cut_lineage(sw.transform(tok.transform(df)), "text-tokens")
-    counts = FT.count_vectorizer(min_df).fit(filtered)
+    counts = FT.whole_vocabulary(FT.count_vectorizer(min_df).fit(filtered))
     weights = FT.idf().fit(counts.transform(filtered))
     return PipelineModel(stages=[tok, sw, counts, weights])

@@ -18,7 +18,6 @@ from fundcast.plans import train as TR
 from fundcast.plans.queries_campaign import prepared
 from fundcast.plans.queries_text import MODEL_MIN_DF
 from fundcast.session import scratch_path
-from fundcast.sinks import save_model
 from fundcast.sources import table
 
 
@@ -86,31 +85,101 @@ def q_tree_scores(spark, sf_dir):
     return _scores(spark, sf_dir, "tree")
 
 
-SEARCH_REG_PARAMS = (1e-7, 1e-1)
+def _score_check(name):
+    """What must hold of a classifier's row: the class follows from p1 (the logistic
+    regression's thresholds put the bound at 0.3), p1 from the raw scores."""
+    p1 = vector_to_array(F.col("probability"))[1]
+    raw = vector_to_array(F.col("rawPrediction"))
+    if name == "logreg":
+        expected = 1 / (1 + F.exp(-raw[1]))
+    elif name == "gbt":
+        expected = 1 / (1 + F.exp(-2 * raw[1]))
+    else:
+        expected = raw[1] / (raw[0] + raw[1])
+    follows = (F.col(L.PREDICTION) == 1) == (p1 > (0.3 if name == "logreg" else 0.5))
+    return F.coalesce(follows & (F.abs(p1 - expected) < 1e-9), F.lit(False))
+
+
+def _classifiers():
+    return {
+        name: L.logistic_regression(max_iter=100) if name == "logreg" else L.CLASSIFIERS[name]()
+        for name in ("logreg", "gbt", "forest", "tree")
+    }
+
+
+@register(
+    "classifier_checks",
+    sql.with_prep(
+        "SELECT m.model, project_id, final_status, TRUE AS consistent FROM prep, "
+        "(VALUES ('logreg'), ('gbt'), ('forest'), ('tree')) m(model) "
+        f"WHERE NOT ({L.key_split_sql('project_id')})"
+    ),
+)
+def q_classifier_checks(spark, sf_dir):
+    """Every held-out row as each of the four classifiers scores it, with the check
+    that its class, probability and raw scores agree."""
+    train, test = _split(spark, sf_dir)
+    out = None
+    for name, scored in TR.compare_classifiers(train, test, _classifiers(), MODEL_MIN_DF).items():
+        rows = scored.select(
+            F.lit(name).alias("model"), "project_id", "final_status", _score_check(name).alias("consistent")
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def _tuned(spark, sf_dir, model_path=None):
+    """The tuned job on the repeatable split, with its original search."""
+    return TR.tuned_logreg(prepared(spark, sf_dir), model_path, key="project_id", parallelism=4)
 
 
 @register("grid_search_metrics")
 def q_grid_search_metrics(spark, sf_dir):
-    """Validation F1 of each point of a 2 × 1 grid (regParam × minDF)."""
-    train, _ = _split(spark, sf_dir)
+    """Validation F1 of each of the 12 points of the tuned job (regParam × minDF)."""
+    return _tuned(spark, sf_dir)["metrics"]
 
-    def grid(lr, cv):
-        return L.param_grid(lr, cv, SEARCH_REG_PARAMS, (MODEL_MIN_DF,))
 
-    model = TR.tune(train, L.logistic_regression(max_iter=20), grid, parallelism=2)
-    return L.grid_table(spark, model.getEstimatorParamMaps(), model.validationMetrics)
+@register(
+    "tuned_job_checks",
+    sql.with_prep(
+        f", test AS (SELECT final_status FROM prep WHERE NOT ({L.key_split_sql('project_id')})) "
+        "SELECT r.reg AS \"regParam\", d.df AS \"minDF\", count(*) AS n_test, "
+        "count(*) FILTER (WHERE final_status = 1) AS n_positive, TRUE AS f1_valid, TRUE AS best_is_largest "
+        f"FROM test, (VALUES {', '.join(f'(CAST({r!r} AS DOUBLE))' for r in L.REG_PARAMS)}) r(reg), "
+        f"(VALUES {', '.join(f'(CAST({m!r} AS DOUBLE))' for m in L.MIN_DF_SHARES)}) d(df) GROUP BY r.reg, d.df"
+    ),
+)
+def q_tuned_job_checks(spark, sf_dir):
+    """The tuned job per grid point: held-out rows of its confusion matrix, all and
+    positive, whether the F1 lies in 0 to 1, and whether the fitted model has the
+    parameters of the point with the largest F1."""
+    out = _tuned(spark, sf_dir)
+    held = out["confusion"].groupBy().agg(
+        F.coalesce(F.sum("count"), F.lit(0)).alias("n_test"),
+        F.coalesce(F.sum(F.when(F.col(L.LABEL) == 1, F.col("count"))), F.lit(0)).alias("n_positive"),
+    ).first()
+    points = out["metrics"].collect()  # 12 rows
+    top = max(points, key=lambda r: (r["f1"], -r["point"]))
+    stages = out["model"].stages
+    chosen = (stages[-1].getRegParam(), stages[2].getMinDF()) == (top["regParam"], top["minDF"])
+    return out["metrics"].select(
+        "regParam", "minDF", F.lit(held["n_test"]).cast("long").alias("n_test"),
+        F.lit(held["n_positive"]).cast("long").alias("n_positive"),
+        F.col("f1").between(0, 1).alias("f1_valid"), F.lit(chosen).alias("best_is_largest"),
+    )
 
 
 @register("model_save_load", sql.with_prep("SELECT count(*) AS n_rows, 0 AS n_diff FROM prep"))
 def q_model_save_load(spark, sf_dir):
-    """Fit, save, load and rescore every prepared campaign; count rows whose
-    prediction or class-1 probability changed after the reload. Both models
-    score the same row in one pass (no join, no shuffle)."""
-    toks = TR.tokenised(prepared(spark, sf_dir))
-    model = TR.model_pipeline(L.logistic_regression(max_iter=50), MODEL_MIN_DF).fit(toks)
-    loaded = TR.load_pipeline(save_model(model, scratch_path(spark, "model")))
-    first = model.transform(toks).select(
-        *toks.columns,
+    """Save and load the tuned job's model (all 8 stages) and score every prepared
+    campaign; count rows whose prediction or class-1 probability changed after the
+    reload. Both models score the same row in one pass (no join, no shuffle)."""
+    prep = prepared(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    model = _tuned(spark, sf_dir, path)["model"]
+    loaded = TR.load_pipeline(path)
+    first = model.transform(prep).select(
+        *prep.columns,
         F.col(L.PREDICTION).alias("_pred0"),
         vector_to_array(F.col("probability"))[1].alias("_p0"),
     )
@@ -126,12 +195,8 @@ def q_model_save_load(spark, sf_dir):
 def q_classifier_comparison(spark, sf_dir):
     """One row per classifier: held-out weighted F1 on the same split."""
     train, test = _split(spark, sf_dir)
-    clfs = {
-        name: L.logistic_regression(max_iter=100) if name == "logreg" else L.CLASSIFIERS[name]()
-        for name in ("logreg", "gbt", "forest", "tree")
-    }
     out = None
-    for name, scored in TR.compare_classifiers(train, test, clfs, MODEL_MIN_DF).items():
+    for name, scored in TR.compare_classifiers(train, test, _classifiers(), MODEL_MIN_DF).items():
         row = E.weighted_f1(scored).select(F.lit(name).alias("model"), "f1")
         out = row if out is None else out.unionByName(row)
     return out
@@ -139,22 +204,17 @@ def q_classifier_comparison(spark, sf_dir):
 
 @register("best_model_params")
 def q_best_model_params(spark, sf_dir):
-    """Parameters of every stage of the best model of a small search."""
-    train, _ = _split(spark, sf_dir)
-
-    def grid(lr, cv):
-        return L.param_grid(lr, cv, SEARCH_REG_PARAMS, (MODEL_MIN_DF,))
-
-    model = TR.tune(train, L.logistic_regression(max_iter=20), grid, parallelism=2)
-    return L.explain_params(spark, model.bestModel)
+    """Parameters of every stage of the tuned job's model."""
+    return _tuned(spark, sf_dir)["params"]
 
 
 @register("tuned_logreg_job")
 def q_tuned_logreg_job(spark, sf_dir):
-    """The tuned logistic-regression job with its original settings: random
-    0.9/0.1 split (seed 12345), regParam {1e-7, 1e-5, 1e-3, 1e-1} × minDF
-    {55, 75, 95}, trainRatio 0.7, maxIter 300, thresholds 0.7/0.3. One row per
-    grid point with its validation F1, plus the best model's held-out F1."""
-    out = TR.tuned_logreg(prepared(spark, sf_dir), parallelism=4)
+    """The tuned logistic-regression job with its original settings: 0.9/0.1 split
+    (seed 12345), regParam {1e-7, 1e-5, 1e-3, 1e-1} × three minDF thresholds (as
+    shares of the documents, in the original ratios), trainRatio 0.7, maxIter 300,
+    thresholds 0.7/0.3. One row per grid point with its validation F1, plus the
+    best model's held-out F1."""
+    out = _tuned(spark, sf_dir)
     test_f1 = out["f1"].first()["f1"]
     return out["metrics"].withColumn("test_f1", F.lit(test_f1))

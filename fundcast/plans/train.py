@@ -6,8 +6,9 @@ Layout of the work:
 * the tokenised frame is checkpointed to the shared checkpoint folder, so
   iterative fitting reads a materialised table and a lost executor costs a
   re-read, not a recomputation from the raw sources;
-* only the stages that learn (counts, IDF, indexers, assembler, classifier)
-  sit in the fitted pipeline, so tuning refits exactly those.
+* only the stages that learn (counts, IDF, indexers, assembler, classifier) are
+  refitted; the search fits the feature stages once per minDF, and its best
+  model gets the text stages back, so that it scores prepared rows.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ def model_pipeline(classifier, min_df: float, handle_invalid: str = "keep") -> P
 
 
 def fit_and_score(train: DataFrame, test: DataFrame, classifier, min_df: float, handle_invalid: str = "keep"):
-    model = model_pipeline(classifier, min_df, handle_invalid).fit(train)
+    model = FT.whole_vocabulary(model_pipeline(classifier, min_df, handle_invalid).fit(train))
     return model, model.transform(test)
 
 
@@ -66,9 +67,9 @@ def compare_classifiers(
 
     from pyspark.util import inheritable_thread_target
 
-    feats = Pipeline(stages=FT.fitted_stages(min_df, handle_invalid)).fit(train)
+    feats = FT.whole_vocabulary(Pipeline(stages=FT.fitted_stages(min_df, handle_invalid)).fit(train))
     train_f = cut_lineage(feats.transform(train).select(L.LABEL, "features"), "train-features")
-    test_f = feats.transform(test)
+    test_f = cut_lineage(feats.transform(test).drop("filtered", "vectorized", "tfidf"), "test-features")
     names = list(classifiers)
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(names)))) as pool:
         fit = inheritable_thread_target(train.sparkSession)(lambda n: classifiers[n].fit(train_f))
@@ -113,7 +114,9 @@ def tune(
         seed=seed,
         parallelism=parallelism,
     )
-    return tvs.fit(train)
+    model = tvs.fit(train)
+    FT.whole_vocabulary(model.bestModel)
+    return model
 
 
 def load_tuned(path: str) -> TrainValidationSplitModel:
@@ -124,53 +127,101 @@ def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def _parts(df: DataFrame, fraction: float, seed: int, key: str | None):
+    if key is None:
+        return L.random_split(df, (fraction, 1.0 - fraction), seed, materialise=False)
+    return L.key_split(df, key, fraction, seed)
+
+
+def search(
+    train: DataFrame,
+    classifier,
+    reg_params=L.REG_PARAMS,
+    min_dfs=L.MIN_DF_SHARES,
+    train_ratio: float = 0.7,
+    seed: int = L.SEED,
+    parallelism: int = 4,
+    handle_invalid: str = "keep",
+    key: str | None = None,
+):
+    """regParam x minDF on one validation split of materialised tokens (``tokenised``).
+
+    Only minDF changes the features, so they are fitted and written once per minDF
+    and every regParam is fitted on that table. The best point by validation F1
+    (the first of equals) is fitted again on all of ``train``. Returns (model that
+    scores prepared rows, grid, metrics, index of the best point).
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.util import inheritable_thread_target
+
+    spark = train.sparkSession
+    fit_rows, val_rows = _parts(train, train_ratio, seed + 1, key)
+    evaluator = f1_evaluator()
+
+    def features(rows, min_df):
+        model = FT.whole_vocabulary(Pipeline(stages=FT.fitted_stages(min_df, handle_invalid)).fit(rows))
+
+        def apply(part, name):
+            return cut_lineage(model.transform(part).select(L.LABEL, "features"), name)
+
+        return model, apply
+
+    def tables(min_df):
+        _, apply = features(fit_rows, min_df)
+        return apply(fit_rows, "search-fit"), apply(val_rows, "search-validation")
+
+    def metric(point):
+        own = classifier.copy({classifier.regParam: point[0]})
+        fit_f, val_f = ready[point[1]]
+        return evaluator.evaluate(own.fit(fit_f).transform(val_f))
+
+    grid = L.param_grid(classifier, FT.count_vectorizer(), reg_params, min_dfs)
+    points = [tuple({p.name: v for p, v in g.items()}[n] for n in ("regParam", "minDF")) for g in grid]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        inherit = inheritable_thread_target(spark)
+        ready = dict(zip(min_dfs, pool.map(inherit(tables), min_dfs), strict=True))
+        metrics = list(pool.map(inherit(metric), points))
+    best = max(range(len(points)), key=lambda i: metrics[i])
+    model, apply = features(train, points[best][1])
+    fitted = classifier.copy({classifier.regParam: points[best][0]}).fit(apply(train, "search-train"))
+    return PipelineModel(stages=FT.text_stages() + model.stages + [fitted]), grid, metrics, best
+
+
 def tuned_logreg(
     prep: DataFrame,
     model_path: str | None = None,
     reg_params=L.REG_PARAMS,
-    min_dfs=L.MIN_DFS,
+    min_dfs=L.MIN_DF_SHARES,
     split=(0.9, 0.1),
     seed: int = L.SEED,
     max_iter: int = 300,
-    parallelism: int = 1,
+    parallelism: int = 4,
     key: str | None = None,
 ) -> dict:
     """The tuned logistic-regression job: split, search regParam × minDF on
     the training side, score the held-out side, F1 and confusion matrix,
-    optionally save. ``key`` switches to the repeatable key-hash split."""
+    optionally save the best model with all its stages (it scores prepared
+    rows). ``key`` switches both splits to the repeatable key-hash split.
+    ``min_dfs`` from 1 on are document counts, below 1 shares of the documents."""
     from fundcast.operators import evaluate as E
     from fundcast.sinks import save_model
 
-    toks = tokenised(prep)
-    absolute = [m for m in min_dfs if m >= 1.0]
-    if absolute:
-        # A search point whose absolute minDF exceeds the documents its fit
-        # sees has an empty vocabulary, which Spark rejects deep inside the
-        # search; say so up front (a count of the materialised table).
-        fit_docs = int(toks.count() * split[0] * 0.7)
-        if max(absolute) > fit_docs:
-            raise ValueError(
-                f"minDF {max(absolute):g} exceeds the ~{fit_docs} documents each search fit sees; "
-                "use fractional minDF values (< 1) or more data"
-            )
-    if key is None:
-        train, test = L.random_split(toks, split, seed)
-    else:
-        train, test = L.key_split(toks, key, split[0], seed)
-
-    def grid(lr, cv):
-        return L.param_grid(lr, cv, reg_params, min_dfs)
-
-    model = tune(train, L.logistic_regression(max_iter=max_iter), grid, seed=seed, parallelism=parallelism)
-    scored = model.transform(test)
+    train, test = _parts(tokenised(prep), split[0], seed, key)
+    model, grid, metrics, best = search(
+        train, L.logistic_regression(max_iter=max_iter), reg_params, min_dfs,
+        seed=seed, parallelism=parallelism, key=key,
+    )
+    scored = PipelineModel(stages=model.stages[2:]).transform(test)  # the tokens are there already
     if model_path is not None:
         save_model(model, model_path)
     spark = prep.sparkSession
     return {
         "model": model,
+        "best": best,
         "scored": scored,
         "f1": E.weighted_f1(scored),
         "confusion": E.confusion(scored),
-        "metrics": L.grid_table(spark, model.getEstimatorParamMaps(), model.validationMetrics),
-        "params": L.explain_params(spark, model.bestModel),
+        "metrics": L.grid_table(spark, grid, metrics),
+        "params": L.explain_params(spark, model),
     }

@@ -101,3 +101,25 @@ def test_tree_scale_settings_do_not_change_models(spark):
         a = TR.fit_and_score(train, test, make(), 0.05)[1].select("project_id", L.PREDICTION).collect()
         b = TR.fit_and_score(train, test, make(**L.DEEP_TREE_SCALE), 0.05)[1].select("project_id", L.PREDICTION).collect()
         assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def test_shared_features_give_the_metrics_of_separate_fits(spark, tokens):
+    train, _ = L.key_split(tokens, "project_id", 0.9)
+    lr = L.logistic_regression(max_iter=10)
+    _, grid, metrics, best = TR.search(train, lr, (1e-7, 1e-1), (0.05, 0.1), key="project_id")
+    assert len(grid) == len(metrics) == 4 and metrics[best] == max(metrics)
+    fit_rows, val_rows = L.key_split(train, "project_id", 0.7, L.SEED + 1)
+    for point, metric in zip(grid, metrics, strict=True):
+        at = {p.name: v for p, v in point.items()}
+        own = L.logistic_regression(max_iter=10, reg_param=at["regParam"])
+        scored = TR.fit_and_score(fit_rows, val_rows, own, at["minDF"])[1]
+        assert abs(E.f1_evaluator().evaluate(scored) - metric) < 1e-9
+
+
+def test_full_vocabulary_is_an_error(spark):
+    from fundcast.operators import features as FT
+
+    df = spark.createDataFrame([(["a", "b", "c"],)], "filtered array<string>")
+    assert FT.whole_vocabulary(FT.count_vectorizer(1, vocab_size=4).fit(df)).vocabulary
+    with pytest.raises(ValueError, match="limit of 3"):
+        FT.whole_vocabulary(FT.count_vectorizer(1, vocab_size=3).fit(df))
