@@ -62,13 +62,14 @@ def small_batches(spark, rows: int = 2000):
 
 
 class Bits:
-    """Bit table over hashes; a bucket owns one slice of it."""
+    """Bit table over hashes; a bucket owns one slice of it. Within a slice the last
+    bits of the mixed hash count: the leading ones may have chosen the bucket."""
 
     def __init__(self, raw: np.ndarray, buckets: int):
         self.raw, self.low = raw, FILTER_BITS - buckets
 
     def has(self, bucket: np.ndarray, key: np.ndarray) -> np.ndarray:
-        slot = (bucket.astype(np.uint64) << np.uint64(self.low)) | (hashing.mix(key) >> np.uint64(64 - self.low))
+        slot = (bucket.astype(np.uint64) << np.uint64(self.low)) | (hashing.mix(key) & np.uint64((1 << self.low) - 1))
         return (self.raw[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
@@ -76,7 +77,7 @@ def slice_of(keys: np.ndarray, buckets: int) -> bytes:
     """The slice that a bucket with these keys has."""
     low = FILTER_BITS - buckets
     bits = np.zeros(1 << low, np.uint8)
-    bits[(hashing.mix(keys) >> np.uint64(64 - low)).astype(np.int64)] = 1
+    bits[(hashing.mix(keys) & np.uint64((1 << low) - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
 
