@@ -120,6 +120,14 @@ def test_scores_prefer_seen_continuations(spark, monkeypatch):
     assert all(x <= 0 for x in s.values()) and s["a b"] > s["a a"] and s["a b"] > s["a unseen"]
 
 
+def test_contexts_seen_eight_times_are_kept(spark):
+    train = [("p q",)] * 3 + [("p r",)] * 5 + [(f"w{i}",) for i in range(60)]
+    values, *_ = suffix_tree.fit(share_code(spark).createDataFrame(train, "text string"))
+    symbols, _ = suffix_tree.sequences(pa.array(["p q"]))
+    pair = int(hashing.runs(symbols[1:3], 2)[:1].view(np.int64)[0])
+    assert [r.c for r in values.where((F.col("key") == pair) & (F.col("length") == 2)).collect()] == [3]
+
+
 def test_mix_meets_targets(docs):
     got = mixing.mix(docs).collect()
     by = {}
