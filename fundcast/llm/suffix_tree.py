@@ -134,9 +134,10 @@ def count_runs(
     texts: DataFrame, depth: int, common: Common, tokens: int, types: int, buckets: int, above: Bits | None,
 ) -> tuple[DataFrame, Bits | None]:
     """Transitions out of contexts of ``depth`` symbols: (key, ctx, suffix, next, c, n) of
-    those that occur MIN_PAIR times after a context that occurs MIN_CONTEXT times
-    and are MIN_RATIO times likelier than by chance; and the bits of all runs of
-    ``depth + 1`` symbols that are frequent enough to be contexts themselves.
+    those that occur MIN_PAIR times after a context that occurs MIN_CONTEXT times;
+    and the bits of all runs of ``depth + 1`` symbols that are frequent enough to be
+    contexts themselves. At depth 1 transitions that cannot be MIN_RATIO times
+    likelier than by chance, however rare their next word, are left out already.
 
     ``key`` is the whole run, ``suffix`` the run without its first symbol. Contexts
     that the filter ``above`` rules out are not sent.
@@ -207,11 +208,13 @@ def count_runs(
             if len(common.keys):
                 n = np.where(known, common.values["c"][at], n)
         own = slice_of(_joined(ctx, nxt, depth)[c >= MIN_CONTEXT], buckets) if depth < DEPTH else b""
-        floor = np.full(len(nxt), SHARE)
-        known, at = common.find(nxt)
-        if len(common.keys):
-            floor = np.where(known, np.maximum((common.values["c"][at] + 1) / (tokens + types + 1), 1e-300), floor)
-        keep = (c >= MIN_PAIR) & (n >= MIN_CONTEXT) & ((c - DISCOUNT) / n > MIN_RATIO * floor)
+        keep = (c >= MIN_PAIR) & (n >= MIN_CONTEXT)
+        if depth == 1:  # the least p0 of the next word; under a kept suffix it can be likelier by less
+            least = c.copy()  # a word occurs as often as any run that ends in it
+            known, at = common.find(nxt)
+            if len(common.keys):
+                least = np.where(known, common.values["c"][at], least)
+            keep &= (c - DISCOUNT) / n > MIN_RATIO * ((least + 1) / (tokens + types + 1))
         ctx, nxt, c, n, middle = ctx[keep], nxt[keep], c[keep], n[keep], middle[keep]
         run = _joined(ctx, nxt, depth)
         suffix = hashing.runs(np.stack([middle, nxt], 1).ravel(), 2)[::2] if depth > 1 and len(ctx) else ctx

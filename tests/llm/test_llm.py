@@ -120,6 +120,55 @@ def test_scores_prefer_seen_continuations(spark, monkeypatch):
     assert all(x <= 0 for x in s.values()) and s["a b"] > s["a a"] and s["a b"] > s["a unseen"]
 
 
+def tree_scores(train, texts):
+    """Scores of ``texts`` by the suffix tree of ``train``, both lists of words, from dictionaries."""
+    seen = [["", *t, None] for t in train]
+    words = Counter(w for t in seen for w in t[1:])
+    total = sum(words.values()) + len(words) + 1
+    tree = {}  # kept context -> (gamma, {next word: probability})
+
+    def p(context, w):
+        if not context:
+            return (words[w] + 1) / total
+        gamma, listed = tree.get(context, (1, {}))
+        return listed[w] if w in listed else gamma * p(context[1:], w)
+
+    for depth in range(1, suffix_tree.DEPTH + 1):
+        runs, level = {}, {}
+        for t in seen:
+            for i in range(len(t) - depth):
+                runs.setdefault(tuple(t[i : i + depth]), Counter())[t[i + depth]] += 1
+        for context, after in runs.items():
+            n, rows = sum(after.values()), []
+            for w, c in after.items():
+                a, up = (c - suffix_tree.DISCOUNT) / n, p(context[1:], w)
+                if c >= suffix_tree.MIN_PAIR and n >= suffix_tree.MIN_CONTEXT and a > suffix_tree.MIN_RATIO * up:
+                    rows.append((w, a, up))
+            if rows and sum(a * math.log(a / up) for _, a, up in rows) >= suffix_tree.MIN_DIVERGENCE:
+                gamma = 1 - sum(a for _, a, _ in rows)
+                level[context] = gamma, {w: a + gamma * up for w, a, up in rows}
+        tree.update(level)
+    return [
+        sum(math.log10(p(tuple(t[max(0, i - suffix_tree.DEPTH) : i]), t[i])) for i in range(1, len(t)))
+        for t in (["", *x, None] for x in texts)
+    ]
+
+
+@pytest.mark.parametrize("share", [2.0**-20, 2.0**-5])
+def test_suffix_tree_equals_dictionaries(spark, monkeypatch, share):
+    monkeypatch.setattr(suffix_tree, "SHARE", share)
+    rnd = random.Random(11)
+    text = lambda: [rnd.choice("abcdefghij") + rnd.choice("xyz" * 5 + "klmnopqrstuvw") for _ in range(rnd.randint(0, 12))]
+    texts = [text() for _ in range(300)]
+    for i in range(300):  # a frequent context whose next words are rare; three words whose last one depends on the first
+        texts.append(["the", f"r{i % 50}"] + (["m", "u"] if i % 3 else ["n", "u", "v"]) + text())
+    data = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = share_code(spark).createDataFrame(data, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in suffix_tree.fit_and_score(docs, lambda d: d % 4 != 0).collect()}
+    want = tree_scores([t for i, t in enumerate(texts) if i % 4], texts)
+    assert [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-6)
+
+
 def test_contexts_seen_eight_times_are_kept(spark):
     train = [("p q",)] * 3 + [("p r",)] * 5 + [(f"w{i}",) for i in range(60)]
     values, *_ = suffix_tree.fit(share_code(spark).createDataFrame(train, "text string"))
