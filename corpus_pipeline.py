@@ -33,17 +33,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component the document with the smallest doc_id stays; documents
-    without words all stay, being linked with nothing. Rows that repeat the
-    doc_id that stays are one document; a component without any id goes whole
-    into the row that Spark meets first."""
+    """Of every component the document with the smallest doc_id stays, null ids last;
+    among several texts with that id the one with the smallest hash. Documents
+    without words all stay, being linked with nothing. Rows that repeat both id and
+    text are one document."""
     docs = _columns(docs)
     placed = cut_lineage(signature_join.near_duplicates(docs), "near-duplicates")
-    stay = placed.where("n_shingles > 0 and doc_id <=> component_id").select(F.col("doc_id").alias("_id"), "component").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
+    stay = placed.where("n_shingles > 0").groupBy("component").agg(first.alias("_first")).select(
+        "component", F.col("_first.doc_id").alias("_id"), F.col("_first.text_hash").alias("_hash")
+    )
     wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    chosen = docs.where(~wordless).join(stay, F.col("doc_id").eqNullSafe(F.col("_id")))
-    one = chosen.groupBy("_id", "component").agg(*[F.first(c).alias(f"_{c}") for c in COLUMNS])
-    return one.select(*[F.col(f"_{c}").alias(c) for c in COLUMNS]).unionByName(docs.where(wordless))
+    chosen = docs.where(~wordless).join(
+        stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (signature_join.text_hash(F.col("text")) == F.col("_hash"))
+    )
+    one = chosen.groupBy("component").agg(F.min(F.struct("doc_id", "lang", "source", "n_chars", "text")).alias("_one"))
+    return one.select(*[F.col(f"_one.{c}").alias(c) for c in COLUMNS]).unionByName(docs.where(wordless))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundcast.llm import hashing
@@ -106,8 +106,8 @@ def prefix_length(n: int) -> int:
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for every document (doc_id, fp, n, bits) and one for every shingle that is
-    frequent within the batch (shingle in fp, its count in hot)."""
+    """A row for every document (doc_id, its hash ``text``, fp, n, bits) and one for every
+    shingle that is frequent within the batch (shingle in fp, its count in hot)."""
     for batch in _parts(batches):
         sets = shingle_sets(batch.column("text"))
         fps = [fp or None for fp in fingerprints(sets).tolist()]
@@ -120,12 +120,13 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.concat_arrays([batch.column("doc_id").cast(pa.int64()), pa.nulls(k, pa.int64())]),
+                pa.concat_arrays([batch.column("text_hash"), pa.nulls(k, pa.int64())]),
                 pa.concat_arrays([pa.array(fps, pa.int64()), pa.array(hot.view(np.int64))]),
                 pa.array([len(s) for s in sets] + [0] * k, pa.int64()),
                 pa.concat_arrays([pa.nulls(docs, pa.int64()), pa.array(counts.astype(np.int64))]),
                 pa.array([_bitmap(s) if len(s) else None for s in sets] + [None] * k, pa.binary()),
             ],
-            names=["doc_id", "fp", "n", "hot", "bits"],
+            names=["doc_id", "text_hash", "fp", "n", "hot", "bits"],
         )
 
 
@@ -440,11 +441,14 @@ def _tree_pairs(marked: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(classes, links): doc_id, fp and n of every document (fp null without words),
-    and verified links (a, b) between classes that connect all that link."""
+    """(classes, links): doc_id, text_hash, fp and n of every document (fp null without
+    words), and verified links (a, b) between classes that connect all that link."""
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    seen = cut_lineage(thin.mapInArrow(_classes, "doc_id long, fp long, n long, hot long, bits binary"), "classes")
-    classes = seen.where("hot is null").select("doc_id", "fp", "n")
+    hashed = thin.withColumn("text_hash", text_hash(F.col("text")))
+    seen = cut_lineage(
+        hashed.mapInArrow(_classes, "doc_id long, text_hash long, fp long, n long, hot long, bits binary"), "classes"
+    )
+    classes = seen.where("hot is null").select("doc_id", "text_hash", "fp", "n")
     total = classes.agg(F.sum(F.floor(F.col("n") / 4) + 1).alias("filed")).first()
     frequent = _frequent(seen)
     order = np.argsort(frequent, kind="stable")
@@ -470,8 +474,13 @@ def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     return _verified(pairs, _sets(docs, wanted, classes))
 
 
+def text_hash(text: Column) -> Column:
+    """Tells rows with one doc_id (or none) apart by their text."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class (of equal sets, null without shingles) and
+    """doc_id, text_hash, n_shingles, class (of equal sets, null without shingles) and
     component_id: the smallest doc_id reachable by links, its own included."""
     classes, found = links(docs)
     label = components(found)
@@ -482,5 +491,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return placed.join(least, "component", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("_least")).alias("component_id"),
-        F.col("fp").alias("class"), "component",
+        F.col("fp").alias("class"), "component", "text_hash",
     )

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from fundcast.llm import (
     decontaminate, elias_fano, hashing, mixing, quality, signature_join, suffix_tree, surrogates, token_files,
     toxicity, url_rules, warc,
@@ -80,6 +81,29 @@ def test_signature_join_equals_all_pairs(docs):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_pipeline_keeps_one_document_of_every_component(spark, docs):
+    a, b, c = ("".join(f"{x}{i} " for i in range(20)) for x in "abc")
+    more = [(None, a), (None, b), (5000, a + "end"), (5001, c), (5001, "other " * 9), (5001, c), (None, c), (None, " "), (None, "x y"), (None, "z y")]
+    data = [r[:5] for r in rows()] + [(i, t, "en", "a", len(t)) for i, t in more]
+    every = share_code(spark).createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, every, "").collect()
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
+    sets = [shingles(WORD.findall(lower(r[1]))) for r in data]
+    group = list(range(len(data)))
+    for i, s in enumerate(sets):
+        for j in range(i):
+            if s and 100 * len(s & sets[j]) >= 75 * len(s | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    assert sum(not WORD.search(r.text or "") for r in got) == sum(not s for s in sets)
+    least = {}
+    for i, (d, *_) in enumerate(data):
+        if sets[i]:
+            least[group[i]] = min(least.get(group[i], (True, 0)), (d is None, d or 0))
+    place = {r[:2]: g for r, g in zip(data, group, strict=True)}
+    kept = sorted((place[r.doc_id, r.text], (r.doc_id is None, r.doc_id or 0)) for r in got if WORD.search(r.text or ""))
+    assert kept == sorted(least.items())
+
+
 def test_tree_bounds_lose_no_pair():
     rnd = np.random.default_rng(1)
     base = rnd.integers(0, 1 << 63, 60).astype(np.uint64)
