@@ -4,8 +4,9 @@ Entities are found by pattern: secrets, e-mail and IP addresses, card, account
 and social security numbers, phone numbers, and person names after a form of
 address or a common given name. Every entity gets a replacement of its type and
 format: digits and letters are permuted in place by a keyed Feistel cipher (so
-length, case, separators, country codes and valid check digits stay), names come
-from tables of the same script and gender. The replacement depends on the key
+length, case, separators, country codes and valid check digits stay), given names
+come from tables of the same script and gender or, if they are in none, are built
+from syllables like family names, with an ending of the gender. The replacement depends on the key
 and the entity alone, so an entity has the same one in all documents.
 
 Collision checks make that safe: over all distinct entities of the corpus, no
@@ -40,6 +41,9 @@ GIVEN = {
     ("cyrillic", "f"): "Анна Вера Галина Дарья Елена Жанна Зоя Ирина Ксения Лидия Мария Нина".split(),
     ("cyrillic", "m"): "Антон Борис Виктор Глеб Денис Егор Игорь Кирилл Леонид Максим Никита Олег".split(),
 }
+#: Endings of given names that are built from syllables; no two genders share one.
+ENDINGS = {("latin", "f"): "lia", ("latin", "m"): "rin", ("cyrillic", "f"): "лия", ("cyrillic", "m"): "рин"}
+GENDER = {name: gender for (_, gender), names in GIVEN.items() for name in names}
 SYLLABLES = {
     "latin": "ba be bi bo bu da de di do du ga ge go ka ke ki ko la le li lo ma me mi mo na ne no pa pe ra re ro sa se so ta te to va ve wa".split(),
     "cyrillic": "ба бе би бо ва ве ви во да де до за зе ка ко ла ле ли ма ме ми мо на не но па по ра ре ро са со та то".split(),
@@ -65,7 +69,8 @@ PATTERNS = {
 }
 _ALL = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
 #: No pattern matches a text without one of these.
-_HINT = re.compile(rf"[0-9@]|(?<!\w)(?:{_FORMS})\.? |(?<!\w)(?:{_KNOWN}) |[\"'][A-Za-z+/_\-]{{24}}")
+_HINT = re.compile(rf"[0-9@]|(?<!\w)(?:{_FORMS})\.? |(?<!\w)(?:{_KNOWN}) |[\"'][A-Za-z+/_\-]{{24}}"
+                   r"|(?<![A-Za-z0-9])(?:AKIA|gh[pousr]_|sk-|xox[abprs]-|[a-f]{32}|[A-F]{32})")
 
 
 def _number(key: bytes, *parts) -> int:
@@ -158,17 +163,17 @@ def _family(key: bytes, name: str, attempt: int) -> str:
     return "".join(parts[x // len(parts) ** i % len(parts)] for i in range(4)).capitalize()
 
 
-def _given(key: bytes, name: str, gender: str | None) -> str:
+def _given(key: bytes, name: str, gender: str | None, attempt: int) -> str:
     script = "cyrillic" if re.search("[а-яё]", name.lower()) else "latin"
-    for (s, g), names in GIVEN.items():
-        if s == script and name in names:
-            gender = g
-    gender = gender or "fm"[_number(key, "gender", name.lower()) % 2]
+    gender = GENDER.get(name) or gender or "fm"[_number(key, "gender", name.lower()) % 2]
     table = GIVEN[script, gender]
-    if name in table:  # a bijection of the table without fixed points
+    if name in table and not attempt:  # a bijection of the table without fixed points
         i = table.index(name)
         return table[(i + 1 + _number(key, "given", script, gender) % (len(table) - 1)) % len(table)]
-    return table[_number(key, "given", name.lower()) % len(table)]
+    parts = SYLLABLES[script]
+    x = _number(key, "given", gender, attempt, name.lower())
+    head = "".join(parts[x // len(parts) ** i % len(parts)] for i in range(4))
+    return (head + ENDINGS[script, gender]).capitalize()
 
 
 def surrogate(key: bytes, kind: str, text: str, attempt: int = 0) -> str:
@@ -237,17 +242,18 @@ def _name_parts(m: re.Match) -> list[tuple[str, int, int]]:
     """A person's given names and family name as entities of their own, so that
     "Mrs Bell" and "Helena Bell" stay one family."""
     if m.group("given"):
-        return [("given:", *m.span("given")), ("family", *m.span("family"))]
+        return [(f"given:{GENDER[m.group('given')]}", *m.span("given")), ("family", *m.span("family"))]
     form = m.group("form")
     gender = "f" if form in FEMALE else "m" if form in MALE else ""
     a = m.start("after")
     words = [(a + w.start(), a + w.end()) for w in re.finditer(r"\S+", m.group("after"))]
-    return [(f"given:{gender}", *w) for w in words[:-1]] + [("family", *words[-1])]
+    given = [(f"given:{GENDER.get(m.string[slice(*w)], gender)}", *w) for w in words[:-1]]
+    return [*given, ("family", *words[-1])]
 
 
 def _fresh(key: bytes, kind: str, text: str, attempt: int) -> str:
     if kind.startswith("given:"):
-        return _given(key, text, kind[6:] or None)
+        return _given(key, text, kind[6:] or None, attempt)
     if kind == "family":
         return _family(key, text, attempt)
     return surrogate(key, kind, text, attempt)
@@ -290,12 +296,12 @@ def overrides(found: DataFrame, key: bytes) -> DataFrame:
 
     Each round draws the pending entities' surrogates, and keeps the smallest
     form of those that share one; a surrogate that is an original, or is already
-    given, sends its entity to the next round. Given names are drawn from tables,
-    so they repeat by design and are not checked.
+    given, sends its entity to the next round. Given names of all genders are checked
+    against each other.
     """
     spark = found.sparkSession
     distinct = cut_lineage(
-        found.where(~F.col("kind").startswith("given:")).select("kind", "form").distinct(), "entities"
+        found.select("kind", "form").distinct().withColumn("sort", F.substring_index("kind", ":", 1)), "entities"
     )
     pending, settled, moved = distinct.withColumn("attempt", F.lit(0)), None, None
 
@@ -307,18 +313,19 @@ def overrides(found: DataFrame, key: bytes) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(new, pa.string())], names=[*batch.schema.names, "new"])
 
-    originals = distinct.select("kind", F.col("form").alias("new"))
+    originals = distinct.select("sort", F.col("form").alias("new"))
     for _ in range(MAX_ATTEMPTS):
-        drawn = pending.mapInArrow(draw, "kind string, form string, attempt int, new string")
-        first = drawn.groupBy("kind", "new").agg(F.min(F.struct("form", "attempt")).alias("_first"))
-        good = first.select("kind", "_first.form", "_first.attempt", "new").join(originals, ["kind", "new"], "left_anti")
+        drawn = pending.mapInArrow(draw, "kind string, form string, sort string, attempt int, new string")
+        first = drawn.groupBy("sort", "new").agg(F.min(F.struct("form", "kind", "attempt")).alias("_first"))
+        good = first.select("sort", "_first.*", "new").join(originals, ["sort", "new"], "left_anti")
         if settled is not None:
-            good = good.join(settled, ["kind", "new"], "left_anti")
-        good = cut_lineage(good.select("kind", "form", "attempt", "new"), "surrogates")
+            good = good.join(settled, ["sort", "new"], "left_anti")
+        good = cut_lineage(good.select("kind", "form", "attempt", "sort", "new"), "surrogates")
         pending = cut_lineage(
-            pending.join(good, ["kind", "form"], "left_anti").withColumn("attempt", F.col("attempt") + 1), "surrogates-left"
+            pending.join(good, ["kind", "form"], "left_anti").withColumn("attempt", F.col("attempt") + 1)
+            .select("kind", "form", "sort", "attempt"), "surrogates-left"
         )
-        settled = good.select("kind", "new") if settled is None else settled.unionAll(good.select("kind", "new"))
+        settled = good.select("sort", "new") if settled is None else settled.unionAll(good.select("sort", "new"))
         late = good.where("attempt > 0").select("kind", "form", "attempt")
         moved = late if moved is None else moved.unionAll(late)
         if pending.isEmpty():

@@ -334,6 +334,18 @@ def test_surrogates_keep_type_and_coreference(spark, empty):
     assert surrogates.pseudonymise(empty, key).count() == 0
 
 
+def test_surrogates_of_given_names_differ(spark):
+    first = [x + y for x in "Ba De Fi Go Lu Mo".split() for y in "bba cca dda ffa gga lla mma nna".split()] + surrogates.GIVEN["latin", "f"]
+    data = [(i, f"Mrs {n} Smith") for i, n in enumerate(first)] + [(900, "Mr Babba Smith"), (901, "Dr Babba Smith"), (902, "Helena Smith")]
+    data += [(903, "the key sk-abcdefghijklmnopqrstuv is out")]
+    texts = share_code(spark).createDataFrame(data, "doc_id long, text string")
+    got = {r.doc_id: r for r in surrogates.pseudonymise(texts, b"test").collect()}
+    new = {i: [x.surrogate for x in r.replaced if x.kind == "given"] for i, r in got.items()}
+    names = [new[i][0] for i in (*range(len(first)), 900, 901)]
+    assert len(set(names)) == len(names) and not set(names) & set(first)
+    assert new[902] == new[first.index("Helena")] and "sk-abcdefgh" not in got[903].text
+
+
 def test_toxicity_with_and_without_labels(spark, docs, empty):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     scored = toxicity.score(docs, toxicity.fit(docs, none))
