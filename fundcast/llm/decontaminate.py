@@ -121,7 +121,7 @@ def _scan(batches: Iterator[pa.RecordBatch], index: _Index) -> Iterator[pa.Recor
     for batch in batches:
         out: list[tuple] = []
         words, bounds = hashing.words(batch.column("text"), hashing.ALNUM)
-        ids = batch.column("doc_id")
+        ids, hashes = batch.column("doc_id"), batch.column("text_hash")
         best: dict[tuple[int, int], tuple] = {}
         done: set = set()
         hits = sorted(index.hits(words))
@@ -143,10 +143,10 @@ def _scan(batches: Iterator[pa.RecordBatch], index: _Index) -> Iterator[pa.Recor
                     best[row, k] = found
         for (row, k), (distance, first, last) in best.items():
             item, pattern, errors = index.items[k]
-            out.append((ids[int(row)].as_py(), item, distance, errors, len(pattern), first, last))
-        columns = list(zip(*out, strict=True)) or [[]] * 7
-        kinds = [pa.int64(), pa.int64()] + [pa.int32()] * 5
-        names = [x.split()[0] for x in SCHEMA.split(", ")]
+            out.append((ids[int(row)].as_py(), item, distance, errors, len(pattern), first, last, hashes[int(row)].as_py()))
+        columns = list(zip(*out, strict=True)) or [[]] * 8
+        kinds = [pa.int64(), pa.int64()] + [pa.int32()] * 5 + [pa.int64()]
+        names = [*(x.split()[0] for x in SCHEMA.split(", ")), "text_hash"]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names
         )
@@ -167,20 +167,30 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
 def matches(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """One row per (document, item) that occurs in it within the error budget:
     doc_id, item_id, distance, budget, item_words, first_word, last_word."""
+    return _found(docs.withColumn("text_hash", F.lit(0).cast("long")), items, rate).drop("text_hash")
+
+
+def _found(docs: DataFrame, items: DataFrame, rate: float) -> DataFrame:
+    """``matches`` with the column text_hash of ``docs``."""
     spark = docs.sparkSession
-    thin = docs.select("doc_id", "text").where("text is not null")
-    found = spark.createDataFrame([], SCHEMA)
+    thin = docs.select("doc_id", "text", "text_hash").where("text is not null")
+    schema = SCHEMA + ", text_hash long"
+    found = spark.createDataFrame([], schema)
     for block in _blocks(items):
         held = spark.sparkContext.broadcast((block, rate))
 
         def scan(batches, held=held):
             yield from _scan(batches, _Index(*held.value))
 
-        found = found.unionAll(thin.mapInArrow(scan, SCHEMA))
+        found = found.unionAll(thin.mapInArrow(scan, schema))
     return found
 
 
 def remove(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """``docs`` without the documents that contain a test item."""
-    dirty = matches(docs, items, rate).select(F.col("doc_id").alias("_dirty")).distinct()
-    return docs.join(dirty, F.col("doc_id") == F.col("_dirty"), "left_anti")
+    """``docs`` without the documents that contain a test item. Rows are told apart by
+    id and text, so null and repeated ids are judged on their own texts."""
+    text_hash = F.xxhash64("text")
+    dirty = _found(docs.withColumn("text_hash", text_hash), items, rate).select(
+        F.col("doc_id").alias("_dirty"), F.col("text_hash").alias("_hash")
+    ).distinct()
+    return docs.join(dirty, F.col("doc_id").eqNullSafe(F.col("_dirty")) & (text_hash == F.col("_hash")), "left_anti")

@@ -259,6 +259,15 @@ def test_decontamination_finds_edited_items(spark, docs, empty):
     assert decontaminate.matches(empty, items).count() == 0
 
 
+def test_decontamination_judges_rows_with_null_and_repeated_ids(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    data = [(None, "x " + item), (None, "clean"), (None, None), (5, item + " y"), (5, "clean too"), (6, "z")]
+    texts = share_code(spark).createDataFrame(data, "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    got = [tuple(r) for r in decontaminate.remove(texts, items).collect()]
+    assert sorted(got, key=repr) == sorted([r for r in data if item not in (r[1] or "")], key=repr)
+
+
 def test_elias_fano_round_trip():
     rnd = random.Random(2)
     for n in (0, 1, 2, 300, 1000):
