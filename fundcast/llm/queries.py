@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundcast.llm import (
-    decontaminate, mixing, quality, signature_join, suffix_tree, surrogates, token_files, toxicity, url_rules, warc,
+    decontaminate, mixing, quality, signature_join, source_divergence, suffix_tree, surrogates, token_files, toxicity,
+    url_rules, warc,
 )
 from fundcast.session import cut_lineage, scratch_path, share_code
 from fundcast.sources.tables import table
@@ -160,3 +161,36 @@ def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(toxicity.fold(F.col("doc_id"), 7) == 2, F.lit(False)).alias("held_out"),
         "n_tokens", "n_known", "train_tokens", "base_score", "score",
     )
+
+
+@query("op13_source_divergence", r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+           FROM documents),
+t AS (SELECT doc, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+l AS (SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS n FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (SELECT s.lang, s.source, coalesce(l.v, 0) AS v, l.n AS lang_n, coalesce(sum(c.n), 0)::HUGEINT AS n
+      FROM (SELECT DISTINCT lang, source FROM d) s LEFT JOIN l USING (lang) LEFT JOIN c USING (lang, source)
+      GROUP BY s.lang, s.source, l.v, l.n),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS count,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.n + 2 * g.v) AS p,
+             1 + (1000000000::HUGEINT * (k.total + 2)) // (g.lang_n + 2 * g.v) AS q
+      FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+                 sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+          GROUP BY a.lang, a.source, b.source
+          UNION ALL
+          SELECT a.lang, a.source, 'pair', b.source, 0 FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          WHERE a.v = 0),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value
+          FROM p WHERE count > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR rank <= 10
+""")
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
