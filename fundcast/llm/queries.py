@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundcast.llm import (
-    decontaminate, mixing, quality, signature_join, source_divergence, suffix_tree, surrogates, token_files, toxicity,
-    url_rules, warc,
+    decontaminate, mixing, quality, repeated_passages, signature_join, source_divergence, suffix_tree, surrogates,
+    token_files, toxicity, url_rules, warc,
 )
 from fundcast.session import cut_lineage, scratch_path, share_code
 from fundcast.sources.tables import table
@@ -194,3 +194,29 @@ QUALIFY part = 'pair' OR rank <= 10
 """)
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op12_repeated_passages", """
+WITH d AS (SELECT row_number() OVER () AS doc, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc, doc_id, i, substring(h, 2 * i + 1, 100) AS w
+      FROM (SELECT *, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
+f AS (SELECT w, min(doc_id) AS first FROM w GROUP BY w),
+m AS (SELECT doc, i, lag(i) OVER (PARTITION BY doc ORDER BY i) AS last FROM w JOIN f USING (w) WHERE first < doc_id),
+r AS (SELECT doc, i, sum(CASE WHEN i <= last + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc ORDER BY i) AS run FROM m),
+s AS (SELECT doc, min(i) AS b, max(i) + 50 AS e FROM r GROUP BY doc, run),
+g AS (SELECT doc, b, e, coalesce(lag(e) OVER (PARTITION BY doc ORDER BY b), 0) AS before FROM s),
+k AS (SELECT doc, count(*) AS n_spans, sum(e - b) AS n_removed, max(e) AS tail,
+             string_agg(substring(h, 2 * before + 1, 2 * (b - before)), '' ORDER BY b) AS kept
+      FROM g JOIN d USING (doc) GROUP BY doc)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc)
+""")
+def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages.without_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["begin"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
