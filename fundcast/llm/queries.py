@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundcast.llm import (
-    decontaminate, mixing, quality, repeated_passages, signature_join, source_divergence, suffix_tree, surrogates,
-    token_files, toxicity, url_rules, warc,
+    decontaminate, hard_negatives, mixing, quality, repeated_passages, signature_join, source_divergence, suffix_tree,
+    surrogates, token_files, toxicity, url_rules, warc,
 )
 from fundcast.session import cut_lineage, scratch_path, share_code
 from fundcast.sources.tables import table
@@ -196,6 +196,28 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents"))
 
 
+@query("op11_hard_negatives", """
+WITH v AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * x::DOUBLE) FOR x IN embedding] AS x
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.id AS anchor, b.id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+      FROM v a JOIN v b ON a.id <> b.id WHERE a.id % 100 = 0),
+p AS (SELECT anchor, id, score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5)
+SELECT p.anchor AS anchor_id, p.id AS positive_id,
+       row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY s.score DESC, s.id)::INT AS rank,
+       s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY rank <= 10
+""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.prepared(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
 @query("op12_repeated_passages", """
 WITH d AS (SELECT row_number() OVER () AS doc, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
 w AS (SELECT doc, doc_id, i, substring(h, 2 * i + 1, 100) AS w
