@@ -330,11 +330,12 @@ def _finish(folder: str):
         block = Block(files.child(folder, table.column("file").drop_null()[0].as_py()))
         told = table.filter(table.column("file").is_null())
         pos, found = packed.unpack(told, "pos", np.uint32), packed.unpack(told, "found", np.uint32)
-        edge = np.zeros(len(block.raw) + 1, np.int64)
-        for x in told.column("marks").to_pylist():
+        begins, ends = [], []
+        for x in filter(None, told.column("marks").to_pylist()):
             begin, end = np.frombuffer(x, np.uint32).reshape(2, -1)
-            edge += np.bincount(begin, minlength=len(edge)) - np.bincount(end, minlength=len(edge))
-        for x in told.column("follow").to_pylist():
+            begins.append(begin)
+            ends.append(end)
+        for x in filter(None, told.column("follow").to_pylist()):
             mine, leader = np.frombuffer(x, np.uint32).reshape(2, -1)
             if len(mine) and len(pos):
                 order = np.argsort(pos, kind="stable")
@@ -343,7 +344,11 @@ def _finish(folder: str):
                 pos, found = np.concatenate([pos, mine[hit]]), np.concatenate([found, found[order[at]][hit]])
         for window in range(_LEFT + 1):
             start = pos[(found >> np.uint32(window)) & np.uint32(1) > 0].astype(np.int64) - _LEFT + window
-            edge += np.bincount(start, minlength=len(edge)) - np.bincount(start + LENGTH, minlength=len(edge))
+            begins.append(start)
+            ends.append(start + LENGTH)
+        size = len(block.raw) + 1
+        edge = np.bincount(np.concatenate(begins).astype(np.int64), minlength=size)
+        edge -= np.bincount(np.concatenate(ends).astype(np.int64), minlength=size)
         gone = np.cumsum(edge)[:-1] > 0
         border = np.zeros(len(block.raw) + 1, bool)
         border[block.offsets] = True

@@ -27,6 +27,7 @@ NONE = np.iinfo(np.int64).max
 class Column:
     """The runs of one column, and what follows it."""
 
+    run: np.ndarray  # of every row
     starts: np.ndarray  # row at which each run begins
     heads: np.ndarray  # its character
     base: np.ndarray  # row of its first string in the next column's order
@@ -36,8 +37,8 @@ class Column:
     common: np.ndarray  # columns in which a string agrees with the one before it there
 
     def classes(self, length: int) -> np.ndarray:
-        """First rows of the groups that agree in the last ``length`` columns."""
-        return np.flatnonzero(self.common < length)
+        """The group of every row, of those that agree in the last ``length`` columns."""
+        return np.cumsum(self.common < length) - 1
 
 
 def columns(strings: np.ndarray) -> Iterator[Column]:
@@ -46,7 +47,8 @@ def columns(strings: np.ndarray) -> Iterator[Column]:
     order, common = np.arange(n), np.zeros(n, np.int32)
     for j in range(width):
         chars = strings[order, j]
-        starts = np.concatenate([[0], np.flatnonzero(chars[1:] != chars[:-1]) + 1])
+        begins = np.concatenate([[True], chars[1:] != chars[:-1]])
+        starts = np.flatnonzero(begins)
         heads = chars[starts]
         to = np.argsort(chars, kind="stable")
         row = np.empty(n, np.int64)
@@ -68,7 +70,7 @@ def columns(strings: np.ndarray) -> Iterator[Column]:
             spans[::2], spans[1::2] = before + 1, run
             between = np.minimum(np.minimum.reduceat(least, spans)[::2], common[starts[run]])
             agree[row[starts[run]]] = between + 1
-        yield Column(starts, heads, row[starts], order[starts], order[ends], after, agree)
+        yield Column(np.cumsum(begins) - 1, starts, heads, row[starts], order[starts], order[ends], after, agree)
         order, common = after, agree
 
 
@@ -84,7 +86,7 @@ def _agreeing(patterns: np.ndarray, strings: np.ndarray) -> np.ndarray:
 def stream(column: Column, j: int, strings: np.ndarray, patterns: np.ndarray, row: np.ndarray, length: np.ndarray) -> None:
     """Takes ``row`` and ``length`` of every pattern over column ``j``, in place."""
     char = patterns[:, j]
-    run = np.searchsorted(column.starts, row, "right") - 1
+    run = column.run[row]
     off = np.flatnonzero(column.heads[run] != char)
     runs = len(column.starts)
     by_char = np.argsort(column.heads, kind="stable")
@@ -119,8 +121,8 @@ def earlier(strings, docs, inside, patterns, pattern_docs, pattern_inside, lengt
             continue
         of = np.where((inside[0] <= window) & (inside[1] > j), docs, NONE)
         classes = column.classes(length)
-        least = np.minimum.reduceat(of[column.after], classes)
-        found = least[np.searchsorted(classes, row, "right") - 1] < pattern_docs
+        least = np.minimum.reduceat(of[column.after], np.flatnonzero(np.diff(classes, prepend=-1)))
+        found = least[classes[row]] < pattern_docs
         found &= (matched >= length) & (pattern_inside[0] <= window) & (pattern_inside[1] > j)
         marks |= found.astype(np.int64) << window
     return marks
