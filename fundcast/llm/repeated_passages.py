@@ -44,11 +44,11 @@ LENGTH = 50
 GRAM = 25
 BLOCK = 4 << 20
 #: Anchors, and strings around anchors, that one bucket takes, about.
-BUCKET_HASHES = 1 << 20
-BUCKET_STRINGS = 1 << 17
+BUCKET_HASHES = 1 << 19
+BUCKET_STRINGS = 1 << 16
 #: Windows whose anchors are sought at a time, and anchors whose surroundings are cut out.
-_STEP = 1 << 18
-_ROWS = 1 << 15
+_STEP = 1 << 17
+_ROWS = 1 << 13
 _BYTES = hashing.mix(np.arange(1, 257, dtype=np.uint64))
 _P = 0x9E3779B97F4A7C15
 _KEY = 6  # bytes of a hash that are sent; its bucket tells leading ones
@@ -228,6 +228,7 @@ _SENT = "key long, block long, pos binary, docs binary, strings binary, marks bi
 
 def _surroundings(folder: str, bits: int):
     def send(table: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         table = table.sort_by("bucket")
         block = Block(files.child(folder, table.column("file")[0].as_py()))
         number = table.column("block")[0].as_py()
@@ -296,6 +297,7 @@ def _marked(block, pos, found, marks, follow) -> pa.Table:
 
 def _matched(key: tuple, table: pa.Table) -> pa.Table:
     """The marks of a bucket's strings, by block."""
+    pa.default_memory_pool().release_unused()
     n = table.num_rows
     if key[0].as_py() < 0:  # what a block settled by itself
         return _marked(table.column("block"), [b""] * n, [b""] * n, table.column("marks").to_pylist(),
@@ -327,6 +329,7 @@ _KEPT = "doc_id long, n_bytes long, spans array<struct<begin: long, end: long>>,
 
 def _finish(folder: str):
     def take_out(table: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         block = Block(files.child(folder, table.column("file").drop_null()[0].as_py()))
         told = table.filter(table.column("file").is_null())
         pos, found = packed.unpack(told, "pos", np.uint32), packed.unpack(told, "found", np.uint32)
@@ -346,10 +349,12 @@ def _finish(folder: str):
             start = pos[(found >> np.uint32(window)) & np.uint32(1) > 0].astype(np.int64) - _LEFT + window
             begins.append(start)
             ends.append(start + LENGTH)
-        size = len(block.raw) + 1
-        edge = np.bincount(np.concatenate(begins).astype(np.int64), minlength=size)
-        edge -= np.bincount(np.concatenate(ends).astype(np.int64), minlength=size)
-        gone = np.cumsum(edge)[:-1] > 0
+        edge = np.zeros(len(block.raw) + 1, np.int32)
+        for begin, end in zip(begins, ends):
+            np.add.at(edge, begin, 1)
+            np.subtract.at(edge, end, 1)
+        gone = np.cumsum(edge, out=edge)[:-1] > 0
+        del edge, begins, ends
         border = np.zeros(len(block.raw) + 1, bool)
         border[block.offsets] = True
         begin = np.flatnonzero(gone & (border[:-1] | ~np.concatenate([[False], gone[:-1]])))
@@ -364,7 +369,9 @@ def _finish(folder: str):
             ),
         )
         data = block.raw[~gone]
-        ends = np.concatenate([[0], np.cumsum(~gone)])[block.offsets]
+        # bytes that stay before each text: those of its place, less what the spans before take
+        taken = np.concatenate([[0], np.cumsum(end - begin)])
+        ends = block.offsets - taken[cut]
         kept = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data)])
         return pa.table({
             "doc_id": block.doc_id, "n_bytes": pa.array(np.diff(block.offsets)), "spans": spans, "kept": kept.cast(pa.binary()),
