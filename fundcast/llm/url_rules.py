@@ -161,12 +161,13 @@ def judge(
     """page_id, host, path, rule, verdict, n_rules, confidence for every row of
     ``pages`` (page_id, url)."""
     mined = mine(labelled, **mining)
-    hit = matches(pages, mined).withColumnRenamed("page_id", "_page")
+    # rules judge urls, so rows with the same or no page_id never judge each other
+    hit = matches(pages.select("url").distinct(), mined, "url").withColumnRenamed("url", "_url")
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     return (
-        pages.select("page_id", host.alias("host"), path.alias("path"))
+        pages.select("page_id", "url", host.alias("host"), path.alias("path"))
         .withColumn("_w", written_rule(F.col("host"), F.col("path"), rules))
-        .join(hit, F.col("page_id").eqNullSafe(F.col("_page")), "left")
+        .join(hit, F.col("url") == F.col("_url"), "left")
         .select(
             "page_id", "host", "path", F.col("_w")["rule"].alias("rule"),
             F.coalesce(F.col("_w")["verdict"], F.when(F.col("n_rules") > 0, "block").otherwise("allow")).alias("verdict"),
