@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import struct
 import uuid
+import gzip
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -201,6 +202,10 @@ class _Records:
             if self.left[3] & 4 and self.left[12:14] == b"SL":
                 length = _EXTRA.unpack_from(self.left, 12)[2]
             member_at = self.f.tell() - len(self.left)
+            if length is None:  # members of any content: records run on within and across them
+                self.f.seek(member_at)
+                yield from type(self)(gzip.GzipFile(fileobj=self.f), False)._plain()
+                return
             inflate = zlib.decompressobj(31)
             data, feed = b"", self.left
             while b"\r\n\r\n" not in data and not inflate.eof:
@@ -212,29 +217,24 @@ class _Records:
             headers = parse(head)
             state = {"feed": feed, "done": False}
 
-            def rest(keep: bool, inflate=inflate, state=state):
+            def rest(inflate=inflate, state=state):
                 parts, feed = [], state["feed"]
                 while not inflate.eof:
                     if not feed and not (feed := self._more()):
                         break
-                    got = inflate.decompress(feed, 1 << 20)
-                    if keep:
-                        parts.append(got)
+                    parts.append(inflate.decompress(feed, 1 << 20))
                     feed = inflate.unconsumed_tail
                 state["done"] = True
                 self.left = inflate.unused_data
                 return b"".join(parts)
 
             def payload(begun=begun, headers=headers, rest=rest):
-                return (begun + rest(True))[: int(headers.get("content-length", 0))]
+                return (begun + rest())[: int(headers.get("content-length", 0))]
 
             yield headers, payload
-            if not state["done"]:
-                if length is not None:  # the rest of this member is not even inflated
-                    self.f.seek(member_at + length)
-                    self.left = b""
-                else:
-                    rest(False)
+            if not state["done"]:  # the rest of this member is not even inflated
+                self.f.seek(member_at + length)
+                self.left = b""
 
 
 def parse(head: bytes) -> dict[str, str]:
