@@ -33,29 +33,61 @@ def query(name: str, oracle: str | None = None):
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
-@query("op5_mixing", f"""
-WITH d AS (SELECT doc_id, source, len({_WORDS}) AS size FROM documents),
-s AS (SELECT source, sum(size) AS source_size FROM d GROUP BY source),
-w AS (SELECT *, 2.0 * source_size AS cap,
-        CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END AS weight
+@query("op5_mixing")
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source"
+    )
+
+
+@query("mixing_targets", f"""
+WITH d AS (SELECT source, len({_WORDS}) AS size FROM documents),
+s AS (SELECT source, sum(size) AS source_size, count(*) AS n_docs FROM d GROUP BY source),
+w AS (SELECT *, 2.0::DOUBLE * source_size AS cap,
+        CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0 ELSE 1.0 END AS weight
       FROM s),
 f AS (SELECT *, sum(cap) OVER o - cap AS cap_before, sum(weight) OVER o - weight AS weight_before,
-        1.5 * sum(source_size) OVER () AS words, sum(weight) OVER () AS weights
+        1.5::DOUBLE * sum(source_size) OVER () AS words, sum(weight) OVER () AS weights
       FROM w WINDOW o AS (ORDER BY cap / weight, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
-v AS (SELECT min(level) AS level FROM (
+v AS (SELECT min_by(level, cap / weight) AS level FROM (
         SELECT (words - cap_before) / (weights - weight_before) AS level, weight, cap FROM f)
-      WHERE level * weight <= cap),
-t AS (SELECT source, source_size, least(cap, level * weight) AS target FROM f, v)
-SELECT d.source, any_value(t.source_size)::BIGINT AS source_size, any_value(t.target)::DOUBLE AS target,
-       round(any_value(t.target))::BIGINT AS taken, count(*) AS n_docs, true AS within_twice
-FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source GROUP BY d.source
-""" if False else None)
-def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "source_size", "target", "taken", "source"
+      WHERE level * weight <= cap)
+SELECT source, source_size::BIGINT AS source_size, n_docs, round(least(cap, coalesce(level * weight, cap)), 6) AS target,
+       round(least(cap, coalesce(level * weight, cap)))::BIGINT AS taken
+FROM f, v
+""")
+def mixing_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix per source: what it aims at, and the words that its documents then give."""
+    return mixing.mix(table(spark, sf_dir, "documents")).groupBy("source").agg(
+        F.first("source_size").alias("source_size"), F.count("*").alias("n_docs"),
+        F.round(F.first("target"), 6).alias("target"), F.sum("taken").alias("taken"),
     )
 
 
+_BASE = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+@query("quality_base", f"""
+WITH d AS (SELECT row_number() OVER () AS doc, doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+g AS (SELECT doc, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+      FROM (SELECT doc, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+r AS (SELECT doc, count(DISTINCT i + k.k) AS n FROM (
+        SELECT doc, i FROM (SELECT *, count(*) OVER (PARTITION BY doc, g) AS times FROM g) WHERE times > 1),
+        (VALUES (0), (1), (2)) k(k) GROUP BY doc),
+l AS (SELECT doc, count(*) - count(DISTINCT line) AS n FROM (SELECT doc, unnest(string_split(text, chr(10))) AS line FROM d)
+      WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc),
+m AS (SELECT doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
+             (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             coalesce(l.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words
+      FROM d LEFT JOIN l USING (doc) LEFT JOIN r USING (doc))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+""")
+def quality_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the quality rules measure of every document, before hosts are judged."""
+    measured = cut_lineage(quality.measures(table(spark, sf_dir, "documents")), "quality")
+    return quality.judge(measured).select(*_BASE)
+
+
 @query("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = cut_lineage(quality.measures(table(spark, sf_dir, "documents")), "quality")
@@ -132,7 +164,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels, _trainable)
     return toxicity.score(docs, model).select(
-        "doc_id", (toxicity.fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted", "hits"
+        "doc_id", F.coalesce(toxicity.fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted", "hits"
     )
 
 
