@@ -19,9 +19,6 @@ SEED = 12345
 # Fixed values of the original search.
 REG_PARAMS = (1e-7, 1e-5, 1e-3, 1e-1)
 MIN_DFS = (55.0, 75.0, 95.0)
-# The same thresholds per thousand documents: they fit a table of any size, and a
-# vocabulary of terms that a share of all documents holds stays bounded.
-MIN_DF_SHARES = (0.055, 0.075, 0.095)
 THRESHOLDS = (0.7, 0.3)
 
 
@@ -135,6 +132,37 @@ def key_split_sql(key: str, train_fraction: float = 0.9, seed: int = SEED) -> st
     return f"substr(md5(concat_ws('-', CAST({key} AS VARCHAR), '{seed}')), 1, 7) < '{_hex_bound(train_fraction)}'"
 
 
+def exact_split(df: DataFrame, key: str, train_fraction: float = 0.9, seed: int = SEED):
+    """Split with an exact quota: train gets round(``train_fraction`` * rows) rows (halves
+    up), those with the smallest MD5 of (key, seed), whatever the partitioning.
+
+    Only the hashes are ranked over the cluster; the rows themselves are compared with
+    the hash at the quota and stay where they are. Rows that share it (a repeated key)
+    are told apart by a hash of all their columns, and rows alike in all of them fill
+    the quota in any order. A null key counts as an empty one."""
+    from fundcast.operators.rank import global_rank
+    from fundcast.session import cut_lineage
+
+    own = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    row = F.concat_ws("-", own, F.hex(F.xxhash64(*[F.col(c) for c in df.columns])))
+    ranks = global_rank(df.select(row.alias("_h")), [F.asc("_h")])
+    n = ranks.count()
+    quota = int(train_fraction * n + 0.5)
+    if quota <= 0 or quota >= n:
+        return (df, df.limit(0)) if quota else (df.limit(0), df)
+    last = ranks.where(F.col("rank") == quota - 1).first()["_h"]
+    before = ranks.where(F.col("_h") < last).count()
+    equal = ranks.where(F.col("_h") == last).count()
+    if before + equal == quota:
+        return df.where(row <= last), df.where(row > last)
+    # copies of one row straddle the quota: any of them, spread as they lie
+    copies = cut_lineage(df.where(row == last).withColumn("_copy", F.monotonically_increasing_id()), "copies")
+    copies = global_rank(copies, [F.asc("_copy")])
+    first = copies.where(F.col("rank") < quota - before).drop("rank", "_copy")
+    rest = copies.where(F.col("rank") >= quota - before).drop("rank", "_copy")
+    return df.where(row < last).unionAll(first), df.where(row > last).unionAll(rest)
+
+
 def explain_params(spark: SparkSession, pipeline_model) -> DataFrame:
     """(stage, param, value) for every explicitly set or default param of
     every stage of a fitted pipeline."""

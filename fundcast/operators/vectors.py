@@ -1,32 +1,58 @@
-"""ML vector columns as long (index, value) tables, JVM-side.
+"""ML vector columns as plain columns and back, JVM-side.
 
-``vector_to_array`` densifies, which costs O(vocabulary) per row for count
-vectors; ``sparse_entries`` keeps O(non-zeros) by reading the vector's own
-serialized form (type, size, indices, values) through ``to_json`` /
-``from_json``, still without any Python worker.
+A vector is stored in Parquet as a struct (type, size, indices, values). Reading a
+written table with that struct as the column's type shows the parts of every vector,
+and reading it with the vector type turns such structs into vectors: O(non-zeros)
+both ways, with neither Python workers nor a detour through text. ``vector_to_array``
+would densify, which costs O(vocabulary) per row for count vectors.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-_VECTOR_JSON = "struct<v:struct<type:tinyint,size:int,indices:array<int>,values:array<double>>>"
+from fundcast.session import scratch_path
 
+#: A vector's parts as Parquet holds them; type 0 is sparse, 1 dense.
+PARTS = VectorUDT.sqlType()
 
-def sparse_entries(df: DataFrame, keys: list[str], vector_col: str) -> DataFrame:
-    """(keys…, index, value) for the stored entries of each vector: the
+
+def read_parts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A Parquet table of ``schema`` with its vector columns as structs."""
+    plain = [StructField(f.name, PARTS if isinstance(f.dataType, VectorUDT) else f.dataType) for f in schema.fields]
+    return spark.read.schema(StructType(plain)).parquet(path)
+
+
+def written_parts(df: DataFrame, name: str = "parts") -> DataFrame:
+    """``df`` written once and read with its vector columns as structs."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return read_parts(df.sparkSession, path, df.schema)
+
+
+def entries(parts: Column) -> Column:
+    """array<struct<index, value>> of the stored entries of a vector's parts: the
     non-zeros of a sparse vector, every slot of a dense one."""
-    parsed = df.select(*keys, _parsed(vector_col).alias("_v"))
-    v = F.col("_v")
-    entries = F.when(
-        v["type"] == 0,
-        F.arrays_zip(v["indices"].alias("index"), v["values"].alias("value")),
-    ).otherwise(
-        F.transform(v["values"], lambda x, i: F.struct(i.alias("index"), x.alias("value")))
-    )
-    return parsed.select(*keys, F.inline(entries))
+    return F.when(
+        parts["type"] == 0, F.arrays_zip(parts["indices"].alias("index"), parts["values"].alias("value"))
+    ).otherwise(F.transform(parts["values"], lambda x, i: F.struct(i.alias("index"), x.alias("value"))))
+
+
+def entry(parts: Column, index: Column) -> Column:
+    """The value of a vector's parts at ``index``; 0 where none is stored."""
+    at = F.when(parts["type"] == 0, F.nullif(F.array_position(parts["indices"], index), F.lit(0)) - 1).otherwise(index)
+    return F.coalesce(F.get(parts["values"], at.cast("int")), F.lit(0.0))
+
+
+def sparse_entries(df: DataFrame, keys: list[str], vector_col: str) -> DataFrame:
+    """(keys…, index, value) for the stored entries of each vector. The vectors are
+    written once, to be read as structs."""
+    parts = written_parts(df.select(*keys, vector_col), "vector-entries")
+    return parts.select(*keys, F.inline(entries(F.col(vector_col))))
 
 
 def dense_entries(df: DataFrame, keys: list[str], vector_col: str) -> DataFrame:
@@ -35,12 +61,16 @@ def dense_entries(df: DataFrame, keys: list[str], vector_col: str) -> DataFrame:
     return df.select(*keys, F.posexplode(vector_to_array(F.col(vector_col))).alias("pos", "value"))
 
 
-def _parsed(vector_col: str):
-    """The vector's (type, size, indices, values) as a struct column; parsed
-    once in a projection so that later expressions reuse it."""
-    return F.from_json(F.to_json(F.struct(F.col(vector_col).alias("v"))), _VECTOR_JSON)["v"]
-
-
-def vector_size(vector_col: str):
-    """Size of each vector as a column (JVM-side)."""
-    return _parsed(vector_col)["size"]
+def sparse_vectors(rows: DataFrame, key: str, size: int, name: str = "features") -> DataFrame:
+    """(key, name): one sparse vector of ``size`` slots for every key of the entries
+    (key, index, value), the slots in rising order. A key's entries meet in one row,
+    so it should have no more than a document has terms."""
+    spark = rows.sparkSession
+    gathered = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("index", "value"))).alias("_e"))
+    part = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).cast("int").alias("size"),
+        F.col("_e.index").cast("array<int>").alias("indices"), F.col("_e.value").cast("array<double>").alias("values"),
+    )
+    path = scratch_path(spark, "sparse-vectors")
+    gathered.select(key, part.alias(name)).write.parquet(path)
+    return spark.read.schema(StructType([rows.schema[key], StructField(name, VectorUDT())])).parquet(path)

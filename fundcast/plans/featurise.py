@@ -15,6 +15,8 @@ from fundcast.operators import features as FT
 from fundcast.session import cut_lineage
 from fundcast.sinks import write_parquet
 
+#: What the stages after the text read besides the tokens.
+STRUCTURED = ("days_campaign", "hours_prepa", "goal", "country2", "currency2")
 STAGE_ORDER = ("tokens", "filtered", "vectorized", "tfidf", "indexed", "features")
 
 
@@ -58,10 +60,17 @@ def featurise(
     return frames, models
 
 
-def materialise_features(prep: DataFrame, path: str, min_df: float = 1.0, handle_invalid: str = "error") -> DataFrame:
-    """Write the fully featurised frame (vectors included) as Parquet."""
-    frames, _ = featurise(prep, min_df, handle_invalid)
-    return write_parquet(frames["features"], path)
+def materialise_features(
+    prep: DataFrame, path: str, min_df: float = 1.0, handle_invalid: str = "error", columns=None
+) -> str:
+    """Write the fully featurised frame (vectors included) as Parquet; ``columns`` keeps
+    those alone, and nothing else is carried past the text stages."""
+    keep = None
+    if columns is not None:
+        keep = list(dict.fromkeys([*[c for c in prep.columns if c in columns], *STRUCTURED]))
+    frames, _ = featurise(prep, min_df, handle_invalid, keep=keep)
+    out = frames["features"]
+    return write_parquet(out.select(*columns) if columns is not None else out, path)
 
 
 def text_pipeline(min_df: float = 1.0) -> Pipeline:

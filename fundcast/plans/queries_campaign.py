@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from fundcast.catalog import register
 from fundcast.fixtures import campaign_table
 from fundcast.operators import profile
+from fundcast.plans import explore as X
 from fundcast.plans import prepare as P
 from fundcast.plans import sql
 from fundcast.plans.prepare import prepare
+from fundcast.session import cut_lineage
 
 
 def prepared(spark, sf_dir):
@@ -221,3 +223,50 @@ REPORT_KEYS = ["final_status", "disable_communication", "country", "currency", "
 def q_freq_report(spark, sf_dir):
     """The exploration job's one-key frequency tables, all from one scan."""
     return profile.frequencies(cast_raw(spark, sf_dir), REPORT_KEYS)
+
+
+def _report_sql():
+    none = "NULL::VARCHAR"
+    parts = []
+
+    def group(report, key1, key2=none, source="cast_raw", where="TRUE"):
+        parts.append(
+            f"SELECT '{report}' AS report, CAST({key1} AS VARCHAR) AS key1, CAST({key2} AS VARCHAR) AS key2, count(*) AS n_rows, "
+            f"0 AS n_values, NULL::DOUBLE AS mean, NULL::DOUBLE AS stddev, NULL::DOUBLE AS min, NULL::DOUBLE AS max "
+            f"FROM {source} WHERE {where} GROUP BY ALL"
+        )
+
+    for c in RAW_COLUMNS:
+        v = f"CASE WHEN \"{c}\" IS NOT NULL THEN 1.0::DOUBLE END"
+        parts.append(_figures("columns", c, v, "cast_raw"))
+    for c in ("goal", "backers_count", "final_status"):
+        parts.append(_figures("describe", c, f"CAST({c} AS DOUBLE)", "cast_raw"))
+    for c in ("final_status", "disable_communication", "country", "currency", "state_changed_at", "backers_count", "deadline"):
+        group(c, c)
+    two = "coalesce(country, currency)", "CASE WHEN length(currency) = 3 THEN currency END"
+    group("country, currency", "country", "currency")
+    group("currency of missing country", "currency", where="country IS NULL")
+    group("country2, currency2", *two)
+    group("country2", two[0])
+    group("currency2", two[1])
+    group("prepared", "final_status", source="prep")
+    union = " UNION ALL ".join(parts)
+    return (
+        f", said AS ({union}) SELECT report, key1, key2, CAST(row_number() OVER (PARTITION BY report ORDER BY n_rows DESC, "
+        "key1 NULLS FIRST, key2 NULLS FIRST) AS INTEGER) AS place, n_rows, n_values, mean, stddev, min, max FROM said "
+        f"QUALIFY place <= CASE WHEN contains(report, ',') THEN {X.TOP_PAIRS} ELSE {X.TOP} END"
+    )
+
+
+def _figures(report, column, value, source):
+    return (
+        f"SELECT '{report}' AS report, '{column}' AS key1, NULL::VARCHAR AS key2, count(*) AS n_rows, count(v) AS n_values, "
+        f"round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS stddev, min(v) AS min, max(v) AS max "
+        f"FROM (SELECT {value} AS v FROM {source})"
+    )
+
+
+@register("explore_report", sql.with_prep(_report_sql()))
+def q_explore_report(spark, sf_dir):
+    """All exploration reports of a snapshot, from one scan of it."""
+    return X.report(cut_lineage(campaign_table(spark, sf_dir), "snapshot"), "false")

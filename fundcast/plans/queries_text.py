@@ -11,12 +11,12 @@ from fundcast.functions.stopwords import sql_list_literal
 from fundcast.operators import features as FT
 from fundcast.operators import terms as TM
 from fundcast.operators import text as T
-from fundcast.operators.vectors import dense_entries, vector_size
+from fundcast.operators.vectors import dense_entries, entries, entry, read_parts, sparse_vectors, written_parts
 from fundcast.plans import sql
 from fundcast.plans.featurise import materialise_features
 from fundcast.plans.queries_campaign import prepared
-from fundcast.session import scratch_path
-from fundcast.sources import read_parquet, table
+from fundcast.session import cut_lineage, scratch_path
+from fundcast.sources import table
 
 # Vocabulary threshold of the text tables (the original grid's lowest minDF).
 TEXT_MIN_DF = 55
@@ -59,10 +59,17 @@ def filtered_tokens(spark, sf_dir):
     return FT.stop_words().transform(FT.tokenizer().transform(docs))
 
 
+def text_vocabulary(spark, sf_dir):
+    return TM.document_frequencies(filtered_tokens(spark, sf_dir), min_df=TEXT_MIN_DF)
+
+
 def text_counts(spark, sf_dir):
-    """(doc_id, term, tf) of the filtered tokens, and its vocabulary (term, df)."""
-    counts = TM.term_counts(filtered_tokens(spark, sf_dir))
-    return counts, TM.vocabulary(counts, TEXT_MIN_DF)
+    """(doc_id, term, tf) of the filtered tokens, and its vocabulary (term, df). The
+    texts are tokenised once, into one row of counts per document; the vocabulary is
+    written, so its size is known when it is joined."""
+    documents = cut_lineage(TM.counted(filtered_tokens(spark, sf_dir)), "document-terms")
+    counts = TM.spread(documents)
+    return counts, cut_lineage(TM.vocabulary(counts, TEXT_MIN_DF), "vocabulary")
 
 
 @register("word_count", f"WITH {_WORDS_SQL} SELECT word, count(*) AS count FROM words GROUP BY word")
@@ -109,7 +116,37 @@ def q_count_vectors(spark, sf_dir):
 
 @register("vocabulary", f"WITH {_TERMS_SQL} SELECT term, df FROM vocab")
 def q_vocabulary(spark, sf_dir):
-    return text_counts(spark, sf_dir)[1]
+    return text_vocabulary(spark, sf_dir)
+
+
+@register(
+    "feature_index",
+    f"WITH {_TERMS_SQL} SELECT CAST(row_number() OVER (ORDER BY df DESC, term) - 1 AS BIGINT) AS index, term, df FROM vocab",
+)
+def q_feature_index(spark, sf_dir):
+    """The feature index of the text: terms ranked over the cluster."""
+    return TM.feature_index(text_vocabulary(spark, sf_dir))
+
+
+@register(
+    "sparse_tfidf",
+    f"WITH {_TERMS_SQL}, ranked AS (SELECT row_number() OVER (ORDER BY df DESC, term) - 1 AS i, term, df FROM vocab), "
+    "size AS (SELECT count(*) AS size FROM vocab) "
+    f"SELECT doc_id, CAST(size AS INTEGER) AS size, CAST(i AS INTEGER) AS index, "
+    f"round(tf * ln((n + 1.0) / (df + 1.0)), {DIGITS}) AS value FROM tf JOIN ranked USING (term), ndocs, size",
+)
+def q_sparse_tfidf(spark, sf_dir):
+    """TF-IDF vectors of all documents over every term of the vocabulary, assembled
+    without a vocabulary on the driver: their sizes and stored entries."""
+    counts, vocab = text_counts(spark, sf_dir)
+    index = cut_lineage(TM.feature_index(vocab), "feature-index")
+    rows = TM.indexed_weights(counts, index, documents(spark, sf_dir).count())
+    vectors = sparse_vectors(rows, "doc_id", index.count(), "tfidf")
+    size = F.col("tfidf.size")
+    parts = written_parts(vectors, "tfidf-parts")
+    return parts.select("doc_id", size.alias("size"), F.inline(entries(F.col("tfidf")))).select(
+        "doc_id", "size", "index", F.round("value", DIGITS).alias("value")
+    )
 
 
 @register(
@@ -117,7 +154,7 @@ def q_vocabulary(spark, sf_dir):
     f"WITH {_TERMS_SQL} SELECT term, round(ln((n + 1.0) / (df + 1.0)), {DIGITS}) AS idf FROM vocab, ndocs",
 )
 def q_idf_weights(spark, sf_dir):
-    vocab = text_counts(spark, sf_dir)[1]
+    vocab = text_vocabulary(spark, sf_dir)
     weights = TM.idf_weights(vocab, documents(spark, sf_dir).count())
     return weights.select("term", F.round("idf", DIGITS).alias("idf"))
 
@@ -193,6 +230,48 @@ _PREP_TOKENS = _FILTERED.replace("lower(text)", "lower(p.text)")
 def q_features_roundtrip(spark, sf_dir):
     """Stage-by-stage feature materialisation written as Parquet (vectors
     included) and read back: one row per campaign with its vector size."""
-    prep = prepared(spark, sf_dir)
-    path = materialise_features(prep, scratch_path(spark, "features"), MODEL_MIN_DF, "keep")
-    return read_parquet(spark, path).select("project_id", vector_size("features").alias("n_features"))
+    return _stored_features(spark, sf_dir).select("project_id", F.col("features.size").alias("n_features"))
+
+
+def _stored_features(spark, sf_dir):
+    """(project_id, features) of every campaign, written as vectors and read as their parts."""
+    path = materialise_features(
+        prepared(spark, sf_dir), scratch_path(spark, "features"), MODEL_MIN_DF, "keep", ("project_id", "features")
+    )
+    return read_parts(spark, path, spark.read.parquet(path).schema)
+
+
+@register(
+    "features_values",
+    sql.with_prep(
+        f", ptoks AS (SELECT p.project_id, unnest({_PREP_TOKENS}) AS term FROM prep p), "
+        "tfs AS (SELECT project_id, term, count(*) AS tf FROM ptoks GROUP BY project_id, term), "
+        "nprep AS (SELECT count(*) AS n FROM prep), "
+        "dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term), "
+        "weighted AS (SELECT project_id, count(*) AS n_terms, sum(tf) AS tf, "
+        "sum(tf * ln((n + 1.0) / (df + 1.0))) AS weight, max(tf * ln((n + 1.0) / (df + 1.0))) AS largest "
+        f"FROM tfs JOIN dfs USING (term), nprep WHERE df >= {MODEL_MIN_DF} * n GROUP BY project_id), "
+        f"{_index_sql('country2', 'ci')}, {_index_sql('currency2', 'cu')} "
+        "SELECT p.project_id, coalesce(w.n_terms, 0) AS n_terms, round(coalesce(w.weight, 0.0), 5) AS weight, "
+        "round(coalesce(w.largest, 0.0), 9) AS largest, "
+        "CAST(p.days_campaign AS DOUBLE) AS days_campaign, p.hours_prepa, CAST(p.goal AS DOUBLE) AS goal, "
+        "CAST(coalesce(ci.idx, (SELECT n FROM n_ci)) AS DOUBLE) AS country_indexed, "
+        "CAST(coalesce(cu.idx, (SELECT n FROM n_cu)) AS DOUBLE) AS currency_indexed "
+        "FROM prep p LEFT JOIN weighted w ON p.project_id = w.project_id "
+        "LEFT JOIN ci ON p.country2 = ci.country2 LEFT JOIN cu ON p.currency2 = cu.currency2"
+    ),
+)
+def q_features_values(spark, sf_dir):
+    """What the stored feature vectors hold: per campaign the number, sum and largest of
+    its TF-IDF entries, and the five other features."""
+    parts = F.col("features")
+    text = F.filter(entries(parts), lambda e: (e["index"] < parts["size"] - len(ASSEMBLED)) & (e["value"] != 0))
+    values = F.transform(text, lambda e: e["value"])
+    others = [entry(parts, parts["size"] - len(ASSEMBLED) + i).alias(c) for i, c in enumerate(ASSEMBLED)]
+    return _stored_features(spark, sf_dir).select(
+        "project_id",
+        F.size(values).cast("long").alias("n_terms"),
+        F.round(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), 5).alias("weight"),
+        F.round(F.coalesce(F.array_max(values), F.lit(0.0)), 9).alias("largest"),
+        *others,
+    )

@@ -7,20 +7,26 @@ Layout of the work:
   iterative fitting reads a materialised table and a lost executor costs a
   re-read, not a recomputation from the raw sources;
 * only the stages that learn (counts, IDF, indexers, assembler, classifier) are
-  refitted; the search fits the feature stages once per minDF, and its best
-  model gets the text stages back, so that it scores prepared rows.
+  refitted; the search counts its terms once for all minDF, whose vocabularies are
+  nested, and its best model gets the text stages back, so that it scores prepared rows;
+* classifiers are fitted on written features, in as many parts as their rows are worth.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, VectorSlicer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundcast.operators import features as FT
 from fundcast.operators import learn as L
+from fundcast.operators import terms as TM
 from fundcast.operators.evaluate import f1_evaluator
 from fundcast.session import cut_lineage
 
@@ -42,9 +48,50 @@ def model_pipeline(classifier, min_df: float, handle_invalid: str = "keep") -> P
     return Pipeline(stages=FT.fitted_stages(min_df, handle_invalid) + [classifier])
 
 
+class Fitted:
+    """Classifiers fitted on the same written features: ``features`` (the fitted feature
+    stages), ``models`` by name, and the ``train`` and ``test`` rows as they see them."""
+
+    def __init__(self, train: DataFrame, test: DataFrame, classifiers: dict, min_df: float,
+                 handle_invalid: str = "keep", parallelism: int = 4):
+        self.features = FT.whole_vocabulary(Pipeline(stages=FT.fitted_stages(min_df, handle_invalid)).fit(train))
+        n = train.count()
+        kept = [c for c in test.columns if c != "filtered"]
+        self.train = written(self.features.transform(train).select(*kept, "features"), "train-features", n)
+        self.test = written(self.features.transform(test).select(*kept, "features"), "test-features", n)
+        fit_on = self.train.select(L.LABEL, "features")
+        names = list(classifiers)
+        fitted = in_parallel(lambda name: classifiers[name].fit(fit_on), names, parallelism, train.sparkSession)
+        self.models = dict(zip(names, fitted, strict=True))
+
+
+#: Rows of features that one task of an iterative fit takes, at least.
+FIT_ROWS = 20_000
+
+
+def written(df: DataFrame, name: str, rows: int) -> DataFrame:
+    """``df`` (about ``rows`` rows) written in no more parts than its rows are worth: a
+    fit passes over it many times, and each pass pays for its tasks."""
+    return cut_lineage(df.coalesce(max(1, rows // FIT_ROWS)), name)
+
+
+def in_parallel(work, items, parallelism: int, spark):
+    """``work`` of every item, up to ``parallelism`` at a time: each is a sequence of
+    Spark jobs, and concurrent jobs share the executors."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.util import inheritable_thread_target
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
+
+
 def fit_and_score(train: DataFrame, test: DataFrame, classifier, min_df: float, handle_invalid: str = "keep"):
-    model = FT.whole_vocabulary(model_pipeline(classifier, min_df, handle_invalid).fit(train))
-    return model, model.transform(test)
+    """(model that scores tokenised rows, scored test rows); the classifier is fitted on
+    written features, not on stages that every pass computes again."""
+    fitted = Fitted(train, test, {"model": classifier}, min_df, handle_invalid)
+    model = fitted.models["model"]
+    return PipelineModel(stages=fitted.features.stages + [model]), model.transform(fitted.test)
 
 
 def compare_classifiers(
@@ -56,25 +103,17 @@ def compare_classifiers(
     parallelism: int = 4,
 ):
     """Fit the shared feature stages once, then every classifier on the same
-    materialised features; returns {name: scored test frame}.
-
-    Up to ``parallelism`` classifiers are fitted at the same time (like
-    ``TrainValidationSplit``'s ``parallelism``): each fit is a sequence of
-    Spark jobs, and concurrent jobs share the executors instead of waiting
-    for one another.
-    """
-    from concurrent.futures import ThreadPoolExecutor
+    materialised features; returns {name: scored test frame}."""
+    fitted = Fitted(train, test, classifiers, min_df, handle_invalid, parallelism)
+    return {name: model.transform(fitted.test) for name, model in fitted.models.items()}
 
-    from pyspark.util import inheritable_thread_target
 
-    feats = FT.whole_vocabulary(Pipeline(stages=FT.fitted_stages(min_df, handle_invalid)).fit(train))
-    train_f = cut_lineage(feats.transform(train).select(L.LABEL, "features"), "train-features")
-    test_f = cut_lineage(feats.transform(test).drop("filtered", "vectorized", "tfidf"), "test-features")
-    names = list(classifiers)
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(names)))) as pool:
-        fit = inheritable_thread_target(train.sparkSession)(lambda n: classifiers[n].fit(train_f))
-        models = list(pool.map(fit, names))
-    return {name: model.transform(test_f) for name, model in zip(names, models)}
+def forest_on_stored(spark, path: str, key: str, classifier=None, train_fraction: float = 0.9):
+    """The stored-feature job: features read back from Parquet, split by ``key``, a
+    random forest fitted on the training side. Returns (model, scored test rows)."""
+    train, test = L.key_split(spark.read.parquet(path), key, train_fraction)
+    model = (classifier or L.random_forest()).fit(train)
+    return model, model.transform(test)
 
 
 def scores_table(scored: DataFrame, key: str = "project_id", digits: int = 6) -> DataFrame:
@@ -133,84 +172,131 @@ def _parts(df: DataFrame, fraction: float, seed: int, key: str | None):
     return L.key_split(df, key, fraction, seed)
 
 
+def document_vocabulary(rows: DataFrame, min_df: float) -> list[tuple[str, int]]:
+    """(term, df) by falling df, then by term, of the terms that at least ``min_df`` of
+    ``rows`` hold (a share of them below 1). A model holds its vocabulary, so the driver
+    may; more terms than it may hold are an error."""
+    least = min_df if min_df >= 1 else min_df * rows.count()
+    vocab = TM.document_frequencies(rows).where(F.col("df") >= least)
+    found = vocab.orderBy(F.desc("df"), "term").limit(FT.MAX_VOCAB).collect()
+    if len(found) >= FT.MAX_VOCAB:
+        raise ValueError(f"the vocabulary reached its limit of {FT.MAX_VOCAB} terms; raise min_df")
+    return [(r["term"], r["df"]) for r in found]
+
+
+def _counting(terms: list[str], min_df: float) -> CountVectorizerModel:
+    model = CountVectorizerModel.from_vocabulary(terms, inputCol="filtered", outputCol="vectorized", minTF=1.0)
+    model.set(model.minDF, float(min_df))
+    return model
+
+
+def nested_features(rows: DataFrame, min_dfs, handle_invalid: str = "keep"):
+    """The feature stages of the lowest of ``min_dfs``, from one count of the documents
+    that hold each term, and the slots that every other one keeps. Terms are numbered by
+    falling document frequency, so a higher threshold's vocabulary is a prefix of it and
+    its features are a slice. Returns (stages, {min_df: slots})."""
+    n = rows.count()
+    least = {m: m if m >= 1 else m * n for m in min_dfs}
+    low = min(min_dfs, key=least.get)
+    vocab = document_vocabulary(rows, least[low] if least[low] >= 1 else 1)
+    stages, inputs = [], list(FT.FEATURE_INPUTS)
+    if vocab:
+        weights = [math.log((n + 1.0) / (df + 1.0)) for _, df in vocab]
+        stages = [
+            _counting([t for t, _ in vocab], low),
+            ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="vectorized", outputCol="tfidf"),
+        ]
+    else:  # no term is that common: the other features remain
+        inputs.remove("tfidf")
+    categories = FT.indexers([("country2", "country_indexed"), ("currency2", "currency_indexed")], handle_invalid)
+    stages += [categories.fit(rows), FT.assembler(inputs, "all_features")]
+    others = [len(vocab) + i for i in range(len(FT.FEATURE_INPUTS) - 1)]
+    return stages, {m: [i for i, (_, df) in enumerate(vocab) if df >= least[m]] + others for m in min_dfs}
+
+
+def final_stages(train: DataFrame, min_df: float, handle_invalid: str = "keep") -> list:
+    """The fitted feature stages of one threshold, as the original pipeline has them;
+    without the text stages' counts and weights if no term is common enough."""
+    vocab = document_vocabulary(train, min_df)
+    categories = FT.indexers([("country2", "country_indexed"), ("currency2", "currency_indexed")], handle_invalid)
+    if not vocab:
+        return [categories.fit(train), FT.assembler([c for c in FT.FEATURE_INPUTS if c != "tfidf"])]
+    counts = _counting([t for t, _ in vocab], min_df)
+    return [counts, FT.idf().fit(counts.transform(train)), categories.fit(train), FT.assembler()]
+
+
 def search(
     train: DataFrame,
     classifier,
     reg_params=L.REG_PARAMS,
-    min_dfs=L.MIN_DF_SHARES,
+    min_dfs=L.MIN_DFS,
     train_ratio: float = 0.7,
     seed: int = L.SEED,
     parallelism: int = 4,
     handle_invalid: str = "keep",
     key: str | None = None,
 ):
-    """regParam x minDF on one validation split of materialised tokens (``tokenised``).
+    """regParam x minDF on one validation split of materialised tokens (``tokenised``);
+    ``reg_params=None`` searches minDF alone, for any classifier.
 
-    Only minDF changes the features, so they are fitted and written once per minDF
-    and every regParam is fitted on that table. The best point by validation F1
-    (the first of equals) is fitted again on all of ``train``. Returns (model that
-    scores prepared rows, grid, metrics, index of the best point).
+    Only minDF changes the features, and its vocabularies are nested: terms are counted
+    and features written once, and each point is fitted on a slice of them. The best
+    point by validation F1 (the first of equals) is fitted again on all of ``train``.
+    Returns (model that scores prepared rows, grid, metrics, index of the best point).
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.util import inheritable_thread_target
-
     spark = train.sparkSession
     fit_rows, val_rows = _parts(train, train_ratio, seed + 1, key)
     evaluator = f1_evaluator()
+    stages, slots = nested_features(fit_rows, min_dfs, handle_invalid)
+    wide = PipelineModel(stages=stages)
+    n = fit_rows.count()
+    fit_f = written(wide.transform(fit_rows).select(L.LABEL, "all_features"), "search-fit", n)
+    val_f = written(wide.transform(val_rows).select(L.LABEL, "all_features"), "search-validation", n)
 
-    def features(rows, min_df):
-        model = FT.whole_vocabulary(Pipeline(stages=FT.fitted_stages(min_df, handle_invalid)).fit(rows))
-
-        def apply(part, name):
-            return cut_lineage(model.transform(part).select(L.LABEL, "features"), name)
-
-        return model, apply
-
-    def tables(min_df):
-        _, apply = features(fit_rows, min_df)
-        return apply(fit_rows, "search-fit"), apply(val_rows, "search-validation")
+    def at(point):
+        return classifier if point[0] is None else classifier.copy({classifier.regParam: point[0]})
 
     def metric(point):
-        own = classifier.copy({classifier.regParam: point[0]})
-        fit_f, val_f = ready[point[1]]
-        return evaluator.evaluate(own.fit(fit_f).transform(val_f))
+        own = at(point)
+        part = VectorSlicer(inputCol="all_features", outputCol="features", indices=slots[point[1]])
+        return evaluator.evaluate(own.fit(part.transform(fit_f)).transform(part.transform(val_f)))
 
     grid = L.param_grid(classifier, FT.count_vectorizer(), reg_params, min_dfs)
-    points = [tuple({p.name: v for p, v in g.items()}[n] for n in ("regParam", "minDF")) for g in grid]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        inherit = inheritable_thread_target(spark)
-        ready = dict(zip(min_dfs, pool.map(inherit(tables), min_dfs), strict=True))
-        metrics = list(pool.map(inherit(metric), points))
+    points = [tuple({p.name: v for p, v in g.items()}.get(n) for n in ("regParam", "minDF")) for g in grid]
+    metrics = in_parallel(metric, points, parallelism, spark)
     best = max(range(len(points)), key=lambda i: metrics[i])
-    model, apply = features(train, points[best][1])
-    fitted = classifier.copy({classifier.regParam: points[best][0]}).fit(apply(train, "search-train"))
-    return PipelineModel(stages=FT.text_stages() + model.stages + [fitted]), grid, metrics, best
+    final = final_stages(train, points[best][1], handle_invalid)
+    rows = written(PipelineModel(stages=final).transform(train).select(L.LABEL, "features"), "search-train", n)
+    fitted = at(points[best]).fit(rows)
+    return PipelineModel(stages=FT.text_stages() + final + [fitted]), grid, metrics, best
 
 
 def tuned_logreg(
     prep: DataFrame,
     model_path: str | None = None,
     reg_params=L.REG_PARAMS,
-    min_dfs=L.MIN_DF_SHARES,
+    min_dfs=L.MIN_DFS,
     split=(0.9, 0.1),
     seed: int = L.SEED,
     max_iter: int = 300,
     parallelism: int = 4,
     key: str | None = None,
+    classifier=None,
 ) -> dict:
     """The tuned logistic-regression job: split, search regParam × minDF on
     the training side, score the held-out side, F1 and confusion matrix,
     optionally save the best model with all its stages (it scores prepared
     rows). ``key`` switches both splits to the repeatable key-hash split.
-    ``min_dfs`` from 1 on are document counts, below 1 shares of the documents."""
+    ``min_dfs`` from 1 on are document counts, below 1 shares of the documents. Another
+    ``classifier`` is searched by ``min_dfs`` alone with ``reg_params=None``."""
     from fundcast.operators import evaluate as E
     from fundcast.sinks import save_model
 
     train, test = _parts(tokenised(prep), split[0], seed, key)
+    if classifier is None:
+        classifier = L.logistic_regression(max_iter=max_iter)
     model, grid, metrics, best = search(
-        train, L.logistic_regression(max_iter=max_iter), reg_params, min_dfs,
-        seed=seed, parallelism=parallelism, key=key,
+        train, classifier, reg_params, min_dfs, seed=seed, parallelism=parallelism, key=key
     )
     scored = PipelineModel(stages=model.stages[2:]).transform(test)  # the tokens are there already
     if model_path is not None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from fundcast.sinks.publish import publish_parquet, read_published
+
 LOSSLESS_WRITE = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
@@ -12,7 +14,8 @@ LOSSLESS_WRITE = {
 
 
 def write_parquet(df: DataFrame, path: str) -> str:
-    """Replace ``path`` with ``df`` as Parquet (no shuffle is added)."""
+    """Replace ``path`` with ``df`` as Parquet (no shuffle is added). A write that ends
+    midway leaves neither version whole; ``publish_parquet`` does."""
     df.write.mode("overwrite").parquet(path)
     return path
 
@@ -23,6 +26,15 @@ def write_text(df: DataFrame, column: str, path: str) -> str:
     return path
 
 
+def write_lines_with_header(df: DataFrame, header: str, path: str) -> str:
+    """Write a one-column frame as text lines below ``header`` in every file, the lines
+    as they are (no quoting); errors if ``path`` exists."""
+    as_is = {"quote": "", "sep": "\x01", "escape": "\x00", "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
+             "ignoreTrailingWhiteSpace": "false"}
+    df.toDF(header).write.option("header", "true").options(**as_is).csv(path)
+    return path
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
     """CSV that reads back losslessly with ``fundcast.sources.csv`` readers:
     quotes escaped by doubling, no whitespace trimming."""
@@ -39,4 +51,6 @@ def save_model(model, path: str) -> str:
     return path
 
 
-__all__ = ["write_parquet", "write_text", "write_csv", "save_model", "LOSSLESS_WRITE"]
+__all__ = [
+    "write_parquet", "write_text", "write_lines_with_header", "write_csv", "save_model", "publish_parquet", "read_published", "LOSSLESS_WRITE",
+]

@@ -9,7 +9,7 @@ moderate files rather than one huge one for such texts.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 NULL_TOKEN = "false"
 
@@ -57,13 +57,40 @@ def read_strict_csv(
         .option("mode", "DROPMALFORMED")
         .option("columnPruning", "false")
         .option("nullValue", null_token)
-        .option("escape", '"')
     )
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
 
 
+#: Where ``read_csv_with_malformed`` keeps the text of a row that does not fit.
+MALFORMED = "malformed"
+
+
+def read_csv_with_malformed(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, null_token: str = NULL_TOKEN, header: bool = True
+) -> DataFrame:
+    """The rows of ``read_strict_csv``, and beside them those it drops: string columns
+    and ``malformed``, which holds the whole text of a row whose number of cells differs
+    and is null for all others. One scan gives both; without ``schema`` the columns are
+    those of the header (its first line is read for them)."""
+    if schema is None:
+        names = spark.read.option("header", "true").csv(path).columns
+        schema = StructType([StructField(n, StringType()) for n in names])
+    elif isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    wide = StructType([*schema.fields, StructField(MALFORMED, StringType())])
+    return (
+        spark.read.option("header", str(header).lower())
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED)
+        .option("columnPruning", "false")
+        .option("nullValue", null_token)
+        .schema(wide)
+        .csv(path)
+    )
+
+
 def read_plain_csv(spark: SparkSession, path: str) -> DataFrame:
     """No header, no options: string columns ``_c0, _c1, …``."""
     return spark.read.csv(path)
