@@ -135,9 +135,9 @@ def _frequent(seen: DataFrame) -> np.ndarray:
     reported occurrences, so there are fewer than FREQUENT of them."""
     counts = cut_lineage(seen.where("hot is not null").groupBy("fp").agg(F.sum("hot").alias("n")), "hot-shingles")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    rows = counts.where(F.col("n") > total / FREQUENT).toPandas()
-    order = np.lexsort((rows["fp"].to_numpy(), rows["n"].to_numpy()))
-    return rows["fp"].to_numpy().astype(np.int64)[order].view(np.uint64)
+    rows = counts.where(F.col("n") > total / FREQUENT).toArrow()
+    fp, n = rows.column("fp").to_numpy().astype(np.int64), rows.column("n").to_numpy()
+    return fp[np.lexsort((fp, n))].view(np.uint64)
 
 
 def _file(docs: DataFrame, held, bits: int) -> DataFrame:
@@ -221,7 +221,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
                 )
 
     made = docs.select("doc_id", "text").mapInArrow(run, "fp long, shingles binary").join(wanted, "fp", "left_semi")
-    return cut_lineage(made.groupBy("fp").agg(F.first("shingles").alias("shingles")), "sets")
+    made = cut_lineage(made.groupBy("fp").agg(F.first("shingles").alias("shingles")), "sets")
+    held.destroy()
+    return made
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -455,6 +457,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     held = thin.sparkSession.sparkContext.broadcast((frequent[order], order))
     filed = _file(thin, held, bucket_bits(total.filed or 0, BUCKET_ROWS))
     cells = cut_lineage(filed.groupBy("bucket").applyInArrow(_cells, "cell long, fp long").distinct(), "cells")
+    held.destroy()
     known = cut_lineage(
         seen.where("fp is not null and hot is null").join(cells.select("fp").distinct(), "fp", "left_semi")
         .groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "cell-classes",
