@@ -156,11 +156,16 @@ def _classes(key: bytes, tweak: str, whole: str, text: str) -> str:
     return "".join(out)
 
 
+#: Syllables of a built name; each further attempt has one more, so there is room for
+#: any number of names.
+SHORTEST = 4
+
+
 def _family(key: bytes, name: str, attempt: int) -> str:
     script = "cyrillic" if re.search("[а-яё]", name.lower()) else "latin"
     parts = SYLLABLES[script]
     x = _number(key, "family", attempt, name.lower())
-    return "".join(parts[x // len(parts) ** i % len(parts)] for i in range(4)).capitalize()
+    return "".join(parts[x // len(parts) ** i % len(parts)] for i in range(SHORTEST + attempt)).capitalize()
 
 
 def _given(key: bytes, name: str, gender: str | None, attempt: int) -> str:
@@ -172,7 +177,7 @@ def _given(key: bytes, name: str, gender: str | None, attempt: int) -> str:
         return table[(i + 1 + _number(key, "given", script, gender) % (len(table) - 1)) % len(table)]
     parts = SYLLABLES[script]
     x = _number(key, "given", gender, attempt, name.lower())
-    head = "".join(parts[x // len(parts) ** i % len(parts)] for i in range(4))
+    head = "".join(parts[x // len(parts) ** i % len(parts)] for i in range(SHORTEST + attempt))
     return (head + ENDINGS[script, gender]).capitalize()
 
 
@@ -222,10 +227,28 @@ def surrogate(key: bytes, kind: str, text: str, attempt: int = 0) -> str:
     raise ValueError(kind)
 
 
-def _mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """(start, end, kind, canonical form) in order, without overlaps."""
-    if not _HINT.search(text):
-        return
+def _mentions(text: str) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, canonical form) in order, without overlaps. Within a text a
+    name is one entity: a given name has the gender that any of its mentions tells, and
+    names found by a form of address are found again wherever they stand after it."""
+    found = list(_found(text)) if _HINT.search(text) else []
+    names = {m[3]: m for m in reversed(found) if m[2] == "family" or m[2].startswith("given")}  # first mentions
+    if not names:
+        return found
+    gender = {m[3]: m[2] for m in reversed(found) if m[2] in ("given:f", "given:m")}
+    again = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(names, key=len, reverse=True))) + r")(?!\w)")
+    taken, k = [(a, b) for a, b, _, _ in found], 0
+    for m in again.finditer(text, min(x[0] for x in names.values())):
+        while k < len(taken) and taken[k][1] <= m.start():
+            k += 1
+        first = names[m.group()]
+        if m.start() > first[0] and (k == len(taken) or taken[k][0] >= m.end()):
+            found.append((*m.span(), first[2], m.group()))
+    return sorted((a, b, gender.get(form, kind) if kind.startswith("given") else kind, form) for a, b, kind, form in found)
+
+
+def _found(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """What the patterns find."""
     for m in _ALL.finditer(text):
         kind = next(k for k in PATTERNS if m.group(k) is not None)
         found = m.group(kind)
