@@ -143,3 +143,39 @@ def test_host_verdicts_equal_the_shrunk_rates(spark):
     for r in got:
         rate = (k[r.source] + m * s) / (n[r.source] + s)
         assert r.host_rate == pytest.approx(rate) and r.kept == (not r.base_failed and rate <= quality.MAX_HOST_RATE)
+
+
+def test_a_person_stays_one_through_titles_and_bare_mentions(spark):
+    from fundcast.llm import surrogates
+
+    def new(text):
+        return surrogates.replace(text, b"k", {})[0]
+
+    said = new("Dr Sarah Connor spoke. Mrs Sarah Connor left. Sarah Connor, or Connor, wrote. Connors did not.")
+    words = said.replace(",", "").replace(".", "").split()
+    given, family = words[1:3]
+    assert {given, family}.isdisjoint({"Sarah", "Connor"})
+    assert words[5:7] == words[8:10] == [given, family] and words[11] == family and words[13] == "Connors"
+    said = new("Before Smith. Mr John Smith met us. John Smith said hi. Smith left.")
+    assert said.startswith("Before Smith.") and said.count("Smith") == 1 and "John" not in said
+    docs = share_code(spark).createDataFrame([(1, "Mr John Smith met us. John Smith said hi. Smith left.")], "doc_id long, text string")
+    row = surrogates.pseudonymise(docs, b"k").first()
+    assert "Smith" not in row.text and len(row.replaced) == 5
+
+
+def test_names_have_room_for_more_than_one_attempt_can_hold(monkeypatch):
+    from fundcast.llm import surrogates
+
+    monkeypatch.setattr(surrogates, "SHORTEST", 1)  # some forty names of one syllable
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    pending, given, attempt = [f"Q{a}{b}xw" for a in letters for b in letters], set(), 0
+    while pending:  # as the rounds do, one name of those that draw alike
+        drawn = {}
+        for n in pending:
+            drawn.setdefault(surrogates._family(b"k", n, attempt), n)
+        assert all(len(x) == 2 * (1 + attempt) for x in drawn)
+        given |= set(drawn)
+        pending = [n for n in pending if n not in drawn.values()]
+        attempt += 1
+        assert attempt < surrogates.MAX_ATTEMPTS
+    assert len(given) == len(letters) ** 2 and attempt > 1
