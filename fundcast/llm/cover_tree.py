@@ -3,13 +3,14 @@
 All vectors get one more component that lifts them to the norm of the longest, so
 they lie on a sphere and an inner product tells an angle. A node stands on one of its
 points, and every level covers a node's points by a net: centres drawn farthest
-first, the node's own centre among them, until half the node's radius or
-``FAN`` centres are reached; each point goes to its nearest centre. Every node keeps
+first, the node's own centre among them, until half the node's radius or ``FAN``
+centres (fewer for few points) are reached; each point goes to its nearest centre. Every node keeps
 its covering radius, the largest angle from its centre to a point below it, so by the
 triangle inequality an inner product with any of them has an upper and a lower bound.
 
 Searches run best first for many queries at once: each step opens every query's most
-promising node, and queries that open the same node share the work. A query ends
+promising nodes, twice as many as the step before (so at most about twice as many as
+one at a time would), and queries that open the same node share the work. A query ends
 when no node left can reach its worst kept score; leaves are verified exactly.
 """
 
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 
 FAN = 16
-LEAF = 64
+LEAF = 256
 LOW = -(1 << 62)
 #: Angles are this much too wide, beyond what rounding can take.
 _SLACK = 1e-6
@@ -58,14 +59,15 @@ def build(vectors: np.ndarray, leaf: int = LEAF, fan: int = FAN) -> Tree:
             order.extend(rows.tolist())
             continue
         net, owner, distance = [centers[node]], np.zeros(len(rows), np.int64), far.copy()
-        while len(net) < fan and distance.max() > max(radius[node] / 2, 1e-7):
+        most = min(fan, max(2, 2 * len(rows) // leaf))  # no more than the points are worth
+        while len(net) < most and distance.max() > max(radius[node] / 2, 1e-7):
             net.append(int(rows[distance.argmax()]))
             to = angles(rows, net[-1])
             owner[to < distance] = len(net) - 1
             distance = np.minimum(distance, to)
         if len(net) == 1:  # as good as equal points: parts of them
-            owner = np.arange(len(rows)) * fan // len(rows)
-            net = net * fan
+            owner = np.arange(len(rows)) * most // len(rows)
+            net = net * most
         first = len(centers)
         children[node] = (first, first + len(net))
         for i, center in enumerate(net):
@@ -101,14 +103,24 @@ class Best:
 
     def add(self, queries: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         """``score`` has a row for each of ``queries``; LOW stands for none."""
-        some = np.flatnonzero((score >= np.maximum(self.score[queries, -1], LOW + 1)[:, None]).any(axis=1))
+        k = self.score.shape[1]
+        worst = np.maximum(self.score[queries, -1], LOW + 1)
+        if score.shape[1] > k:  # ties with the last of the best may count
+            worst = np.maximum(worst, np.partition(score, -k, axis=1)[:, -k])
+        row, column = np.nonzero(score >= worst[:, None])
+        some = np.unique(row)
         if not len(some):
             return
+        # the best so far and what may join them, in order, row by row
+        who = np.concatenate([np.repeat(some, k), row])
+        what = np.concatenate([self.score[queries[some]].ravel(), score[row, column]])
+        name = np.concatenate([self.id[queries[some]].ravel(), ids[column]])
+        order = np.lexsort((name, -what, who))
+        who, what, name = who[order], what[order], name[order]
+        first = np.flatnonzero(np.concatenate([[True], who[1:] != who[:-1]]))
+        kept = (first[:, None] + np.arange(k)).ravel()
         q = queries[some]
-        both = np.concatenate([self.score[q], score[some]], axis=1)
-        name = np.concatenate([self.id[q], np.broadcast_to(ids, (len(q), len(ids)))], axis=1)
-        first = np.lexsort((name, -both), axis=1)[:, : self.score.shape[1]]
-        self.score[q], self.id[q] = np.take_along_axis(both, first, 1), np.take_along_axis(name, first, 1)
+        self.score[q], self.id[q] = what[kept].reshape(-1, k), name[kept].reshape(-1, k)
 
 
 def search(tree: Tree, vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, least, most, fits, best: Best, at) -> int:
@@ -130,19 +142,26 @@ def search(tree: Tree, vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray
         high = reach[rows][:, None] * np.cos(np.maximum(angle - wide, 0)) + slack
         low = reach[rows][:, None] * np.cos(np.minimum(angle + wide, np.pi)) - slack
         outside = (high < least[rows][:, None]) | (low > most[rows][:, None])
-        upper[rows, nodes] = np.where(outside, -np.inf, high)
+        upper[rows, nodes] = np.where(outside, -np.inf, high) 
 
     bound(np.arange(len(q)), slice(0, 1))
+    count = 1
     while True:
-        node = upper.argmax(axis=1)
-        top = upper[np.arange(len(q)), node]
-        active = np.flatnonzero((top > -np.inf) & (top >= best.score[at, -1]))
-        if not len(active):
+        row, node = np.nonzero((upper > -np.inf) & (upper >= best.score[at, -1][:, None]))
+        if not len(row):
             return verified
-        active = active[np.argsort(node[active], kind="stable")]
-        upper[active, node[active]] = -np.inf
-        for rows in np.split(active, np.flatnonzero(np.diff(node[active])) + 1):
-            n = node[rows[0]]
+        if count < upper.shape[1]:  # the most promising ones of each query
+            order = np.lexsort((-upper[row, node], row))
+            row, node = row[order], node[order]
+            first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+            place = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
+            row, node = row[place < count], node[place < count]
+        upper[row, node] = -np.inf
+        count *= 2
+        order = np.argsort(node, kind="stable")
+        row, node = row[order], node[order]
+        for rows in np.split(np.arange(len(row)), np.flatnonzero(np.diff(node)) + 1):
+            n, rows = node[rows[0]], row[rows]
             if tree.children[n, 1]:
                 bound(rows, slice(*tree.children[n]))
                 continue

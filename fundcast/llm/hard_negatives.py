@@ -141,11 +141,10 @@ def _searched(trees: DataFrame, width: int, queries, k: int) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 tree, x, ids, label = _tree(batch, row, width)
-                single = bool((label == label[:1]).all())
                 norm = (x.astype(np.float64) ** 2).sum(axis=1)
-                ask = np.arange(len(of))
-                if single:  # a tree of one label has positives for it alone, and no negatives
-                    ask = ask[(labels[of] == label[0]) == same]
+                own = np.unique(label)
+                # positives are in trees with the label, negatives in those with another
+                ask = np.flatnonzero(np.isin(labels[of], own) if same else (len(own) > 1) | (labels[of] != own[0]))
                 for at in np.split(ask, range(TOGETHER, len(ask), TOGETHER)):
                     v = of[at]
 
