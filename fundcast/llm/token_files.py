@@ -46,8 +46,8 @@ SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
 #: Ids that the reader hands over at once, about.
 READ_IDS = 1 << 20
 #: Pieces that a worker remembers in each of two generations, and the characters of
-#: the longest one: some 100 MB at most.
-MEMO = 250_000
+#: the longest one: some 200 MB at most.
+MEMO = 500_000
 MEMO_CHARACTERS = 40
 _FOOTER = struct.Struct("<QQQQQB8s")  # docs, nulls, ids, bytes of both sequences, id size, magic
 #: A space between two visible characters: a piece may begin there.
@@ -209,9 +209,6 @@ class TokenWriter(DataSourceArrowWriter):
                 out.close()
                 files.delete([path])
             raise
-        finally:
-            if out is not None:
-                encode.memo.old = {}  # between tasks a worker keeps one generation
         return Shard(part, path, len(bounds) - 1, int(bounds[-1]))
 
     def commit(self, messages: list) -> None:
