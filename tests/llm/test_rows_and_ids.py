@@ -179,3 +179,40 @@ def test_names_have_room_for_more_than_one_attempt_can_hold(monkeypatch):
         attempt += 1
         assert attempt < surrogates.MAX_ATTEMPTS
     assert len(given) == len(letters) ** 2 and attempt > 1
+
+
+def test_decontamination_equals_the_edit_matrix_of_every_pair(spark):
+    from fundcast.llm import decontaminate
+
+    rnd = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(12)]
+    items = [[rnd.choice(vocabulary) for _ in range(n)] for n in (1, 5, 7, 14, 20, 27, 40)]
+    docs = []
+    for _ in range(60):
+        words = [rnd.choice(vocabulary) for _ in range(rnd.randint(0, 30))]
+        part = list(rnd.choice(items))
+        for _ in range(rnd.randint(0, 6)):  # edits
+            at = rnd.randrange(len(part) + 1)
+            part[at : at + rnd.randint(0, 1)] = [rnd.choice(vocabulary)] * rnd.randint(0, 1)
+        docs.append(words + part + [rnd.choice(vocabulary) for _ in range(rnd.randint(0, 20))])
+
+    def distance(pattern, text):  # of the best place in the text
+        row = [0] * (len(text) + 1)
+        for i, p in enumerate(pattern, 1):
+            new = [i]
+            for j, t in enumerate(text, 1):
+                new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (p != t)))
+            row = new
+        return min(row)
+
+    want = {}
+    for d, text in enumerate(docs):
+        for k, item in enumerate(items):
+            n = distance(item, text)
+            if n <= decontaminate.budget_of(len(item)):
+                want[d, k] = n
+    share_code(spark)
+    frame = spark.createDataFrame([(d, " ".join(t).title()) for d, t in enumerate(docs)], "doc_id long, text string").repartition(3)
+    tests = spark.createDataFrame([(k, ", ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.distance for r in decontaminate.matches(frame, tests).collect()}
+    assert got == want and any(n for n in want.values())
