@@ -219,7 +219,7 @@ def q_tree_tables(spark, sf_dir):
 
 def _tuned(spark, sf_dir, model_path=None):
     """The tuned job on the repeatable split, with its original search."""
-    return TR.tuned_logreg(prepared(spark, sf_dir), model_path, key="project_id", parallelism=4)
+    return TR.tuned_logreg(prepared(spark, sf_dir), model_path, key="project_id", parallelism=6)
 
 
 @register("grid_search_metrics")
