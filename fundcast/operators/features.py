@@ -17,7 +17,9 @@ from pyspark.ml.feature import (
     StringIndexer,
     VectorAssembler,
 )
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from fundcast.operators.sizing import broadcast_if_within
@@ -113,6 +115,20 @@ def whole_vocabulary(model):
     return model
 
 
+def without_slot_names(df: DataFrame) -> DataFrame:
+    """``df`` whose vector columns no longer name their numeric slots. An assembled vector
+    has a name for every term, and a fit sends them with every task of every pass; the
+    number of slots and the categories of the nominal ones (trees split by them) stay."""
+    bare = {}
+    for field in df.schema.fields:
+        group = field.metadata.get("ml_attr") if isinstance(field.dataType, VectorUDT) else None
+        if group and "attrs" in group:
+            kept = {kind: slots for kind, slots in group["attrs"].items() if kind != "numeric"}
+            group = {k: v for k, v in group.items() if k != "attrs"} | ({"attrs": kept} if kept else {})
+            bare[field.name] = F.col(field.name).alias(field.name, metadata=field.metadata | {"ml_attr": group})
+    return df.select(*[bare.get(c, F.col(c)) for c in df.columns]) if bare else df
+
+
 def vocabulary_bytes(cv_model) -> int:
     """Approximate in-memory size of the (idx, term) table of a vocabulary."""
     return sum(len(t.encode("utf-8")) + 32 for t in cv_model.vocabulary)
