@@ -57,23 +57,55 @@ class Fitted:
         self.features = FT.whole_vocabulary(Pipeline(stages=FT.fitted_stages(min_df, handle_invalid)).fit(train))
         n = train.count()
         kept = [c for c in test.columns if c != "filtered"]
-        self.train = written(self.features.transform(train).select(*kept, "features"), "train-features", n)
-        self.test = written(self.features.transform(test).select(*kept, "features"), "test-features", n)
+        rows = self.features.transform(train).select(*kept, "features")
+        slots = vector_size(rows) if any(keeps_slots(c) for c in classifiers.values()) else 0
+        self.train = written(rows, "train-features", n, slots)
+        self.test = written(self.features.transform(test).select(*kept, "features"), "test-features", n, slots)
         fit_on = self.train.select(L.LABEL, "features")
+        dealt = in_parts(fit_on, fit_parts(n, slots))
         names = list(classifiers)
-        fitted = in_parallel(lambda name: classifiers[name].fit(fit_on), names, parallelism, train.sparkSession)
+        fitted = in_parallel(
+            lambda name: classifiers[name].fit(dealt if keeps_slots(classifiers[name]) else fit_on),
+            names, parallelism, train.sparkSession,
+        )
         self.models = dict(zip(names, fitted, strict=True))
 
 
-#: Rows of features that one task of an iterative fit takes, at least.
+#: Rows of features that one task of an iterative fit takes, at least, unless they hold
+#: more bytes than FIT_BYTES: trees keep four for every slot of a row, filled or not, and
+#: boosting reads that much three times a pass.
 FIT_ROWS = 20_000
+FIT_BYTES = 64 << 20
+SLOT_BYTES = 4
 
 
-def written(df: DataFrame, name: str, rows: int) -> DataFrame:
+def fit_parts(rows: int, slots: int = 0) -> int:
+    """The parts in which ``rows`` rows are fitted; ``slots`` if a fit keeps all of them."""
+    return max(1, rows // FIT_ROWS, rows * slots * SLOT_BYTES // FIT_BYTES)
+
+
+def in_parts(df: DataFrame, parts: int) -> DataFrame:
+    """``df`` (a written table) dealt evenly to ``parts`` tasks, if its files give fewer:
+    readers put many small files into one task, and several such parts are one again."""
+    return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
+
+
+def keeps_slots(classifier) -> bool:
+    """Whether a fit keeps every slot of a row, filled or not, as trees do."""
+    return classifier.hasParam("maxBins")
+
+
+def vector_size(df: DataFrame, column: str = "features") -> int:
+    """Slots of the vectors in ``column``; 0 if no row says."""
+    row = df.select(column).first()
+    return row[0].size if row else 0
+
+
+def written(df: DataFrame, name: str, rows: int, slots: int = 0) -> DataFrame:
     """``df`` (about ``rows`` rows) written in no more parts than its rows are worth: a
     fit passes over it many times, and each pass pays for its tasks. What a task carries
     is paid for as often, so the vectors' slots lose their names (their categories stay)."""
-    return cut_lineage(FT.without_slot_names(df.coalesce(max(1, rows // FIT_ROWS))), name)
+    return cut_lineage(FT.without_slot_names(df.coalesce(fit_parts(rows, slots))), name)
 
 
 def in_parallel(work, items, parallelism: int, spark):

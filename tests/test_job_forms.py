@@ -169,3 +169,36 @@ def test_a_write_that_ends_midway_leaves_the_old_version(spark, tmp_dir):
     publish_parquet(read_published(spark, tmp_dir).where("id < 3"), tmp_dir)
     assert read_published(spark, tmp_dir).count() == 3
     assert held.count() == 10  # a reader of the version before still has it
+
+
+def test_written_features_keep_categories_but_no_slot_names(spark, tokens):
+    rows = tokens.filter("project_id % 10 <> 0")
+    stages, slots = TR.nested_features(rows, (5.0, 20.0))
+    named = TR.PipelineModel(stages=stages).transform(rows).select(L.LABEL, "all_features")
+    bare = TR.written(named, "bare", rows.count())
+    before, after = (d.schema["all_features"].metadata["ml_attr"] for d in (named, bare))
+    assert len(before["attrs"]["numeric"]) > 100 and "numeric" not in after["attrs"]
+    assert after["num_attrs"] == before["num_attrs"] and after["attrs"]["nominal"] == before["attrs"]["nominal"]
+    tree = L.decision_tree().setFeaturesCol("all_features")
+    assert tree.fit(bare).toDebugString.split("\n", 1)[1] == tree.fit(named.coalesce(1)).toDebugString.split("\n", 1)[1]
+
+
+def test_rows_with_many_slots_are_fitted_in_more_parts(spark, tokens, monkeypatch):
+    assert TR.fit_parts(25_000) == 1 and TR.fit_parts(0, 10) == 1
+    # a task of the trees holds no more than about FIT_BYTES, whatever the number of rows
+    for n in (25_000, 250_000, 1_500_000):
+        assert 4_100 * TR.SLOT_BYTES * n / TR.fit_parts(n, 4_100) < 2 * TR.FIT_BYTES
+    train, test = L.key_split(tokens, "project_id", 0.8)
+    seen = {}
+
+    def deal(df, parts):
+        seen["parts"], seen["rows"] = parts, df.count()
+        return real(df, parts)
+
+    real = TR.in_parts
+    monkeypatch.setattr(TR, "in_parts", deal)
+    monkeypatch.setattr(TR, "FIT_BYTES", 1 << 14)
+    fitted = TR.Fitted(train, test, {"tree": L.decision_tree()}, 0.05)
+    assert seen["parts"] > 4 and seen["rows"] == train.count()
+    assert real(fitted.train, seen["parts"]).rdd.getNumPartitions() >= seen["parts"]
+    assert fitted.models["tree"].transform(fitted.test).count() == test.count()
