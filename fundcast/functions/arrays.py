@@ -30,4 +30,4 @@ def run_lengths(c: Column | str, item: str = "term", count: str = "tf") -> Colum
             )
         ))
 
-    return bound(F.array_sort(F.array_compact(as_col(c))), runs)
+    return bound(F.sort_array(F.array_compact(as_col(c))), runs)  # array_sort would evaluate a comparator

@@ -11,7 +11,7 @@ vocabulary size does not cut.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundcast.functions.arrays import run_lengths
@@ -59,10 +59,14 @@ def feature_index(vocab: DataFrame) -> DataFrame:
     return global_rank(vocab.select("term", "df"), [F.desc("df"), F.asc("term")], "index").select("index", "term", "df")
 
 
+def idf(df: str, n_docs: int) -> Column:
+    """ln((n + 1) / (df + 1)); ``n_docs`` counts all documents, those without terms included."""
+    return F.log((F.lit(n_docs) + 1.0) / (F.col(df) + 1.0)).alias("idf")
+
+
 def idf_weights(vocab: DataFrame, n_docs: int) -> DataFrame:
-    """(term, idf) with idf = ln((n + 1) / (df + 1)); ``n_docs`` counts all documents,
-    those without terms included."""
-    return vocab.select("term", F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0)).alias("idf"))
+    """(term, idf), see ``idf``."""
+    return vocab.select("term", idf("df", n_docs))
 
 
 def kept_counts(counts: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -78,7 +82,7 @@ def tfidf(counts: DataFrame, vocab: DataFrame, n_docs: int, key: str = "doc_id")
 def indexed_weights(counts: DataFrame, index: DataFrame, n_docs: int, key: str = "doc_id") -> DataFrame:
     """(key, index, value): TF-IDF weights by feature index, the entries of a sparse
     vector of as many features as ``index`` has rows."""
-    weights = index.join(idf_weights(index, n_docs), "term")
+    weights = index.select("term", "index", idf("df", n_docs))
     return counts.join(weights, "term").select(
         key, F.col("index").cast("int").alias("index"), (F.col("tf") * F.col("idf")).alias("value")
     )

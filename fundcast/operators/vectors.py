@@ -61,16 +61,18 @@ def dense_entries(df: DataFrame, keys: list[str], vector_col: str) -> DataFrame:
     return df.select(*keys, F.posexplode(vector_to_array(F.col(vector_col))).alias("pos", "value"))
 
 
-def sparse_vectors(rows: DataFrame, key: str, size: int, name: str = "features") -> DataFrame:
+def sparse_vectors(rows: DataFrame, key: str, size: int, name: str = "features", path: str | None = None) -> DataFrame:
     """(key, name): one sparse vector of ``size`` slots for every key of the entries
     (key, index, value), the slots in rising order. A key's entries meet in one row,
-    so it should have no more than a document has terms."""
+    so it should have no more than a document has terms. The vectors are written to
+    ``path``, where ``read_parts`` finds their parts."""
     spark = rows.sparkSession
-    gathered = rows.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("index", "value"))).alias("_e"))
+    # dealt by key before they are gathered: lists of a few entries each would be sorted and moved instead
+    gathered = rows.repartition(F.col(key)).groupBy(key).agg(F.sort_array(F.collect_list(F.struct("index", "value"))).alias("_e"))
     part = F.struct(
         F.lit(0).cast("tinyint").alias("type"), F.lit(size).cast("int").alias("size"),
         F.col("_e.index").cast("array<int>").alias("indices"), F.col("_e.value").cast("array<double>").alias("values"),
     )
-    path = scratch_path(spark, "sparse-vectors")
+    path = path or scratch_path(spark, "sparse-vectors")
     gathered.select(key, part.alias(name)).write.parquet(path)
     return spark.read.schema(StructType([rows.schema[key], StructField(name, VectorUDT())])).parquet(path)

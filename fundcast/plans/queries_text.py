@@ -11,7 +11,7 @@ from fundcast.functions.stopwords import sql_list_literal
 from fundcast.operators import features as FT
 from fundcast.operators import terms as TM
 from fundcast.operators import text as T
-from fundcast.operators.vectors import dense_entries, entries, entry, read_parts, sparse_vectors, written_parts
+from fundcast.operators.vectors import dense_entries, entries, entry, read_parts, sparse_vectors
 from fundcast.plans import sql
 from fundcast.plans.featurise import materialise_features
 from fundcast.plans.queries_campaign import prepared
@@ -141,9 +141,10 @@ def q_sparse_tfidf(spark, sf_dir):
     counts, vocab = text_counts(spark, sf_dir)
     index = cut_lineage(TM.feature_index(vocab), "feature-index")
     rows = TM.indexed_weights(counts, index, documents(spark, sf_dir).count())
-    vectors = sparse_vectors(rows, "doc_id", index.count(), "tfidf")
+    path = scratch_path(spark, "tfidf-vectors")
+    vectors = sparse_vectors(rows, "doc_id", index.count(), "tfidf", path)
     size = F.col("tfidf.size")
-    parts = written_parts(vectors, "tfidf-parts")
+    parts = read_parts(spark, path, vectors.schema)
     return parts.select("doc_id", size.alias("size"), F.inline(entries(F.col("tfidf")))).select(
         "doc_id", "size", "index", F.round("value", DIGITS).alias("value")
     )

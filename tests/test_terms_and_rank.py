@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from fundcast.functions.arrays import bound, run_lengths
 from fundcast.operators import terms as TM
 from fundcast.operators.rank import global_rank
-from fundcast.operators.vectors import entries, entry, sparse_entries, sparse_vectors, written_parts
+from fundcast.functions.arrays import run_lengths
+from fundcast.operators.vectors import entries, entry, read_parts, sparse_entries, sparse_vectors, written_parts
 
 from conftest import SF_SMALL
 
@@ -93,3 +94,22 @@ def _schema():
     from pyspark.sql.types import IntegerType, StructField, StructType
 
     return StructType([StructField("id", IntegerType()), StructField("v", VectorUDT())])
+
+
+def test_vectors_are_dealt_once_and_their_parts_read_where_they_lie(spark, tmp_dir):
+    rows = spark.createDataFrame(
+        [(1, 3, 0.5), (1, 0, 1.5), (None, 2, 2.5), (2, 1, 3.5), (1, 3, 0.25), (None, 0, 4.5)],
+        "doc_id BIGINT, index INT, value DOUBLE",
+    )
+    vectors = sparse_vectors(rows, "doc_id", 4, "v", tmp_dir)
+    parts = read_parts(spark, tmp_dir, vectors.schema)
+    got = {r["doc_id"]: (r["v"]["size"], r["v"]["indices"], r["v"]["values"]) for r in parts.collect()}
+    assert got == {1: (4, [0, 3, 3], [1.5, 0.25, 0.5]), 2: (4, [1], [3.5]), None: (4, [0, 2], [4.5, 2.5])}
+
+
+def test_runs_are_sorted_without_a_comparator(spark):
+    df = spark.createDataFrame([(["b", None, "a", "b", "é", "B"],), ([],), (None,)], "t array<string>")
+    out = df.select(run_lengths("t").alias("r"))
+    assert "array_sort(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = [None if r["r"] is None else [(x["term"], x["tf"]) for x in r["r"]] for r in out.collect()]
+    assert got == [[("B", 1), ("a", 1), ("b", 2), ("é", 1)], [], None]
