@@ -73,15 +73,18 @@ class Fitted:
 
 #: Rows of features that one task of an iterative fit takes, at least, unless they hold
 #: more bytes than FIT_BYTES: trees keep four for every slot of a row, filled or not, and
-#: boosting reads that much three times a pass.
+#: boosting reads that much three times a pass. Every part sends its sums over the slots
+#: of each node, which are a small share of it only if it has LEAST_ROWS rows.
 FIT_ROWS = 20_000
 FIT_BYTES = 64 << 20
 SLOT_BYTES = 4
+LEAST_ROWS = 2_000
 
 
 def fit_parts(rows: int, slots: int = 0) -> int:
     """The parts in which ``rows`` rows are fitted; ``slots`` if a fit keeps all of them."""
-    return max(1, rows // FIT_ROWS, rows * slots * SLOT_BYTES // FIT_BYTES)
+    full = min(rows * slots * SLOT_BYTES // FIT_BYTES, rows // LEAST_ROWS)
+    return max(1, rows // FIT_ROWS, full)
 
 
 def in_parts(df: DataFrame, parts: int) -> DataFrame:
@@ -284,20 +287,27 @@ def search(
     stages, slots = nested_features(fit_rows, min_dfs, handle_invalid)
     wide = PipelineModel(stages=stages)
     n = fit_rows.count()
-    fit_f = written(wide.transform(fit_rows).select(L.LABEL, "all_features"), "search-fit", n)
-    val_f = written(wide.transform(val_rows).select(L.LABEL, "all_features"), "search-validation", n)
+    widest = max(map(len, slots.values()))
+
+    def kept(size):
+        return size if keeps_slots(classifier) else 0
+
+    fit_f = written(wide.transform(fit_rows).select(L.LABEL, "all_features"), "search-fit", n, kept(widest))
+    val_f = written(wide.transform(val_rows).select(L.LABEL, "all_features"), "search-validation", n, kept(widest))
 
     def at(point):
         return classifier if point[0] is None else classifier.copy({classifier.regParam: point[0]})
 
     def sliced(df, min_df, name):
         part = VectorSlicer(inputCol="all_features", outputCol="features", indices=slots[min_df])
-        return written(part.transform(df).select(L.LABEL, "features"), name, n)
+        return written(part.transform(df).select(L.LABEL, "features"), name, n, kept(len(slots[min_df])))
 
     parts = {m: (sliced(fit_f, m, "slice-fit"), sliced(val_f, m, "slice-validation")) for m in slots}
 
     def metric(point):
         fit_on, held = parts[point[1]]
+        if keeps_slots(classifier):
+            fit_on = in_parts(fit_on, fit_parts(n, len(slots[point[1]])))
         return evaluator.evaluate(at(point).fit(fit_on).transform(held))
 
     grid = L.param_grid(classifier, FT.count_vectorizer(), reg_params, min_dfs)
@@ -305,8 +315,10 @@ def search(
     metrics = in_parallel(metric, points, parallelism, spark)
     best = max(range(len(points)), key=lambda i: metrics[i])
     final = final_stages(train, points[best][1], handle_invalid)
-    rows = written(PipelineModel(stages=final).transform(train).select(L.LABEL, "features"), "search-train", n)
-    fitted = at(points[best]).fit(rows)
+    rows = PipelineModel(stages=final).transform(train).select(L.LABEL, "features")
+    size = kept(vector_size(rows))
+    rows = written(rows, "search-train", n, size)
+    fitted = at(points[best]).fit(in_parts(rows, fit_parts(n, size)) if size else rows)
     return PipelineModel(stages=FT.text_stages() + final + [fitted]), grid, metrics, best
 
 

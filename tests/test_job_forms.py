@@ -186,6 +186,7 @@ def test_written_features_keep_categories_but_no_slot_names(spark, tokens):
 def test_rows_with_many_slots_are_fitted_in_more_parts(spark, tokens, monkeypatch):
     assert TR.fit_parts(25_000) == 1 and TR.fit_parts(0, 10) == 1
     # a task of the trees holds no more than about FIT_BYTES, whatever the number of rows
+    assert TR.fit_parts(18_000, 12_600) == 9  # parts of LEAST_ROWS rows: more would send more sums than they hold
     for n in (25_000, 250_000, 1_500_000):
         assert 4_100 * TR.SLOT_BYTES * n / TR.fit_parts(n, 4_100) < 2 * TR.FIT_BYTES
     train, test = L.key_split(tokens, "project_id", 0.8)
@@ -198,7 +199,21 @@ def test_rows_with_many_slots_are_fitted_in_more_parts(spark, tokens, monkeypatc
     real = TR.in_parts
     monkeypatch.setattr(TR, "in_parts", deal)
     monkeypatch.setattr(TR, "FIT_BYTES", 1 << 14)
+    monkeypatch.setattr(TR, "LEAST_ROWS", 5)
     fitted = TR.Fitted(train, test, {"tree": L.decision_tree()}, 0.05)
     assert seen["parts"] > 4 and seen["rows"] == train.count()
     assert real(fitted.train, seen["parts"]).rdd.getNumPartitions() >= seen["parts"]
     assert fitted.models["tree"].transform(fitted.test).count() == test.count()
+
+
+def test_search_of_trees_deals_wide_rows_to_more_parts(spark, tokens, monkeypatch):
+    dealt = []
+    real = TR.in_parts
+    monkeypatch.setattr(TR, "in_parts", lambda df, parts: dealt.append(parts) or real(df, parts))
+    monkeypatch.setattr(TR, "FIT_BYTES", 1 << 12)
+    monkeypatch.setattr(TR, "LEAST_ROWS", 5)
+    TR.search(tokens, L.decision_tree(), None, (10.0, 20.0), key="project_id")
+    assert len(dealt) == 3 and min(dealt) > 2  # both points and the best one's fit on all rows
+    dealt.clear()
+    TR.search(tokens, L.logistic_regression(max_iter=2), (0.1,), (10.0,), key="project_id")
+    assert not dealt  # no slots are kept: parts go by rows
