@@ -40,20 +40,38 @@ def goes_left(value: Column) -> Column:
     )
 
 
+def asked_entries(parts: Column, used: list[int]) -> Column:
+    """The stored entries of a sparse vector's parts at the indices ``used``."""
+    return F.filter(F.arrays_zip(parts["indices"].alias("index"), parts["values"].alias("value")), lambda e: e["index"].isin(used))
+
+
+def asked(parts: Column, found: Column) -> Column:
+    """A vector's parts with the entries ``found`` alone if it is sparse, whole if dense."""
+    sparse = parts["type"] == 0
+    return F.struct(
+        parts["type"].alias("type"), parts["size"].alias("size"),
+        F.when(sparse, found["index"]).otherwise(parts["indices"]).alias("indices"),
+        F.when(sparse, found["value"]).otherwise(parts["values"]).alias("values"),
+    )
+
+
 def route(rows: DataFrame, nodes: DataFrame, trees: int, depth: int, features: str = "features") -> DataFrame:
     """``rows`` (with a vector's parts in ``features``, see ``vectors``) once for each of
     ``trees`` trees, with ``tree`` and the ``leaf`` that holds them, after at most
     ``depth`` steps. A step is a join with the nodes, which are broadcast within the
     session's limit."""
     nodes = nodes.select("tree", "node", "left", "right", "feature", "threshold", "categories")
+    used = [r["feature"] for r in nodes.select("feature").where("feature IS NOT NULL").distinct().collect()]
     nodes = broadcast_if_within(nodes, NODE_BYTES * nodes.count())
-    at = rows.withColumn("tree", F.explode(F.array(*[F.lit(t) for t in range(trees)]))).withColumn("node", F.lit(0))
-    kept = [*rows.columns, "tree"]
+    # what the nodes ask for, taken once per row: every tree and step copies and searches it
+    at = rows.withColumn("_e", asked_entries(F.col(features), used)).withColumn("_asked", asked(F.col(features), F.col("_e")))
+    at = at.withColumn("tree", F.explode(F.array(*[F.lit(t) for t in range(trees)]))).withColumn("node", F.lit(0))
+    kept = [*rows.columns, "_asked", "tree"]
     for _ in range(depth):
-        value = entry(F.col(features), F.col("feature"))
+        value = entry(F.col("_asked"), F.col("feature"))
         below = F.when(F.col("left").isNull(), F.col("node")).when(goes_left(value), F.col("left")).otherwise(F.col("right"))
         at = at.join(nodes, ["tree", "node"]).select(*kept, below.alias("node"))
-    return at.withColumnRenamed("node", "leaf")
+    return at.select(*rows.columns, "tree", F.col("node").alias("leaf"))
 
 
 def leaf_counts(routed: DataFrame, label: str = LABEL) -> DataFrame:

@@ -217,3 +217,14 @@ def test_search_of_trees_deals_wide_rows_to_more_parts(spark, tokens, monkeypatc
     dealt.clear()
     TR.search(tokens, L.logistic_regression(max_iter=2), (0.1,), (10.0,), key="project_id")
     assert not dealt  # no slots are kept: parts go by rows
+
+
+def test_routing_carries_only_the_entries_that_nodes_ask_for(spark):
+    rows = spark.createDataFrame(
+        [(1, (0, 9, [0, 4, 7], [1.0, 2.0, 3.0])), (2, (1, None, None, [5.0, 6.0])), (3, (0, 9, [], []))],
+        "id INT, f STRUCT<type: TINYINT, size: INT, indices: ARRAY<INT>, values: ARRAY<DOUBLE>>",
+    )
+    e = T.asked_entries(F.col("f"), [4, 5])
+    got = {r["id"]: r["a"] for r in rows.withColumn("e", e).select("id", T.asked(F.col("f"), F.col("e")).alias("a")).collect()}
+    assert (got[1]["size"], got[1]["indices"], got[1]["values"]) == (9, [4], [2.0])
+    assert got[2]["values"] == [5.0, 6.0] and got[3]["values"] == []
