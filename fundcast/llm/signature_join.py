@@ -13,13 +13,14 @@ shingles is at least 3/4.
    classes with one leader form a cell, so that a group of near copies, which
    shares many shingles, is few cells. In every cell all members
    are first compared with one leader, exactly. A group of near copies is thus
-   joined by as many comparisons as it has members.
-   Cells that stay open draw a new leader once more.
+   joined by as many comparisons as it has members. The leader, being compared
+   with all, then leaves the cell. Cells that stay open draw a new leader once more.
 4. Cells whose members are not all connected by then are joined by signature
-   trees: nodes hold the OR of their members' shingle bitmaps and the range of
-   their sizes; two trees are descended together, and a pair of nodes is dropped
-   when the overlap that bitmaps and sizes allow is too small, or when all its
-   members are connected already. Pairs that remain are verified exactly.
+   trees: nodes hold the OR of their members' shingle bitmaps, at 1/NARROW of
+   their width, and the range of their sizes; two trees are descended together,
+   and a pair of nodes is dropped when the overlap that bitmaps and sizes allow
+   is too small, or when all its members are connected already. Pairs that remain
+   are held against the whole bitmaps and verified exactly.
 5. Components of all links, smallest document first.
 
 Cells of any size are cut into blocks, so no task holds a whole cell. No pair is
@@ -59,6 +60,8 @@ PART_BYTES = 8 << 20
 BLOCK, LEAF = 512, 8
 #: Further rounds with new leaders before the trees.
 ROUNDS = 1
+#: Whole bitmaps are this many times as wide as those that the trees are made of.
+NARROW = 2
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -124,9 +127,9 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.concat_arrays([pa.array(fps, pa.int64()), pa.array(hot.view(np.int64))]),
                 pa.array([len(s) for s in sets] + [0] * k, pa.int64()),
                 pa.concat_arrays([pa.nulls(docs, pa.int64()), pa.array(counts.astype(np.int64))]),
-                pa.array([_bitmap(s) if len(s) else None for s in sets] + [None] * k, pa.binary()),
+                *(pa.array(x + [None] * k, pa.binary()) for x in _bitmaps(sets)),
             ],
-            names=["doc_id", "text_hash", "fp", "n", "hot", "bits"],
+            names=["doc_id", "text_hash", "fp", "n", "hot", "bits", "narrow"],
         )
 
 
@@ -200,6 +203,13 @@ def _bitmap(shingles: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def _bitmaps(sets: list[np.ndarray]) -> tuple[list, list]:
+    """The bitmaps of the sets, whole and narrow; null for empty ones."""
+    whole = [_bitmap(s) if len(s) else None for s in sets]
+    words = [np.frombuffer(x, np.uint64)[None] if x else None for x in whole]
+    return whole, [None if x is None else _fold(x, max(1, x.shape[1] // NARROW)).tobytes() for x in words]
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, classes: DataFrame) -> DataFrame:
     """(fp, shingles) of the ``wanted`` classes, from one document of each. Texts are
     not shuffled: a bit table of a fixed size tells which documents to look at."""
@@ -247,9 +257,11 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
                 keep[i] = most >= needed(n[i], m[i])
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    one = classes.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
-    two = classes.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
-    joined = pairs.join(one, "a").join(two, "b").where("4 * na >= 3 * nb and 4 * nb >= 3 * na")
+    sizes = classes.select("fp", "n")
+    near = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b").where("4 * na >= 3 * nb and 4 * nb >= 3 * na")
+    near = cut_lineage(near, "near-pairs")  # bitmaps go with these only
+    bits = classes.select("fp", "bits")
+    joined = near.join(bits.toDF("b", "xb"), "b").join(bits.toDF("a", "xa"), "a")
     return cut_lineage(joined.select("a", "b", "na", "nb", "xa", "xb").mapInArrow(run, "a long, b long"), "possible")
 
 
@@ -358,7 +370,7 @@ def _join_blocks(table: pa.Table) -> pa.Table:
         t = table.filter(pa.compute.equal(table.column("side"), side))
         fp, n, label = (t.column(c).to_numpy() for c in ("fp", "n", "label"))
         order = np.lexsort((fp, n, label))
-        raw = t.column("bits").to_pylist()
+        raw = t.column("narrow").to_pylist()
         bits = np.stack([np.frombuffer(raw[i], np.uint64) for i in order]) if len(raw) else np.zeros((0, 1), np.uint64)
         return fp[order], n[order], label[order], bits
 
@@ -392,21 +404,24 @@ def _open(cells: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def _stars(opened: DataFrame, turn: int) -> DataFrame:
-    """Pairs of every open cell's member with a leader drawn anew, in other words as
-    many pairs as members: cells of one group of near copies draw different leaders."""
+def _stars(opened: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs, rest): pairs of every open cell's member with a leader drawn anew, in other
+    words as many pairs as members: cells of one group of near copies draw different
+    leaders; and the cells (cell, fp) without their leaders, which are then done."""
     lead = opened.groupBy("cell").agg(
         F.min(F.struct(F.xxhash64("cell", "fp", F.lit(turn)).alias("h"), "fp", "label")).alias("_l")
     )
-    pairs = opened.join(lead, "cell").where(F.col("label") != F.col("_l.label"))
-    return pairs.select(
+    led = opened.join(lead, "cell")
+    pairs = led.where(F.col("label") != F.col("_l.label")).select(
         F.least("fp", "_l.fp").alias("a"), F.greatest("fp", "_l.fp").alias("b")
     ).distinct()
+    return pairs, led.where(F.col("fp") != F.col("_l.fp")).select("cell", "fp")
 
 
 def _tree_pairs(marked: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidate pairs of open cells by signature trees."""
-    members = marked.join(classes.select("fp", "bits"), "fp").withColumn("width", F.length("bits"))
+    """Candidate pairs of open cells by signature trees. Bitmaps join the members when
+    these are dealt to pairs of blocks, not before."""
+    members = marked.join(classes.select("fp", "width"), "fp")
     order = Window.partitionBy("cell", "width").orderBy("label", "n", "fp")
     members = cut_lineage(
         members.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK)), "cell-members"
@@ -437,7 +452,7 @@ def _tree_pairs(marked: DataFrame, classes: DataFrame) -> DataFrame:
     ).select("cell", "pair", F.col("s.side").alias("side"), F.col("s.w").alias("width"), F.col("s.k").alias("block"))
     return (
         wanted.join(members, ["cell", "width", "block"])
-        .select("pair", "side", "fp", "n", "label", "bits")
+        .select("pair", "side", "fp", "n", "label").join(classes.select("fp", "narrow"), "fp")
         .groupBy("pair").applyInArrow(_join_blocks, "a long, b long").distinct()
     )
 
@@ -448,7 +463,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     hashed = thin.withColumn("text_hash", text_hash(F.col("text")))
     seen = cut_lineage(
-        hashed.mapInArrow(_classes, "doc_id long, text_hash long, fp long, n long, hot long, bits binary"), "classes"
+        hashed.mapInArrow(_classes, "doc_id long, text_hash long, fp long, n long, hot long, bits binary, narrow binary"), "classes"
     )
     classes = seen.where("hot is null").select("doc_id", "text_hash", "fp", "n")
     total = classes.agg(F.sum(F.floor(F.col("n") / 4) + 1).alias("filed")).first()
@@ -460,15 +475,18 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     held.destroy()
     known = cut_lineage(
         seen.where("fp is not null and hot is null").join(cells.select("fp").distinct(), "fp", "left_semi")
-        .groupBy("fp").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "cell-classes",
+        .groupBy("fp").agg(*[F.first(c).alias(c) for c in ("n", "bits", "narrow")], F.first(F.length("bits")).alias("width")),
+        "cell-classes",
     )
     stars = cells.where("cell <> fp").select(F.col("cell").alias("a"), F.col("fp").alias("b"))
     found = _linked(_possible(stars, known), thin, classes)
+    rest = cells.where("cell <> fp")  # a cell's leader is done
     for turn in range(ROUNDS):
-        opened = _open(cells, components(found), known)
-        found = found.unionAll(_linked(_possible(_stars(opened, turn), known), thin, classes))
-    opened = _open(cells, components(found), known)
-    return classes, found.unionAll(_linked(cut_lineage(_tree_pairs(opened, known), "tree-pairs"), thin, classes))
+        pairs, rest = _stars(_open(rest, components(found), known), turn)
+        found = found.unionAll(_linked(_possible(pairs, known), thin, classes))
+    opened = _open(rest, components(found), known)
+    tree_pairs = cut_lineage(_tree_pairs(opened, known), "tree-pairs")
+    return classes, found.unionAll(_linked(_possible(tree_pairs, known), thin, classes))
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
