@@ -17,8 +17,9 @@ be crowded are spread over all of them.
 The score of a text is then a sum over its runs of one to DEPTH + 1 symbols of a
 value per run (what the run adds as a context and as a transition). Values of
 runs that hold at least 1/2**20 of all tokens are broadcast, there are at most
-2**20 of each length; the others are looked up in buckets and added per text. No
-text is shuffled.
+2**20 of each length; the others are looked up in buckets. A bucket answers every
+part of the texts with one packed row, and the answers of a part are added up
+together. No text is shuffled.
 
 Edge cases: null and empty texts consist of the end alone; an empty table, or one
 without training rows, gives scores from an empty model (every symbol has
@@ -29,6 +30,7 @@ Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -343,13 +345,15 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
             )
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per text what the broadcast part gives (bucket -1), and what the buckets
-        must look up: runs by key with the texts they occur in."""
+        """Per part of the texts, named by a digest of their keys: what the broadcast
+        values give (bucket -1), and what the buckets must look up: runs by key with
+        the places in the part that they occur in."""
         common, above = held.value
         for batch in (x for whole in batches for x in slices(whole, "text", PART_BYTES)):
             symbols, bounds = sequences(batch.column("text"))
             text = batch.column("key").to_numpy()
             n = len(text)
+            part = int.from_bytes(hashlib.blake2b(text.tobytes(), digest_size=8).digest(), "little", signed=True)
             base, known, more = np.zeros(n), np.zeros(n, np.int64), np.zeros(n)
             sent_keys, sent_docs, sent_counts = [], [], []
             for length in range(1, DEPTH + 2):
@@ -383,14 +387,14 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
             )
             for rows, is_local in ((local, True), (out, False)):
                 k = rows.num_rows
-                sums = [x.tobytes() for x in (np.diff(bounds) - 1, base, known, more)] if is_local else [None] * 4
+                sums = [x.tobytes() for x in (text, np.diff(bounds) - 1, base, known, more)] if is_local else [None] * 5
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array([text.tobytes()] * k, pa.binary()), *(pa.array([x] * k, pa.binary()) for x in sums)],
-                    names=[*rows.schema.names, "texts", "tokens", "base", "known", "more"],
+                    [*rows.columns, pa.array([part] * k, pa.int64()), *(pa.array([x] * k, pa.binary()) for x in sums)],
+                    names=[*rows.schema.names, "part", "texts", "tokens", "base", "known", "more"],
                 )
 
     def look_up(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        texts, sums = [], [[], [], [], []]
+        """A row for every part that asks: places in the part and what the bucket adds there."""
         if right.num_rows:
             listed = unpack(right, "keys", np.uint64)
             order = np.argsort(listed, kind="stable")
@@ -398,46 +402,56 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
             v, wc = unpack(right, "v", np.float64)[order], unpack(right, "wc", np.int64)[order]
         else:
             listed, v, wc = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64)
+        out = []
         for row in left.to_batches():
             for i in range(row.num_rows):
-                get = lambda c, kind: np.frombuffer(row.column(c)[i].as_py() or b"", kind)  # noqa: B023, E731
-                text = get("texts", np.int64)
-                if row.column("bucket")[i].as_py() < 0:
-                    parts = [get("tokens", np.int64), get("base", np.float64), get("known", np.int64), get("more", np.float64)]
-                    hit = np.arange(len(text))
-                else:
-                    n = len(text)
-                    k, count = get("keys", np.uint64), get("counts", np.uint32)
-                    doc = get("docs", np.uint16 if n < 1 << 16 else np.uint32)
-                    at = np.searchsorted(listed, k)
-                    at[at == len(listed)] = 0
-                    good = listed[at] == k if len(listed) else np.zeros(len(k), bool)
-                    at, doc, count = at[good], doc[good].astype(np.int64), count[good]
-                    n = len(text)
-                    parts = [
-                        np.zeros(n), np.bincount(doc, np.log10(wc[at] + 1.0) * count, n), np.bincount(doc, (wc[at] > 0) * count, n),
-                        np.bincount(doc, v[at] * count, n),
-                    ]
-                    hit = np.unique(doc)
-                texts.append(text[hit])
-                for s, p in zip(sums, parts, strict=True):
-                    s.append(p[hit].astype(np.float64))
-        one = [np.concatenate(x) if x else np.zeros(0) for x in (texts, *sums)]
-        return pa.table({"key": one[0].astype(np.int64), "tokens": one[1], "base": one[2], "known": one[3], "more": one[4]})
+                get = lambda c: row.column(c)[i].as_py()  # noqa: B023, E731
+                if get("bucket") < 0:
+                    out.append([get(c) for c in ("part", "texts", "docs", "tokens", "base", "known", "more")])
+                    continue
+                k, count = np.frombuffer(get("keys"), np.uint64), np.frombuffer(get("counts"), np.uint32)
+                doc = np.frombuffer(get("docs"), np.uint16 if len(get("docs")) == 2 * len(k) else np.uint32)
+                at = np.searchsorted(listed, k)
+                at[at == len(listed)] = 0
+                good = listed[at] == k if len(listed) else np.zeros(len(k), bool)
+                at, doc, count = at[good], doc[good].astype(np.int64), count[good]
+                if not len(doc):
+                    continue
+                hit = np.unique(doc)
+                base, known, more = (np.bincount(doc, x * count)[hit] for x in (np.log10(wc[at] + 1.0), wc[at] > 0, v[at]))
+                out.append([get("part"), None, hit.astype(np.uint32).tobytes(), None, base.tobytes(), known.astype(np.int64).tobytes(), more.tobytes()])
+        return pa.Table.from_arrays(
+            [pa.array([r[j] for r in out], kind.type) for j, kind in enumerate(answers)], schema=answers
+        )
 
+    def add_up(key: tuple, table: pa.Table) -> pa.Table:
+        """The sums of a part's texts. Parts with equal keys count as one with all their sums."""
+        rows = table.to_pylist()
+        text = np.frombuffer(next(r["texts"] for r in rows if r["texts"] is not None), np.int64)
+        kinds = {"tokens": np.int64, "base": np.float64, "known": np.int64, "more": np.float64}
+        sums = {c: np.zeros(len(text)) for c in kinds}
+        for r in rows:
+            at = slice(None) if r["texts"] is not None else np.frombuffer(r["docs"], np.uint32)
+            for c, kind in kinds.items():
+                if r[c] is not None:
+                    sums[c][at] += np.frombuffer(r[c], kind)
+        return pa.table({"key": text, **sums})
+
+    answers = pa.schema([("part", pa.int64()), *((c, pa.binary()) for c in ("texts", "docs", "tokens", "base", "known", "more"))])
     kept = docs.select("doc_id", "text")
     keyed = kept.select(_doc_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
     sent = keyed.mapInArrow(
-        emit, "bucket long, keys binary, docs binary, counts binary, texts binary, tokens binary, base binary, known binary, more binary"
+        emit,
+        "bucket long, keys binary, docs binary, counts binary, part long, texts binary, tokens binary, base binary, known binary, more binary",
     )
-    # sums of the broadcast part need no table: they are spread over partitions by text
-    spread = F.when(F.col("bucket") < 0, -1 - F.pmod(F.xxhash64("texts"), F.lit(1 << buckets))).otherwise(F.col("bucket"))
+    # sums of the broadcast values need no table: they are spread over partitions by part
+    spread = F.when(F.col("bucket") < 0, -1 - F.pmod("part", F.lit(1 << buckets))).otherwise(F.col("bucket"))
     packed = cut_lineage(
         rare.select("key", "v", "wc").mapInArrow(pack_table, "bucket long, keys binary, v binary, wc binary"), "rare-runs"
     )
     parts = sent.withColumn("bucket", spread).groupBy("bucket").cogroup(packed.groupBy("bucket")).applyInArrow(
-        look_up, "key long, tokens double, base double, known double, more double"
-    )
+        look_up, "part long, texts binary, docs binary, tokens binary, base binary, known binary, more binary"
+    ).groupBy("part").applyInArrow(add_up, "key long, tokens double, base double, known double, more double")
     sums = cut_lineage(
         parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("tokens", "base", "known", "more")]), "score-sums"
     )

@@ -399,3 +399,28 @@ def test_a_cells_leader_is_compared_once(spark, monkeypatch):
 def test_tree_pairs_move_narrow_bitmaps(spark, docs):
     _, bits = signature_join._bitmaps([np.arange(100, dtype=np.uint64), np.zeros(0, np.uint64)])
     assert len(bits[0]) * signature_join.NARROW == len(signature_join._bitmap(np.arange(100, dtype=np.uint64))) and bits[1] is None
+
+
+@pytest.mark.parametrize("bits", [3, 6])
+def test_buckets_answer_parts_not_texts(spark, monkeypatch, bits):
+    """What the look-up gives is as many rows as parts ask, however many texts these have."""
+    monkeypatch.setattr(suffix_tree, "bucket_bits", lambda *_: bits)
+    rnd = random.Random(3)
+    data = [(i % 290, " ".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20)) + (" z" if i < 290 else "")) for i in range(300)]
+    data += data[:10]  # equal rows in another part
+    docs = share_code(spark).createDataFrame(data, "doc_id long, text string").repartition(2)
+    monkeypatch.setattr(suffix_tree, "SHARE", 1.0)
+    model = suffix_tree.fit(docs.select("text"))
+    made = []
+    plain = suffix_tree.cut_lineage
+    monkeypatch.setattr(suffix_tree, "cut_lineage", lambda df, name: _noted(made, plain, df, name))
+    got = suffix_tree.score(docs, model).collect()
+    assert len(got) == len(data)
+    assert sorted(r.n_tokens for r in got) == sorted(len(t.split()) + 1 for _, t in data)
+    plan = next(p for n, p in made if n == "score-sums")
+    assert "FlatMapGroupsInArrow" in plan and "FlatMapCoGroupsInArrow" in plan
+
+
+def _noted(made, plain, df, name):
+    made.append((name, df._jdf.queryExecution().executedPlan().toString()))
+    return plain(df, name)
