@@ -6,9 +6,11 @@ shingles is at least 3/4.
 1. Every text becomes a set of 64-bit shingle hashes; documents with equal sets
    are one class from here on (told apart by a 64-bit fingerprint of the set, so
    copies cost one row each).
-2. A class files itself under the first quarter of its shingles, rare ones
-   first: linked classes share one of them (prefix principle). Shingles that
-   are frequent enough to matter are known from one bounded table.
+2. Shingles have an order, by hash, those known as frequent from one bounded
+   table last. Of the first three eighths of its shingles a class shares at least
+   a quarter with every class that it links with, so a class that shares fewer
+   of them with others has no links and is done. Those left file themselves under
+   the first quarter: linked classes share one of them (prefix principle).
 3. Classes filed under the same shingle share a leader, the smallest of them; all
    classes with one leader form a cell, so that a group of near copies, which
    shares many shingles, is few cells. In every cell all members
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 
 from fundcast.llm import hashing
 from fundcast.llm.components import components
-from fundcast.llm.packed import bits_of, bucket_bits, bucket_of, pack, slices
+from fundcast.llm.packed import bits_of, bucket_bits, bucket_of, pack, slices, unpack
 from fundcast.session import cut_lineage
 
 N = 5
@@ -60,6 +62,8 @@ PART_BYTES = 8 << 20
 BLOCK, LEAF = 512, 8
 #: Further rounds with new leaders before the trees.
 ROUNDS = 1
+#: Slices (as bits) of the bit table of classes that file themselves.
+CHOSEN_BITS = 8
 #: Whole bitmaps are this many times as wide as those that the trees are made of.
 NARROW = 2
 
@@ -108,6 +112,17 @@ def prefix_length(n: int) -> int:
     return n - (3 * n + 3) // 4 + 1
 
 
+def long_prefix(n: int) -> int:
+    return min(n, prefix_length(n) + n // 8)
+
+
+def least_shared(n):
+    """So many shingles of its long prefix a set of ``n`` shares with that of any set it
+    links with: the first 1 + m // 8 common ones, m being the size of the smaller set,
+    are in both long prefixes, and m is at least 3/4 of ``n``."""
+    return 1 + (3 * n + 3) // 4 // 8
+
+
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for every document (doc_id, its hash ``text``, fp, n, bits) and one for every
     shingle that is frequent within the batch (shingle in fp, its count in hot)."""
@@ -143,18 +158,67 @@ def _frequent(seen: DataFrame) -> np.ndarray:
     return fp[np.lexsort((fp, n))].view(np.uint64)
 
 
-def _file(docs: DataFrame, held, bits: int) -> DataFrame:
-    """(bucket, shingles, fps): every class under the shingles of its prefix, packed
-    by bucket of the shingle hash."""
+def _file(docs: DataFrame, held, bits: int, length, chosen=None) -> DataFrame:
+    """(bucket, shingles, fps, sizes): every class under the first ``length(n)`` of its
+    shingles, packed by bucket of the shingle hash; with ``chosen`` only the classes
+    that this bit table does not rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
             found = _distinct(shingle_sets(batch.column("text")))
-            keys = [_prefix(s, prefix_length(len(s)), *held.value) for s in found.values()]
-            owner = np.repeat(np.fromiter(found, np.int64, len(found)), [len(k) for k in keys])
-            yield _packed(np.concatenate([np.zeros(0, np.uint64), *keys]), owner, bits)
+            if chosen is not None:
+                key = np.fromiter(found, np.int64, len(found)).view(np.uint64)
+                keep = chosen.value.has(bucket_of(hashing.mix(key), CHOSEN_BITS), key)
+                found = {fp: s for (fp, s), k in zip(found.items(), keep.tolist(), strict=True) if k}
+            keys = [_prefix(s, length(len(s)), *held.value) for s in found.values()]
+            times = [len(k) for k in keys]
+            owner = np.repeat(np.fromiter(found, np.int64, len(found)), times)
+            sizes = np.repeat(np.array([len(s) for s in found.values()], np.uint32), times)
+            yield _packed(np.concatenate([np.zeros(0, np.uint64), *keys]), owner, sizes, bits)
+
+    return docs.select("text").mapInArrow(run, "bucket long, shingles binary, fps binary, sizes binary")
+
+
+def _filed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shingle, fp, size) of a bucket, sorted, each once."""
+    key, fp, n = (unpack(table, c, t) for c, t in (("shingles", np.uint32), ("fps", np.int64), ("sizes", np.uint32)))
+    order = np.lexsort((fp, key))
+    key, fp, n = key[order], fp[order], n[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (fp[1:] != fp[:-1])
+    return key[new], fp[new], n[new]
+
+
+def _shared(table: pa.Table, bits: int) -> pa.RecordBatch:
+    """How many of the shingles that a class has in a bucket others have too, with its
+    size, packed by bucket of the class."""
+    key, fp, n = _filed(table)
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    size = np.diff(np.concatenate([start, [len(key)]]))
+    rows = np.repeat(size > 1, size)
+    fp, first, shared = np.unique(fp[rows], return_index=True, return_counts=True)
+    return pack(
+        bucket_of(hashing.mix(fp.view(np.uint64)), bits),
+        {"fps": fp, "sizes": n[rows][first], "shared": shared.astype(np.uint32)},
+    )
+
 
-    return docs.select("text").mapInArrow(run, "bucket long, shingles binary, fps binary")
+def _enough(table: pa.Table) -> pa.Table:
+    """(fp) of the classes that share enough shingles, over all buckets."""
+    fp, n, shared = (unpack(table, c, t) for c, t in (("fps", np.int64), ("sizes", np.uint32), ("shared", np.uint32)))
+    order = np.argsort(fp, kind="stable")
+    fp, n, shared = fp[order], n[order].astype(np.int64), shared[order].astype(np.int64)
+    start = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]])) if len(fp) else np.zeros(0, np.int64)
+    total = np.add.reduceat(shared, start) if len(fp) else shared
+    return pa.table({"fp": fp[start][total >= least_shared(n[start])]})
+
+
+def _with_company(docs: DataFrame, held, bits: int) -> DataFrame:
+    """(fp) of the classes that share enough shingles with others to have links."""
+    shared = _file(docs, held, bits, long_prefix).groupBy("bucket").applyInArrow(
+        lambda table: pa.Table.from_batches([_shared(table, bits)]), "bucket long, fps binary, sizes binary, shared binary"
+    )
+    return cut_lineage(shared.groupBy("bucket").applyInArrow(_enough, "fp long"), "company")
 
 
 def _prefix(s: np.ndarray, length: int, known: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -169,21 +233,15 @@ def _prefix(s: np.ndarray, length: int, known: np.ndarray, rank: np.ndarray) ->
     return s[:length]
 
 
-def _packed(key: np.ndarray, owner: np.ndarray, bits: int) -> pa.RecordBatch:
+def _packed(key: np.ndarray, owner: np.ndarray, sizes: np.ndarray, bits: int) -> pa.RecordBatch:
     rest = (key >> np.uint64(32 - bits)).astype(np.uint32)  # the 32 bits after the bucket's; a tie costs a comparison
-    return pack(bucket_of(key, bits), {"shingles": rest, "fps": owner})
+    return pack(bucket_of(key, bits), {"shingles": rest, "fps": owner, "sizes": sizes})
 
 
 def _cells(table: pa.Table) -> pa.Table:
     """(cell, fp): the classes of a bucket that share a shingle, by the smallest of
     them; each once."""
-    key = np.frombuffer(b"".join(table.column("shingles").to_pylist()), np.uint32)
-    fp = np.frombuffer(b"".join(table.column("fps").to_pylist()), np.int64)
-    order = np.lexsort((fp, key))
-    key, fp = key[order], fp[order]
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (fp[1:] != fp[:-1])
-    key, fp = key[new], fp[new]
+    key, fp, _ = _filed(table)
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     size = np.diff(np.concatenate([start, [len(key)]]))
     leader, rows = np.repeat(fp[start], size), np.repeat(size > 1, size)
@@ -466,13 +524,17 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         hashed.mapInArrow(_classes, "doc_id long, text_hash long, fp long, n long, hot long, bits binary, narrow binary"), "classes"
     )
     classes = seen.where("hot is null").select("doc_id", "text_hash", "fp", "n")
-    total = classes.agg(F.sum(F.floor(F.col("n") / 4) + 1).alias("filed")).first()
+    total = classes.agg(F.sum(F.floor(3 * F.col("n") / 8) + 1).alias("filed")).first()
     frequent = _frequent(seen)
     order = np.argsort(frequent, kind="stable")
     held = thin.sparkSession.sparkContext.broadcast((frequent[order], order))
-    filed = _file(thin, held, bucket_bits(total.filed or 0, BUCKET_ROWS))
+    filed_bits = bucket_bits(total.filed or 0, BUCKET_ROWS)
+    company = _with_company(thin, held, filed_bits)
+    chosen = thin.sparkSession.sparkContext.broadcast(bits_of(company, "fp", CHOSEN_BITS))
+    filed = _file(thin, held, filed_bits, prefix_length, chosen)
     cells = cut_lineage(filed.groupBy("bucket").applyInArrow(_cells, "cell long, fp long").distinct(), "cells")
     held.destroy()
+    chosen.destroy()
     known = cut_lineage(
         seen.where("fp is not null and hot is null").join(cells.select("fp").distinct(), "fp", "left_semi")
         .groupBy("fp").agg(*[F.first(c).alias(c) for c in ("n", "bits", "narrow")], F.first(F.length("bits")).alias("width")),

@@ -390,6 +390,8 @@ def test_a_cells_leader_is_compared_once(spark, monkeypatch):
     docs = share_code(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(1)
     monkeypatch.setattr(signature_join, "prefix_length", lambda n: n)  # all shingles are filed
     monkeypatch.setattr(signature_join, "LOCAL_HOT", 100)
+    fps = signature_join.fingerprints(signature_join.shingle_sets(pa.array(texts))).tolist()
+    monkeypatch.setattr(signature_join, "_with_company", lambda *_: spark.createDataFrame([(fp,) for fp in fps], "fp long"))
     _, found = signature_join.links(docs)
     assert found.count() == 0
     pairs = [(r.a, r.b) for rows in asked for r in rows]
@@ -424,3 +426,28 @@ def test_buckets_answer_parts_not_texts(spark, monkeypatch, bits):
 def _noted(made, plain, df, name):
     made.append((name, df._jdf.queryExecution().executedPlan().toString()))
     return plain(df, name)
+
+
+def test_linked_sets_share_a_quarter_of_their_long_prefixes():
+    rnd = np.random.default_rng(5)
+    linked = 0
+    for _ in range(3000):
+        base = np.unique(rnd.integers(0, 1 << 62, rnd.integers(1, 90)).astype(np.uint64))
+        x, y = (np.unique(np.concatenate([base[rnd.random(len(base)) < 0.9], rnd.integers(0, 1 << 62, rnd.integers(0, 8)).astype(np.uint64)])) for _ in "xy")
+        both = len(np.intersect1d(x, y))
+        if both and 4 * both >= 3 * (len(x) + len(y) - both):
+            linked += 1
+            shared = len(np.intersect1d(*(s[: signature_join.long_prefix(len(s))] for s in (x, y))))
+            assert shared >= max(signature_join.least_shared(len(s)) for s in (x, y))
+    assert linked > 300
+
+
+def test_classes_that_share_too_little_are_not_filed(spark, monkeypatch):
+    made = {}
+    plain = signature_join.cut_lineage
+    monkeypatch.setattr(signature_join, "cut_lineage", lambda df, name: made.setdefault(name, plain(df, name)))
+    words = lambda c, n: [f"{c}{i}" for i in range(n)]
+    texts = [words("a", 80), words("a", 78) + ["x"], *([*words(c, 70), *words("s", 6)] for c in "bcdefgh")]
+    docs = share_code(spark).createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    _, found = signature_join.links(docs)
+    assert found.count() == 1 and made["company"].count() == 2
