@@ -445,9 +445,14 @@ def test_linked_sets_share_a_quarter_of_their_long_prefixes():
 def test_classes_that_share_too_little_are_not_filed(spark, monkeypatch):
     made = {}
     plain = signature_join.cut_lineage
-    monkeypatch.setattr(signature_join, "cut_lineage", lambda df, name: made.setdefault(name, plain(df, name)))
+    monkeypatch.setattr(signature_join, "cut_lineage", lambda df, name: _kept(made, name, plain(df, name)))
     words = lambda c, n: [f"{c}{i}" for i in range(n)]
     texts = [words("a", 80), words("a", 78) + ["x"], *([*words(c, 70), *words("s", 6)] for c in "bcdefgh")]
     docs = share_code(spark).createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
     _, found = signature_join.links(docs)
     assert found.count() == 1 and made["company"].count() == 2
+
+
+def _kept(made, name, table):
+    made.setdefault(name, table)
+    return table
