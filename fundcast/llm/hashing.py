@@ -13,6 +13,7 @@ import pyarrow as pa
 
 _P = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
+_TWO = np.uint64(2 * int(_P) % (1 << 64))
 _CHUNK = 1 << 20
 
 SPACE = np.ones(256, bool)  # what belongs to a word: all but space and \t..\r
@@ -21,6 +22,7 @@ ALNUM = np.zeros(256, bool)  # letters, digits and everything beyond ASCII
 ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_VALUE = (_LOWER.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)  # of a byte, lower-cased
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -86,13 +88,15 @@ def _chunk(raw: np.ndarray, offsets: np.ndarray, kind: np.ndarray):
     edge[cut] = True
     stop[cut] = True
     s, e = np.flatnonzero(edge), np.flatnonzero(stop)
-    value = (_LOWER[raw].astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    value = _VALUE.take(raw)
     if len(raw) <= _CHUNK:
         forward, backward = _FORWARD, _BACKWARD
     else:  # one very long text
         forward, backward = _powers(_P, len(raw) + 1), _powers(_INVERSE, len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(value * forward[: len(raw)], out=sums[1:])
+    value *= forward[: len(raw)]
+    sums = np.empty(len(raw) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(value, out=sums[1:])
     return s, e, mix((sums[e] - sums[s]) * backward[s] + (e - s).astype(np.uint64))
 
 
@@ -105,6 +109,11 @@ def runs(h: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of two that every element of ``a`` makes with that of ``b``."""
+    return mix((_TWO + a) * _P + b)
+
+
 class Filter:
     """Bit table over hashes: says quickly that a hash is not among the keys.
     Sized by the keys (16 bits each, 64 kbit at least), so it never outgrows them."""

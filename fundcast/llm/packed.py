@@ -33,13 +33,14 @@ def bucket_of(key: np.ndarray, bits: int) -> np.ndarray:
 
 def pack(bucket: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     """One row per bucket with every column's values as bytes."""
-    order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
+    if (bucket[1:] < bucket[:-1]).any():
+        order = np.argsort(bucket.astype(np.uint16) if bucket.max() < 1 << 16 else bucket, kind="stable")
+        bucket, columns = bucket[order], {c: x[order] for c, x in columns.items()}
     cuts = np.flatnonzero(np.diff(bucket)) + 1
     starts = np.concatenate([[0], cuts]) if len(bucket) else cuts
     arrays = [pa.array(bucket[starts])]
     for x in columns.values():
-        parts = np.split(x[order], cuts) if len(bucket) else []
+        parts = np.split(x, cuts) if len(bucket) else []
         arrays.append(pa.array([p.tobytes() for p in parts], pa.binary()))
     return pa.RecordBatch.from_arrays(arrays, names=["bucket", *columns])
 
@@ -48,6 +49,37 @@ def unpack(table: pa.Table, column: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
 
 
+def pair_order(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """An order by ``a``, then ``b``'s leading half, with equal pairs side by side (two
+    quick sorts of one array each, where a sort by two keys takes several times as long)."""
+    order = np.argsort(a)
+    mine = a[order]
+    code = np.zeros(len(a), np.uint64)
+    np.cumsum(mine[1:] != mine[:-1], out=code[1:])
+    code = code << np.uint64(32) | b[order] >> np.uint64(32)
+    again = np.argsort(code)
+    order, code = order[again], code[again]
+    tie = np.flatnonzero(code[1:] == code[:-1])
+    theirs = b[order]
+    if (theirs[tie] != theirs[tie + 1]).any():  # halves that agree by chance
+        return np.lexsort((b, a))
+    return order
+
+
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Batches of narrow rows, joined to at least ``rows`` rows: packed by bucket they
+    make few rows, however small the batches that Spark hands over."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+    if n:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 @contextlib.contextmanager
 def small_batches(spark, rows: int = 2000):
     """Within it, jobs hand texts to Python in batches of ``rows`` rows: the batches
@@ -69,7 +101,11 @@ class Bits:
         self.raw, self.low = raw, FILTER_BITS - buckets
 
     def has(self, bucket: np.ndarray, key: np.ndarray) -> np.ndarray:
-        slot = (bucket.astype(np.uint64) << np.uint64(self.low)) | (hashing.mix(key) & np.uint64((1 << self.low) - 1))
+        return self.has_mixed(bucket, hashing.mix(key))
+
+    def has_mixed(self, bucket: np.ndarray, mixed: np.ndarray) -> np.ndarray:
+        """As ``has``, given the mixed keys."""
+        slot = (bucket.astype(np.uint64) << np.uint64(self.low)) | (mixed & np.uint64((1 << self.low) - 1))
         return (self.raw[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
@@ -94,7 +130,7 @@ def bits_of(keys: DataFrame, column: str, buckets: int) -> Bits:
     """Bit table of a column of hashes, made in slices by bucket of the mixed hash."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches):
             key = np.unique(batch.column(column).to_numpy().view(np.uint64))
             yield pack(bucket_of(hashing.mix(key), buckets), {"keys": key})
 

@@ -39,7 +39,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fundcast.llm import hashing
-from fundcast.llm.packed import Bits, assemble, bits_of, bucket_bits, bucket_of, pack, slice_of, slices, small_batches, unpack
+from fundcast.llm.packed import (
+    Bits, assemble, bits_of, bucket_bits, bucket_of, gathered, pack, pair_order, slice_of, slices, small_batches, unpack,
+)
 from fundcast.session import cut_lineage
 
 DEPTH = 2
@@ -54,6 +56,7 @@ SHARE = 2.0**-20
 #: Text that a task counts at once (its runs are sorted in memory).
 PART_BYTES = 4 << 20
 
+_HALF = np.uint64(0xFFFF_FFFF_0000_0000)
 START, END = np.uint64(0xA5A5_0001_0000_0001), np.uint64(0xA5A5_0002_0000_0002)
 
 
@@ -70,19 +73,17 @@ def sequences(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, new
 
 
-def run_keys(symbols: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, positions) of the runs of ``n`` symbols that lie within one text."""
-    key = hashing.runs(symbols, n) if n > 1 else symbols
-    inside = np.ones(len(key), bool)
+def run_positions(size: int, bounds: np.ndarray, n: int) -> np.ndarray:
+    """Where the runs of ``n`` of ``size`` symbols begin that lie within one text."""
+    inside = np.ones(max(size - n + 1, 0), bool)
     for k in range(1, n):
         cut = bounds[1:] - k
-        inside[cut[(cut >= 0) & (cut < len(key))]] = False
-    at = np.flatnonzero(inside)
-    return key[at], at
+        inside[cut[(cut >= 0) & (cut < len(inside))]] = False
+    return np.flatnonzero(inside)
 
 
 def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys, values = keys[order], values[order]
     start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     return keys[start], np.add.reduceat(values, start) if len(keys) else values
@@ -151,21 +152,21 @@ def count_runs(
         common, above = held.value
         for batch in (x for whole in batches for x in slices(whole, "text", PART_BYTES)):
             symbols, bounds = sequences(batch.column("text"))
-            _, at = run_keys(symbols, bounds, depth + 1)
+            at = run_positions(len(symbols), bounds, depth + 1)
             ctx = hashing.runs(symbols, depth)[at] if depth > 1 else symbols[at]
-            nxt = symbols[at + depth]
+            placed = hashing.mix(ctx)  # its leading bits are the bucket
             if above is not None:
                 first = symbols[at]
                 known, where = common.find(first)
-                keep = above.has(place_of(first, symbols[at + 1], known, where, common), ctx)
-                ctx, nxt, at = ctx[keep], nxt[keep], at[keep]
-            known, where = common.find(ctx) if depth == 1 else (None, None)
-            placed = hashing.mix(ctx)  # its leading bits are the bucket
+                keep = above.has_mixed(place_of(first, symbols[at + 1], known, where, common), placed)
+                ctx, at, placed = ctx[keep], at[keep], placed[keep]
+            nxt = symbols[at + depth]
             if depth == 1:
-                spread = crowds(known, where, common)
+                spread = crowds(*common.find(ctx), common)
                 placed[spread] = hashing.mix(ctx[spread] ^ hashing.mix(nxt[spread]))
-            # equal runs once, with their count; runs of one context side by side
-            order = np.lexsort((nxt, placed))
+            # equal runs once, with their count; runs of one context side by side. Where half
+            # hashes agree by chance a run is sent in parts, which its bucket adds up
+            order = np.argsort(placed & _HALF | nxt >> np.uint64(32))
             placed, nxt = placed[order], nxt[order]
             start = np.flatnonzero(np.concatenate([[True], (placed[1:] != placed[:-1]) | (nxt[1:] != nxt[:-1])])) if len(nxt) else order
             c = np.diff(np.concatenate([start, [len(nxt)]])).astype(np.uint32)
@@ -196,7 +197,7 @@ def count_runs(
         ctx, nxt = np.repeat(unpack(table, "ctx", np.uint64), size), unpack(table, "next", np.uint64)
         c = unpack(table, "c", np.uint32).astype(np.int64)
         middle = np.repeat(unpack(table, "middle", np.uint64), size) if depth > 1 else ctx
-        order = np.lexsort((nxt, ctx))
+        order = pair_order(ctx, nxt)
         ctx, nxt, c, middle = ctx[order], nxt[order], c[order], middle[order]
         new = np.ones(len(ctx), bool)
         new[1:] = (ctx[1:] != ctx[:-1]) | (nxt[1:] != nxt[:-1])
@@ -204,22 +205,26 @@ def count_runs(
         c = np.add.reduceat(c, start)
         ctx, nxt, middle = ctx[start], nxt[start], middle[start]
         group = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]]))
-        n = np.repeat(np.add.reduceat(c, group), np.diff(np.concatenate([group, [len(ctx)]])))
-        if depth == 1:  # of a spread context this bucket sees a part; its count is known
-            known, at = common.find(ctx)
-            if len(common.keys):
-                n = np.where(known, common.values["c"][at], n)
-        own = slice_of(_joined(ctx, nxt, depth)[c >= MIN_CONTEXT], buckets) if depth < DEPTH else b""
+        n = np.add.reduceat(c, group)
+        if depth == 1 and len(common.keys):  # of a spread context this bucket sees a part; its count is known
+            known, at = common.find(ctx[group])
+            n = np.where(known, common.values["c"][at], n)
+        n = np.repeat(n, np.diff(np.concatenate([group, [len(ctx)]])))
+        own = b""
+        if depth < DEPTH:
+            often = c >= MIN_CONTEXT
+            own = slice_of(_joined(ctx[often], nxt[often]), buckets)
         keep = (c >= MIN_PAIR) & (n >= MIN_CONTEXT)
+        ctx, nxt, c, n, middle = ctx[keep], nxt[keep], c[keep], n[keep], middle[keep]
         if depth == 1:  # the least p0 of the next word; under a kept suffix it can be likelier by less
             least = c.copy()  # a word occurs as often as any run that ends in it
             known, at = common.find(nxt)
             if len(common.keys):
                 least = np.where(known, common.values["c"][at], least)
-            keep &= (c - DISCOUNT) / n > MIN_RATIO * ((least + 1) / (tokens + types + 1))
-        ctx, nxt, c, n, middle = ctx[keep], nxt[keep], c[keep], n[keep], middle[keep]
-        run = _joined(ctx, nxt, depth)
-        suffix = hashing.runs(np.stack([middle, nxt], 1).ravel(), 2)[::2] if depth > 1 and len(ctx) else ctx
+            keep = (c - DISCOUNT) / n > MIN_RATIO * ((least + 1) / (tokens + types + 1))
+            ctx, nxt, c, n, middle = ctx[keep], nxt[keep], c[keep], n[keep], middle[keep]
+        run = _joined(ctx, nxt)
+        suffix = _joined(middle, nxt) if depth > 1 else ctx
         head = 1  # the first row carries the bucket's slice of the filter
         return pa.table(
             {
@@ -250,17 +255,18 @@ def count_runs(
     return counted.where("bits is null").drop("bits", "bucket"), above
 
 
-def _joined(ctx: np.ndarray, nxt: np.ndarray, depth: int) -> np.ndarray:
+def _joined(ctx: np.ndarray, nxt: np.ndarray) -> np.ndarray:
     """Key of the run ``ctx`` + ``nxt``. Depth 1: the run hash of two symbols; deeper
     contexts are hashes already, so their runs are keyed by hash of both."""
-    if not len(ctx):
-        return ctx
-    return hashing.runs(np.stack([ctx, nxt], 1).ravel(), 2)[::2]
+    return hashing.joined(ctx, nxt)
 
 
-def _values(rows: DataFrame, words: DataFrame, parents: DataFrame | None, tokens: int, types: int) -> tuple[DataFrame, DataFrame]:
+def _values(
+    rows: DataFrame, words: DataFrame, parents: tuple[DataFrame, DataFrame] | None, tokens: int, types: int, depth: int,
+) -> tuple[DataFrame, DataFrame]:
     """(pairs, contexts) kept by the divergence test. pairs: key, ctx, p (smoothed
-    probability), up (that of the suffix), c; contexts: ctx, gamma, n."""
+    probability), up (that of the suffix), c; contexts: ctx, gamma, n. The rows are
+    joined once, for both."""
     p0 = (F.coalesce("wc", F.lit(0)) + 1) / F.lit(float(tokens + types + 1))
     rows = rows.join(words.select(F.col("word").alias("next"), F.col("c").alias("wc")), "next", "left").withColumn("p0", p0)
     if parents is None:
@@ -273,15 +279,17 @@ def _values(rows: DataFrame, words: DataFrame, parents: DataFrame | None, tokens
             .withColumn("up", F.coalesce("_pp", F.col("_pg") * F.col("p0"), "p0"))
         )
     a = (F.col("c") - DISCOUNT) / F.col("n")
-    rows = rows.withColumn("a", a).where(F.col("a") > MIN_RATIO * F.col("up"))
+    rows = cut_lineage(
+        rows.where(a > MIN_RATIO * F.col("up")).select("key", "ctx", "c", "n", "up"), f"likelier-{depth}"
+    ).withColumn("a", a)
     contexts = rows.groupBy("ctx").agg(
         F.sum("a").alias("_a"), F.sum(F.col("a") * F.log(F.col("a") / F.col("up"))).alias("divergence"), F.max("n").alias("n")
     ).where(F.col("divergence") >= MIN_DIVERGENCE)
-    contexts = contexts.select("ctx", (1 - F.col("_a")).alias("gamma"), "n")
+    contexts = cut_lineage(contexts.select("ctx", (1 - F.col("_a")).alias("gamma"), "n"), f"contexts-{depth}")
     pairs = rows.join(contexts.select("ctx", "gamma"), "ctx").select(
         "key", "ctx", (F.col("a") + F.col("gamma") * F.col("up")).alias("p"), "up", "gamma", "c"
     )
-    return pairs, contexts
+    return cut_lineage(pairs, f"transitions-{depth}"), contexts
 
 
 def fit(texts: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
@@ -295,20 +303,19 @@ def fit(texts: DataFrame) -> tuple[DataFrame, DataFrame, int, int]:
     total = words.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     tokens, types = total.n or 0, total.v
     common = _common(words.where(F.col("c") > tokens * SHARE), "word", ["c"])
-    above, parents, parts = None, None, []
+    above, parents, parts = None, None, {}
     for depth in range(1, DEPTH + 1):
         rows, above = count_runs(texts, depth, common, tokens, types, buckets, above)
-        pairs, contexts = _values(rows, words, parents, tokens, types)
-        pairs, contexts = cut_lineage(pairs, f"transitions-{depth}"), cut_lineage(contexts, f"contexts-{depth}")
-        parents = (pairs, contexts)
-        parts.append(contexts.select(F.col("ctx").alias("key"), F.lit(depth).alias("length"), F.log10("gamma").alias("v"), F.col("n").alias("c")))
-        parts.append(pairs.select(
-            "key", F.lit(depth + 1).alias("length"), (F.log10(F.col("p") / F.col("up")) - F.log10("gamma")).alias("v"), "c"
-        ))
-    values = parts[0]
-    for p in parts[1:]:
-        values = values.unionAll(p)
-    values = values.groupBy("key", "length").agg(F.sum("v").alias("v"), F.max("c").alias("c"))
+        parents = pairs, contexts = _values(rows, words, parents, tokens, types, depth)
+        parts.setdefault(depth, []).append(contexts.select(F.col("ctx").alias("key"), F.log10("gamma").alias("v"), F.col("n").alias("c")))
+        parts.setdefault(depth + 1, []).append(pairs.select("key", (F.log10(F.col("p") / F.col("up")) - F.log10("gamma")).alias("v"), "c"))
+    values = None
+    for length, found in parts.items():
+        one = found[0]  # runs of the first and last length are contexts or transitions only, each once
+        if len(found) > 1:
+            one = found[0].unionAll(found[1]).groupBy("key").agg(F.sum("v").alias("v"), F.max("c").alias("c"))
+        one = one.select("key", F.lit(length).alias("length"), "v", "c")
+        values = one if values is None else values.unionAll(one)
     return cut_lineage(values, "run-values"), words, tokens, types
 
 
@@ -320,10 +327,11 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
     """doc_id, n_tokens, n_known, base_score, score of every row of ``docs``."""
     values, words, tokens, types = model
     spark = docs.sparkSession
-    # words carry their count, runs only their value
-    table = words.select(F.col("word").alias("key"), F.lit(1).alias("length"), "c").join(
-        values.withColumnRenamed("c", "_c"), ["key", "length"], "full"
-    ).select("key", "length", F.coalesce("v", F.lit(0.0)).alias("v"), F.coalesce("c", F.lit(0)).alias("wc"), F.coalesce("c", "_c").alias("c"))
+    # words carry their count, longer runs only their value
+    single = words.select(F.col("word").alias("key"), "c").join(
+        values.where("length = 1").select("key", "v", F.col("c").alias("_c")), "key", "full"
+    ).select("key", F.lit(1).alias("length"), F.coalesce("v", F.lit(0.0)).alias("v"), F.coalesce("c", F.lit(0)).alias("wc"), F.coalesce("c", "_c").alias("c"))
+    table = single.unionAll(values.where("length > 1").select("key", "length", "v", F.lit(0).cast("long").alias("wc"), "c"))
     table = cut_lineage(table, "run-table")
     often = F.col("c") > tokens * SHARE
     common = {n: _common(table.where(often & (F.col("length") == n)), "key", ["v", "wc"]) for n in range(1, DEPTH + 2)}
@@ -337,7 +345,7 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
     # the rarer part of the table, packed by bucket of the key
 
     def pack_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches):
             key = batch.column("key").to_numpy().view(np.uint64)
             yield pack(
                 bucket_of(hashing.mix(key), buckets),
@@ -355,33 +363,40 @@ def score(docs: DataFrame, model: tuple[DataFrame, DataFrame, int, int]) -> Data
             n = len(text)
             part = int.from_bytes(hashlib.blake2b(text.tobytes(), digest_size=8).digest(), "little", signed=True)
             base, known, more = np.zeros(n), np.zeros(n, np.int64), np.zeros(n)
-            sent_keys, sent_docs, sent_counts = [], [], []
+            texts_of = np.repeat(np.arange(n, dtype=np.uint64), np.diff(bounds))
+            sent = []
             for length in range(1, DEPTH + 2):
-                key, at = run_keys(symbols, bounds, length)
-                if length > 2:
-                    key = _joined(hashing.runs(symbols, length - 1)[at], symbols[at + length - 1], length - 1)
-                doc = np.searchsorted(bounds, at, "right") - 1
+                at = run_positions(len(symbols), bounds, length)
+                key = symbols[at] if length == 1 else _joined(key_at[at], symbols[at + length - 1])
+                # the run from every position on, of which the next length is made
+                key_at = np.zeros(len(symbols), np.uint64)
+                key_at[at] = key
+                doc = texts_of[at]
                 here, place = common[length].find(key)
                 if here.any():
-                    more += np.bincount(doc[here], common[length].values["v"][place[here]], n)
+                    hit, place = doc[here].view(np.int64), place[here]
+                    more += np.bincount(hit, common[length].values["v"][place], n)
                     if length == 1:
-                        c = common[1].values["wc"][place[here]]
-                        base += np.bincount(doc[here], np.log10(c + 1.0), n)
-                        known += np.bincount(doc[here], c > 0, n).astype(np.int64)
-                left = ~here
+                        c = common[1].values["wc"]
+                        base += np.bincount(hit, np.log10(c + 1.0)[place], n)
+                        known += np.bincount(hit, (c > 0)[place], n).astype(np.int64)
+                    key, doc = key[~here], doc[~here]
+                placed = hashing.mix(key)
                 if length > 1:
-                    left &= above.has(bucket_of(hashing.mix(key), buckets), key)
-                order = np.lexsort((doc[left], key[left]))
-                key, doc = key[left][order], doc[left][order]
-                new = np.ones(len(key), bool)
-                new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
-                start = np.flatnonzero(new)
-                sent_keys.append(key[start])
-                sent_docs.append(doc[start])
-                sent_counts.append(np.diff(np.concatenate([start, [len(key)]])))
-            key, doc, count = np.concatenate(sent_keys), np.concatenate(sent_docs), np.concatenate(sent_counts)
-            bucket = bucket_of(hashing.mix(key), buckets)
-            out = pack(bucket, {"keys": key, "docs": doc.astype(np.uint16 if n < 1 << 16 else np.uint32), "counts": count.astype(np.uint32)})
+                    left = above.has_mixed(bucket_of(placed, buckets), placed)
+                    key, doc, placed = key[left], doc[left], placed[left]
+                sent.append((key, doc, placed))
+            key, doc, placed = (np.concatenate(x) for x in zip(*sent, strict=True))
+            # equal runs of a text side by side, by bucket; a run that is sent in parts is added up
+            bits = np.uint64(min(max(n, 1).bit_length(), 32))
+            order = np.argsort(placed >> bits << bits | doc)
+            key, doc, placed = key[order], doc[order], placed[order]
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+            start = np.flatnonzero(new)
+            count = np.diff(np.concatenate([start, [len(key)]])).astype(np.uint32)
+            key, doc, bucket = key[start], doc[start], bucket_of(placed[start], buckets)
+            out = pack(bucket, {"keys": key, "docs": doc.astype(np.uint16 if n < 1 << 16 else np.uint32), "counts": count})
             local = pa.RecordBatch.from_arrays(
                 [pa.array([-1]), *(pa.array([b""], pa.binary()) for _ in range(3))], names=["bucket", "keys", "docs", "counts"]
             )

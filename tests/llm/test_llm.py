@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fundcast.llm import (
-    decontaminate, elias_fano, hashing, mixing, quality, signature_join, suffix_tree, surrogates, token_files,
+    decontaminate, elias_fano, hashing, mixing, packed, quality, signature_join, suffix_tree, surrogates, token_files,
     toxicity, url_rules, warc,
 )
 from fundcast.session import scratch_path, share_code
@@ -456,3 +456,27 @@ def test_classes_that_share_too_little_are_not_filed(spark, monkeypatch):
 def _kept(made, name, table):
     made.setdefault(name, table)
     return table
+
+
+def test_pairs_are_ordered_exactly_by_halves():
+    rnd = np.random.default_rng(2)
+    a = rnd.integers(0, 50, 3000).astype(np.uint64)
+    for b in (rnd.integers(0, 1 << 63, 40).astype(np.uint64)[rnd.integers(0, 40, 3000)], rnd.integers(0, 9, 3000).astype(np.uint64)):  # the latter agree in their leading half
+        order = packed.pair_order(a, b)
+        pairs = list(zip(a[order].tolist(), b[order].tolist(), strict=True))
+        runs = 1 + sum(x != y for x, y in zip(pairs, pairs[1:], strict=False))
+        assert sorted(order.tolist()) == list(range(3000)) and runs == len(set(pairs)) and sorted(a[order].tolist()) == a[order].tolist()
+
+
+def test_suffix_tree_joins_counted_runs_once(spark, docs, monkeypatch):
+    """Transitions and contexts are made from one joined table, and the table of values
+    is packed by bucket in few rows, however small the batches are."""
+    monkeypatch.setattr(suffix_tree, "MIN_CONTEXT", 3)
+    monkeypatch.setattr(suffix_tree, "MIN_PAIR", 2)
+    made = []
+    plain = suffix_tree.cut_lineage
+    monkeypatch.setattr(suffix_tree, "cut_lineage", lambda df, name: _noted(made, plain, df, name))
+    suffix_tree.fit(docs.select("text"))
+    assert [n for n, p in made if re.search(r"Join.*next#", p)] == ["likelier-1", "likelier-2"]
+    batches = [pa.RecordBatch.from_arrays([pa.array([i, i + 1])], names=["x"]) for i in range(0, 14, 2)]
+    assert [b.column("x").to_pylist() for b in packed.gathered(iter(batches), 5)] == [[0, 1, 2, 3, 4, 5], [6, 7, 8, 9, 10, 11], [12, 13]]
