@@ -17,12 +17,16 @@ shingles is at least 3/4.
    are first compared with one leader, exactly. A group of near copies is thus
    joined by as many comparisons as it has members. The leader, being compared
    with all, then leaves the cell. Cells that stay open draw a new leader once more.
-4. Cells whose members are not all connected by then are joined by signature
-   trees: nodes hold the OR of their members' shingle bitmaps, at 1/NARROW of
-   their width, and the range of their sizes; two trees are descended together,
-   and a pair of nodes is dropped when the overlap that bitmaps and sizes allow
-   is too small, or when all its members are connected already. Pairs that remain
-   are held against the whole bitmaps and verified exactly.
+4. Cells whose members are not all connected by then are cut into blocks that are
+   joined by signature trees: nodes hold the OR of their members' shingle bitmaps, at
+   1/NARROW of their width, and the range of their sizes; two trees are descended
+   together, and a pair of nodes is dropped when the overlap that bitmaps and sizes
+   allow is too small, or when all its members are connected already. Pairs that
+   remain are verified exactly on the spot, and a task returns only links that
+   connect what was apart: fewer than its members. First every block is joined with
+   itself, its members taken in random order, so that a group of near copies becomes
+   connected in as many comparisons as its blocks give; pairs of blocks follow for
+   the cells that are still open.
 5. Components of all links, smallest document first.
 
 Cells of any size are cut into blocks, so no task holds a whole cell. No pair is
@@ -60,6 +64,8 @@ BUCKET_ROWS = 1 << 20
 PART_BYTES = 8 << 20
 #: Members of a block, members of a leaf.
 BLOCK, LEAF = 512, 8
+#: Bitmap bits of a block's members; sets of shingles take about twice as many bytes at most.
+BLOCK_BITS = 1 << 23
 #: Further rounds with new leaders before the trees.
 ROUNDS = 1
 #: Slices (as bits) of the bit table of classes that file themselves.
@@ -330,12 +336,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                s = np.frombuffer(x.as_buffer(), np.uint64)
-                t = np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([s, t])
-                both.sort()
-                overlap = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * overlap >= 75 * (len(both) - overlap))
+                keep.append(_linked_sets(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
@@ -421,16 +422,27 @@ def _fold(bits: np.ndarray, words: int) -> np.ndarray:
     return bits
 
 
+def _linked_sets(s: np.ndarray, t: np.ndarray) -> bool:
+    """Whether two sets of shingles link, by their exact overlap."""
+    both = np.concatenate([s, t])
+    both.sort()
+    overlap = int((both[1:] == both[:-1]).sum())
+    return 100 * overlap >= 75 * (len(both) - overlap)
+
+
 def _join_blocks(table: pa.Table) -> pa.Table:
-    """Candidate pairs of two blocks of a cell (side 0 and 1), or of one with itself."""
+    """Links between two blocks of a cell (side 0 and 1), or within one, that connect
+    all which link and are not connected by their labels: a link that joins members
+    connected by those before it is left out."""
 
-    def tree(side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def tree(side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
         t = table.filter(pa.compute.equal(table.column("side"), side))
         fp, n, label = (t.column(c).to_numpy() for c in ("fp", "n", "label"))
         order = np.lexsort((fp, n, label))
         raw = t.column("narrow").to_pylist()
         bits = np.stack([np.frombuffer(raw[i], np.uint64) for i in order]) if len(raw) else np.zeros((0, 1), np.uint64)
-        return fp[order], n[order], label[order], bits
+        sets = t.column("shingles").to_pylist()
+        return fp[order], n[order], label[order], bits, [np.frombuffer(sets[i], np.uint64) for i in order]
 
     import pyarrow.compute  # noqa: F401
 
@@ -441,7 +453,22 @@ def _join_blocks(table: pa.Table) -> pa.Table:
     words = min(one[3].shape[1], two[3].shape[1])
     left = Tree(one[1], one[2], _fold(one[3], words))
     right = left if same else Tree(two[1], two[2], _fold(two[3], words))
-    pairs = [(int(one[0][i]), int(two[0][j])) for i, j in dual_traversal(left, right, same)]
+    above = {x: x for x in np.concatenate([one[2], two[2]]).tolist()}  # label -> one that it is connected with
+
+    def root(x: int) -> int:
+        while above[x] != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    apart, pairs = len(above), []
+    for i, j in dual_traversal(left, right, same):
+        p, q = root(int(one[2][i])), root(int(two[2][j]))
+        if p != q and _linked_sets(one[4][i], two[4][j]):
+            above[p] = q
+            pairs.append((int(one[0][i]), int(two[0][j])))
+            apart -= 1
+            if apart == 1:
+                break
     a = np.array([min(p) for p in pairs], np.int64)
     b = np.array([max(p) for p in pairs], np.int64)
     return pa.table({"a": a, "b": b})
@@ -476,14 +503,34 @@ def _stars(opened: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
     return pairs, led.where(F.col("fp") != F.col("_l.fp")).select("cell", "fp")
 
 
-def _tree_pairs(marked: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidate pairs of open cells by signature trees. Bitmaps join the members when
-    these are dealt to pairs of blocks, not before."""
+def _blocks(marked: DataFrame, classes: DataFrame, *order) -> DataFrame:
+    """The members of open cells (``marked``) with their block, cut in this order."""
     members = marked.join(classes.select("fp", "width"), "fp")
-    order = Window.partitionBy("cell", "width").orderBy("label", "n", "fp")
-    members = cut_lineage(
-        members.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK)), "cell-members"
+    size = F.greatest(F.lit(LEAF), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_BITS) / F.col("width"))))
+    place = F.row_number().over(Window.partitionBy("cell", "width").orderBy(*order)) - 1
+    return cut_lineage(members.withColumn("block", F.floor(place / size)), "cell-members")
+
+
+def _traversed(dealt: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links of the members dealt to pairs of blocks; bitmaps and sets join them now, not before."""
+    return (
+        dealt.select("pair", "side", "fp", "n", "label").join(classes.select("fp", "narrow", "shingles"), "fp")
+        .groupBy("pair").applyInArrow(_join_blocks, "a long, b long").distinct()
     )
+
+
+def _block_links(marked: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links of open cells by signature trees, of every block with itself: each member
+    goes to one task, and blocks of random members connect most of what is connected."""
+    members = _blocks(marked, classes, "fp")
+    return _traversed(members.select(
+        F.concat_ws(":", "cell", "width", "block").alias("pair"), F.lit(0).alias("side"), "fp", "n", "label"
+    ), classes)
+
+
+def _tree_pairs(marked: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links of open cells by signature trees, of all pairs of blocks."""
+    members = _blocks(marked, classes, "label", "n", "fp")
     blocks = members.groupBy("cell", "width", "block").agg(
         F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("label").alias("l0"), F.max("label").alias("l1")
     )
@@ -508,11 +555,7 @@ def _tree_pairs(marked: DataFrame, classes: DataFrame) -> DataFrame:
     wanted = pairs.select(
         F.col("cell"), F.concat_ws(":", "cell", "width", "block", "width2", "block2").alias("pair"), F.explode(sides).alias("s")
     ).select("cell", "pair", F.col("s.side").alias("side"), F.col("s.w").alias("width"), F.col("s.k").alias("block"))
-    return (
-        wanted.join(members, ["cell", "width", "block"])
-        .select("pair", "side", "fp", "n", "label").join(classes.select("fp", "narrow"), "fp")
-        .groupBy("pair").applyInArrow(_join_blocks, "a long, b long").distinct()
-    )
+    return _traversed(wanted.join(members, ["cell", "width", "block"]), classes)
 
 
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -547,8 +590,10 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         pairs, rest = _stars(_open(rest, components(found), known), turn)
         found = found.unionAll(_linked(_possible(pairs, known), thin, classes))
     opened = _open(rest, components(found), known)
-    tree_pairs = cut_lineage(_tree_pairs(opened, known), "tree-pairs")
-    return classes, found.unionAll(_linked(_possible(tree_pairs, known), thin, classes))
+    known_sets = known.join(_sets(thin, opened.select("fp"), classes), "fp")
+    found = found.unionAll(cut_lineage(_block_links(opened, known_sets), "block-links"))
+    opened = _open(opened.select("cell", "fp"), components(found), known)
+    return classes, found.unionAll(cut_lineage(_tree_pairs(opened, known_sets), "tree-pairs"))
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:

@@ -458,6 +458,30 @@ def _kept(made, name, table):
     return table
 
 
+def test_blocks_return_links_that_connect_not_all_pairs(spark, monkeypatch):
+    """Of a group of which every two link, a task that joins blocks returns as many links as connect it."""
+    rnd = np.random.default_rng(7)
+    sets = [np.sort(rnd.integers(0, 1 << 63, 200).astype(np.uint64)) for _ in range(2)]
+    sets = [s[np.sort(rnd.permutation(200)[:190])] for s in sets for _ in range(20)]  # two groups of 20
+    bits = signature_join._bitmaps(sets)[1]
+    rows = {"fp": np.arange(40), "n": np.full(40, 190), "label": np.arange(40), "narrow": bits, "shingles": [s.tobytes() for s in sets]}
+    for side in (np.zeros(40, np.int64), np.arange(40) % 2):  # a block with itself, and two blocks
+        out = signature_join._join_blocks(pa.table({**rows, "side": side}))
+        assert out.num_rows == 2 * 19
+        group = {i: i for i in range(40)}
+        for a, b in zip(*(out.column(c).to_pylist() for c in "ab"), strict=True):
+            group = {k: group[a] if g == group[b] else g for k, g in group.items()}
+        assert len({group[i] for i in range(20)}) == len({group[i] for i in range(20, 40)}) == 1 and group[0] != group[20]
+    # members that are connected already give no link
+    assert not signature_join._join_blocks(pa.table({**rows, "side": np.zeros(40, np.int64), "label": np.arange(40) // 20})).num_rows
+    # a block holds fewer members where these are large
+    monkeypatch.setattr(signature_join, "BLOCK_BITS", 1 << 12)
+    marked = spark.range(40).select(F.lit(1).alias("cell"), F.col("id").alias("fp"), F.col("id").alias("label"), F.lit(190).alias("n"))
+    known = spark.range(40).select(F.col("id").alias("fp"), F.when(F.col("id") < 20, 64).otherwise(256).alias("width"))
+    cut = signature_join._blocks(marked, known, "fp").groupBy("width", "block").count()
+    assert {(r.width, r["count"]) for r in cut.collect()} == {(64, 20), (256, 16), (256, 4)}
+
+
 def test_pairs_are_ordered_exactly_by_halves():
     rnd = np.random.default_rng(2)
     a = rnd.integers(0, 50, 3000).astype(np.uint64)
