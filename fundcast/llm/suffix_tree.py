@@ -142,8 +142,9 @@ def count_runs(
     contexts themselves. At depth 1 transitions that cannot be MIN_RATIO times
     likelier than by chance, however rare their next word, are left out already.
 
-    ``key`` is the whole run, ``suffix`` the run without its first symbol. Contexts
-    that the filter ``above`` rules out are not sent.
+    ``key`` is the whole run, ``suffix`` the run without its first symbol and
+    ``suffix_ctx`` the context of that (0 at depth 1). Contexts that the filter
+    ``above`` rules out are not sent.
     """
     held = texts.sparkSession.sparkContext.broadcast((common, above))
     crowded = max(tokens >> max(buckets, 1), 1)  # occurrences that would fill a bucket
@@ -224,7 +225,8 @@ def count_runs(
             keep = (c - DISCOUNT) / n > MIN_RATIO * ((least + 1) / (tokens + types + 1))
             ctx, nxt, c, n, middle = ctx[keep], nxt[keep], c[keep], n[keep], middle[keep]
         run = _joined(ctx, nxt)
-        suffix = _joined(middle, nxt) if depth > 1 else ctx
+        # words, the suffixes at depth 1, have a table of their own
+        suffix, middle = (_joined(middle, nxt), middle) if depth > 1 else (np.zeros_like(ctx), np.zeros_like(ctx))
         head = 1  # the first row carries the bucket's slice of the filter
         return pa.table(
             {
@@ -264,9 +266,9 @@ def _joined(ctx: np.ndarray, nxt: np.ndarray) -> np.ndarray:
 def _values(
     rows: DataFrame, words: DataFrame, parents: tuple[DataFrame, DataFrame] | None, tokens: int, types: int, depth: int,
 ) -> tuple[DataFrame, DataFrame]:
-    """(pairs, contexts) kept by the divergence test. pairs: key, ctx, p (smoothed
-    probability), up (that of the suffix), c; contexts: ctx, gamma, n. The rows are
-    joined once, for both."""
+    """(pairs, contexts) kept by the divergence test. pairs: key, p (smoothed
+    probability), up (that of the suffix), gamma, c; contexts: ctx, gamma, n. The rows
+    are joined once, for both."""
     p0 = (F.coalesce("wc", F.lit(0)) + 1) / F.lit(float(tokens + types + 1))
     rows = rows.join(words.select(F.col("word").alias("next"), F.col("c").alias("wc")), "next", "left").withColumn("p0", p0)
     if parents is None:
@@ -287,7 +289,7 @@ def _values(
     ).where(F.col("divergence") >= MIN_DIVERGENCE)
     contexts = cut_lineage(contexts.select("ctx", (1 - F.col("_a")).alias("gamma"), "n"), f"contexts-{depth}")
     pairs = rows.join(contexts.select("ctx", "gamma"), "ctx").select(
-        "key", "ctx", (F.col("a") + F.col("gamma") * F.col("up")).alias("p"), "up", "gamma", "c"
+        "key", (F.col("a") + F.col("gamma") * F.col("up")).alias("p"), "up", "gamma", "c"
     )
     return cut_lineage(pairs, f"transitions-{depth}"), contexts
 
