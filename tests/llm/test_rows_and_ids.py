@@ -216,3 +216,16 @@ def test_decontamination_equals_the_edit_matrix_of_every_pair(spark):
     tests = spark.createDataFrame([(k, ", ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.distance for r in decontaminate.matches(frame, tests).collect()}
     assert got == want and any(n for n in want.values())
+
+
+def test_token_files_start_no_python_processes_beside_the_driver(spark):
+    public = pytest.importorskip("public_tokenizers")
+    psutil = pytest.importorskip("psutil")
+    docs = share_code(spark).createDataFrame(texts(), DDL).repartition(3)
+    planning = lambda: {
+        p.pid for p in psutil.Process().children(recursive=True) if "pyspark.sql.worker." in " ".join(p.cmdline())
+    }
+    before = planning()
+    path = token_files.write(docs, scratch_path(spark, "t"), public.path("byte_bpe_50k.json"))
+    assert token_files.read(spark, path).count() == docs.count()
+    assert planning() <= before
