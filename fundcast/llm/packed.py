@@ -140,7 +140,7 @@ def bits_of(keys: DataFrame, column: str, buckets: int) -> Bits:
     made = keys.select(column).mapInArrow(emit, "bucket long, keys binary").groupBy("bucket").applyInArrow(
         slices, "bucket long, bits binary"
     )
-    return assemble(made.toLocalIterator(), buckets)
+    return assemble(made.collect(), buckets)  # 8 MB; a local iterator would run a job for every shuffle partition
 
 
 def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
