@@ -74,5 +74,5 @@ def sparse_vectors(rows: DataFrame, key: str, size: int, name: str = "features",
         F.col("_e.index").cast("array<int>").alias("indices"), F.col("_e.value").cast("array<double>").alias("values"),
     )
     path = path or scratch_path(spark, "sparse-vectors")
-    gathered.select(key, part.alias(name)).write.parquet(path)
+    gathered.select(key, part.alias(name)).write.parquet(path, compression="zstd")
     return spark.read.schema(StructType([rows.schema[key], StructField(name, VectorUDT())])).parquet(path)

@@ -18,7 +18,8 @@ from fundcast.plans.queries_campaign import prepared
 from fundcast.session import cut_lineage, scratch_path
 from fundcast.sources import table
 
-# Vocabulary threshold of the text tables (the original grid's lowest minDF).
+# Vocabulary threshold of the text tables (the original grid's lowest minDF); the vectors
+# of ``sparse_tfidf`` have every term, as in the original's stage-by-stage featurisation.
 TEXT_MIN_DF = 55
 # Threshold for the campaign models: a fraction, so it scales with the data.
 MODEL_MIN_DF = 0.01
@@ -45,6 +46,11 @@ vocab AS (SELECT term, df FROM dfs WHERE df >= {TEXT_MIN_DF}),
 ndocs AS (SELECT count(*) AS n FROM documents),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term IN (SELECT term FROM vocab) GROUP BY doc_id, term)"""
 
+_ALL_TERMS_SQL = f"""toks AS (SELECT doc_id, unnest({_FILTERED}) AS term FROM documents),
+vocab AS (SELECT term, count(DISTINCT doc_id) AS df FROM toks GROUP BY term),
+ndocs AS (SELECT count(*) AS n FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY doc_id, term)"""
+
 
 def documents(spark, sf_dir):
     return table(spark, sf_dir, "documents")
@@ -72,6 +78,15 @@ def text_counts(spark, sf_dir):
     return counts, cut_lineage(TM.vocabulary(counts, TEXT_MIN_DF), "vocabulary")
 
 
+def all_text_counts(spark, sf_dir):
+    """(doc_id, term, tf) of the filtered tokens, and the vocabulary (term, df) of all
+    their terms. It is joined by a shuffle, so the counts are written as rows in the
+    order of their terms: neighbours that begin alike take less to write and to shuffle."""
+    counts = TM.term_counts(filtered_tokens(spark, sf_dir)).sortWithinPartitions("term")
+    counts = cut_lineage(counts, "term-counts", "zstd")
+    return counts, cut_lineage(TM.vocabulary(counts), "vocabulary", "zstd")
+
+
 @register("word_count", f"WITH {_WORDS_SQL} SELECT word, count(*) AS count FROM words GROUP BY word")
 def q_word_count(spark, sf_dir):
     return T.word_count(T.lines(document_text(spark, sf_dir), "text"))
@@ -130,19 +145,18 @@ def q_feature_index(spark, sf_dir):
 
 @register(
     "sparse_tfidf",
-    f"WITH {_TERMS_SQL}, ranked AS (SELECT row_number() OVER (ORDER BY df DESC, term) - 1 AS i, term, df FROM vocab), "
+    f"WITH {_ALL_TERMS_SQL}, ranked AS (SELECT row_number() OVER (ORDER BY df DESC, term) - 1 AS i, term, df FROM vocab), "
     "size AS (SELECT count(*) AS size FROM vocab) "
     f"SELECT doc_id, CAST(size AS INTEGER) AS size, CAST(i AS INTEGER) AS index, "
     f"round(tf * ln((n + 1.0) / (df + 1.0)), {DIGITS}) AS value FROM tf JOIN ranked USING (term), ndocs, size",
 )
 def q_sparse_tfidf(spark, sf_dir):
-    """TF-IDF vectors of all documents over every term of the vocabulary, assembled
+    """TF-IDF vectors of all documents over every term they hold, assembled
     without a vocabulary on the driver: their sizes and stored entries."""
-    counts, vocab = text_counts(spark, sf_dir)
-    index = cut_lineage(TM.feature_index(vocab), "feature-index")
-    rows = TM.indexed_weights(counts, index, documents(spark, sf_dir).count())
+    counts, vocab = all_text_counts(spark, sf_dir)
+    rows = TM.indexed_weights(counts, TM.feature_index(vocab), documents(spark, sf_dir).count())
     path = scratch_path(spark, "tfidf-vectors")
-    vectors = sparse_vectors(rows, "doc_id", index.count(), "tfidf", path)
+    vectors = sparse_vectors(rows, "doc_id", vocab.count(), "tfidf", path)
     size = F.col("tfidf.size")
     parts = read_parts(spark, path, vectors.schema)
     return parts.select("doc_id", size.alias("size"), F.inline(entries(F.col("tfidf")))).select(

@@ -93,16 +93,17 @@ def release_scratch(spark: SparkSession) -> int:
     return removed
 
 
-def cut_lineage(df, name: str = "stage"):
+def cut_lineage(df, name: str = "stage", compression: str | None = None):
     """Write ``df`` as Parquet below the shared checkpoint folder and return
     the reloaded frame.
 
     Frames read by several passes (fit, then transform) are computed once;
     a lost executor afterwards costs a re-read of this table, not a
     recomputation from the sources. Parquet keeps it columnar and compressed
-    (vector columns included).
+    (vector columns included); ``compression`` names another codec than the
+    session's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return spark.read.parquet(path)

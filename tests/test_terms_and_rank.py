@@ -1,5 +1,6 @@
 """In-row term counts, distributed ranks, vectors as plain columns."""
 
+import math
 import random
 from collections import Counter
 
@@ -113,3 +114,20 @@ def test_runs_are_sorted_without_a_comparator(spark):
     assert "array_sort(" not in out._jdf.queryExecution().optimizedPlan().toString()
     got = [None if r["r"] is None else [(x["term"], x["tf"]) for x in r["r"]] for r in out.collect()]
     assert got == [[("B", 1), ("a", 1), ("b", 2), ("é", 1)], [], None]
+
+
+def test_sparse_tfidf_holds_every_term(spark, tmp_dir):
+    from fundcast.plans.queries_text import q_sparse_tfidf
+
+    rare = [(i, " ".join(["common"] * (1 + i % 2) + [f"pair{i // 2}", f"own{i}", "the"])) for i in range(60)]
+    rows = rare + [(60, ""), (None, "Common own1")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_dir}/documents.parquet")
+    docs = [(k, Counter(w for w in x.lower().split() if w != "the")) for k, x in rows]
+    df = Counter(w for _, c in docs for w in c)
+    index = {w: i for i, w in enumerate(sorted(df, key=lambda w: (-df[w], w)))}
+    assert [w for w, d in df.items() if d >= 55] == ["common"]
+    got = {(r["doc_id"], r["size"], r["index"]): r["value"] for r in q_sparse_tfidf(spark, tmp_dir).collect()}
+    assert got == {
+        (k, len(df), index[w]): pytest.approx(n * math.log((len(docs) + 1) / (df[w] + 1)), abs=1e-9)
+        for k, c in docs for w, n in c.items()
+    }
